@@ -12,7 +12,7 @@ from quarterlode.operators import entities as E
 from quarterlode.operators import mapping as M
 from quarterlode.operators import vocabulary as K
 from quarterlode.plans.silver import entity_table, silver_drug
-from quarterlode.session import new_path
+from quarterlode.session import materialise, new_path
 from quarterlode.sources.tables import read_version, write_version
 
 PROMPT_SQL = "'" + M.PROMPT_PREFIX.replace("'", "''") + "'"
@@ -23,7 +23,8 @@ def _extract(spark, d):
 
 
 def _entities(spark, d):
-    return entity_table(V.drug(spark, d), _extract(spark, d))
+    """The entity table, stored once per query as it would be in production."""
+    return materialise(entity_table(V.drug(spark, d), _extract(spark, d)), "entities")
 
 
 def _resolver(spark, d):
@@ -61,9 +62,9 @@ SPACES = r"[\s\x0b\x1c-\x1f\x{0085}\x{00A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2
 def entities_csv(spark, d):
     words = F.split(E.collapse_spaces(F.lower("text")), " ")
     entries = V.table(spark, d, "benchmark").select(F.array_join(F.slice(words, 1, 2), " ").alias("entity"))
-    docs = V.table(spark, d, "documents").select("doc_id", F.lower("text").alias("term"))
-    found = E.match_entities(docs, entries, longest=2)
-    return docs.join(found, "term", "left").select("doc_id", E.entities_text(F.col("entities")).alias("entities"))
+    docs = V.table(spark, d, "documents").select("doc_id", F.lower("text").alias("text"))
+    found = E.entities_by_key(docs, "doc_id", "text", entries, longest=2)
+    return found.select("doc_id", E.entities_text(F.col("entities")).alias("entities"))
 
 
 @query("entity_explode", """
@@ -114,11 +115,11 @@ def vocab_flatten_related(spark, d):
 
 
 @query("vocab_flatten_history", """
-    SELECT rxcui, related_rxcui, name, 'remapped' AS status, tty, active, at FROM history_leads
-    UNION ALL SELECT rxcui, related_rxcui, name, 'remapped', '', '', at FROM history_names""")
+    SELECT rxcui, related_rxcui, name, 'remapped' AS status, tty, active, pos FROM history_leads
+    UNION ALL SELECT rxcui, related_rxcui, name, 'remapped', '', '', pos FROM history_names""")
 def vocab_flatten_history(spark, d):
     answers = V.history_answers(spark, d)
-    at = (F.col("position.page") * 10 + F.col("position.rank")).alias("at")
+    at = (F.col("position.page") * 10 + F.col("position.rank")).alias("pos")
     leads = K.history_concepts(answers).select(
         "rxcui", "related_rxcui", "name", "tty", F.coalesce("active", F.lit("")).alias("active"), at)
     names = K.history_ingredients(answers).select(
@@ -163,7 +164,8 @@ def approx_term_top1(spark, d):
 @query("resolve_atc", "SELECT entity, codes FROM resolved")
 def resolve_atc(spark, d):
     named = _entities(spark, d).select("entity").where("entity is not null").distinct()
-    return _resolver(spark, d)(named).select("entity", V.codes_text(F.col("atc_code")).alias("codes"))
+    found = M.resolve_and_join_back(named, "entity", _resolver(spark, d))
+    return found.select("entity", V.codes_text(F.col("atc_code")).alias("codes"))
 
 
 @query("resolve_join_back", """

@@ -109,39 +109,39 @@ VIEWS = {
         SELECT p_partkey AS page, p_brand, p_type FROM part WHERE string_split(p_name,' ')[2] = 'plate'""",
     "history_names": """
         SELECT 'C-plate' AS rxcui, id AS related_rxcui, arg_max(name, page*10+rank) AS name,
-               min(page*10+rank) AS at
+               min(page*10+rank) AS pos
         FROM (SELECT page, 0 AS rank, 'I-' || CAST(page%60 AS VARCHAR) AS id, p_brand AS name FROM plates
               UNION ALL SELECT page, 1, 'I-' || CAST(page%30 AS VARCHAR), p_type FROM plates)
         GROUP BY id""",
     "history_leads": """
         SELECT 'C-plate' AS rxcui, id AS related_rxcui, arg_max(name, page*10+rank) AS name,
-               arg_max(tty, page*10+rank) AS tty, arg_max(active, page*10+rank) AS active, min(page*10+rank) AS at
+               arg_max(tty, page*10+rank) AS tty, arg_max(active, page*10+rank) AS active, min(page*10+rank) AS pos
         FROM (SELECT page, 2 AS rank, 'I-' || CAST(page%5 AS VARCHAR) AS id, p_type AS name, 'IN' AS tty, 'YES' AS active FROM plates
               UNION ALL SELECT page, 3, 'R-' || CAST(page%4 AS VARCHAR), p_brand, 'SBD', 'YES' FROM plates
               UNION ALL SELECT page, 4, 'S-' || CAST(page%20 AS VARCHAR), p_type, 'SCD', '' FROM plates
               UNION ALL SELECT page, 5, 'Q-' || CAST(page%3 AS VARCHAR), p_type, 'QD', '' FROM plates)
         GROUP BY id""",
     "led_to": """
-        SELECT l.rxcui, r.related_rxcui, r.name, r.tty, l.at AS c, r.first_page AS r
+        SELECT l.rxcui, r.related_rxcui, r.name, r.tty, l.pos AS c, r.first_page AS r
         FROM history_leads l JOIN related r ON l.related_rxcui = r.rxcui WHERE l.tty IN ('SCD','QD')
         UNION ALL
-        SELECT rxcui, related_rxcui, name, tty, at, -1 FROM history_leads WHERE tty IN ('IN','PIN')""",
+        SELECT rxcui, related_rxcui, name, tty, pos, -1 FROM history_leads WHERE tty IN ('IN','PIN')""",
     "history_all": """
         SELECT rxcui, related_rxcui, arg_max(name, c*1000000000+r) AS name, arg_max(tty, c*1000000000+r) AS tty,
-               0 AS source, min(c*1000000000+r) AS at
+               0 AS source, min(c*1000000000+r) AS pos
         FROM led_to GROUP BY rxcui, related_rxcui
         UNION ALL
-        SELECT rxcui, related_rxcui, name, NULL, 1, at FROM history_names
+        SELECT rxcui, related_rxcui, name, NULL, 1, pos FROM history_names
         WHERE related_rxcui NOT IN (SELECT related_rxcui FROM led_to)""",
     "classes": """
         SELECT DISTINCT 'I-' || CAST(s_suppkey%60 AS VARCHAR) AS rxcui, n_nationkey AS page,
                'C' || CAST(n_nationkey AS VARCHAR) AS class_id, n_name AS class_name
         FROM supplier JOIN nation ON s_nationkey = n_nationkey""",
     "concept_codes": """
-        SELECT i.rxcui, string_agg(c.class_id, ',' ORDER BY i.source, i.at, c.page) AS codes, count(*) AS n_codes
-        FROM (SELECT rxcui, related_rxcui, 0 AS source, first_page AS at FROM related
+        SELECT i.rxcui, string_agg(c.class_id, ',' ORDER BY i.source, i.pos, c.page) AS codes, count(*) AS n_codes
+        FROM (SELECT rxcui, related_rxcui, 0 AS source, first_page AS pos FROM related
               WHERE rxcui IN (SELECT rxcui FROM concepts)
-              UNION ALL SELECT rxcui, related_rxcui, 1 + source, at FROM history_all) i
+              UNION ALL SELECT rxcui, related_rxcui, 1 + source, pos FROM history_all) i
         JOIN classes c ON i.related_rxcui = c.rxcui GROUP BY i.rxcui""",
     "entities": "SELECT DISTINCT entity FROM term_entities WHERE entity IS NOT NULL",
     "near": """
@@ -169,4 +169,5 @@ def with_views(body: str) -> str:
         return body.strip()
     # a view never reads itself, so visiting order is creation order
     ctes = ",\n".join(f"{name} AS ({VIEWS[name].strip()})" for name in needed)
-    return f"WITH {ctes}\n{body.strip()}"
+    own = body.strip()
+    return f"WITH {ctes},\n{own[5:]}" if own.startswith("WITH ") else f"WITH {ctes}\n{own}"

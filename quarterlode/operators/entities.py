@@ -25,43 +25,52 @@ def drug_terms(drug: DataFrame) -> DataFrame:
     return pairs.withColumn("term", F.coalesce(space_out(F.col("prod_ai")), space_out(F.col("drugname"))))
 
 
-def word_runs(text: Column, longest: int) -> Column:
-    """Distinct runs of 1 to ``longest`` consecutive words."""
-    words = F.filter(F.split(collapse_spaces(text), " "), lambda w: w != "")
-    last = F.size(words)
-    runs = [
-        F.when(
-            last >= n,
-            F.transform(
-                F.sequence(F.lit(1), last - (n - 1)),
-                lambda i, n=n: F.array_join(F.slice(words, i, n), " "),
-            ),
-        ).otherwise(F.array().cast("array<string>"))
-        for n in range(1, longest + 1)
-    ]
+def word_runs(words: Column, longest: int) -> Column:
+    """Distinct runs of 1 to ``longest`` consecutive words of a word array.
+
+    ``words`` must be a column of the frame, not an expression: it is read once
+    per run.
+    """
+    def of(n: int) -> Column:
+        starts = F.sequence(F.lit(1), F.size(words) - (n - 1))
+        runs = F.transform(starts, lambda i: F.array_join(F.slice(words, i, n), " "))
+        return F.when(F.size(words) >= n, runs).otherwise(F.array().cast("array<string>"))
+
+    runs = [of(n) for n in range(1, longest + 1)]
     return F.array_distinct(F.concat(*runs))
 
 
-def match_entities(terms: DataFrame, vocabulary: DataFrame, longest: int = 3) -> DataFrame:
-    """Entities of each distinct term, as ``term, entities``.
+def entities_by_key(df: DataFrame, key: str, text: str, vocabulary: DataFrame, longest: int = 3) -> DataFrame:
+    """Entities of each text, as ``key, text, entities``; keys are unique.
 
-    A term's entities are the vocabulary entries (column ``entity``, lower case)
-    among its word runs, sorted. A term that names none stands for itself,
-    trimmed; a blank term has null. ``longest`` is the number of words of the
+    A text's entities are the vocabulary entries (column ``entity``, lower case)
+    among its word runs, sorted. A text that names none stands for itself,
+    trimmed; a blank text has null. ``longest`` is the number of words of the
     longest entry.
+
+    Only the runs that are entries move between tasks, under their key.
     """
-    distinct = terms.select("term").where(~is_blank(F.col("term"))).distinct()
-    # Runs carry a digest of their text, so that long texts are not copied per run.
-    keyed = distinct.select(F.md5(F.col("term").cast("binary")).alias("_k"), "term")
-    runs = keyed.select("_k", F.explode(word_runs(F.col("term"), longest)).alias("entity"))
+    texts = df.select(key, text)
+    words = texts.select(key, F.split(collapse_spaces(F.col(text)), " ").alias("_words"))
+    runs = words.select(key, F.explode(word_runs(F.col("_words"), longest)).alias("entity")).where("entity != ''")
     entries = vocabulary.select("entity").where(F.col("entity").isNotNull()).distinct()
     if is_small(entries):
         entries = F.broadcast(entries)
     # folded per text: at most the runs of one text
-    found = runs.join(entries, "entity", "left_semi").groupBy("_k").agg(
+    found = runs.join(entries, "entity", "left_semi").groupBy(key).agg(
         F.array_sort(F.collect_set("entity")).alias("entities"))
-    named = keyed.join(found, "_k", "left")
-    return named.select("term", F.coalesce("entities", F.array(strip(F.col("term")))).alias("entities"))
+    whole = F.when(~is_blank(F.col(text)), F.array(strip(F.col(text))))
+    return texts.join(found, key, "left").select(key, text, F.coalesce("entities", whole).alias("entities"))
+
+
+def match_entities(terms: DataFrame, vocabulary: DataFrame, longest: int = 3) -> DataFrame:
+    """Entities of each distinct term, as ``term, entities``; see :func:`entities_by_key`.
+
+    Terms go by a digest, so that long ones are not carried along with each run.
+    """
+    distinct = terms.select("term").where(~is_blank(F.col("term"))).distinct()
+    keyed = distinct.select(F.md5(F.col("term").cast("binary")).alias("_key"), "term")
+    return entities_by_key(keyed, "_key", "term", vocabulary, longest).select("term", "entities")
 
 
 def drug_entities(terms: DataFrame, extract: Extractor) -> DataFrame:

@@ -81,12 +81,12 @@ def cascade(
     """Try resolvers in turn, each on the entities no earlier one could map.
 
     Returns the mapped rows, tagged with the strategy, and the entities left.
-    The answers of a resolver are needed twice (as a result, and to tell what is
-    left), so ``keep`` writes them once; a costly resolver runs only once.
+    The entities and the answers of each resolver are needed more than once, so
+    ``keep`` stores them; a costly resolver runs only once per entity.
     """
     if not resolvers:
         raise ValueError("at least one resolver is needed")
-    pending, mapped = entities.select("entity").distinct(), None
+    pending, mapped = keep(entities.select("entity").distinct()), None
     for name, resolve in resolvers:
         found = keep(
             resolve(pending).where(F.col("atc_code").isNotNull()).select(

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from quarterlode.functions.text import collapse_spaces
 from quarterlode.operators.mapping import Resolver, atc_struct
+from quarterlode.session import materialise
 
 # Term types of ingredients, and of drugs that lead to ingredients.
 INGREDIENT_TYPES = ("IN", "PIN")
@@ -73,17 +74,16 @@ def nearest_concept(terms: DataFrame, concepts: DataFrame) -> DataFrame:
     keyed = terms.select("term", normalise(F.col("term")).alias("_t")).where("_t != ''").distinct()
     names = concepts.select("rxcui", normalise(F.col("name")).alias("_n")).groupBy("_n").agg(
         F.min("rxcui").alias("rxcui"))
-    wanted = keyed.select("_t").distinct().select("_t", F.explode(_deletions(F.col("_t"))).alias("_k"))
+    wanted = keyed.select("term", "_t", F.explode(_deletions(F.col("_t"))).alias("_k"))
     offered = names.select("_n", "rxcui", F.explode(_deletions(F.col("_n"))).alias("_k"))
-    distance = F.levenshtein("_t", "_n", 1)
-    best = (
+    return (
         wanted.join(offered, "_k")
-        .withColumn("distance", distance)
-        .where(F.col("distance") >= 0)
-        .groupBy("_t")
+        .select("term", F.levenshtein("_t", "_n", 1).alias("distance"), "rxcui")
+        .where("distance >= 0")
+        .groupBy("term")
         .agg(F.min(F.struct("distance", "rxcui")).alias("_best"))
+        .select("term", "_best.rxcui", "_best.distance")
     )
-    return keyed.join(best, "_t").select("term", F.col("_best.rxcui").alias("rxcui"), F.col("_best.distance").alias("distance"))
 
 
 # ---- answers to rows -------------------------------------------------------------
@@ -274,18 +274,18 @@ def vocabulary_resolver(
     """Resolver from terms to classes over the stored answers.
 
     Per entity: nearest concept, its ingredients (or those of its history), the
-    classes of each ingredient in order, duplicates kept; null if there is none.
-    The array of an entity holds the classes of one concept, as the mapping
-    table's schema asks for.
+    classes of each ingredient in order, duplicates kept. Entities without a
+    class are absent. The array of an entity holds the classes of one concept,
+    as the mapping table's schema asks for.
+
+    The concept of each entity is stored: the chain reads it three times.
     """
     def resolve(entities: DataFrame) -> DataFrame:
-        terms = entities.select(F.col("entity").alias("term"))
-        matched = nearest_concept(terms, concepts)
+        matched = materialise(nearest_concept(entities.select(F.col("entity").alias("term")), concepts), "concepts")
         rows = classes_of_concepts(matched.select("rxcui"), related, history, classes)
         listed = rows.groupBy("rxcui").agg(
             F.array_sort(F.collect_list(F.struct("position", "atc"))).alias("_l"))
         codes = listed.select("rxcui", F.transform("_l", lambda x: x["atc"]).alias("atc_code"))
-        found = matched.join(codes, "rxcui").select(F.col("term").alias("entity"), "atc_code")
-        return entities.join(found, "entity", "left")
+        return matched.join(codes, "rxcui").select(F.col("term").alias("entity"), "atc_code")
 
     return resolve

@@ -11,6 +11,7 @@ from quarterlode.operators.entities import Extractor, attach_coded_entities, dru
 from quarterlode.operators.mapping import Resolver, cascade, unmapped_entities, upsert
 from quarterlode.operators.meddra import code_terms
 from quarterlode.schemas import ENTITY_MAP_SCHEMA
+from quarterlode.session import materialise
 from quarterlode.sources.tables import read_version, refresh_table, write_version
 
 PARTITIONED = ("drug", "reac", "indi")
@@ -32,8 +33,11 @@ def silver_drug(drug: DataFrame, deleted: DataFrame, entities: DataFrame, mappin
 
 
 def entity_table(drug: DataFrame, extract: Extractor) -> DataFrame:
-    """``drugname, prod_ai, term, entity`` of a drug table."""
-    return drug_entities(drug_terms(drug), extract)
+    """``drugname, prod_ai, term, entity`` of a drug table.
+
+    The distinct name pairs are stored, so that the drug rows are read once.
+    """
+    return drug_entities(materialise(drug_terms(drug), "terms"), extract)
 
 
 def map_new_entities(

@@ -10,21 +10,18 @@ from pyspark.sql import types as T
 _MISSING = {"PATH_NOT_FOUND", "TABLE_OR_VIEW_NOT_FOUND"}
 
 
-def _schema(spark: SparkSession, schema: T.StructType | str) -> T.StructType:
-    return spark.createDataFrame([], schema).schema
-
-
 def read_or_empty(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
     """A Parquet table, or an empty frame of its schema if it does not exist yet.
 
     Any other error is raised.
     """
+    empty = spark.createDataFrame([], schema)
     try:
-        return spark.read.schema(schema).parquet(path)
+        return spark.read.schema(schema).parquet(path).select(*empty.columns)
     except AnalysisException as e:
         if e.getCondition() not in _MISSING:
             raise
-        return spark.createDataFrame([], schema)
+        return empty
 
 
 def load_periods(df: DataFrame, path: str) -> None:
