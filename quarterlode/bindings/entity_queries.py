@@ -147,10 +147,15 @@ def vocab_history_ingredients(spark, d):
                    UNION SELECT CASE p_size%3 WHEN 0 THEN string_split(p_name,' ')[2] || 's'
                        WHEN 1 THEN ' ' || upper(string_split(p_name,' ')[2]) ELSE substr(string_split(p_name,' ')[2], 2) END FROM part),
          plain AS (SELECT term, trim(regexp_replace(lower(term), '{SPACES}', ' ', 'g')) AS t FROM words),
-         scored AS (SELECT term, rxcui, levenshtein(t, name) AS distance FROM plain JOIN concepts
-                    ON abs(length(t) - length(name)) <= 1 WHERE t <> '')
+         one_off AS (SELECT term, rxcui, t = name AS same,
+                (SELECT bool_or(left(t, i-1) = left(name, i-1)
+                        AND substr(t, CASE WHEN length(t) >= length(name) THEN i+1 ELSE i END)
+                          = substr(name, CASE WHEN length(name) >= length(t) THEN i+1 ELSE i END))
+                 FROM range(1, 50) r(i)) AS near
+                FROM plain JOIN concepts ON abs(length(t) - length(name)) <= 1 WHERE t <> ''),
+         scored AS (SELECT term, rxcui, CASE WHEN same THEN 0 ELSE 1 END AS distance FROM one_off WHERE same OR near)
     SELECT term, arg_min(rxcui, (distance, rxcui)) AS rxcui, CAST(min(distance) AS INT) AS distance
-    FROM scored WHERE distance <= 1 GROUP BY term""")
+    FROM scored GROUP BY term""")
 def approx_term_top1(spark, d):
     words = V.table(spark, d, "documents").select(F.explode(F.split("text", " ")).alias("term"))
     size, noun = F.col("p_size") % 3, V.noun()
@@ -169,13 +174,18 @@ def resolve_atc(spark, d):
 
 
 @query("resolve_join_back", """
-    SELECT f.primaryid, f.drug_seq, lower(f.drugname) AS entity, r.codes
+    SELECT f.primaryid, f.drug_seq, lower(string_split(f.drugname, ' ')[2]) AS entity, string_split(r.codes, ',')[1] AS first_code,
+           len(string_split(r.codes, ','))::INT AS n_codes
     FROM drug f LEFT JOIN (SELECT entity, codes FROM resolved) r
-    ON r.entity = lower(f.drugname)""")
+    ON r.entity = lower(string_split(f.drugname, ' ')[2])""")
 def resolve_join_back(spark, d):
-    named = V.drug(spark, d).select("primaryid", "drug_seq", F.lower("drugname").alias("entity"))
+    noun = F.lower(V.noun("drugname"))
+    named = V.drug(spark, d).select("primaryid", "drug_seq", noun.alias("entity"))
     found = M.resolve_and_join_back(named, "entity", _resolver(spark, d))
-    return found.select("primaryid", "drug_seq", "entity", V.codes_text(F.col("atc_code")).alias("codes"))
+    codes = F.col("atc_code")
+    return found.select(
+        "primaryid", "drug_seq", "entity", F.get(codes, F.lit(0))["id"].alias("first_code"),
+        F.when(codes.isNotNull(), F.size(codes)).alias("n_codes"))
 
 
 @query("unmapped_entities", "SELECT entity FROM entities WHERE entity NOT IN (SELECT entity FROM old_map)")
@@ -209,7 +219,8 @@ def unresolved_entities(spark, d):
 
 
 @query("silver_drug", f"""
-    SELECT f.*, e.term, e.entity, m.codes, m.strategy, m.processing_time AS mapping_time
+    SELECT f.*, e.term, e.entity, string_split(m.codes, ',')[1] AS first_code,
+           len(string_split(m.codes, ','))::INT AS n_codes, m.strategy, m.processing_time AS mapping_time
     FROM drug f
     LEFT JOIN term_entities e ON lower(f.drugname) IS NOT DISTINCT FROM e.drugname
          AND lower(f.prod_ai) IS NOT DISTINCT FROM e.prod_ai
@@ -217,7 +228,11 @@ def unresolved_entities(spark, d):
     WHERE NOT EXISTS (SELECT 1 FROM gone g WHERE g.caseid = f.caseid)""")
 def silver_drug_query(spark, d):
     coded = silver_drug(V.drug(spark, d), V.deleted(spark, d), _entities(spark, d), _cascade(spark, d)[0])
-    return coded.withColumn("codes", V.codes_text(F.col("atc_code"))).drop("atc_code")
+    codes = F.col("atc_code")
+    return coded.withColumns({
+        "first_code": F.get(codes, F.lit(0))["id"],
+        "n_codes": F.when(codes.isNotNull(), F.size(codes)),
+    }).drop("atc_code")
 
 
 def _customer_map(spark, d, rows, tag, time):

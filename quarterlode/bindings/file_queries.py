@@ -25,7 +25,7 @@ PARSED_SQL = f"SELECT {', '.join(PARSED)} FROM parsed_demo"
 
 
 def _repaired(spark, d):
-    return R.repair_files(V.raw_lines(spark, d), R.known_repairs(spark))
+    return R.repair_files(V.raw_lines(spark, d))
 
 
 def _zip_batches(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

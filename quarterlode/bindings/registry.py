@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from quarterlode.bindings.view_sql import with_views
+from quarterlode.session import tune
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -19,7 +20,7 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     def add(fn: Query) -> Query:
         if name in QUERIES:
             raise ValueError(f"query {name} is registered twice")
-        QUERIES[name] = fn
+        QUERIES[name] = lambda spark, sf_dir: fn(tune(spark), sf_dir)
         if sql is not None:
             ORACLES[name] = with_views(sql)
         return fn

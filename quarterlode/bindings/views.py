@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from quarterlode.functions.periods import format_period, is_current_era
 from quarterlode.operators.mapping import atc_struct
+from quarterlode.sources.tables import fixed_table
 
 RUN_TIME = 1_700_000_000
 YEARS_LATER = 12
@@ -99,16 +100,18 @@ def deleted(spark, d):
 
 
 def preferred_terms(spark):
-    return spark.createDataFrame(
+    return fixed_table(
+        spark,
         [("click", 1001, 10, [1, 2], [9]), ("view", 1002, 10, [1], None), ("purchase", 1003, 11, None, None)],
-        "pt string, pt_code bigint, pt_soc_code bigint, nnmq_codes array<bigint>, smq_codes array<bigint>")
+        "pt:string,pt_code:bigint,pt_soc_code:bigint,nnmq_codes:array<bigint>,smq_codes:array<bigint>")
 
 
 def former_terms(spark):
-    return spark.createDataFrame(
+    return fixed_table(
+        spark,
         [("error", 5001, 1002, 10, [3], [8])],
-        "llt_name string, llt_code bigint, pt_code bigint, pt_soc_code bigint, "
-        "nnmq_codes array<bigint>, smq_codes array<bigint>")
+        "llt_name:string,llt_code:bigint,pt_code:bigint,pt_soc_code:bigint,"
+        "nnmq_codes:array<bigint>,smq_codes:array<bigint>")
 
 
 # ---- raw files -----------------------------------------------------------------------

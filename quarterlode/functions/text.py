@@ -44,12 +44,21 @@ def space_out(text: Column) -> Column:
 
 
 def drop_bad_bytes(content: Column) -> Column:
-    """Decode UTF-8 bytes, leaving out each byte that belongs to no valid character."""
-    as_text = content.cast("string")
+    """Decode UTF-8 bytes, leaving out each byte that belongs to no valid character.
+
+    Spark marks bad bytes with U+FFFD, which is then removed. Only a text that
+    holds this character itself needs the slower pattern over single bytes.
+    """
+    text = content.cast("string")
+    marked = F.replace(F.make_valid_utf8(text), F.lit("\uFFFD"), F.lit(""))
     byte_chars = F.decode(content, "ISO-8859-1")
     kept = F.regexp_replace(byte_chars, f"(?s)({WELL_FORMED_UTF8})|.", "$1")
     repaired = F.encode(kept, "ISO-8859-1").cast("string")
-    return F.when(F.is_valid_utf8(as_text), as_text).otherwise(repaired)
+    return (
+        F.when(F.is_valid_utf8(text), text)
+        .when(~F.contains(text, F.lit("\uFFFD")), marked)
+        .otherwise(repaired)
+    )
 
 
 def base_name(path: Column) -> Column:

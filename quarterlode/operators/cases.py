@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarterlode.operators.lookup import join_on_key
+from quarterlode.operators.lookup import is_small, join_on_key
 
 
 def deleted_ids(deleted: DataFrame) -> DataFrame:
@@ -14,8 +14,14 @@ def deleted_ids(deleted: DataFrame) -> DataFrame:
 
 
 def remove_deleted(fact: DataFrame, deleted: DataFrame, small: bool | None = None) -> DataFrame:
-    """Rows of cases that were not withdrawn; rows without a case id stay."""
-    return join_on_key(fact, deleted_ids(deleted), "caseid", "left_anti", small=small)
+    """Rows of cases that were not withdrawn; rows without a case id stay.
+
+    The list is measured as stored, repeats included. A small one is broadcast
+    as it is, since repeats change nothing; only a long one is made distinct.
+    """
+    listed = deleted.select("caseid").where(F.col("caseid").isNotNull())
+    small = is_small(listed) if small is None else small
+    return join_on_key(fact, listed if small else listed.distinct(), "caseid", "left_anti", small=small)
 
 
 def removal_audit(facts: dict[str, DataFrame], deleted: DataFrame) -> DataFrame:
@@ -32,7 +38,7 @@ def removal_audit(facts: dict[str, DataFrame], deleted: DataFrame) -> DataFrame:
         per_case = counts if per_case is None else per_case.unionByName(counts)
     removed = F.coalesce(F.sum(F.when(F.col("_gone"), F.col("n"))), F.lit(0))
     return (
-        join_on_key(per_case, ids, "caseid", "left", small=None)
+        join_on_key(per_case, ids, "caseid", "left", small=is_small(deleted.select("caseid")))
         .groupBy("table_name")
         .agg(
             F.sum("n").alias("n_before"),

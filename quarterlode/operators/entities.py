@@ -25,19 +25,15 @@ def drug_terms(drug: DataFrame) -> DataFrame:
     return pairs.withColumn("term", F.coalesce(space_out(F.col("prod_ai")), space_out(F.col("drugname"))))
 
 
-def word_runs(words: Column, longest: int) -> Column:
-    """Distinct runs of 1 to ``longest`` consecutive words of a word array.
+def word_runs(text: Column, longest: int) -> Column:
+    """Distinct runs of 1 to ``longest`` consecutive words of a text with single blanks.
 
-    ``words`` must be a column of the frame, not an expression: it is read once
-    per run.
+    One pattern pass per length; the lookahead lets runs overlap.
     """
     def of(n: int) -> Column:
-        starts = F.sequence(F.lit(1), F.size(words) - (n - 1))
-        runs = F.transform(starts, lambda i: F.array_join(F.slice(words, i, n), " "))
-        return F.when(F.size(words) >= n, runs).otherwise(F.array().cast("array<string>"))
+        return F.regexp_extract_all(text, F.lit(rf"(?<![^ ])(?=([^ ]++(?: [^ ]++){{{n - 1}}}))"), F.lit(1))
 
-    runs = [of(n) for n in range(1, longest + 1)]
-    return F.array_distinct(F.concat(*runs))
+    return F.array_distinct(F.concat(*[of(n) for n in range(1, longest + 1)]))
 
 
 def entities_by_key(df: DataFrame, key: str, text: str, vocabulary: DataFrame, longest: int = 3) -> DataFrame:
@@ -51,8 +47,8 @@ def entities_by_key(df: DataFrame, key: str, text: str, vocabulary: DataFrame, l
     Only the runs that are entries move between tasks, under their key.
     """
     texts = df.select(key, text)
-    words = texts.select(key, F.split(collapse_spaces(F.col(text)), " ").alias("_words"))
-    runs = words.select(key, F.explode(word_runs(F.col("_words"), longest)).alias("entity")).where("entity != ''")
+    clean = texts.select(key, collapse_spaces(F.col(text)).alias("_clean"))
+    runs = clean.select(key, F.explode(word_runs(F.col("_clean"), longest)).alias("entity"))
     entries = vocabulary.select("entity").where(F.col("entity").isNotNull()).distinct()
     if is_small(entries):
         entries = F.broadcast(entries)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from quarterlode.functions.text import table_of
 from quarterlode.operators.lookup import is_small
 from quarterlode.schemas import ADDS, DROPS, RENAMES, TABLES
+from quarterlode.sources.tables import fixed_table
 
 # ---- fixed values: the defects known from the published files ----------------
 
@@ -41,12 +42,12 @@ LINE_REPAIRS = (
     ("outc12q4.txt", 0, "$outc_code", "$outc_cod"),
 )
 
-REPAIR_SCHEMA = "file string, line_no bigint, old string, new string"
+REPAIR_SCHEMA = "file:string,line_no:bigint,old:string,new:string"
 
 
 def known_repairs(spark: SparkSession) -> DataFrame:
     """The known line repairs as a table."""
-    return spark.createDataFrame(LINE_REPAIRS, REPAIR_SCHEMA)
+    return fixed_table(spark, LINE_REPAIRS, REPAIR_SCHEMA)
 
 
 def rename_files(file: Column, renames: Mapping[str, str] = FILE_RENAMES) -> Column:
@@ -68,14 +69,16 @@ def _apply(text: Column) -> Column:
     return F.when(F.col("_fixes").isNotNull(), fixed).otherwise(text)
 
 
+def _side(fixes: DataFrame, repairs: DataFrame, small: bool | None) -> DataFrame:
+    return F.broadcast(fixes) if small or (small is None and is_small(repairs)) else fixes
+
+
 def repair_lines(lines: DataFrame, repairs: DataFrame, small: bool | None = None) -> DataFrame:
     """Literal replacements at ``(file, line_no)``; a newline in the new text splits the line.
 
     The added column ``part`` numbers the pieces of a line.
     """
-    fixes = _fixes(repairs, "file", "line_no")
-    if small or (small is None and is_small(repairs)):
-        fixes = F.broadcast(fixes)
+    fixes = _side(_fixes(repairs, "file", "line_no"), repairs, small)
     repaired = lines.join(fixes, ["file", "line_no"], "left").withColumn("line", _apply(F.col("line")))
     return repaired.select(
         *[c for c in lines.columns if c != "line"],
@@ -83,21 +86,26 @@ def repair_lines(lines: DataFrame, repairs: DataFrame, small: bool | None = None
     )
 
 
-def repair_headers(lines: DataFrame, repairs: DataFrame) -> DataFrame:
-    """Apply the repairs of line 0 to the header that travels with every line.
-
-    ``repairs`` is a fixed table of at most one header repair list per file.
-    """
-    fixes = _fixes(repairs.where("line_no = 0"), "file")
-    if is_small(repairs):
-        fixes = F.broadcast(fixes)
+def repair_headers(lines: DataFrame, repairs: DataFrame, small: bool | None = None) -> DataFrame:
+    """Apply the repairs of line 0 to the header that travels with every line."""
+    fixes = _side(_fixes(repairs.where("line_no = 0"), "file"), repairs, small)
     return lines.join(fixes, "file", "left").withColumn("header", _apply(F.col("header"))).drop("_fixes")
 
 
-def repair_files(lines: DataFrame, repairs: DataFrame, renames: Mapping[str, str] = FILE_RENAMES) -> DataFrame:
-    """The file part of the repair step, on the lines of any number of files."""
+def repair_files(
+    lines: DataFrame,
+    repairs: DataFrame | None = None,
+    renames: Mapping[str, str] = FILE_RENAMES,
+) -> DataFrame:
+    """The file part of the repair step, on the lines of any number of files.
+
+    Without ``repairs`` the known ones apply, whose number is fixed.
+    """
+    small = True if repairs is None else is_small(repairs)
+    if repairs is None:
+        repairs = known_repairs(lines.sparkSession)
     named = lines.withColumn("file", rename_files(F.col("file"), renames))
-    return repair_lines(repair_headers(named, repairs), repairs)
+    return repair_lines(repair_headers(named, repairs, small), repairs, small)
 
 
 def correction_audit(

@@ -21,7 +21,7 @@ _QUOTED_FIELD = r'(?<=^|\$)(?:"(?:[^"]++|"")*+"[^$]*|[^$]*)'
 
 
 def split_fields(line: Column) -> Column:
-    """Fields of a delimited line; quotes are looked at only in lines that hold one."""
+    """Fields of a delimited line, empty ones null; quotes are looked at only in lines that hold one."""
     plain = F.split(line, r"\$")
     quoted = F.transform(
         F.regexp_extract_all(line, F.lit(_QUOTED_FIELD), F.lit(0)),
@@ -30,7 +30,8 @@ def split_fields(line: Column) -> Column:
             F.replace(F.regexp_replace(f, r'(?s)^"((?:[^"]++|"")*+)"', "$1"), F.lit('""'), F.lit('"')),
         ).otherwise(f),
     )
-    return F.when(F.contains(line, F.lit('"')), quoted).otherwise(plain)
+    fields = F.when(F.contains(line, F.lit('"')), quoted).otherwise(plain)
+    return F.transform(fields, lambda f: F.when(f != "", f))
 
 
 def header_tokens(header: Column) -> Column:
@@ -39,8 +40,7 @@ def header_tokens(header: Column) -> Column:
 
 
 def _field(name: str) -> Column:
-    at = F.array_position("_tokens", F.lit(name)).cast("int") - 1
-    return F.nullif(F.get("_fields", at), F.lit(""))
+    return F.get("_fields", F.array_position("_tokens", F.lit(name)).cast("int") - 1)
 
 
 def data_lines(lines: DataFrame, table: str) -> DataFrame:
@@ -66,26 +66,22 @@ def rescued(table: str) -> Column:
     known = {"", *schema_of(table).names, *RENAMES.get(table, {}), *DROPS.get(table, ())}
     unknown = F.array_distinct(F.filter("_tokens", lambda t: ~t.isin(*known)))
     at = F.transform(unknown, lambda t: F.get("_fields", F.array_position("_tokens", t).cast("int") - 1))
-    kept = F.map_filter(F.map_from_arrays(unknown, at), lambda _, v: v.isNotNull() & (v != ""))
+    kept = F.map_filter(F.map_from_arrays(unknown, at), lambda _, v: v.isNotNull())
     return F.when(F.size(kept) > 0, kept)
 
 
-def typed_columns(table: str, processing_time: int) -> list[Column]:
-    """Columns of the table's schema over the split lines of :func:`data_lines`."""
+def text_columns(table: str) -> list[Column]:
+    """Columns of the table's schema over the split lines of :func:`data_lines`, still as text.
+
+    A column comes from the name of its own or, failing that, from an older one.
+    """
     older: dict[str, list[str]] = {}
     for old, new in RENAMES.get(table, {}).items():
         older.setdefault(new, []).append(old)
-    columns = []
-    for f in schema_of(table).fields:
-        if f.name in METADATA:
-            continue
-        names = [f.name, *older.get(f.name, ())]
-        value = _field(names[0]) if len(names) == 1 else F.coalesce(*map(_field, names))
-        columns.append(lenient(value, f.dataType).alias(f.name))
     return [
-        *columns,
-        F.lit(processing_time).cast("bigint").alias("processing_time"),
-        period_of_file(F.col("file")).alias("period"),
+        F.coalesce(*map(_field, (name, *older.get(name, ())))).alias(name)
+        for name in schema_of(table).names
+        if name not in METADATA
     ]
 
 
@@ -95,10 +91,20 @@ def parse_table(lines: DataFrame, table: str, processing_time: int, keep_rescued
     Both eras, any column order and surplus trailing fields are handled per
     line by its header; batch or stream.
     """
-    rows = data_lines(lines, table)
-    if keep_rescued:
-        return rows.select(*typed_columns(table, processing_time), rescued(table).alias(RESCUED))
-    return check_schema(rows.select(*typed_columns(table, processing_time)), table)
+    extra = [rescued(table).alias(RESCUED)] if keep_rescued else []
+    text = data_lines(lines, table).select(
+        *text_columns(table),
+        F.lit(processing_time).cast("bigint").alias("processing_time"),
+        period_of_file(F.col("file")).alias("period"),
+        *extra,
+    )
+    schema = schema_of(table)
+    rows = text.select(
+        *[F.col(f.name) if f.name in METADATA else lenient(F.col(f.name), f.dataType).alias(f.name)
+          for f in schema.fields],
+        *[RESCUED for _ in extra],
+    )
+    return rows if keep_rescued else check_schema(rows, table)
 
 
 def read_corrected(spark: SparkSession, path: str | Sequence[str], table: str) -> DataFrame:

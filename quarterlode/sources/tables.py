@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,6 +12,12 @@ from pyspark.sql import types as T
 _MISSING = {"PATH_NOT_FOUND", "TABLE_OR_VIEW_NOT_FOUND"}
 
 
+def fixed_table(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame:
+    """A small table of literals, kept inside the JVM."""
+    literals = F.array(*[F.struct(*map(F.lit, row)) for row in rows])
+    return spark.range(0, 1, 1, 1).select(F.inline(literals.cast(f"array<struct<{schema}>>")))
+
+
 def read_or_empty(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
     """A Parquet table, or an empty frame of its schema if it does not exist yet.
 

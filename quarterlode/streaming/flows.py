@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 from quarterlode.operators.conform import ingest
 from quarterlode.operators.entities import drug_terms
-from quarterlode.operators.repairs import known_repairs, repair_files
+from quarterlode.operators.repairs import repair_files
 from quarterlode.schemas import DELETED_SCHEMA, TABLES
 from quarterlode.sources.archives import BINARY_SCHEMA, read_lines
 from quarterlode.sources.delimited import parse_table
@@ -51,8 +51,6 @@ def arrivals(spark: SparkSession, folder: str, prefix: str = "", suffix: str = "
 
 def raw_rows(files: DataFrame, table: str, processing_time: int, repairs: DataFrame | None = None) -> DataFrame:
     """Typed rows of one table from raw files or archives, stream or batch."""
-    if repairs is None:
-        repairs = known_repairs(files.sparkSession)
     lines = repair_files(read_lines(files, (table,)), repairs)
     return parse_table(lines, table, processing_time)
 
