@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarterlode.functions.text import collapse_spaces
+from quarterlode.operators.lookup import sized_broadcast
 from quarterlode.operators.mapping import Resolver, atc_struct
 from quarterlode.session import materialise
 
@@ -71,11 +72,11 @@ def nearest_concept(terms: DataFrame, concepts: DataFrame) -> DataFrame:
     The equality join on those finds every pair without comparing all of them,
     and the number of names that share one is bounded by the alphabet.
     """
-    keyed = terms.select("term", normalise(F.col("term")).alias("_t")).where("_t != ''").distinct()
+    keyed = terms.select("term", normalise(F.col("term")).alias("_t")).where("_t != ''")
     names = concepts.select("rxcui", normalise(F.col("name")).alias("_n")).groupBy("_n").agg(
         F.min("rxcui").alias("rxcui"))
     wanted = keyed.select("term", "_t", F.explode(_deletions(F.col("_t"))).alias("_k"))
-    offered = names.select("_n", "rxcui", F.explode(_deletions(F.col("_n"))).alias("_k"))
+    offered = sized_broadcast(names.select("_n", "rxcui", F.explode(_deletions(F.col("_n"))).alias("_k")))
     return (
         wanted.join(offered, "_k")
         .select("term", F.levenshtein("_t", "_n", 1).alias("distance"), "rxcui")
