@@ -10,18 +10,28 @@ from pyspark.sql import types as T
 NULL_TEXTS = ("None", "nan")
 
 
-def to_double(value: Column) -> Column:
+# What counts as a number. Texts are tested before they are cast, since a failed
+# cast costs an exception per value.
+WHOLE = r"^\s*[+-]?\d{1,18}\s*$"
+NUMBER = r"(?i)^\s*[+-]?(?:(?:\d+\.?\d*|\.\d+)(?:e[+-]?\d+)?|inf(?:inity)?)\s*$"
+
+
+def to_double(text: Column) -> Column:
     """Number or null; never an error, and never NaN."""
-    number = value.try_cast("double")
-    return F.when(~F.isnan(number), number)
+    return F.when(text.rlike(NUMBER), text.try_cast("double"))
 
 
-def to_long(value: Column) -> Column:
-    """Whole number, rounded half to even from any numeric text, or null."""
-    number = to_double(value)
-    # Identifiers above 2^53 do not survive the detour over double.
-    return F.coalesce(value.try_cast("string").try_cast("bigint"),
-                      F.bround(number, 0).try_cast("bigint"))
+def to_long(text: Column) -> Column:
+    """Whole number, rounded half to even from any numeric text, or null.
+
+    Plain digits do not take the detour over double, which would blur
+    identifiers above 2^53.
+    """
+    return (
+        F.when(text.rlike(WHOLE), text.try_cast("bigint"))
+        .when(text.rlike(NUMBER), F.coalesce(
+            text.try_cast("bigint"), F.bround(text.try_cast("double"), 0).try_cast("bigint")))
+    )
 
 
 def to_text(value: Column) -> Column:
@@ -35,12 +45,23 @@ def null_sentinels(value: Column) -> Column:
     return F.when(~value.isin(*NULL_TEXTS), value)
 
 
-def lenient(value: Column, to: T.DataType) -> Column:
-    """Cast by target type with the matching rule above."""
+def lenient(value: Column, to: T.DataType, source: T.DataType | None = None) -> Column:
+    """Cast by target type with the matching rule above.
+
+    ``source`` is the type of the value, text if not given.
+    """
+    source = source or T.StringType()
+    if isinstance(to, T.StringType):
+        return to_text(value)
+    if not isinstance(source, T.StringType):
+        if source == to and not isinstance(to, T.DoubleType):
+            return value
+        number = F.when(~F.isnan(value), value) if isinstance(source, (T.DoubleType, T.FloatType)) else value
+        if isinstance(to, T.LongType) and isinstance(source, (T.DoubleType, T.FloatType, T.DecimalType)):
+            number = F.bround(number, 0)
+        return number.try_cast(to)
     if isinstance(to, T.LongType):
         return to_long(value)
     if isinstance(to, T.DoubleType):
         return to_double(value)
-    if isinstance(to, T.StringType):
-        return to_text(value)
-    return value.cast(to)
+    return value.try_cast(to)

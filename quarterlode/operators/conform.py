@@ -45,8 +45,9 @@ def add_missing_columns(df: DataFrame, table: str) -> DataFrame:
 def cast_columns(df: DataFrame) -> DataFrame:
     """Cast every known column leniently; unknown columns pass through."""
     return df.select(*[
-        F.col(c) if type_of(c) is None else lenient(F.col(c), type_of(c)).alias(c)
-        for c in df.columns
+        F.col(f.name) if type_of(f.name) is None
+        else lenient(F.col(f.name), type_of(f.name), f.dataType).alias(f.name)
+        for f in df.schema.fields
     ])
 
 
@@ -109,7 +110,7 @@ def schema_report(df: DataFrame, expected: T.StructType) -> DataFrame:
 
     def unfit(name: str):
         value = F.col(name)
-        lost = value.isNotNull() & lenient(value, types[name]).isNull()
+        lost = value.isNotNull() & lenient(value, types[name], df.schema[name].dataType).isNull()
         return F.count_if(lost).alias(name)
 
     counted = df.agg(F.count(F.lit(1)).alias("_rows"), *[unfit(c) for c in wrong])
