@@ -72,7 +72,7 @@ def entities_csv(spark, d):
     UNION ALL SELECT ' ', NULL, ' ', NULL""")
 def entity_explode(spark, d):
     names = V.drug(spark, d).select("drugname", "prod_ai")
-    blank = V.drug(spark, d).where("drug_seq = 1").select(F.lit(" ").alias("drugname"), F.lit(None).cast("string").alias("prod_ai"))
+    blank = V.table(spark, d, "supplier").select(F.lit(" ").alias("drugname"), F.lit(None).cast("string").alias("prod_ai"))
     return entity_table(names.unionByName(blank), _extract(spark, d))
 
 

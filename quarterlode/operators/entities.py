@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable, Iterator
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -28,9 +29,13 @@ def drug_terms(drug: DataFrame) -> DataFrame:
 def word_runs(text: Column, longest: int) -> Column:
     """Distinct runs of 1 to ``longest`` consecutive words of a text with single blanks.
 
-    One pattern pass per length; the lookahead lets runs overlap.
+    One pattern pass per length; the lookahead lets runs overlap. Explode the
+    result as it is: exploding a column that holds it makes Spark evaluate it
+    once more for an inferred filter.
     """
     def of(n: int) -> Column:
+        if n == 1:
+            return F.filter(F.split(text, " "), lambda w: w != "")
         return F.regexp_extract_all(text, F.lit(rf"(?<![^ ])(?=([^ ]++(?: [^ ]++){{{n - 1}}}))"), F.lit(1))
 
     return F.array_distinct(F.concat(*[of(n) for n in range(1, longest + 1)]))
@@ -69,6 +74,26 @@ def match_entities(terms: DataFrame, vocabulary: DataFrame, longest: int = 3) ->
     return entities_by_key(keyed, "_key", "term", vocabulary, longest).select("term", "entities")
 
 
+def model_extractor(load: Callable[[], Callable[[str], Iterable[str]]]) -> Extractor:
+    """Extractor around a caller's model, which each task loads once.
+
+    ``load`` gives a function from a text to its entities. Same rules as for the
+    vocabulary: unique, sorted, and the trimmed text itself where none is found.
+    """
+    def find(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        model = load()
+        for texts in batches:
+            yield texts.map(lambda t: sorted(set(model(t))) or [t.strip()])
+
+    find_udf = F.pandas_udf(find, "array<string>")
+
+    def extract(terms: DataFrame) -> DataFrame:
+        named = terms.select("term").where(~is_blank(F.col("term"))).distinct()
+        return named.withColumn("entities", find_udf("term"))
+
+    return extract
+
+
 def drug_entities(terms: DataFrame, extract: Extractor) -> DataFrame:
     """One row per name pair and entity; a pair without a term keeps one null entity.
 

@@ -14,14 +14,15 @@ MAX_BYTES = 64 * 1024 * 1024
 NULL_BUCKETS = 128
 
 
-def is_small(df: DataFrame, max_rows: int = MAX_ROWS, max_bytes: int = MAX_BYTES) -> bool:
-    """Measure a frame with one distributed aggregate."""
+def is_small(df: DataFrame, max_rows: int | None = None, max_bytes: int | None = None) -> bool:
+    """Measure a frame with one distributed aggregate against the bounds (those above by default)."""
     width = F.octet_length(F.to_json(F.struct("*")))
     rows, size = df.agg(F.count(F.lit(1)), F.sum(width)).first()
-    return rows <= max_rows and (size or 0) <= max_bytes
+    rows_ok = rows <= (MAX_ROWS if max_rows is None else max_rows)
+    return rows_ok and (size or 0) <= (MAX_BYTES if max_bytes is None else max_bytes)
 
 
-def sized_broadcast(df: DataFrame, max_rows: int = MAX_ROWS, max_bytes: int = MAX_BYTES) -> DataFrame:
+def sized_broadcast(df: DataFrame, max_rows: int | None = None, max_bytes: int | None = None) -> DataFrame:
     """Mark a stored lookup for broadcast if it is within the bounds.
 
     Beyond them the frame comes back unmarked: the join then shuffles by key,

@@ -68,8 +68,7 @@ def answers_resolver(answers: DataFrame, ask: Callable[[Column], Column] = promp
 
 def unmapped_entities(entities: DataFrame, mapping: DataFrame) -> DataFrame:
     """Distinct entities that a mapping does not hold yet."""
-    return entities.select("entity").distinct().join(
-        mapping.select("entity").distinct(), "entity", "left_anti")
+    return entities.select("entity").distinct().join(mapping.select("entity"), "entity", "left_anti")
 
 
 def cascade(
@@ -111,7 +110,7 @@ def upsert(target: DataFrame, source: DataFrame, key: str = "entity", latest: st
         .agg(F.max_by(F.struct(*rest), F.struct(latest, *[c for c in rest if c != latest])).alias("_row"))
         .select(key, *[F.col(f"_row.{c}").alias(c) for c in rest])
     )
-    return target.join(source.select(key).distinct(), key, "left_anti").unionByName(newest)
+    return target.join(source.select(key), key, "left_anti").unionByName(newest)
 
 
 def keyed_bucket(key: Column, buckets: int) -> Column:

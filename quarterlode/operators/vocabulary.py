@@ -249,11 +249,11 @@ def classes_of_concepts(ids: DataFrame, related: DataFrame, history: DataFrame,
     without a current ingredient fall back to their history.
     Returns ``rxcui, ingredient_rxcui, atc, position``.
     """
-    wanted = ids.select("rxcui").distinct()
+    wanted = ids.select("rxcui")
     relations = related_concepts(related)
     current = relations.join(wanted, "rxcui", "left_semi")
     retired = history.join(wanted, "rxcui", "left_semi").join(
-        current.select("rxcui").distinct(), "rxcui", "left_anti")
+        current.select("rxcui"), "rxcui", "left_anti")
     older = ingredients_from_history(retired, relations)
     at = older.schema["position"].dataType
 

@@ -137,3 +137,12 @@ def test_drug_rows_with_entities_and_codes(spark, rows):
     out = silver_drug(drug, deleted, table, mapping)
     assert rows(out, "primaryid", "entity", F.col("atc_code")[0]["id"], "strategy", "mapping_time") == [
         (1, "acid", "C1", "s", 5), (2, "acid", "C1", "s", 5), (3, None, None, None, None), (4, None, None, None, None)]
+
+
+def test_model_hook(spark, rows):
+    def load():
+        return lambda text: [w for w in text.split() if w.isupper()]
+
+    terms = spark.createDataFrame([("x B A B",), ("x B A B",), (" none ",), (" ",), (None,)], "term string")
+    found = E.model_extractor(load)(terms)
+    assert rows(found) == sorted([("x B A B", ["A", "B"]), (" none ", ["none"])], key=str)

@@ -36,3 +36,22 @@ def test_query_without_sql(spark, name):
 
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
+
+
+@pytest.mark.parametrize("name", [
+    "anti_deleted_reac", "removal_audit", "meddra_reac", "silver_indi", "line_repairs", "nullsafe_ci_join",
+    "entity_match", "approx_term_top1"])
+def test_query_without_any_broadcast(spark, con, name, monkeypatch):
+    """The same rows when every lookup is beyond its bound and no join is broadcast."""
+    monkeypatch.setattr("quarterlode.operators.lookup.MAX_ROWS", -1)
+    off = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    for key in off:
+        spark.conf.set(key, "-1")
+    try:
+        assert difference(spark, con, QUERIES[name], ORACLES[name], SF_DIR) is None
+        if name == "meddra_reac":
+            plan = QUERIES[name](spark, SF_DIR)._jdf.queryExecution().toString()
+            assert "SortMergeJoin" in plan and "Broadcast" not in plan
+    finally:
+        for key in off:
+            spark.conf.unset(key)
