@@ -7,6 +7,7 @@ one page of it) per row. Ids are text.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import cache
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -242,15 +243,14 @@ def ingredients_from_history(history: DataFrame, related: DataFrame) -> DataFram
 
 # ---- the whole chain ---------------------------------------------------------------
 
-def classes_of_concepts(ids: DataFrame, related: DataFrame, history: DataFrame, classes: DataFrame) -> DataFrame:
+def classes_of_concepts(ids: DataFrame, relations: DataFrame, history: DataFrame, classes: DataFrame) -> DataFrame:
     """Classes of each concept id, one row per ingredient and class.
 
-    ``related``, ``history`` and ``classes`` are tables of answers. Concepts
-    without a current ingredient fall back to their history.
-    Returns ``rxcui, ingredient_rxcui, atc, position``.
+    ``relations`` come from :func:`related_concepts`; ``history`` and ``classes``
+    are tables of answers. Concepts without a current ingredient fall back to
+    their history. Returns ``rxcui, ingredient_rxcui, atc, position``.
     """
     wanted = ids.select("rxcui")
-    relations = related_concepts(related)
     current = relations.join(wanted, "rxcui", "left_semi")
     retired = history.join(wanted, "rxcui", "left_semi").join(
         current.select("rxcui"), "rxcui", "left_anti")
@@ -279,11 +279,16 @@ def vocabulary_resolver(
     class are absent. The array of an entity holds the classes of one concept,
     as the mapping table's schema asks for.
 
-    The concept of each entity is stored: the chain reads it three times.
+    The relations of concepts and the concept of each entity are stored, as the
+    chain reads them three times; the relations once per resolver.
     """
+    @cache
+    def relations() -> DataFrame:
+        return materialise(related_concepts(related), "relations")
+
     def resolve(entities: DataFrame) -> DataFrame:
         matched = materialise(nearest_concept(entities.select(F.col("entity").alias("term")), concepts), "concepts")
-        rows = classes_of_concepts(matched.select("rxcui"), related, history, classes)
+        rows = classes_of_concepts(matched.select("rxcui"), relations(), history, classes)
         listed = rows.groupBy("rxcui").agg(
             F.array_sort(F.collect_list(F.struct("position", "atc"))).alias("_l"))
         codes = listed.select("rxcui", F.transform("_l", lambda x: x["atc"]).alias("atc_code"))
