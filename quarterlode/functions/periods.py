@@ -24,7 +24,8 @@ def quarter_index(year: int, quarter: int) -> int:
 
 def format_period(year: Column, quarter: Column) -> Column:
     """``yyqN`` text of a period."""
-    return F.format_string("%02dq%d", (year % 100).cast("int"), quarter.cast("int"))
+    yy = F.lpad((year % 100).cast("string"), 2, "0")
+    return F.concat(yy, F.lit("q"), quarter.cast("string"))
 
 
 def format_index(index: Column) -> Column:
