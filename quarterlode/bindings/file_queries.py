@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import io
+import sys
 import zipfile
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from quarterlode.bindings import views as V
@@ -19,6 +21,8 @@ from quarterlode.session import new_path
 from quarterlode.sources.archives import read_lines
 from quarterlode.sources.delimited import parse_table, read_corrected, write_corrected
 
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 PARSED = ("primaryid", "caseid", "caseversion", "event_dt", "auth_num", "rept_dt", "rept_cod", "sex", "wt",
           "processing_time", "period")
 PARSED_SQL = f"SELECT {', '.join(PARSED)} FROM parsed_demo"

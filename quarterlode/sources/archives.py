@@ -7,16 +7,21 @@ hands their lines on in bounded Arrow batches. Everything after is expressions.
 from __future__ import annotations
 
 import io
+import sys
 import zipfile
 from collections.abc import Iterable, Iterator, Sequence
 from functools import partial
 
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarterlode.functions.text import MEMBER_SUFFIX, SKIPPED_PREFIXES, base_name, logical_file
 
+# The reader travels to the executors with the plan; they need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 BINARY_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
 LINE_SCHEMA = "path string, member string, line_no bigint, header string, line string"
 LINES_PER_BATCH = 8192

@@ -64,7 +64,7 @@ def test_hot_key_is_split_by_adaptive_execution(spark):
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
-def reference_coding(fact, pt, llt):
+def two_branch_coding(fact, pt, llt):
     """Coding by two branches and a union, as a check on the one-pass plan."""
     codes = list(meddra.CODES)
     low = fact.withColumn("pt", F.lower("pt")).join(pt, "pt", "left")
@@ -83,7 +83,7 @@ def test_term_coding(spark, rows):
                                  ("pain", 1, 99, 99, [99], [99]), ("empty", 2, 6, 60, None, None)], LLT)
     out = meddra.code_terms(fact, "reac", pt, llt)
     assert out.columns == [*meddra.KEPT["reac"], *meddra.CODES]
-    expect = reference_coding(fact, pt, llt)
+    expect = two_branch_coding(fact, pt, llt)
     assert out.exceptAll(expect).count() == 0 and expect.exceptAll(out).count() == 0
     got = rows(out, "pt", "pt_code", "smq_codes")
     assert ("pain", 1, None) in got and ("empty", 6, None) in got and (None, None, None) in got

@@ -1,9 +1,12 @@
 from __future__ import annotations
 
 import io
+import subprocess
+import sys
 import zipfile
 
 import pytest
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from quarterlode.functions import text as X
@@ -210,3 +213,13 @@ def test_zip_of_nothing(spark, tmp_path):
     zipfile.ZipFile(empty, "w").close()
     (tmp_path / "x.zip").write_bytes(empty.getvalue())
     assert A.read_lines(A.binary_files(spark, str(tmp_path))).count() == 0
+
+
+def test_reader_needs_no_package_on_executors(tmp_path):
+    (tmp_path / "f.pkl").write_bytes(cloudpickle.dumps(A._line_batches))
+    code = ("import pickle, pyarrow as pa\n"
+            f"read = pickle.load(open({str(tmp_path / 'f.pkl')!r}, 'rb'))\n"
+            "batch = pa.RecordBatch.from_pydict({'path': ['/x/a.txt'], 'content': [b'h\\nl\\n']})\n"
+            "assert [b.num_rows for b in read([batch], ())] == [2]\n")
+    done = subprocess.run([sys.executable, "-c", code], cwd="/", capture_output=True, text=True, env={"PATH": ""})
+    assert done.returncode == 0, done.stderr
