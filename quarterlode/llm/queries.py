@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarterlode.llm import ngram_join
+from quarterlode.llm import containment, mixing, ngram_join, repetition
 from quarterlode.llm.common import WORD, table
 from quarterlode.session import tune
 
@@ -28,6 +28,68 @@ def query(name: str, sql: str | None = None):
     return add
 
 
+# Documents or items ``t`` as distinct shingles: ``key``, number of shingles, shingle.
+SHINGLES = rf"""SELECT key, len(s) AS n, unnest(s) AS g FROM (
+    SELECT key, CASE WHEN w IS NULL OR len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+      ELSE list_distinct([array_to_string(w[i:i+4], ' ') for i in range(1, len(w) - 3)]) END AS s
+    FROM (SELECT {{0}} AS key, regexp_extract_all({LOWER.format('text')}, '{WORD}') AS w FROM {{1}}))"""
+
+
+@query("op2_decontamination", f"""
+    WITH d AS ({SHINGLES.format('doc_id', 'documents')}), i AS ({SHINGLES.format('item_id', 'benchmark')})
+    SELECT d.key AS doc_id, i.key AS item_id, CAST(i.n AS BIGINT) AS n_item, count(*) AS n_shared, count(*) / i.n AS containment
+    FROM d JOIN i USING (g) GROUP BY d.key, i.key, i.n HAVING 100 * count(*) >= 80 * i.n""")
+def decontamination(spark, d):
+    return containment.contained(table(spark, d, "documents"), table(spark, d, "benchmark"))
+
+
+def _windows(size: int) -> str:
+    """Words of each document that lie in a run of ``size`` words found twice or more in it."""
+    return f"""SELECT doc_id, count(DISTINCT pos) AS n FROM (
+        SELECT doc_id, unnest(range(i, i + {size})) AS pos FROM (
+          SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, md5(array_to_string(w[i:i+{size - 1}], ' '))) AS times
+          FROM (SELECT doc_id, w, unnest(range(1, len(w) - {size - 2})) AS i FROM words)) WHERE times > 1) GROUP BY doc_id"""
+
+
+@query("op5_quality_repetition", rf"""
+    WITH words AS (SELECT doc_id, text, coalesce(regexp_extract_all(text, '{WORD}'), []) AS w FROM documents),
+      lines AS (SELECT doc_id, count(*) - count(DISTINCT line) AS n FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM words)
+          WHERE regexp_matches(line, '{WORD}') GROUP BY doc_id),
+      eight AS ({_windows(8)}), five AS ({_windows(5)}), long AS ({_windows(101)}),
+      counts AS (SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(array_to_string(w, '')) AS BIGINT) AS word_chars,
+          CAST(len(text) - len(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+          coalesce(lines.n, 0) AS n_dup_lines, coalesce(eight.n, 0) AS n_repeat_words,
+          coalesce(five.n, 0) AS n_covered_words, long.n IS NOT NULL AS too_long
+          FROM words LEFT JOIN lines USING (doc_id) LEFT JOIN eight USING (doc_id) LEFT JOIN five USING (doc_id) LEFT JOIN long USING (doc_id)),
+      judged AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM counts)
+    SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+      NOT base_failed AND 100 * n_covered_words <= 30 * n_words AND NOT too_long AS kept, n_covered_words FROM judged""")
+def quality_repetition(spark, d):
+    return repetition.repetition(table(spark, d, "documents")).drop("longest_repeat")
+
+
+@query("op7_mixing", rf"""
+    WITH sized AS (SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '{WORD}')) AS BIGINT) AS size,
+          CAST('0x' || substr(md5('17:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 15) AS BIGINT) AS key FROM documents),
+      totals AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM sized GROUP BY source),
+      ranked AS (SELECT *, CAST([3, 1, 2][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1] AS DOUBLE) AS weight,
+          CAST(2 * source_size AS DOUBLE) AS cap FROM totals),
+      levels AS (SELECT *, (CAST(sum(source_size) OVER () * 150 AS DOUBLE) / 100
+          - coalesce(sum(cap) OVER (ORDER BY cap / weight, source ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+          / sum(weight) OVER (ORDER BY cap / weight, source ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level FROM ranked),
+      targets AS (SELECT source, source_size, least(cap, weight * (SELECT arg_min(level, (cap / weight, -level)) FROM levels WHERE cap / weight >= level)) AS target
+          FROM levels),
+      queued AS (SELECT s.*, source_size, target, sum(size) OVER (PARTITION BY s.source ORDER BY key, doc_id ROWS UNBOUNDED PRECEDING) AS upto
+          FROM sized s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source),
+      copies AS (SELECT *, CAST(upto + k * source_size AS DOUBLE) / target AS finish FROM queued, (VALUES (0), (1)) c(k) WHERE size > 0),
+      mixed AS (SELECT *, sum(size) OVER (ORDER BY finish, key, CAST(doc_id AS VARCHAR), k ROWS UNBOUNDED PRECEDING) AS running FROM copies)
+    SELECT q.doc_id, q.source, q.size, q.source_size, q.target, CAST(coalesce(m.n, 0) AS INT) AS copies, CAST(coalesce(m.n, 0) * q.size AS BIGINT) AS taken
+    FROM queued q LEFT JOIN (SELECT doc_id, count(*) AS n FROM mixed
+      WHERE running <= (SELECT sum(size) FROM sized) * 1.5 GROUP BY doc_id) m USING (doc_id)""")
+def fair_queueing(spark, d):
+    return mixing.fair_mix(table(spark, d, "documents"))
+
+
 @query("op10_ngram_join", rf"""
     WITH RECURSIVE words AS (SELECT doc_id, regexp_extract_all({LOWER.format('text')}, '{WORD}') AS w FROM documents),
       shingles AS (SELECT doc_id, CASE WHEN len(w) = 0 OR w IS NULL THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
