@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from quarterlode.llm import containment, mixing, ngram_join, repetition
+from quarterlode.llm import containment, licenses, mixing, ngram_join, repetition, token_counts
 from quarterlode.llm.common import WORD, table
 from quarterlode.session import tune
 
@@ -43,6 +43,11 @@ def decontamination(spark, d):
     return containment.contained(table(spark, d, "documents"), table(spark, d, "benchmark"))
 
 
+@query("op4_token_counts")
+def count_tokens(spark, d):
+    return token_counts.token_counts(table(spark, d, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def _windows(size: int) -> str:
     """Words of each document that lie in a run of ``size`` words found twice or more in it."""
     return f"""SELECT doc_id, count(DISTINCT pos) AS n FROM (
@@ -90,6 +95,11 @@ def fair_queueing(spark, d):
     return mixing.fair_mix(table(spark, d, "documents"))
 
 
+@query("op8_license_scan")
+def license_scan(spark, d):
+    return licenses.scan_licenses(table(spark, d, "documents")).drop("spans")
+
+
 @query("op10_ngram_join", rf"""
     WITH RECURSIVE words AS (SELECT doc_id, regexp_extract_all({LOWER.format('text')}, '{WORD}') AS w FROM documents),
       shingles AS (SELECT doc_id, CASE WHEN len(w) = 0 OR w IS NULL THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
