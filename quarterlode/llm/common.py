@@ -11,6 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
+from quarterlode.session import tune
+
 SPACE = re.compile(rb"[\x20\x09-\x0d]")
 # A word is a run of anything else than these six characters.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -18,9 +20,23 @@ PIECE = 1 << 22
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
+# Small Arrow batches keep long texts within a worker's memory; shuffle files of a finished step are not needed again,
+# as steps hand on written tables.
+SETTINGS = {
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "512",
+    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
+}
+
+
+def prepare(spark: SparkSession) -> SparkSession:
+    """Set what the operators of this package count on."""
+    for key, value in SETTINGS.items():
+        spark.conf.set(key, value)
+    return tune(spark)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One of the given tables; small Arrow batches keep long texts within a worker's memory."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "512")
+    """One of the given tables."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -179,21 +179,27 @@ def _product(cells: DataFrame, alive: DataFrame, percent: int) -> DataFrame:
 def _beyond(cells: DataFrame, rays: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Pairs of different components in wide columns.
 
-    With ``o`` the overlap with the leader, ``|A ∩ B| <= min(o_A, o_B) + |(A - L) ∩ (B - L)|``.
+    A partner has ``need`` shingles of a set, so a class stays only if as many of its
+    shingles are found in another class here; all others are its own. With ``o`` the
+    overlap with the leader L, ``|A ∩ B| <= min(o_A, o_B) + |(A - L) ∩ (B - L)|``.
     """
     members = cells.select("cls", "n", "root", "lead").distinct()
     known = rays.select(F.col("a").alias("cls"), F.col("b").alias("lead"), "both")
     members = members.join(known, ["cls", "lead"], "left").withColumn("both", F.coalesce("both", "n"))
     need = _need(F.col("n"), percent)
-    members = materialise(members.withColumn("inside", F.col("both") >= need), "members")
+    tokens = sets.join(members.select("cls").distinct(), "cls", "left_semi").select("cls", F.explode("shingles").alias("t"))
+    common = materialise(tokens.groupBy("t").count().where("count > 1").select("t"), "common")
+    live = tokens.join(common, "t").groupBy("cls").agg(F.collect_list("t").alias("x"))
+    members = materialise(members.join(live, "cls").where(F.size("x") >= need)
+                          .withColumn("inside", F.col("both") >= need), "members")
     # partners share ``need - both`` shingles outside the leader, at least one if either is not inside: one of those
     # is among the first outer shingles of each, of which all but as many are taken
-    mine = sets.select("cls", F.col("shingles").alias("x"))
     theirs = sets.select(F.col("cls").alias("lead"), F.col("shingles").alias("y"))
-    outer = (members.where(F.col("cls") != F.col("lead")).join(mine, "cls").join(theirs, "lead")
-             .withColumn("outer", F.sort_array(F.array_except("x", "y")))
-             .select("cls", "n", "root", "lead", "inside", F.explode(F.slice(
-                 "outer", F.lit(1), F.col("n") - F.col("both") - F.greatest(need - F.col("both"), F.lit(1)) + 1)).alias("t")))
+    wanted = F.greatest(need - F.col("both"), F.lit(1)).cast("int")
+    outer = (members.where(F.col("cls") != F.col("lead")).join(theirs, "lead")
+             .withColumn("outer", F.sort_array(F.array_except("x", "y"))).withColumn("wanted", wanted)
+             .where(F.size("outer") >= F.col("wanted"))
+             .select("cls", "n", "root", "lead", "inside", F.explode(F.expr("slice(outer, 1, size(outer) - wanted + 1)")).alias("t")))
     x, y = _sides(outer, ["lead", "t"])
     met = (F.col("ar") != F.col("br")) & _sizes_fit(F.col("an"), F.col("bn"), percent)
     apart = x.where(~F.col("ain")).join(y, ["lead", "t"]).where(met & (F.col("a") != F.col("b")))

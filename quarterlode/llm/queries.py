@@ -7,9 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from quarterlode.llm import containment, licenses, mixing, ngram_join, repetition, token_counts
-from quarterlode.llm.common import WORD, table
-from quarterlode.session import tune
+from quarterlode.llm import containment, licenses, mixing, ngram_join, pii, repetition, token_counts
+from quarterlode.llm.common import WORD, prepare, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -20,7 +19,7 @@ LOWER = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxy
 def query(name: str, sql: str | None = None):
     """Register a query, with SQL for the same rows where there is one."""
     def add(fn):
-        QUERIES[name] = lambda spark, sf_dir: fn(tune(spark), sf_dir)
+        QUERIES[name] = lambda spark, sf_dir: fn(prepare(spark), sf_dir)
         if sql is not None:
             ORACLES[name] = sql
         return fn
@@ -100,6 +99,12 @@ def license_scan(spark, d):
     return licenses.scan_licenses(table(spark, d, "documents")).drop("spans")
 
 
+@query("op9_surrogates")
+def surrogates(spark, d):
+    docs = table(spark, d, "documents").select("doc_id", "text")
+    return pii.replace_entities(docs, key="demonstration key", count_col="n_entities")
+
+
 @query("op10_ngram_join", rf"""
     WITH RECURSIVE words AS (SELECT doc_id, regexp_extract_all({LOWER.format('text')}, '{WORD}') AS w FROM documents),
       shingles AS (SELECT doc_id, CASE WHEN len(w) = 0 OR w IS NULL THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
