@@ -6,9 +6,11 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from quarterlode.llm import containment, licenses, mixing, ngram_join, pii, repetition, token_counts
+from quarterlode.llm import containment, licenses, mixing, ngram_join, pii, repetition, token_counts, warc
 from quarterlode.llm.common import WORD, prepare, table
+from quarterlode.session import materialise, new_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -42,6 +44,27 @@ def decontamination(spark, d):
     return containment.contained(table(spark, d, "documents"), table(spark, d, "benchmark"))
 
 
+@query("op3_warc", """
+    WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages),
+      f AS (SELECT payload_digest, min(page_id) AS first FROM p WHERE payload_bytes >= 100 GROUP BY payload_digest)
+    SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest,
+      CASE WHEN page_id <> first THEN 'revisit' ELSE 'response' END AS record_type, CASE WHEN page_id <> first THEN first END AS refers_to
+    FROM p LEFT JOIN f USING (payload_digest)""")
+def warc_records(spark, d):
+    path, pages = new_path(spark, "warc"), table(spark, d, "pages")
+    warc.write_archive(pages, path)
+    read = warc.read_archive(spark, path)
+    kind = pages.schema["page_id"].dataType
+    read = materialise(read.select("record", F.col("page").cast(kind).alias("page_id"), "type", "refers", "payload_bytes", "digest"), "records")
+    # a revisit's payload is that of the response it refers to, if their digests agree
+    origin = read.where("type = 'response'").select(
+        F.col("record").alias("of"), F.col("digest").alias("of_digest"), F.col("page_id").alias("refers_to"), F.col("payload_bytes").alias("of_bytes"))
+    origin = materialise(origin.distinct(), "responses")
+    joined = read.join(origin, (read.refers == origin["of"]) & (read.digest == origin.of_digest), "left")
+    return joined.select("page_id", F.coalesce("payload_bytes", "of_bytes").alias("payload_bytes"), F.col("digest").alias("payload_digest"),
+                         F.col("type").alias("record_type"), "refers_to")
+
+
 @query("op4_token_counts")
 def count_tokens(spark, d):
     return token_counts.token_counts(table(spark, d, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
