@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarterlode.llm import chat, containment, licenses, mixing, ngram_join, pii, repetition, token_counts, warc
+from quarterlode.llm import chat, containment, licenses, lm_score, mixing, ngram_join, pii, repetition, token_counts, warc
 from quarterlode.llm.common import WORD, prepare, table
 from quarterlode.session import materialise, new_path
 
@@ -36,6 +36,13 @@ SHINGLES = rf"""SELECT key, len(s) AS n, unnest(s) AS g FROM (
     FROM (SELECT {{0}} AS key, regexp_extract_all({LOWER.format('text')}, '{WORD}') AS w FROM {{1}}))"""
 
 
+@query("op1_context_tree")
+def context_tree_score(spark, d):
+    docs = table(spark, d, "documents")
+    held_out = F.crc32(F.coalesce(docs.doc_id.cast("string"), F.lit("")).cast("binary")) % 10 == 0
+    return lm_score.score_texts(docs, held_out)
+
+
 @query("op2_decontamination", f"""
     WITH d AS ({SHINGLES.format('doc_id', 'documents')}), i AS ({SHINGLES.format('item_id', 'benchmark')})
     SELECT d.key AS doc_id, i.key AS item_id, CAST(i.n AS BIGINT) AS n_item, count(*) AS n_shared, count(*) / i.n AS containment
