@@ -140,3 +140,18 @@ def _cut(queued: DataFrame, budget: float, most: int, range_rows: int) -> tuple
             last = fits.agg(F.max("place").alias("place")).first().place
             # if not even the first of these fits, the cut lies just before them
             return tuple(last) if last is not None else (low, -1, "", 0)
+
+
+def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **settings) -> DataFrame:
+    """The mix itself: all columns of ``docs`` for each copy taken, and ``copy`` from 1.
+
+    Rows that share id, source and size share what is taken of them: each gets the
+    copies of the one that has most.
+    """
+    taken = fair_mix(docs, id_col, text_col, source_col, **settings).where("copies > 0").select(
+        F.col(id_col).alias("_mix_id"), F.col("source").alias("_mix_source"), F.col("size").alias("_mix_size"), F.col("copies").alias("_mix_copies"))
+    taken = taken.groupBy("_mix_id", "_mix_source", "_mix_size").agg(F.max("_mix_copies").alias("_mix_copies"))
+    sized = docs.withColumn("_mix_words", words(docs[text_col]))
+    joined = sized.join(taken, docs[id_col].eqNullSafe(F.col("_mix_id")) & docs[source_col].eqNullSafe(F.col("_mix_source"))
+                        & (F.col("_mix_words") == F.col("_mix_size")))
+    return joined.select(*(docs[c] for c in docs.columns), F.explode(F.sequence(F.lit(1), F.col("_mix_copies").cast("int"))).alias("copy"))
