@@ -179,11 +179,12 @@ def replace_entities(docs: DataFrame, key: str, text_col: str = "text", count_co
     rows = materialise(rows, "occurrences")
     chosen = surrogates(rows.select("kind", "unit"), key)
     shown = rows.join(chosen, ["kind", "unit"]).withColumn("shown", F.expr(_shown_again()))
-    lists = shown.groupBy("at").agg(F.expr("transform(array_sort(collect_list(struct(pos, shown))), x -> x.shown)").alias("shown"))
-    joined = found.join(lists, found[clash + "key"] == lists["at"])
-    gaps = F.split(F.col(text_col), PATTERN, -1)
+    lists = shown.groupBy("at").agg(F.expr("transform(array_sort(collect_list(struct(pos, shown))), x -> x.shown)").alias(clash + "shown"))
+    lists = lists.withColumnRenamed("at", clash + "at")
+    joined = found.join(lists, found[clash + "key"] == lists[clash + "at"])
+    gaps = F.split(found[text_col], PATTERN, -1)
     joined = joined.withColumn(clash + "gaps", gaps)
-    new = F.expr(f"concat(array_join(zip_with({clash}parts, shown, (p, s) -> concat(if(p.k = 0, {clash}gaps[p.j], ''), p.lead, s)), ''), "
+    new = F.expr(f"concat(array_join(zip_with({clash}parts, {clash}shown, (p, s) -> concat(if(p.k = 0, {clash}gaps[p.j], ''), p.lead, s)), ''), "
                  f"element_at({clash}gaps, -1))")
     counted = F.expr(f"bigint(size(filter({clash}parts, p -> p.k = 0 AND p.kind <> 'none')))")
     done = joined.withColumns({text_col: new, clash + "n": counted}).select(*docs.columns, clash + "n")
