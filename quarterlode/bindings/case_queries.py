@@ -32,9 +32,9 @@ def deleted_ids(spark, d):
 @query("removal_audit", " UNION ALL ".join(f"""
     SELECT '{t}' AS table_name, count(*) AS n_before, count(*) FILTER (g.caseid IS NULL) AS n_after,
            count(*) FILTER (g.caseid IS NOT NULL) AS n_removed
-    FROM {t} f LEFT JOIN gone g ON f.caseid = g.caseid""" for t in ("demo", "reac", "outc")))
+    FROM {t} f LEFT JOIN gone g ON f.caseid = g.caseid""" for t in V.FACTS))
 def removal_audit(spark, d):
-    facts = {t: V.FACTS[t](spark, d) for t in ("demo", "reac", "outc")}
+    facts = {t: fact(spark, d) for t, fact in V.FACTS.items()}
     return cases.removal_audit(facts, V.deleted(spark, d))
 
 

@@ -19,7 +19,7 @@ PROMPT_SQL = "'" + M.PROMPT_PREFIX.replace("'", "''") + "'"
 
 
 def _extract(spark, d):
-    return partial(E.match_entities, vocabulary=V.vocabulary(spark, d), longest=1)
+    return partial(E.match_entities, vocabulary=V.vocabulary(spark, d))
 
 
 def _entities(spark, d):
@@ -29,7 +29,7 @@ def _entities(spark, d):
 
 def _resolver(spark, d):
     return K.vocabulary_resolver(
-        V.concepts(spark, d), V.related_answers(spark, d), V.history_answers(spark, d), V.class_answers(spark, d))
+        V.concepts(spark, d), V.related_answers(spark, d), V.history_answers(spark, d), V.class_answers(spark, d), max_distance=1)
 
 
 @query("drug_terms", "SELECT drugname, prod_ai, term FROM drug_names")
@@ -38,8 +38,8 @@ def drug_terms(spark, d):
 
 
 @query("entity_match", """
-    SELECT DISTINCT n.term, coalesce(v.entity, n.term) AS entities
-    FROM drug_names n LEFT JOIN vocab v ON contains(' ' || n.term || ' ', ' ' || v.entity || ' ')""")
+    SELECT n.term, coalesce(string_agg(DISTINCT v.entity, '|' ORDER BY v.entity), n.term) AS entities
+    FROM drug_names n LEFT JOIN vocab v ON contains(' ' || n.term || ' ', ' ' || v.entity || ' ') GROUP BY n.term""")
 def entity_match(spark, d):
     found = _extract(spark, d)(E.drug_terms(V.drug(spark, d)))
     return found.select("term", F.array_join("entities", "|").alias("entities"))
@@ -52,18 +52,18 @@ SPACES = r"[\s\x0b\x1c-\x1f\x{0085}\x{00A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2
 @query("entities_csv", rf"""
     WITH docs AS (SELECT doc_id, string_split(trim(regexp_replace(lower(text), '{SPACES}', ' ', 'g')), ' ') AS w,
                          trim(regexp_replace(replace(lower(text), ',', ' '), '{SPACES}', ' ', 'g')) AS whole FROM documents),
-         items AS (SELECT string_split(trim(regexp_replace(lower(text), '{SPACES}', ' ', 'g')), ' ') AS w FROM benchmark),
-         entries AS (SELECT DISTINCT w[1] || ' ' || w[2] AS entity FROM items),
-         runs AS (SELECT DISTINCT doc_id, w[i] || ' ' || w[i+1] AS entity
-                  FROM (SELECT doc_id, w, unnest(range(1, len(w))) AS i FROM docs)),
+         entries AS (SELECT DISTINCT trim(regexp_replace(lower(sentence), '{SPACES}', ' ', 'g')) AS entity
+                     FROM (SELECT unnest(string_split(text, '.')) AS sentence FROM benchmark) WHERE trim(sentence, ' ' || chr(10)) <> ''),
+         runs AS (SELECT d.doc_id, e.entity FROM docs d JOIN entries e ON contains(' ' || array_to_string(d.w, ' ') || ' ', ' ' || e.entity || ' ')),
          found AS (SELECT doc_id, string_agg(trim(regexp_replace(replace(entity, ',', ' '), ' +', ' ', 'g')), ',' ORDER BY entity) AS entities
                    FROM runs JOIN entries USING (entity) GROUP BY doc_id)
     SELECT doc_id, coalesce(entities, whole) AS entities FROM docs LEFT JOIN found USING (doc_id)""")
 def entities_csv(spark, d):
-    words = F.split(E.collapse_spaces(F.lower("text")), " ")
-    entries = V.table(spark, d, "benchmark").select(F.array_join(F.slice(words, 1, 2), " ").alias("entity"))
+    # every sentence of every item, without its full stop: entries of one to many words
+    sentences = V.table(spark, d, "benchmark").select(F.explode(F.split("text", r"\.")).alias("sentence"))
+    entries = sentences.where("trim(BOTH ' \n' FROM sentence) <> ''").select(E.collapse_spaces(F.lower("sentence")).alias("entity"))
     docs = V.table(spark, d, "documents").select("doc_id", F.lower("text").alias("text"))
-    found = E.entities_by_key(docs, "doc_id", "text", entries, longest=2)
+    found = E.entities_by_key(docs, "doc_id", "text", entries)
     return found.select("doc_id", E.entities_text(F.col("entities")).alias("entities"))
 
 
@@ -151,16 +151,23 @@ def vocab_history_ingredients(spark, d):
                 (SELECT bool_or(left(t, i-1) = left(name, i-1)
                         AND substr(t, CASE WHEN length(t) >= length(name) THEN i+1 ELSE i END)
                           = substr(name, CASE WHEN length(name) >= length(t) THEN i+1 ELSE i END))
-                 FROM range(1, 50) r(i)) AS near
+                 FROM range(1, greatest(length(t), length(name)) + 1) r(i)) AS near
                 FROM plain JOIN concepts ON abs(length(t) - length(name)) <= 1 WHERE t <> ''),
-         scored AS (SELECT term, rxcui, CASE WHEN same THEN 0 ELSE 1 END AS distance FROM one_off WHERE same OR near)
+         close AS (SELECT term, rxcui, CASE WHEN same THEN 0 ELSE 1 END AS distance FROM one_off WHERE same OR near),
+         held AS (SELECT DISTINCT name, rxcui, unnest(list_concat(string_split(name, ' '), [name[i:i+2] for i in range(1, len(name) - 1)])) AS k FROM concepts),
+         spread AS (SELECT k, count(*) AS df FROM held GROUP BY k),
+         mine AS (SELECT DISTINCT term, t, unnest(list_concat(string_split(t, ' '), [t[i:i+2] for i in range(1, len(t) - 1)])) AS k
+                  FROM plain WHERE t <> '' AND term NOT IN (SELECT term FROM close)),
+         rare AS (SELECT term, t, k FROM mine JOIN spread USING (k) QUALIFY row_number() OVER (PARTITION BY term ORDER BY df, k) <= 3),
+         scored AS (SELECT * FROM close UNION ALL
+                    SELECT term, rxcui, CAST(levenshtein(regexp_replace(t, '[^\x00-\x7F]', '?', 'g'), name) AS INT) FROM rare JOIN held USING (k))
     SELECT term, arg_min(rxcui, (distance, rxcui)) AS rxcui, CAST(min(distance) AS INT) AS distance
     FROM scored GROUP BY term""")
 def approx_term_top1(spark, d):
     words = V.table(spark, d, "documents").select(F.explode(F.split("text", " ")).alias("term"))
     size, noun = F.col("p_size") % 3, V.noun()
     near = (F.when(size == 0, F.concat(noun, F.lit("s"))).when(size == 1, F.concat(F.lit(" "), F.upper(noun)))
-            .otherwise(F.substring(noun, 2, 100)))
+            .otherwise(F.substr(noun, F.lit(2))))
     names = V.table(spark, d, "part").select(near.alias("term"))
     terms = words.unionByName(names).distinct()
     return K.nearest_concept(terms, V.concepts(spark, d))

@@ -71,10 +71,16 @@ def schema_drift_rescue(spark, d):
         F.when(F.col(RESCUED).isNotNull(), F.size(RESCUED)).cast("bigint").alias("n_rescued"))
 
 
-@query("csv_roundtrip", PARSED_SQL)
+# blanks at both ends, quotes, a backslash and the delimiter
+AWKWARD = "  {0} \"q\" \\ $ a\tb  "
+
+
+@query("csv_roundtrip", PARSED_SQL.replace("rept_cod", f"'{AWKWARD}'".replace("{0}", "' || rept_cod || '") + " AS rept_cod"))
 def csv_roundtrip(spark, d):
     path = new_path(spark, "corrected")
-    write_corrected(parse_table(_repaired(spark, d), "demo", V.RUN_TIME), path)
+    rows = parse_table(_repaired(spark, d), "demo", V.RUN_TIME)
+    before, after = AWKWARD.split("{0}")
+    write_corrected(rows.withColumn("rept_cod", F.concat(F.lit(before), "rept_cod", F.lit(after))), path)
     return ingest(read_corrected(spark, path, "demo"), "demo").select(*PARSED)
 
 

@@ -9,7 +9,6 @@ from quarterlode.bindings.registry import query
 from quarterlode.bindings.view_sql import current_sql, period_sql
 from quarterlode.functions import periods as P
 from quarterlode.operators import period_sets as S
-from quarterlode.sources.archives import list_files
 from quarterlode.sources.tables import distinct_periods
 
 Y, Q = "year(o_orderdate)+12", "quarter(o_orderdate)"
@@ -128,9 +127,12 @@ def missing_period_files(spark, d):
     return S.missing_periods(S.all_periods(_as_of(spark, d)), S.periods_of_archives(_archives(spark, d)))
 
 
-@query("list_period_files")
+@query("list_period_files", "SELECT 'orders.parquet' AS name, count(*) AS n_rows FROM orders")
 def list_period_files(spark, d):
-    return list_files(spark, d, "*.parquet").select("name")
+    """The files of a table by name, with the rows that they hold."""
+    held = V.table(spark, d, "orders").select("o_orderkey", F.col("_metadata.file_path").alias("path"))
+    name = F.regexp_extract("path", r"([^/]+\.parquet)(?:/part-[^/]*)?$", 1)
+    return held.groupBy(name.alias("name")).agg(F.count("o_orderkey").alias("n_rows"))
 
 
 @query("distinct_periods", f"SELECT DISTINCT {period_sql('o_orderdate')} AS period FROM orders")

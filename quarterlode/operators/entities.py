@@ -9,7 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarterlode.functions.text import collapse_spaces, is_blank, space_out, strip
-from quarterlode.operators.lookup import is_small, null_safe
+from quarterlode.operators.lookup import is_small, null_safe, sized_broadcast
+from quarterlode.session import materialise
 
 # A caller's model: a frame with ``term`` in, ``term, entities array<string>`` out.
 Extractor = Callable[[DataFrame], DataFrame]
@@ -26,8 +27,8 @@ def drug_terms(drug: DataFrame) -> DataFrame:
     return pairs.withColumn("term", F.coalesce(space_out(F.col("prod_ai")), space_out(F.col("drugname"))))
 
 
-def word_runs(text: Column, longest: int) -> Column:
-    """Distinct runs of 1 to ``longest`` consecutive words of a text with single blanks.
+def word_runs(text: Column, lengths: Iterable[int]) -> Column:
+    """Distinct runs of so many consecutive words of a text with single blanks.
 
     One pattern pass per length; the lookahead lets runs overlap. Explode the
     result as it is: exploding a column that holds it makes Spark evaluate it
@@ -38,40 +39,41 @@ def word_runs(text: Column, longest: int) -> Column:
             return F.filter(F.split(text, " "), lambda w: w != "")
         return F.regexp_extract_all(text, F.lit(rf"(?<![^ ])(?=([^ ]++(?: [^ ]++){{{n - 1}}}))"), F.lit(1))
 
-    return F.array_distinct(F.concat(*[of(n) for n in range(1, longest + 1)]))
+    return F.array_distinct(F.concat(F.array().cast("array<string>"), *[of(n) for n in lengths]))
 
 
-def entities_by_key(df: DataFrame, key: str, text: str, vocabulary: DataFrame, longest: int = 3) -> DataFrame:
+def entities_by_key(df: DataFrame, key: str, text: str, vocabulary: DataFrame) -> DataFrame:
     """Entities of each text, as ``key, text, entities``; keys are unique.
 
     A text's entities are the vocabulary entries (column ``entity``, lower case)
     among its word runs, sorted. A text that names none stands for itself,
-    trimmed; a blank text has null. ``longest`` is the number of words of the
-    longest entry.
+    trimmed; a blank text has null. Runs are as long as the entries are, which
+    the vocabulary itself tells.
 
-    Only the runs that are entries move between tasks, under their key.
+    Only the runs that are entries move between tasks, under their key; the
+    texts stay in place as long as the keys with an entity are a small table.
     """
     texts = df.select(key, text)
     clean = texts.select(key, collapse_spaces(F.col(text)).alias("_clean"))
-    runs = clean.select(key, F.explode(word_runs(F.col("_clean"), longest)).alias("entity"))
-    entries = vocabulary.select("entity").where(F.col("entity").isNotNull()).distinct()
-    if is_small(entries):
-        entries = F.broadcast(entries)
+    entries = materialise(vocabulary.select("entity").where(F.col("entity").isNotNull()).distinct(), "entries")
+    lengths = sorted(r.n for r in entries.select(F.size(F.split("entity", " ")).alias("n")).distinct().collect())
+    runs = clean.select(key, F.explode(word_runs(F.col("_clean"), lengths)).alias("entity"))
     # folded per text: at most the runs of one text
-    found = runs.join(entries, "entity", "left_semi").groupBy(key).agg(
+    found = runs.join(sized_broadcast(entries), "entity", "left_semi").groupBy(key).agg(
         F.array_sort(F.collect_set("entity")).alias("entities"))
     whole = F.when(~is_blank(F.col(text)), F.array(strip(F.col(text))))
-    return texts.join(found, key, "left").select(key, text, F.coalesce("entities", whole).alias("entities"))
+    known = sized_broadcast(materialise(found, "found"))
+    return texts.join(known, key, "left").select(key, text, F.coalesce("entities", whole).alias("entities"))
 
 
-def match_entities(terms: DataFrame, vocabulary: DataFrame, longest: int = 3) -> DataFrame:
+def match_entities(terms: DataFrame, vocabulary: DataFrame) -> DataFrame:
     """Entities of each distinct term, as ``term, entities``; see :func:`entities_by_key`.
 
     Terms go by a digest, so that long ones are not carried along with each run.
     """
     distinct = terms.select("term").where(~is_blank(F.col("term"))).distinct()
     keyed = distinct.select(F.md5(F.col("term").cast("binary")).alias("_key"), "term")
-    return entities_by_key(keyed, "_key", "term", vocabulary, longest).select("term", "entities")
+    return entities_by_key(materialise(keyed, "keyed"), "_key", "term", vocabulary).select("term", "entities")
 
 
 def model_extractor(load: Callable[[], Callable[[str], Iterable[str]]]) -> Extractor:
@@ -136,9 +138,7 @@ def attach_codes(entities: DataFrame, mapping: DataFrame) -> DataFrame:
     side = mapping.select(
         F.lower("entity").alias("_entity"), "atc_code", "strategy",
         F.col("processing_time").alias("mapping_time"))
-    if is_small(side):
-        side = F.broadcast(side)
-    return entities.join(side, F.lower("entity").eqNullSafe(F.col("_entity")), "left").drop("_entity")
+    return entities.join(sized_broadcast(side), F.lower("entity").eqNullSafe(F.col("_entity")), "left").drop("_entity")
 
 
 def attach_coded_entities(drug: DataFrame, entities: DataFrame, mapping: DataFrame) -> DataFrame:
@@ -148,4 +148,4 @@ def attach_coded_entities(drug: DataFrame, entities: DataFrame, mapping: DataFra
     rows, so that the drug rows are joined once. A drug row outside the entity
     list has no entity, and hence no code.
     """
-    return attach_entities(drug, attach_codes(entities, mapping))
+    return attach_entities(drug, materialise(attach_codes(entities, mapping), "coded"))

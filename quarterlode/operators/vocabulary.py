@@ -62,23 +62,35 @@ def _deletions(text: Column) -> Column:
     return F.array_distinct(F.concat(F.array(text), F.when(F.length(text) > 0, cut).otherwise(F.array().cast("array<string>"))))
 
 
-def nearest_concept(terms: DataFrame, concepts: DataFrame) -> DataFrame:
-    """The concept whose name is equal to, or one edit away from, each term.
+def _keys(text: Column) -> Column:
+    """Words and runs of three characters of a text."""
+    runs = F.transform(F.sequence(F.lit(1), F.length(text) - 2), lambda i: F.substring(text, i, F.lit(3)))
+    return F.array_union(F.split(text, " "), F.when(F.length(text) >= 3, runs).otherwise(F.array().cast("array<string>")))
+
+
+def nearest_concept(terms: DataFrame, concepts: DataFrame, max_distance: int | None = None, rarest: int = 3) -> DataFrame:
+    """The concept whose name is nearest to each term, by edit distance.
 
     ``terms`` holds ``term``; ``concepts`` holds ``rxcui, name``. The nearest
     name wins, then the smallest id. Returns ``term, rxcui, distance``; terms
-    without a candidate are absent.
-
-    Two texts one edit apart share a text with at most one character removed.
-    The equality join on those finds every pair without comparing all of them,
-    and the number of names that share one is bounded by the alphabet.
+    without a candidate, or none within ``max_distance``, are absent. There is
+    no bound on the distance unless one is given.
+
+    Two texts one edit apart share a text with at most one character removed:
+    an equality join on those finds every such pair, and the number of names
+    that share one is bounded by the alphabet. A term without a name that near
+    is compared with the names that hold one of its ``rarest`` words or runs of
+    three characters, rare among the names.
     """
     keyed = terms.select("term", normalise(F.col("term")).alias("_t")).where("_t != ''")
-    names = concepts.select("rxcui", normalise(F.col("name")).alias("_n")).groupBy("_n").agg(
-        F.min("rxcui").alias("rxcui"))
-    wanted = keyed.select("term", "_t", F.explode(_deletions(F.col("_t"))).alias("_k"))
-    offered = sized_broadcast(names.select("_n", "rxcui", F.explode(_deletions(F.col("_n"))).alias("_k")))
-    return (
+    names = materialise(concepts.select("rxcui", normalise(F.col("name")).alias("_n")).groupBy("_n").agg(
+        F.min("rxcui").alias("rxcui")), "names")
+    longest = names.agg(F.max(F.length("_n"))).first()[0] or 0
+    # a longer term is no edit away from any name; its deletions would only take room
+    short = keyed.where(F.length("_t") <= longest + 1)
+    wanted = short.select("term", "_t", F.explode(_deletions(F.col("_t"))).alias("_k"))
+    offered = sized_broadcast(materialise(names.select("_n", "rxcui", F.explode(_deletions(F.col("_n"))).alias("_k")), "deletions"))
+    near = (
         wanted.join(offered, "_k")
         .select("term", F.levenshtein("_t", "_n", 1).alias("distance"), "rxcui")
         .where("distance >= 0")
@@ -86,6 +98,24 @@ def nearest_concept(terms: DataFrame, concepts: DataFrame) -> DataFrame:
         .agg(F.min(F.struct("distance", "rxcui")).alias("_best"))
         .select("term", "_best.rxcui", "_best.distance")
     )
+    if max_distance is not None and max_distance <= 1:
+        return near.where(F.col("distance") <= max_distance)
+    near = materialise(near, "near")
+    held = materialise(names.select("_n", "rxcui", F.explode(_keys(F.col("_n"))).alias("_k")).distinct(), "name_keys")
+    spread = materialise(held.groupBy("_k").agg(F.count(F.lit(1)).alias("_df")), "key_counts")
+    rest = keyed.join(near.select("term"), "term", "left_anti")
+    known = rest.select("term", "_t", F.explode(_keys(F.col("_t"))).alias("_k")).join(sized_broadcast(spread), "_k")
+    # at most the keys of one term
+    rare = known.groupBy("term", "_t").agg(F.slice(F.array_sort(F.collect_set(F.struct("_df", "_k"))), 1, rarest).alias("_rare"))
+    candidates = rare.select("term", "_t", F.explode("_rare._k").alias("_k")).join(sized_broadcast(held), "_k")
+    far = (
+        candidates.select("term", F.levenshtein("_t", "_n").alias("distance"), "rxcui")
+        .groupBy("term")
+        .agg(F.min(F.struct("distance", "rxcui")).alias("_best"))
+        .select("term", "_best.rxcui", "_best.distance")
+    )
+    far = far if max_distance is None else far.where(F.col("distance") <= max_distance)
+    return near.unionByName(far)
 
 
 # ---- answers to rows -------------------------------------------------------------
@@ -270,13 +300,13 @@ def classes_of_concepts(ids: DataFrame, relations: DataFrame, history: DataFrame
 
 
 def vocabulary_resolver(
-    concepts: DataFrame, related: DataFrame, history: DataFrame, classes: DataFrame
+    concepts: DataFrame, related: DataFrame, history: DataFrame, classes: DataFrame, max_distance: int | None = None
 ) -> Resolver:
     """Resolver from terms to classes over the stored answers.
 
     Per entity: nearest concept, its ingredients (or those of its history), the
     classes of each ingredient in order, duplicates kept. Entities without a
-    class are absent. The array of an entity holds the classes of one concept,
+    class are absent; ``max_distance`` bounds how far a name may be. The array of an entity holds the classes of one concept,
     as the mapping table's schema asks for.
 
     The relations of concepts and the concept of each entity are stored, as the
@@ -287,11 +317,11 @@ def vocabulary_resolver(
         return materialise(related_concepts(related), "relations")
 
     def resolve(entities: DataFrame) -> DataFrame:
-        matched = materialise(nearest_concept(entities.select(F.col("entity").alias("term")), concepts), "concepts")
+        matched = materialise(nearest_concept(entities.select(F.col("entity").alias("term")), concepts, max_distance), "concepts")
         rows = classes_of_concepts(matched.select("rxcui"), relations(), history, classes)
         listed = rows.groupBy("rxcui").agg(
             F.array_sort(F.collect_list(F.struct("position", "atc"))).alias("_l"))
         codes = listed.select("rxcui", F.transform("_l", lambda x: x["atc"]).alias("atc_code"))
-        return matched.join(codes, "rxcui").select(F.col("term").alias("entity"), "atc_code")
+        return matched.join(sized_broadcast(materialise(codes, "codes")), "rxcui").select(F.col("term").alias("entity"), "atc_code")
 
     return resolve

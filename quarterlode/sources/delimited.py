@@ -14,7 +14,8 @@ from quarterlode.operators.conform import check_schema
 from quarterlode.schemas import DELIMITER, DROPS, RENAMES, RESCUED, TABLES, schema_of
 
 METADATA = ("processing_time", "period")
-CSV_OPTIONS = {"sep": DELIMITER, "quote": '"', "escape": '"'}
+CSV_OPTIONS = {
+    "sep": DELIMITER, "quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
 
 # One field: quoted (with doubled quotes inside) or everything up to a delimiter.
 _QUOTED_FIELD = r'(?<=^|\$)(?:"(?:[^"]++|"")*+"[^$]*|[^$]*)'
