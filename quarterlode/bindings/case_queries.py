@@ -9,9 +9,10 @@ from pyspark.sql import functions as F
 from quarterlode.bindings import views as V
 from quarterlode.bindings.registry import query
 from quarterlode.operators import cases, meddra
-from quarterlode.plans.silver import silver_plain, silver_terms
+from quarterlode.plans.silver import refresh_silver, silver_tables, silver_terms
+from quarterlode.operators.lookup import sized_broadcast
 from quarterlode.session import new_path
-from quarterlode.sources.tables import refresh_table
+from quarterlode.sources.tables import read_version, refresh_table
 
 ANTI_SQL = "SELECT f.* FROM {table} f WHERE NOT EXISTS (SELECT 1 FROM gone g WHERE g.caseid = f.caseid)"
 
@@ -78,7 +79,11 @@ def meddra_indi(spark, d):
 
 
 def _silver_plain(table, spark, d):
-    return silver_plain(V.FACTS[table](spark, d), V.deleted(spark, d))
+    """A table out of one run that refreshes all that need no coding, as stored."""
+    facts = {t: V.FACTS[t](spark, d) for t in ("demo", "outc", "rpsr", "ther")}
+    base = new_path(spark, "silver")
+    refresh_silver(silver_tables(facts, V.deleted(spark, d), V.preferred_terms(spark), V.former_terms(spark)), base)
+    return read_version(spark, f"{base}/{table}", facts[table].schema)
 
 
 for _table in ("demo", "outc", "rpsr", "ther"):
@@ -106,7 +111,7 @@ def full_refresh(spark, d):
     rows = _silver_terms("reac", spark, d)
     for _ in range(2):
         refresh_table(rows, path, "period")
-    return _listed(spark.read.schema(rows.schema).parquet(path))
+    return _listed(read_version(spark, path, rows.schema))
 
 
 @query("fallback_union", """
@@ -116,10 +121,8 @@ def full_refresh(spark, d):
     SELECT f.primaryid, lower(f.pt), CAST(l.pt_code AS BIGINT), 'former'
     FROM reac f JOIN llt l ON lower(f.pt) = l.llt_name""")
 def fallback_union(spark, d):
+    # the lookups are stacked by name, so that the reports are read once
+    preferred = V.preferred_terms(spark).select("pt", "pt_code", F.lit("preferred").alias("strategy"))
+    former = V.former_terms(spark).select(F.lit("former").alias("strategy"), "pt_code", F.col("llt_name").alias("pt"))
     coded = V.reac(spark, d).select("primaryid", F.lower("pt").alias("pt"))
-    first = coded.join(F.broadcast(V.preferred_terms(spark).select("pt", "pt_code")), "pt").withColumn(
-        "strategy", F.lit("preferred"))
-    former = V.former_terms(spark).select(F.col("llt_name").alias("pt"), "pt_code")
-    second = coded.join(F.broadcast(former), "pt").select(
-        F.lit("former").alias("strategy"), "pt_code", "primaryid", "pt")
-    return first.unionByName(second)
+    return coded.join(sized_broadcast(preferred.unionByName(former)), "pt")

@@ -6,6 +6,7 @@ import io
 import sys
 import zipfile
 from collections.abc import Iterable, Iterator
+from functools import partial
 
 import pyarrow as pa
 from pyspark import cloudpickle
@@ -15,10 +16,11 @@ from quarterlode.bindings import views as V
 from quarterlode.bindings.registry import query
 from quarterlode.functions import text as X
 from quarterlode.operators import repairs as R
+from quarterlode.operators.cases import remove_deleted
 from quarterlode.operators.conform import enrich, ingest
 from quarterlode.schemas import RESCUED, TABLES
-from quarterlode.session import new_path
-from quarterlode.sources.archives import read_lines
+from quarterlode.session import materialise, new_path
+from quarterlode.sources.archives import DELETED, deleted_lines, read_lines
 from quarterlode.sources.delimited import parse_table, read_corrected, write_corrected
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -59,6 +61,46 @@ def delimited_scan(spark, d):
     return parse_table(_repaired(spark, d), "demo", V.RUN_TIME).select(*PARSED)
 
 
+def fact_sql(table: str) -> str:
+    """A fact table as its raw files give it back: empty texts are null."""
+    columns = ", ".join(f"nullif({c}, '') AS {c}" if c in ("pt", "indi_pt", "drug_rec_act", "prod_ai", "drugname") else c
+                        for c in V.RAW_COLUMNS[table])
+    return f"SELECT {columns}, period, CAST({V.RUN_TIME} AS BIGINT) AS processing_time FROM {table}"
+
+
+def fact_columns(rows, table: str):
+    return rows.select(*V.RAW_COLUMNS[table], "period", "processing_time")
+
+
+def _scan(table, spark, d):
+    return fact_columns(parse_table(R.repair_files(V.raw_fact_lines(spark, d, table)), table, V.RUN_TIME), table)
+
+
+for _table in V.RAW_COLUMNS:
+    query(f"scan_{_table}", fact_sql(_table))(partial(_scan, _table))
+
+
+def _list_batches(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pack each Arrow batch of ids into an archive with a list of withdrawn cases."""
+    for batch in batches:
+        packed = io.BytesIO()
+        with zipfile.ZipFile(packed, "w", zipfile.ZIP_DEFLATED) as archive:
+            ids = [str(i) for i in batch["caseid"].to_pylist()]
+            archive.writestr("DELETED/DELETE24Q1.TXT", "\r\n".join([*ids[::2], ""]))
+            archive.writestr("deleted/cases.txt", "\n".join([*ids[1::2], "no id", ""]))
+            archive.writestr("ascii/DEMO24Q1.txt", "primaryid$caseid\n1$2\n")
+        yield pa.RecordBatch.from_pydict({"path": ["list.zip"], "content": [packed.getvalue()]})
+
+
+@query("deleted_from_archives", "SELECT f.* FROM demo f WHERE NOT EXISTS (SELECT 1 FROM gone g WHERE g.caseid = f.caseid)")
+def deleted_from_archives(spark, d):
+    """Lists of withdrawn cases are packed, read back and taken off the reports."""
+    ids = V.deleted(spark, d).where("caseid is not null")
+    archives = ids.mapInArrow(_list_batches, "path string, content binary")
+    listed = deleted_lines(read_lines(archives, (DELETED,)))
+    return remove_deleted(V.demo(spark, d), materialise(listed.select("caseid"), "deleted"))
+
+
 @query("schema_drift_rescue", """
     SELECT o_orderkey AS primaryid, CASE WHEN header LIKE 'primaryid%' THEN 'note ' || o_orderstatus END AS site_note,
            CAST(CASE WHEN header LIKE 'primaryid%' THEN CASE WHEN file IN ('demo12q4.txt','demo13q1.txt') THEN 1 ELSE 2 END

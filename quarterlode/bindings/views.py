@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from quarterlode.functions.periods import format_period, is_current_era
 from quarterlode.operators.mapping import atc_struct
+from quarterlode.schemas import RENAMES
 from quarterlode.sources.tables import fixed_table
 
 RUN_TIME = 1_700_000_000
@@ -142,6 +143,41 @@ def raw_lines(spark, d):
         F.when(current, current_line).otherwise(legacy_line).alias("line"))
 
 
+def raw_layout(table_name: str) -> tuple[list[str], list[str]]:
+    """Columns of a table's raw files in the current era, and their names in the legacy era."""
+    names = RAW_COLUMNS[table_name]
+    older = {new: old for old, new in RENAMES[table_name].items()}
+    return names, [older.get(n, n).upper() for n in names]
+
+
+# What the fact views hold of each table.
+RAW_COLUMNS = {
+    "drug": ["primaryid", "caseid", "drug_seq", "drugname", "prod_ai"],
+    "reac": ["primaryid", "caseid", "pt", "drug_rec_act"],
+    "indi": ["primaryid", "caseid", "indi_drug_seq", "indi_pt"],
+    "outc": ["primaryid", "caseid", "outc_cod"],
+    "rpsr": ["primaryid", "caseid", "rpsr_cod"],
+    "ther": ["primaryid", "caseid", "dsg_drug_seq", "start_dt", "dur", "dur_cod"],
+}
+
+
+def raw_facts(spark, d, table_name: str):
+    """A fact view as it stands in raw files: its texts, its file, and whether that is of the legacy era."""
+    file = F.concat(F.lit(table_name), F.col("period"), F.lit(".txt"))
+    texts = [F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in RAW_COLUMNS[table_name]]
+    return FACTS[table_name](spark, d).select(*texts, file.alias("file"), (F.col("period") < "12q4").alias("legacy"))
+
+
+def raw_fact_lines(spark, d, table_name: str):
+    """Data lines of the raw files of a table; those of the legacy era end with a surplus delimiter."""
+    names, older = raw_layout(table_name)
+    line = F.concat_ws("$", *names)
+    return raw_facts(spark, d, table_name).select(
+        "file", F.lit(1).cast("bigint").alias("line_no"),
+        F.when(F.col("legacy"), "$".join(older)).otherwise("$".join(names)).alias("header"),
+        F.when(F.col("legacy"), F.concat(line, F.lit("$"))).otherwise(line).alias("line"))
+
+
 def raw_headers(spark, d):
     """Header lines of the raw files."""
     heads = raw_lines(spark, d).select("file", "header").distinct()

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -76,7 +75,7 @@ def check_schema(df: DataFrame, table: str) -> DataFrame:
     expected = [(f.name, f.dataType) for f in schema_of(table).fields]
     actual = [(f.name, f.dataType) for f in df.schema.fields]
     if expected != actual:
-        raise ValueError(f"Schema mismatch for {table}: expected {expected}, got {actual}")
+        raise ValueError(f"columns of {table} are {actual}, not {expected}")
     return df
 
 
@@ -96,7 +95,7 @@ def check_columns(df: DataFrame, expected: T.StructType) -> DataFrame:
     """Pass the frame on if it holds at least the expected columns, else ``ValueError``."""
     missing, wrong = schema_differences(df, expected)
     if missing or wrong:
-        raise ValueError(f"Schema mismatch: missing {missing}, wrong types {wrong}")
+        raise ValueError(f"columns absent: {missing}; of another type: {wrong}")
     return df
 
 
@@ -146,8 +145,3 @@ def enrich(df: DataFrame, processing_time: int, period) -> DataFrame:
         "processing_time": F.lit(processing_time).cast("bigint"),
         "period": period,
     })
-
-
-def type_names(schema: T.StructType) -> Mapping[str, str]:
-    """Column name to simple type text."""
-    return {f.name: f.dataType.simpleString() for f in schema.fields}

@@ -112,13 +112,15 @@ def correction_audit(
     lines: DataFrame,
     repairs: DataFrame,
     renames: Mapping[str, str] = FILE_RENAMES,
-    bad_bytes: tuple[str, ...] = FILES_WITH_BAD_BYTES,
+    decoding: DataFrame | None = None,
 ) -> DataFrame:
     """Corrections per file and kind, from the header line of each file.
 
-    ``lines`` are raw lines, before any repair. Kinds: ``file_rename``,
-    ``encoding``, ``line_repair``, ``column_drop``, ``column_rename`` (one step
-    per file) and ``column_add``.
+    ``lines`` are raw lines, before any repair; ``decoding`` holds ``file, dropped,
+    latin`` of the files that were not plain UTF-8. Kinds: ``file_rename``,
+    ``encoding`` (bytes left out), ``latin1`` (lines read as Latin-1),
+    ``line_repair``, ``column_drop``, ``column_rename`` (one step per file) and
+    ``column_add``.
     """
     table = table_of(F.col("file"), TABLES)
     heads = lines.where((F.col("line_no") == 0) & table.isNotNull()).select("file", "line").distinct()
@@ -130,6 +132,12 @@ def correction_audit(
     if is_small(repairs):
         planned = F.broadcast(planned)
     heads = repair_headers(heads, repairs).join(planned, "file", "left")
+    none = F.lit(None).cast("bigint")
+    if decoding is None:
+        heads = heads.withColumns({"dropped": none, "latin": none})
+    else:
+        # a row per file that was not plain, at most as many as there are heads
+        heads = heads.join(decoding.withColumnRenamed("file", "raw_file"), "raw_file", "left")
 
     def per_table(values: Mapping[str, object]) -> Column:
         pairs = [x for t in TABLES for x in (F.lit(t), F.array(*map(F.lit, values.get(t, ()))).cast("array<string>"))]
@@ -150,7 +158,8 @@ def correction_audit(
 
     counts = {
         "file_rename": n(F.col("raw_file") != F.col("file")),
-        "encoding": n(F.col("file").isin(*bad_bytes)),
+        "encoding": F.coalesce("dropped", F.lit(0).cast("bigint")),
+        "latin1": F.coalesce("latin", F.lit(0).cast("bigint")),
         "line_repair": F.coalesce("n_repairs", F.lit(0)),
         "column_drop": F.size(F.array_intersect(per_table(DROPS), F.col("_tokens"))).cast("bigint"),
         "column_rename": F.lit(1).cast("bigint"),

@@ -6,35 +6,36 @@ from pyspark.sql import DataFrame, SparkSession
 
 from quarterlode.operators.conform import ingest
 from quarterlode.operators.period_sets import periods_text
-from quarterlode.schemas import TABLES
-from quarterlode.sources.archives import binary_files
+from quarterlode.sources.archives import DELETED, binary_files
 from quarterlode.sources.delimited import read_corrected, write_corrected
 from quarterlode.sources.tables import load_periods
-from quarterlode.streaming.flows import raw_rows
+from quarterlode.streaming.flows import tables_of
 
 
 def load_archives(spark: SparkSession, source: str, base: str, processing_time: int, glob: str = "*.zip") -> None:
-    """Load every archive below ``source`` into ``base/<table>``.
+    """Load every archive below ``source`` into ``base/<table>``, and the withdrawn cases into ``base/deleted``.
 
-    One job per table; each inflates only the members of its own table. A
-    quarter that was loaded before is replaced.
+    Archives are read and inflated once; a job per table parses its lines. A run
+    of the same ``processing_time`` replaces what it wrote before.
     """
-    for table in TABLES:
-        rows = raw_rows(binary_files(spark, source, glob), table, processing_time)
-        load_periods(rows, f"{base}/{table}")
+    for name, rows in tables_of(binary_files(spark, source, glob), processing_time).items():
+        if name == DELETED:
+            rows.where("caseid is not null").select("caseid").write.mode("overwrite").parquet(f"{base}/{name}/load=load-{processing_time}")
+        else:
+            load_periods(rows, f"{base}/{name}", processing_time)
 
 
 def write_corrected_tables(
     spark: SparkSession, source: str, base: str, processing_time: int, glob: str = "*.zip"
 ) -> None:
     """Repair every archive below ``source`` to delimited text, ``base/<table>``."""
-    for table in TABLES:
-        write_corrected(raw_rows(binary_files(spark, source, glob), table, processing_time), f"{base}/{table}")
+    for name, rows in tables_of(binary_files(spark, source, glob), processing_time).items():
+        write_corrected(rows, f"{base}/{name}")
 
 
-def ingest_corrected(spark: SparkSession, source: str, base: str, table: str) -> DataFrame:
+def ingest_corrected(spark: SparkSession, source: str, base: str, table: str, load: str | int) -> DataFrame:
     """Ingest corrected text of one table and give the loaded periods as one text."""
     rows = ingest(read_corrected(spark, source, table), table)
-    load_periods(rows, f"{base}/{table}")
+    load_periods(rows, f"{base}/{table}", load)
     return periods_text(spark.read.parquet(f"{base}/{table}"))
 

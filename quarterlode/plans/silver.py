@@ -6,8 +6,9 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 
-from quarterlode.operators.cases import remove_deleted
+from quarterlode.operators.cases import deleted_ids, remove_deleted
 from quarterlode.operators.entities import Extractor, attach_coded_entities, drug_entities, drug_terms
+from quarterlode.operators.lookup import is_small
 from quarterlode.operators.mapping import Resolver, cascade, unmapped_entities, upsert
 from quarterlode.operators.meddra import code_terms
 from quarterlode.schemas import ENTITY_MAP_SCHEMA
@@ -17,19 +18,41 @@ from quarterlode.sources.tables import read_version, refresh_table, write_versio
 PARTITIONED = ("drug", "reac", "indi")
 
 
-def silver_plain(fact: DataFrame, deleted: DataFrame) -> DataFrame:
+def silver_plain(fact: DataFrame, deleted: DataFrame, small: bool | None = None) -> DataFrame:
     """``demo``, ``outc``, ``rpsr`` and ``ther``: withdrawn cases removed."""
-    return remove_deleted(fact, deleted)
+    return remove_deleted(fact, deleted, small)
 
 
-def silver_terms(fact: DataFrame, table: str, deleted: DataFrame, preferred: DataFrame, former: DataFrame) -> DataFrame:
+def silver_terms(
+    fact: DataFrame, table: str, deleted: DataFrame, preferred: DataFrame, former: DataFrame, small: bool | None = None
+) -> DataFrame:
     """``reac`` and ``indi``: withdrawn cases removed, terms coded."""
-    return code_terms(remove_deleted(fact, deleted), table, preferred, former)
+    return code_terms(remove_deleted(fact, deleted, small), table, preferred, former)
 
 
-def silver_drug(drug: DataFrame, deleted: DataFrame, entities: DataFrame, mapping: DataFrame) -> DataFrame:
+def silver_drug(
+    drug: DataFrame, deleted: DataFrame, entities: DataFrame, mapping: DataFrame, small: bool | None = None
+) -> DataFrame:
     """``drug``: withdrawn cases removed, one row per named entity, with class codes."""
-    return attach_coded_entities(remove_deleted(drug, deleted), entities, mapping)
+    return attach_coded_entities(remove_deleted(drug, deleted, small), entities, mapping)
+
+
+def silver_tables(
+    facts: Mapping[str, DataFrame], deleted: DataFrame, preferred: DataFrame, former: DataFrame,
+    entities: DataFrame | None = None, mapping: DataFrame | None = None,
+) -> dict[str, DataFrame]:
+    """The analysis tables of the given typed tables; the deleted list is stored and measured once for all."""
+    gone = materialise(deleted_ids(deleted), "gone")
+    small = is_small(gone)
+    made = {}
+    for name, fact in facts.items():
+        if name in ("reac", "indi"):
+            made[name] = silver_terms(fact, name, gone, preferred, former, small)
+        elif name == "drug":
+            made[name] = silver_drug(fact, gone, entities, mapping, small)
+        else:
+            made[name] = silver_plain(fact, gone, small)
+    return made
 
 
 def entity_table(drug: DataFrame, extract: Extractor) -> DataFrame:

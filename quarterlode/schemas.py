@@ -41,6 +41,7 @@ _TYPES = {"bigint": T.LongType(), "double": T.DoubleType(), "string": T.StringTy
 
 
 def _struct(layout: str) -> T.StructType:
+    # the DDL reader of Spark needs a running session, which an import must not ask for
     fields = (f.split() for f in layout.split(","))
     return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in fields])
 
@@ -89,7 +90,7 @@ ENTITY_MAP_SCHEMA = f"entity string, atc_code {ATC_CODES}, strategy string, proc
 def schema_of(table: str) -> T.StructType:
     """Schema of one of the seven tables; ``ValueError`` for any other name."""
     if table not in SCHEMAS:
-        raise ValueError(f"No predefined schema for table '{table}'")
+        raise ValueError(f"unknown table {table!r}: it is none of {', '.join(SCHEMAS)}")
     return SCHEMAS[table]
 
 

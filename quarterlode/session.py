@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -47,19 +46,11 @@ def local_session(cores: int | str = "*", memory: str = "8g", **conf: str) -> Sp
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Folder every executor can reach, as the session names it.
-
-    A folder of this machine is used only when the session names none and runs
-    on this machine alone.
-    """
+    """Folder every executor can reach, as ``spark.checkpoint.dir`` names it; give it a lifetime rule."""
     named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not named:
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    folder = tempfile.mkdtemp(prefix="quarterlode-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return named.rstrip("/")
 
 
 def new_path(spark: SparkSession, label: str) -> str:

@@ -1,7 +1,7 @@
 """Archives and text files as one frame of numbered lines.
 
-The only Python that touches rows: a task opens the files it was given and
-hands their lines on in bounded Arrow batches. Everything after is expressions.
+The only Python here: a task opens the files it was given and hands their text on
+in chunks of whole lines. The lines are split and numbered by expressions.
 """
 
 from __future__ import annotations
@@ -14,18 +14,19 @@ from functools import partial
 
 import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarterlode.functions.text import MEMBER_SUFFIX, SKIPPED_PREFIXES, base_name, logical_file
+from quarterlode.operators.repairs import FILES_WITH_BAD_BYTES
 
 # The reader travels to the executors with the plan; they need no copy of this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 BINARY_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
-LINE_SCHEMA = "path string, member string, line_no bigint, header string, line string"
-LINES_PER_BATCH = 8192
-BYTES_PER_BATCH = 8 * 1024 * 1024
+CHUNK_SCHEMA = "path string, member string, first_line bigint, header string, chunk string, dropped bigint, latin bigint"
+CHUNK_BYTES = 4 * 1024 * 1024
+DELETED = "deleted"  # stands for the lists of withdrawn cases among the tables
 
 
 def binary_files(spark: SparkSession, path: str | Sequence[str], glob: str = "*") -> DataFrame:
@@ -38,17 +39,6 @@ def binary_files(spark: SparkSession, path: str | Sequence[str], glob: str = "*"
     )
 
 
-def binary_stream(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
-    """The same files as a stream of new arrivals."""
-    return (
-        spark.readStream.format("binaryFile")
-        .schema(BINARY_SCHEMA)
-        .option("pathGlobFilter", glob)
-        .option("recursiveFileLookup", "true")
-        .load(path)
-    )
-
-
 def list_files(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
     """Paths and base names of the files that match, sorted by path."""
     files = binary_files(spark, path, glob).select("path")
@@ -65,6 +55,12 @@ def is_member(name: str) -> bool:
     )
 
 
+def is_deleted_list(path: str) -> bool:
+    """Whether a member or file lists withdrawn cases: ``delete`` in its name or folder, in any case."""
+    folder, _, name = path.rpartition("/")
+    return name.lower().endswith(MEMBER_SUFFIX) and "delete" in f"{folder.rpartition('/')[2]}/{name}".lower()
+
+
 def _texts(path: str, content: bytes, prefixes: Sequence[str]) -> Iterator[tuple[str, io.BufferedIOBase]]:
     """Name and open byte stream of each wanted text in a file."""
     wanted = tuple(prefixes)
@@ -75,56 +71,112 @@ def _texts(path: str, content: bytes, prefixes: Sequence[str]) -> Iterator[tuple
         for info in archive.infolist():
             folder, slash, name = info.filename.rpartition("/")
             lowered = name.lower()
-            if name and is_member(name) and lowered.startswith(wanted or ("",)):
+            listed = bool(name) and is_deleted_list(info.filename) and not name.startswith(".")
+            report = bool(name) and is_member(name) and lowered.startswith(wanted or ("",))
+            if (listed and (not wanted or DELETED in wanted)) or (report and not listed):
                 with archive.open(info) as stream:
                     yield folder + slash + lowered, stream
 
 
-def _line_batches(batches: Iterable[pa.RecordBatch], prefixes: Sequence[str]) -> Iterator[pa.RecordBatch]:
-    def flush(rows: list[tuple]) -> pa.RecordBatch:
-        path, member, number, header, line = zip(*rows, strict=True)
-        return pa.RecordBatch.from_arrays(
-            [pa.array(path, pa.string()), pa.array(member, pa.string()),
-             pa.array(number, pa.int64()), pa.array(header, pa.string()),
-             pa.array(line, pa.string())],
-            names=["path", "member", "line_no", "header", "line"],
-        )
+def _decoded(raw: bytes, lossy: bool) -> tuple[str, int, int]:
+    """Text, bytes left out and lines read as Latin-1.
 
+    Only files known for it may lose bytes. In others, a line that is not UTF-8 is
+    read as Latin-1, which every byte has a character in.
+    """
+    try:
+        return raw.decode(), 0, 0
+    except UnicodeDecodeError:
+        pass
+    if lossy:
+        text = raw.decode(errors="ignore")
+        return text, len(raw) - len(text.encode()), 0
+    lines, latin = [], 0
+    for line in raw.split(b"\n"):
+        try:
+            lines.append(line.decode())
+        except UnicodeDecodeError:
+            lines.append(line.decode("latin-1"))
+            latin += 1
+    return "\n".join(lines), 0, latin
+
+
+def _chunks(stream: io.BufferedIOBase) -> Iterator[bytes]:
+    """Bytes of a stream in pieces of whole lines."""
+    held = []
+    while block := stream.read(CHUNK_BYTES):
+        cut = block.rfind(b"\n") + 1
+        if cut:
+            yield b"".join([*held, block[:cut]])
+            held = [block[cut:]] if cut < len(block) else []
+        else:
+            held.append(block)
+    if held:
+        yield b"".join(held)
+
+
+def _chunk_batches(batches: Iterable[pa.RecordBatch], prefixes: Sequence[str], lossy: Sequence[str]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for path, content in zip(batch["path"], batch["content"], strict=True):
             name = path.as_py()
             for member, stream in _texts(name, content.as_py(), prefixes):
-                # undecodable bytes are left out; lines are numbered as the
-                # text layer sees them, which no later split may change
-                text = io.TextIOWrapper(stream, encoding="utf-8-sig", errors="ignore")
-                rows, size, header = [], 0, None
-                for number, line in enumerate(text):
-                    line = line.rstrip("\n")
-                    header = line if number == 0 else header
-                    rows.append((name, member, number, header, line))
-                    size += len(line) + len(header)
-                    if len(rows) >= LINES_PER_BATCH or size >= BYTES_PER_BATCH:
-                        yield flush(rows)
-                        rows, size = [], 0
-                if rows:
-                    yield flush(rows)
-
-
-def read_lines(files: DataFrame, prefixes: Sequence[str] = ()) -> DataFrame:
-    """Numbered lines of ZIP members and plain text files, with their header line.
+                loses = any(part.lower() in lossy for part in (name.replace("=", "/") + "/" + member).split("/"))
+                at, header = 0, None
+                for raw in _chunks(stream):
+                    raw = raw.removeprefix(b"\xef\xbb\xbf") if at == 0 else raw
+                    text, dropped, latin = _decoded(raw, loses)
+                    text = text.replace("\r\n", "\n").replace("\r", "\n").removesuffix("\n")
+                    header = text.partition("\n")[0] if header is None else header
+                    if raw:
+                        yield pa.RecordBatch.from_pydict({
+                            "path": [name], "member": [member], "first_line": [at], "header": [header], "chunk": [text],
+                            "dropped": [dropped], "latin": [latin]})
+                    at += text.count("\n") + 1
+
+
+def read_chunks(files: DataFrame, prefixes: Sequence[str] = (), lossy: Sequence[str] = FILES_WITH_BAD_BYTES) -> DataFrame:
+    """Text of ZIP members and plain text files in chunks of whole lines.
 
     ``files`` has the columns ``path`` and ``content``, as a batch or a stream.
-    ``prefixes`` restricts archives to members of those tables, so that the
-    others are not even inflated. Works on whole files up to the 2 GB a binary
-    column can hold.
+    ``prefixes`` restricts archives to members of those tables (:data:`DELETED`
+    names the lists of withdrawn cases), so that the others are not even
+    inflated. ``lossy`` names the files that may lose bytes. Works on whole files
+    up to the 2 GB a binary column can hold.
 
-    Returns ``path, member, file, line_no, header, line``; line 0 is the header.
+    Returns ``path, member, file, first_line, header, chunk, dropped, latin``: the
+    header line, bytes left out of the chunk, and its lines read as Latin-1.
     """
-    lines = files.select("path", "content").mapInArrow(
-        partial(_line_batches, prefixes=tuple(prefixes)), LINE_SCHEMA
-    )
-    from_path = logical_file(F.col("path"))
-    file = F.coalesce(from_path, F.lower(base_name(F.col("member"))))
-    return lines.select("path", "member", file.alias("file"), "line_no", "header", "line")
+    chunks = files.select("path", "content").mapInArrow(
+        partial(_chunk_batches, prefixes=tuple(prefixes), lossy=tuple(lossy)), CHUNK_SCHEMA)
+    file = F.coalesce(logical_file(F.col("path")), F.lower(base_name(F.col("member"))))
+    return chunks.withColumn("file", file)
+
+
+def split_lines(chunks: DataFrame) -> DataFrame:
+    """Numbered lines of chunks: ``path, member, file, line_no, header, line``; line 0 is the header."""
+    lines = chunks.select("path", "member", "file", "first_line", "header", F.posexplode(F.split("chunk", "\n")).alias("at", "line"))
+    return lines.select("path", "member", "file", (F.col("first_line") + F.col("at")).alias("line_no"), "header", "line")
+
+
+def read_lines(files: DataFrame, prefixes: Sequence[str] = (), lossy: Sequence[str] = FILES_WITH_BAD_BYTES) -> DataFrame:
+    """Numbered lines with their header line; see :func:`read_chunks` and :func:`split_lines`."""
+    return split_lines(read_chunks(files, prefixes, lossy))
+
+
+def decoding_report(chunks: DataFrame) -> DataFrame:
+    """Files that lost bytes, or have lines read as Latin-1: ``file, dropped, latin``."""
+    found = chunks.groupBy("file").agg(F.sum("dropped").alias("dropped"), F.sum("latin").alias("latin"))
+    return found.where("dropped > 0 OR latin > 0")
+
+
+def in_deleted_list(path: Column, member: Column) -> Column:
+    """:func:`is_deleted_list` for lines: by the member in an archive, else by the path."""
+    named = F.when(F.lower(path).endswith(MEMBER_SUFFIX), path).otherwise(member)
+    return F.lower(named).rlike(r"(?:^|/)(?:[^/]*delete[^/]*/[^/]*|[^/]*delete[^/]*)\.txt$")
 
 
+def deleted_lines(lines: DataFrame) -> DataFrame:
+    """Ids of withdrawn cases, ``caseid, line``: the lists have no header, a line that is no number has a null id."""
+    listed = lines.where(in_deleted_list(F.col("path"), F.col("member")) & (F.trim("line") != ""))
+    text = F.trim("line")
+    return listed.select(F.when(text.rlike("^[0-9]{1,18}$"), text).cast("bigint").alias("caseid"), "line")

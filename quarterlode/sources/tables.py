@@ -32,17 +32,19 @@ def read_or_empty(spark: SparkSession, path: str, schema: T.StructType | str) ->
         return empty
 
 
-def load_periods(df: DataFrame, path: str) -> None:
-    """Append to a table partitioned by period; a period that comes again is replaced.
+def load_periods(df: DataFrame, path: str, load: str | int) -> None:
+    """Append to a table partitioned by period and load.
 
-    The rebalance hint gives each period files of even size and splits a period
-    that dwarfs the others over several tasks.
+    A load that runs again replaces what it wrote before; rows of a period that
+    came with other loads stay. The rebalance hint gives each period files of
+    even size and splits a period that dwarfs the others over several tasks.
     """
     (
-        df.hint("rebalance", "period")
+        df.withColumn("load", F.lit(f"load-{load}"))
+        .hint("rebalance", "period")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("period")
+        .partitionBy("period", "load")
         .parquet(path)
     )
 
@@ -52,15 +54,6 @@ def distinct_periods(df: DataFrame) -> DataFrame:
     return df.select("period").where(F.col("period").isNotNull()).distinct()
 
 
-def refresh_table(df: DataFrame, path: str, partition_by: str | None = None) -> None:
-    """Replace a table as a whole."""
-    if partition_by:
-        df.hint("rebalance", partition_by).write.mode("overwrite").option(
-            "partitionOverwriteMode", "static").partitionBy(partition_by).parquet(path)
-    else:
-        df.hint("rebalance").write.mode("overwrite").parquet(path)
-
-
 def current_version(spark: SparkSession, path: str) -> int | None:
     """Newest committed version of a versioned table, ``None`` before the first."""
     commits = read_or_empty(spark, f"{path}/commits", "version bigint")
@@ -72,10 +65,11 @@ def read_version(spark: SparkSession, path: str, schema: T.StructType | str) ->
     version = current_version(spark, path)
     if version is None:
         return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(f"{path}/v{version:06d}")
+    empty = spark.createDataFrame([], schema)
+    return spark.read.schema(empty.schema).parquet(f"{path}/v{version:06d}").select(*empty.columns)
 
 
-def write_version(df: DataFrame, path: str) -> int:
+def write_version(df: DataFrame, path: str, partition_by: str | None = None) -> int:
     """Write a new version beside the one being read, then commit it.
 
     A version whose commit row is missing is never read, and is written anew by
@@ -83,6 +77,14 @@ def write_version(df: DataFrame, path: str) -> int:
     """
     spark = df.sparkSession
     version = (current_version(spark, path) or 0) + 1
-    df.write.mode("overwrite").parquet(f"{path}/v{version:06d}")
+    writer = df.hint("rebalance", *([partition_by] if partition_by else [])).write.mode("overwrite").option(
+        "partitionOverwriteMode", "static")
+    writer = writer.partitionBy(partition_by) if partition_by else writer
+    writer.parquet(f"{path}/v{version:06d}")
     spark.range(version, version + 1, 1, 1).toDF("version").write.mode("append").parquet(f"{path}/commits")
     return version
+
+
+def refresh_table(df: DataFrame, path: str, partition_by: str | None = None) -> None:
+    """Replace a table as a whole, as a new version: a write that fails leaves the old one."""
+    write_version(df, path, partition_by)

@@ -14,26 +14,38 @@ from pyspark.sql import types as T
 
 from quarterlode.operators.conform import ingest
 from quarterlode.operators.entities import drug_terms
-from quarterlode.operators.repairs import repair_files
+from quarterlode.functions.text import table_of
+from quarterlode.operators.repairs import rename_files, repair_files
 from quarterlode.schemas import DELETED_SCHEMA, TABLES
-from quarterlode.sources.archives import BINARY_SCHEMA, read_lines
+from quarterlode.session import new_path
+from quarterlode.sources.archives import BINARY_SCHEMA, DELETED, deleted_lines, in_deleted_list, read_lines
 from quarterlode.sources.delimited import parse_table
-from quarterlode.sources.tables import read_or_empty
+from quarterlode.sources.tables import load_periods, read_or_empty
 
 TERM_SCHEMA = "drugname string, prod_ai string, term string"
 
 
-def append(stream: DataFrame, path: str, partition_by: str | None = None) -> None:
+def append(stream: DataFrame, path: str) -> None:
     """Append a stream to a Parquet table; each input row lands once, also on restart."""
-    writer = (
+    (
         stream.writeStream.format("parquet")
         .outputMode("append")
         .option("checkpointLocation", f"{path}/_checkpoint")
         .trigger(availableNow=True)
+        .start(path)
+        .awaitTermination()
+    )
+
+
+def each_batch(stream: DataFrame, checkpoint: str, write: Callable[[DataFrame, int], None]) -> None:
+    """Hand what has arrived to ``write``, which must leave the same when a batch comes again."""
+    (
+        stream.writeStream.foreachBatch(write)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+        .awaitTermination()
     )
-    if partition_by:
-        writer = writer.partitionBy(partition_by)
-    writer.start(path).awaitTermination()
 
 
 def arrivals(spark: SparkSession, folder: str, prefix: str = "", suffix: str = "") -> DataFrame:
@@ -60,11 +72,35 @@ def stage_table(spark: SparkSession, folder: str, table: str, path: str, process
     append(raw_rows(arrivals(spark, folder, table, ".txt"), table, processing_time), path)
 
 
+def split_by_table(files: DataFrame) -> DataFrame:
+    """Lines of files or archives, read once and stored by table, with the column ``table``.
+
+    Lists of withdrawn cases are the table :data:`~quarterlode.sources.archives.DELETED`.
+    """
+    lines = read_lines(files, (*TABLES, DELETED))
+    listed = in_deleted_list(F.col("path"), F.col("member"))
+    table = F.when(listed, F.lit(DELETED)).otherwise(table_of(rename_files(F.col("file")), TABLES))
+    path = new_path(files.sparkSession, "lines")
+    named = lines.withColumn("table", table).where("table is not null")
+    named.write.partitionBy("table").parquet(path)
+    return read_or_empty(files.sparkSession, path, named.schema)
+
+
+def tables_of(files: DataFrame, processing_time: int) -> dict[str, DataFrame]:
+    """Typed rows of all tables, and ``deleted`` ids with their lines, from one read of the files."""
+    lines = split_by_table(files)
+    rows = {t: parse_table(repair_files(lines.where(F.col("table") == t)), t, processing_time) for t in TABLES}
+    return {**rows, DELETED: deleted_lines(lines.where(F.col("table") == DELETED))}
+
+
 def stage_archives(spark: SparkSession, folder: str, base: str, processing_time: int) -> None:
-    """Archives to the staging tables of all seven tables, ``base/<table>``."""
-    for table in TABLES:
-        files = arrivals(spark, folder, suffix=".zip")
-        append(raw_rows(files, table, processing_time), f"{base}/{table}")
+    """Archives to the staging tables of all seven tables and the deleted list, ``base/<table>``."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        for name, rows in tables_of(batch, processing_time).items():
+            part = rows.withColumn("load", F.lit(f"load-{batch_id}"))
+            (part.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("load").parquet(f"{base}/{name}"))
+
+    each_batch(arrivals(spark, folder, suffix=".zip"), f"{base}/_checkpoint", write)
 
 
 def deleted_stream(spark: SparkSession, folder: str) -> DataFrame:
@@ -87,8 +123,11 @@ def typed_stream(spark: SparkSession, path: str, schema: T.StructType | str, tab
 
 
 def load_typed(spark: SparkSession, source: str, schema: T.StructType | str, table: str, path: str) -> None:
-    """Staging table to the typed table, partitioned by period."""
-    append(typed_stream(spark, source, schema, table), path, "period")
+    """Staging table to the typed table, by period; a batch is a load."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        load_periods(batch, path, f"stream-{batch_id}")
+
+    each_batch(typed_stream(spark, source, schema, table), f"{path}/_checkpoint", write)
 
 
 def append_new_rows(
@@ -122,13 +161,7 @@ def append_new_rows(
             .parquet(path)
         )
 
-    (
-        stream.writeStream.foreachBatch(write)
-        .option("checkpointLocation", f"{path}/_checkpoint")
-        .trigger(availableNow=True)
-        .start()
-        .awaitTermination()
-    )
+    each_batch(stream, f"{path}/_checkpoint", write)
 
 
 def distinct_terms(spark: SparkSession, source: str, schema: T.StructType | str, path: str) -> None:

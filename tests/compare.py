@@ -61,7 +61,7 @@ def main(sf_dir: str, *names: str) -> int:
     import __spark_entry__ as entry
     from quarterlode.session import local_session
 
-    spark, con = local_session(8), duck(sf_dir)
+    spark, con = local_session(8, **{"spark.checkpoint.dir": "/tmp/quarterlode-compare"}), duck(sf_dir)
     queries, oracles, failed = entry.queries(), entry.oracle_sql(), 0
     for name in names or queries:
         start = time.time()

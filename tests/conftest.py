@@ -12,8 +12,9 @@ from quarterlode.session import local_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
-    session = local_session(8, "8g")
+def spark(tmp_path_factory):
+    shared = str(tmp_path_factory.mktemp("shared"))
+    session = local_session(8, "8g", **{"spark.checkpoint.dir": shared})
     session.conf.set("spark.sql.shuffle.partitions", "4")
     yield session
     session.stop()

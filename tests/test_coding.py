@@ -105,10 +105,12 @@ def test_drug_terms(spark, rows):
 
 
 def test_entities(spark, rows):
-    vocabulary = spark.createDataFrame([("acid",), ("folic acid",), ("a,b c",), (None,)], "entity string")
-    terms = spark.createDataFrame([("Folic".lower() + "\t acid tab acid",), ("  lone ",), ("\t",), ("",), (None,), ("acidic",)], "term string")
+    vocabulary = spark.createDataFrame([("acid",), ("folic acid",), ("a,b c",), (None,), ("sodium",),
+                                        ("sodium chloride 0.9 percent",)], "entity string")
+    terms = spark.createDataFrame([("Folic".lower() + "\t acid tab acid",), ("sodium chloride 0.9 percent",), ("sodium chloride 0.9",), ("  lone ",), ("\t",), ("",), (None,), ("acidic",)], "term string")
     found = {r.term: r.entities for r in E.match_entities(terms, vocabulary).collect()}
-    assert found == {"folic\t acid tab acid": ["acid", "folic acid"], "  lone ": ["lone"], "acidic": ["acidic"]}
+    assert found == {"folic\t acid tab acid": ["acid", "folic acid"], "  lone ": ["lone"], "acidic": ["acidic"],
+                     "sodium chloride 0.9 percent": ["sodium", "sodium chloride 0.9 percent"], "sodium chloride 0.9": ["sodium"]}
     text = spark.createDataFrame([(["a,b", "c \t d"],), (None,)], "e array<string>").select(E.entities_text(F.col("e")))
     assert [r[0] for r in text.collect()] == ["a b,c d", None]
 
@@ -116,7 +118,7 @@ def test_entities(spark, rows):
 def test_runs_against_brute_force(spark):
     texts = ["a", "a b", "a b c d e", "x x x"]
     df = spark.createDataFrame([(t,) for t in texts], "t string")
-    for t, runs in df.select("t", E.word_runs(F.col("t"), 3)).collect():
+    for t, runs in df.select("t", E.word_runs(F.col("t"), (1, 2, 3))).collect():
         w = t.split()
         want = {" ".join(w[i:i + n]) for n in (1, 2, 3) for i in range(len(w) - n + 1)}
         assert set(runs) == want and len(runs) == len(want)

@@ -15,7 +15,8 @@ from quarterlode.plans import quarterly
 from quarterlode.schemas import RESCUED, TABLES
 from quarterlode.sources import archives as A
 from quarterlode.sources import delimited as D
-from quarterlode.sources.tables import read_or_empty
+from quarterlode.sources.tables import load_periods, read_or_empty
+from quarterlode.streaming.flows import tables_of
 
 DEMO_HEADER = ("primaryid$caseid$caseversion$i_f_cod$event_dt$mfr_dt$init_fda_dt$fda_dt$rept_cod$auth_num$mfr_num"
                "$mfr_sndr$lit_ref$age$age_cod$age_grp$sex$e_sub$wt$wt_cod$rept_dt$to_mfr$occp_cod$reporter_country$occr_country")
@@ -151,8 +152,9 @@ def test_line_numbers_are_physical(spark, tmp_path):
     assert got[1] == "1$2$A\x0bB" and got[2] == "1$2$C D\x85" and len(got) == 3
 
 
-def test_large_member_comes_in_batches(spark, tmp_path):
-    n = 3 * A.LINES_PER_BATCH + 5
+def test_large_member_comes_in_chunks(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(A, "CHUNK_BYTES", 50_000)
+    n = 30_005
     body = "primaryid$caseid$outc_cod\n" + "".join(f"{i}$1$DE\n" for i in range(n))
     pack(tmp_path / "a.zip", **{"outc24q1_dot_txt": body})
     lines = A.read_lines(A.binary_files(spark, str(tmp_path)))
@@ -177,14 +179,18 @@ def test_names(spark):
 
 def test_correction_audit(spark, rows, tmp_path):
     put(tmp_path, "demo18q1_new.txt", DEMO_HEADER + "$confid$image", DEMO_LINE)
-    put(tmp_path, "drug19q3.txt", DRUG_HEADER, DRUG_LINE)
+    (tmp_path / "drug19q3.txt").write_bytes(DRUG_HEADER.encode() + b"\n\xff" + DRUG_LINE.encode() + b"\xe2\x82")
+    (tmp_path / "reac24q1.txt").write_bytes("primaryid$caseid$pt\n1$2$SJÖGREN\n3$4$é\n".encode("latin-1"))
     put(tmp_path, "drug12q4.txt", "isr$lot_nbr$drug_seq", "1$2$3")
     put(tmp_path, "size19q3.txt", "x")
-    lines = A.read_lines(A.binary_files(spark, str(tmp_path)))
-    assert rows(R.correction_audit(lines, R.known_repairs(spark))) == [
+    chunks = A.read_chunks(A.binary_files(spark, str(tmp_path)))
+    lines = A.split_lines(chunks)
+    assert {r.line for r in lines.where("file = 'reac24q1.txt'").collect()} == {"primaryid$caseid$pt", "1$2$SJÖGREN", "3$4$é"}
+    assert rows(R.correction_audit(lines, R.known_repairs(spark), decoding=A.decoding_report(chunks))) == [
         ("demo18q1.txt", "column_drop", 2), ("demo18q1.txt", "column_rename", 1), ("demo18q1.txt", "file_rename", 1),
         ("drug12q4.txt", "column_add", 8), ("drug12q4.txt", "column_rename", 1), ("drug12q4.txt", "line_repair", 1),
-        ("drug19q3.txt", "column_rename", 1), ("drug19q3.txt", "encoding", 1)]
+        ("drug19q3.txt", "column_rename", 1), ("drug19q3.txt", "encoding", 3),
+        ("reac24q1.txt", "column_add", 1), ("reac24q1.txt", "column_rename", 1), ("reac24q1.txt", "latin1", 2)]
 
 
 def test_archives_to_tables(spark, tmp_path):
@@ -204,7 +210,7 @@ def test_archives_to_tables(spark, tmp_path):
 
     text, again = str(tmp_path / "text"), str(tmp_path / "again")
     quarterly.write_corrected_tables(spark, str(tmp_path / "in"), text, 7)
-    assert quarterly.ingest_corrected(spark, f"{text}/indi", again, "indi").first()[0] == "11q2,24q1"
+    assert quarterly.ingest_corrected(spark, f"{text}/indi", again, "indi", 1).first()[0] == "11q2,24q1"
     assert sorted(tuple(r) for r in read_or_empty(spark, f"{again}/indi", schema).collect()) == want
 
 
@@ -216,10 +222,55 @@ def test_zip_of_nothing(spark, tmp_path):
 
 
 def test_reader_needs_no_package_on_executors(tmp_path):
-    (tmp_path / "f.pkl").write_bytes(cloudpickle.dumps(A._line_batches))
+    (tmp_path / "f.pkl").write_bytes(cloudpickle.dumps(A._chunk_batches))
     code = ("import pickle, pyarrow as pa\n"
             f"read = pickle.load(open({str(tmp_path / 'f.pkl')!r}, 'rb'))\n"
             "batch = pa.RecordBatch.from_pydict({'path': ['/x/a.txt'], 'content': [b'h\\nl\\n']})\n"
-            "assert [b.num_rows for b in read([batch], ())] == [2]\n")
+            "assert [b['chunk'].to_pylist() for b in read([batch], (), ())] == [['h\\nl']]\n")
     done = subprocess.run([sys.executable, "-c", code], cwd="/", capture_output=True, text=True, env={"PATH": ""})
     assert done.returncode == 0, done.stderr
+
+
+def test_withdrawn_cases_from_archives(spark, tmp_path):
+    """Lists in any case, in name or folder, without a header; ids that are no numbers are counted."""
+    pack(tmp_path / "in/a.zip", **{"DELETED__DELETE24Q1_dot_TXT": "12\r\n34\r\n", "deleted__cases_dot_txt": "56\nbad\n\n",
+                                   "ASCII__DEMO24Q1_dot_TXT": DEMO_HEADER + "\n" + DEMO_LINE + "\n"})
+    files = A.binary_files(spark, str(tmp_path / "in"))
+    found = A.deleted_lines(A.read_lines(files, (A.DELETED,)))
+    assert sorted((r.caseid, r.line) for r in found.where("caseid is not null").collect()) == [(12, "12"), (34, "34"), (56, "56")]
+    assert [r.line for r in found.where("caseid is null").collect()] == ["bad"]
+    quarterly.load_archives(spark, str(tmp_path / "in"), str(tmp_path / "out"), 3)
+    assert {r.caseid for r in read_or_empty(spark, str(tmp_path / "out/deleted"), "caseid long").collect()} == {12, 34, 56}
+    assert read_or_empty(spark, str(tmp_path / "out/demo"), D.schema_of("demo")).count() == 1
+
+
+def test_archives_are_read_once_for_all_tables(spark, tmp_path):
+    pack(tmp_path / "in/a.zip", **{"DEMO24Q1_dot_TXT": DEMO_HEADER + "\n" + DEMO_LINE + "\n"})
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    files = A.binary_files(spark, str(tmp_path / "in")).select("path", "content").mapInArrow(count, "path string, content binary")
+    for rows in tables_of(files, 1).values():
+        rows.count()
+    assert seen.value == 1
+
+
+def test_text_keeps_blanks_and_odd_characters(spark, tmp_path):
+    odd = ["  both ends  ", "\ttab\t", 'say "hi"', "back\\slash", "dollar $ sign", " ", '"', "\\"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(odd)], "primaryid long, outc_cod string")
+    full = df.select(*[F.col(f.name) if f.name in df.columns else F.lit(None).cast(f.dataType).alias(f.name)
+                       for f in D.schema_of("outc").fields])
+    D.write_corrected(full, str(tmp_path / "t"))
+    got = {r.primaryid: r.outc_cod for r in D.read_corrected(spark, str(tmp_path / "t"), "outc").collect()}
+    assert got == {str(i): t for i, t in enumerate(odd)}
+
+
+def test_two_loads_of_a_quarter_keep_both(spark, tmp_path):
+    df = spark.createDataFrame([(1, "24q1"), (2, "24q1")], "x long, period string")
+    for load, x in (("a", 1), ("b", 2), ("b", 2)):
+        load_periods(df.where(F.col("x") == x), str(tmp_path / "t"), load)
+    assert sorted(r.x for r in spark.read.parquet(str(tmp_path / "t")).collect()) == [1, 2]

@@ -79,8 +79,8 @@ def test_classes(spark, rows):
 
 
 def test_nearest_concept_against_brute_force(spark):
-    names = [("3", "aspirin"), ("1", "Aspirine"), ("2", "ibuprofen"), ("9", "x"), ("8", "a b")]
-    terms = ["ASPIRIN", "aspirine ", "asprin", "ibuprofan", "ibu", "y", "", None, "  ", "a  b", "ab", "aspirinée"]
+    names = [("3", "aspirin"), ("1", "Aspirine"), ("2", "ibuprofen"), ("9", "x"), ("8", "a b"), ("7", "paracetamol"), ("6", "acid of paracetamol")]
+    terms = ["paracetml", "aspirin 100 mg", "mg aspirin", "zzz qqq", "x" * 20_000, "ASPIRIN", "aspirine ", "asprin", "ibuprofan", "ibu", "y", "", None, "  ", "a  b", "ab", "aspirinée"]
 
     def distance(a, b):
         row = list(range(len(b) + 1))
@@ -92,13 +92,28 @@ def test_nearest_concept_against_brute_force(spark):
         return row[-1]
 
     clean = lambda t: " ".join((t or "").lower().split())
-    want = {}
+    keys = lambda t: {*t.split(" "), *(t[i : i + 3] for i in range(len(t) - 2))}
+    held = {}
+    for i, n in names:
+        for k in keys(clean(n)):
+            held.setdefault(k, set()).add((i, clean(n)))
+    near, far = {}, {}
     for t in terms:
-        scored = sorted((distance(clean(t), clean(n)), i) for i, n in names if clean(t) and distance(clean(t), clean(n)) <= 1)
-        if scored:
-            want[t] = (scored[0][1], scored[0][0])
-    out = K.nearest_concept(spark.createDataFrame([(t,) for t in terms], "term string"), spark.createDataFrame(names, "rxcui string, name string"))
-    assert {r.term: (r.rxcui, r.distance) for r in out.collect()} == want
+        c = clean(t)
+        scored = sorted((distance(c, clean(n)), i) for i, n in names if c and abs(len(c) - len(clean(n))) <= 1)
+        if scored and scored[0][0] <= 1:
+            near[t] = (scored[0][1], scored[0][0])
+        elif c:
+            rare = sorted((len(held[k]), k) for k in keys(c) if k in held)[:3]
+            scored = sorted((distance(c, n), i) for _, k in rare for i, n in held[k])
+            if scored:
+                far[t] = (scored[0][1], scored[0][0])
+    assert far["paracetml"] == ("7", 2) and far["aspirin 100 mg"] == ("1", 7) and "zzz qqq" not in far
+    given = spark.createDataFrame([(t,) for t in terms], "term string"), spark.createDataFrame(names, "rxcui string, name string")
+    got = lambda **bound: {r.term: (r.rxcui, r.distance) for r in K.nearest_concept(*given, **bound).collect()}
+    assert got() == near | far
+    assert got(max_distance=1) == near
+    assert got(max_distance=2) == near | {t: v for t, v in far.items() if v[1] <= 2}
 
 
 @pytest.fixture()
