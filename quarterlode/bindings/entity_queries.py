@@ -92,7 +92,7 @@ def prompt_build(spark, d):
 
 
 @query("atc_from_json", """
-    SELECT event_id, CASE event_type WHEN 'click' THEN 'C' || CAST(user_id AS VARCHAR) || ',Z' WHEN 'view' THEN '' END AS ids,
+    SELECT event_id, CASE event_type WHEN 'click' THEN 'C' || CAST(user_id AS VARCHAR) || '|a|ATC1-4,Z|b|ATC1-4' WHEN 'view' THEN '' END AS ids,
            CASE event_type WHEN 'click' THEN '[{"id":"C' || CAST(user_id AS VARCHAR) ||
                 '","name":"a","class_type":"ATC1-4"},{"id":"Z","name":"b","class_type":"ATC1-4"}]'
                 WHEN 'view' THEN '[]' END AS round_trip
@@ -181,18 +181,14 @@ def resolve_atc(spark, d):
 
 
 @query("resolve_join_back", """
-    SELECT f.primaryid, f.drug_seq, lower(string_split(f.drugname, ' ')[2]) AS entity, string_split(r.codes, ',')[1] AS first_code,
-           len(string_split(r.codes, ','))::INT AS n_codes
+    SELECT f.primaryid, f.drug_seq, lower(string_split(f.drugname, ' ')[2]) AS entity, r.codes
     FROM drug f LEFT JOIN (SELECT entity, codes FROM resolved) r
     ON r.entity = lower(string_split(f.drugname, ' ')[2])""")
 def resolve_join_back(spark, d):
     noun = F.lower(V.noun("drugname"))
     named = V.drug(spark, d).select("primaryid", "drug_seq", noun.alias("entity"))
     found = M.resolve_and_join_back(named, "entity", _resolver(spark, d))
-    codes = F.col("atc_code")
-    return found.select(
-        "primaryid", "drug_seq", "entity", F.get(codes, F.lit(0))["id"].alias("first_code"),
-        F.when(codes.isNotNull(), F.size(codes)).alias("n_codes"))
+    return found.select("primaryid", "drug_seq", "entity", V.codes_text(F.col("atc_code")).alias("codes"))
 
 
 @query("unmapped_entities", "SELECT entity FROM entities WHERE entity NOT IN (SELECT entity FROM old_map)")
@@ -204,11 +200,12 @@ def unmapped_entities(spark, d):
 CASCADE_SQL = """
     SELECT entity, codes, 'vocabulary' AS strategy, CAST(1700000000 AS BIGINT) AS processing_time
     FROM resolved WHERE codes IS NOT NULL
-    UNION ALL SELECT entity, 'M1', 'model', CAST(1700000000 AS BIGINT) FROM entities WHERE entity = 'gear'"""
+    UNION ALL SELECT entity, 'M1|model|ATC1-4', 'model', CAST(1700000000 AS BIGINT) FROM entities WHERE entity = 'gear'"""
 
 
-def _cascade(spark, d):
-    named = _entities(spark, d).where("entity is not null")
+def _cascade(spark, d, entities=None):
+    entities = _entities(spark, d) if entities is None else entities
+    named = entities.where("entity is not null")
     model = M.answers_resolver(V.model_answers(spark, d, M.prompt))
     return M.cascade(named, [("vocabulary", _resolver(spark, d)), ("model", model)], V.RUN_TIME)
 
@@ -226,20 +223,16 @@ def unresolved_entities(spark, d):
 
 
 @query("silver_drug", f"""
-    SELECT f.*, e.term, e.entity, string_split(m.codes, ',')[1] AS first_code,
-           len(string_split(m.codes, ','))::INT AS n_codes, m.strategy, m.processing_time AS mapping_time
+    SELECT f.*, e.term, e.entity, m.codes, m.strategy, m.processing_time AS mapping_time
     FROM drug f
     LEFT JOIN term_entities e ON lower(f.drugname) IS NOT DISTINCT FROM e.drugname
          AND lower(f.prod_ai) IS NOT DISTINCT FROM e.prod_ai
     LEFT JOIN ({CASCADE_SQL}) m ON lower(e.entity) IS NOT DISTINCT FROM lower(m.entity)
     WHERE NOT EXISTS (SELECT 1 FROM gone g WHERE g.caseid = f.caseid)""")
 def silver_drug_query(spark, d):
-    coded = silver_drug(V.drug(spark, d), V.deleted(spark, d), _entities(spark, d), _cascade(spark, d)[0])
-    codes = F.col("atc_code")
-    return coded.withColumns({
-        "first_code": F.get(codes, F.lit(0))["id"],
-        "n_codes": F.when(codes.isNotNull(), F.size(codes)),
-    }).drop("atc_code")
+    entities = _entities(spark, d)
+    coded = silver_drug(V.drug(spark, d), V.deleted(spark, d), entities, _cascade(spark, d, entities)[0])
+    return coded.withColumn("codes", V.codes_text(F.col("atc_code"))).drop("atc_code")
 
 
 def _customer_map(spark, d, rows, tag, time):
@@ -249,11 +242,11 @@ def _customer_map(spark, d, rows, tag, time):
 
 
 @query("merge_upsert", """
-    WITH src AS (SELECT c_name AS entity, 'C' || CAST(c_nationkey AS VARCHAR) AS codes, 'C' AS strategy, CAST(3 AS BIGINT) AS processing_time
+    WITH src AS (SELECT c_name AS entity, 'C' || CAST(c_nationkey AS VARCHAR) || '|n|ATC1-4' AS codes, 'C' AS strategy, CAST(3 AS BIGINT) AS processing_time
                  FROM customer WHERE c_acctbal < 0
-                 UNION ALL SELECT s_name, 'B' || CAST(s_nationkey AS VARCHAR), 'B', CAST(2 AS BIGINT) FROM supplier)
+                 UNION ALL SELECT s_name, 'B' || CAST(s_nationkey AS VARCHAR) || '|n|ATC1-4', 'B', CAST(2 AS BIGINT) FROM supplier)
     SELECT * FROM src
-    UNION ALL SELECT c_name, 'A' || CAST(c_nationkey AS VARCHAR), 'A', CAST(1 AS BIGINT) FROM customer
+    UNION ALL SELECT c_name, 'A' || CAST(c_nationkey AS VARCHAR) || '|n|ATC1-4', 'A', CAST(1 AS BIGINT) FROM customer
     WHERE c_name NOT IN (SELECT entity FROM src)""")
 def merge_upsert(spark, d):
     customer = V.table(spark, d, "customer").select(

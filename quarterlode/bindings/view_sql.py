@@ -138,7 +138,7 @@ VIEWS = {
                'C' || CAST(n_nationkey AS VARCHAR) AS class_id, n_name AS class_name
         FROM supplier JOIN nation ON s_nationkey = n_nationkey""",
     "concept_codes": """
-        SELECT i.rxcui, string_agg(c.class_id, ',' ORDER BY i.source, i.pos, c.page) AS codes, count(*) AS n_codes
+        SELECT i.rxcui, string_agg(c.class_id || '|' || c.class_name || '|ATC1-4', ',' ORDER BY i.source, i.pos, c.page) AS codes, count(*) AS n_codes
         FROM (SELECT rxcui, related_rxcui, 0 AS source, first_page AS pos FROM related
               WHERE rxcui IN (SELECT rxcui FROM concepts)
               UNION ALL SELECT rxcui, related_rxcui, 1 + source, pos FROM history_all) i
@@ -150,7 +150,7 @@ VIEWS = {
     "resolved": """
         SELECT e.entity, k.codes FROM entities e
         LEFT JOIN near n USING (entity) LEFT JOIN concept_codes k USING (rxcui)""",
-    "old_map": "SELECT entity, 'X1' AS codes, 'earlier' AS strategy, CAST(1 AS BIGINT) AS processing_time FROM vocab WHERE length(entity)<=4",
+    "old_map": "SELECT entity, 'X1|old|ATC1-4' AS codes, 'earlier' AS strategy, CAST(1 AS BIGINT) AS processing_time FROM vocab WHERE length(entity)<=4",
 }
 
 

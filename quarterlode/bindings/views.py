@@ -292,7 +292,8 @@ def some_mapping(spark, d):
 
 
 def codes_text(codes: Column) -> Column:
-    return F.array_join(F.transform(codes, lambda c: c["id"]), ",")
+    """Whole classes as text: id, name and type of each."""
+    return F.array_join(F.transform(codes, lambda c: F.concat_ws("|", c["id"], c["name"], c["class_type"])), ",")
 
 
 def numbers_text(numbers: Column) -> Column:

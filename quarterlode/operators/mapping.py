@@ -7,6 +7,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quarterlode.operators.lookup import join_on_key
 from quarterlode.schemas import ATC_CODES
 from quarterlode.session import materialise
 
@@ -53,7 +54,7 @@ def resolve_and_join_back(df: DataFrame, key: str, resolve: Callable[[DataFrame]
 
     ``resolve`` takes and returns a frame holding ``key``, at most one row each.
     """
-    return df.join(resolve(df.select(key).distinct()), key, "left")
+    return join_on_key(df, materialise(resolve(df.select(key).where(F.col(key).isNotNull()).distinct()), "answers"), key, "left")
 
 
 def answers_resolver(answers: DataFrame, ask: Callable[[Column], Column] = prompt) -> Resolver:
