@@ -19,7 +19,8 @@ How it works, for sets of ``n`` shingles:
   discarded when count and sizes show that it cannot link. In wider columns, a pair
   not linked through the leader must share shingles outside the leader's set, or both
   must lie almost wholly inside it; the first are joined on those shingles, the
-  second within the column.
+  second on the leader, and either way only if both overlaps with the leader and what
+  lies outside it can add up to a link.
 * Every surviving pair is counted over the whole sets before it links.
 """
 
@@ -192,27 +193,29 @@ def _beyond(cells: DataFrame, rays: DataFrame, sets: DataFrame, percent: int) ->
     live = tokens.join(common, "t").groupBy("cls").agg(F.collect_list("t").alias("x"))
     members = materialise(members.join(live, "cls").where(F.size("x") >= need)
                           .withColumn("inside", F.col("both") >= need), "members")
+    theirs = sets.select(F.col("cls").alias("lead"), F.col("shingles").alias("y"))
+    members = materialise(members.join(theirs, "lead").select(
+        "cls", "n", "root", "lead", "both", "inside", F.sort_array(F.array_except("x", "y")).alias("outer")).withColumn(
+        "out", F.size("outer")), "outer")
     # partners share ``need - both`` shingles outside the leader, at least one if either is not inside: one of those
     # is among the first outer shingles of each, of which all but as many are taken
-    theirs = sets.select(F.col("cls").alias("lead"), F.col("shingles").alias("y"))
-    wanted = F.greatest(need - F.col("both"), F.lit(1)).cast("int")
-    outer = (members.where(F.col("cls") != F.col("lead")).join(theirs, "lead")
-             .withColumn("outer", F.sort_array(F.array_except("x", "y"))).withColumn("wanted", wanted)
-             .where(F.size("outer") >= F.col("wanted"))
-             .select("cls", "n", "root", "lead", "inside", F.explode(F.expr("slice(outer, 1, size(outer) - wanted + 1)")).alias("t")))
+    outer = members.withColumn("wanted", F.greatest(need - F.col("both"), F.lit(1)).cast("int")).where(
+        (F.col("cls") != F.col("lead")) & (F.col("out") >= F.col("wanted")))
+    outer = outer.withColumn("t", F.explode(F.expr("slice(outer, 1, out - wanted + 1)")))
+    most = F.least("ao", "bo") + F.least("aout", "bout")
+    met = ((F.col("ar") != F.col("br")) & _sizes_fit(F.col("an"), F.col("bn"), percent)
+           & (most * (100 + percent) >= (F.col("an") + F.col("bn")) * percent))
     x, y = _sides(outer, ["lead", "t"])
-    met = (F.col("ar") != F.col("br")) & _sizes_fit(F.col("an"), F.col("bn"), percent)
     apart = x.where(~F.col("ain")).join(y, ["lead", "t"]).where(met & (F.col("a") != F.col("b")))
-    within = cells.select("h", "cls", "n", "root", "lead").join(
-        members.where("inside").select("cls", "lead", "inside"), ["cls", "lead"])
-    u, v = _sides(within, ["h"])
-    close = u.join(v, "h").where(met & (F.col("a") < F.col("b")))
+    u, v = _sides(members.where("inside"), ["lead"])
+    close = u.join(v, "lead").where(met & (F.col("a") < F.col("b")))
     return apart.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).unionByName(close.select("a", "b"))
 
 
 def _sides(rows: DataFrame, keys: list[str]):
-    return tuple(rows.select(*keys, F.col("cls").alias(p), F.col("n").alias(p + "n"), F.col("root").alias(p + "r"),
-                             F.col("inside").alias(p + "in")) for p in "ab")
+    return tuple(rows.select(
+        *keys, F.col("cls").alias(p), F.col("n").alias(p + "n"), F.col("root").alias(p + "r"), F.col("inside").alias(p + "in"),
+        F.col("both").alias(p + "o"), F.col("out").alias(p + "out")) for p in "ab")
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **settings) -> DataFrame:
