@@ -54,7 +54,7 @@ def resolve_and_join_back(df: DataFrame, key: str, resolve: Callable[[DataFrame]
 
     ``resolve`` takes and returns a frame holding ``key``, at most one row each.
     """
-    return join_on_key(df, materialise(resolve(df.select(key).where(F.col(key).isNotNull()).distinct()), "answers"), key, "left")
+    return join_on_key(df, materialise(resolve(df.select(key).distinct()), "answers"), key, "left")
 
 
 def answers_resolver(answers: DataFrame, ask: Callable[[Column], Column] = prompt) -> Resolver:

@@ -55,3 +55,9 @@ def test_query_without_any_broadcast(spark, con, name, monkeypatch):
     finally:
         for key in off:
             spark.conf.unset(key)
+
+
+@pytest.mark.parametrize("name", ["resolve_atc", "resolve_join_back", "vocab_flatten_history", "vocab_history_ingredients"])
+def test_no_join_compares_all_rows(spark, name):
+    plan = QUERIES[name](spark, SF_DIR)._jdf.queryExecution().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
