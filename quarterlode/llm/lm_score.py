@@ -20,9 +20,9 @@ from quarterlode.llm.common import texts, word_hashes
 from quarterlode.llm.context_tree import DEPTH, EDGE, Roots, Subtrees, grams, log10_probability
 from quarterlode.session import materialise
 
-PIECE = 1 << 21  # bytes looked at together
+PIECE = 1 << 20  # bytes looked at together
 GATHER = 1 << 24  # bytes whose counts a task folds before it hands them on
-CHUNK = 48 << 20  # bytes of a chunk
+CHUNK = 24 << 20  # bytes of a chunk
 PART = 2_000_000  # grams of a partition of the tree
 END_WORD = -1
 TOP = 2

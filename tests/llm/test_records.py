@@ -189,7 +189,7 @@ def test_surrogates_keep_type_and_format(spark):
 
 
 def test_surrogates_stay_distinct(spark):
-    """Ten-digit units of one digit that varies force clashes, with each other and with what occurs."""
+    """Two-digit units force clashes, with each other and with what occurs."""
     df = prepare(spark).createDataFrame([(k, u) for k in ("number",) for u in [f"{i:02d}" for i in range(40)]], "kind string, unit string")
     got = pii.surrogates(df, "k").collect()
     assert len({r.surrogate for r in got}) == len(got) == 40
