@@ -65,6 +65,7 @@ def _fold(keys: list, counts: list) -> tuple[np.ndarray, np.ndarray]:
 
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Counts in training texts of grams and words; grams of held-out texts count 0, so that they get a probability."""
+    pa.default_memory_pool().release_unused()  # what earlier tasks of this worker held
     keys, counts, held = [], [], 0
     for batch in batches:
         out = batch.column(0).to_numpy(zero_copy_only=False)
