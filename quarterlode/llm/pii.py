@@ -22,18 +22,25 @@ SECRET_WORDS = r"(?i:password|passwd|secret|token|api_?key)\s{0,3}[=:]\s{0,3}[\x
 MALE, FEMALE = "Mr|Herr|Señor|Monsieur|Г-н", "Mrs|Ms|Miss|Frau|Señora|Madame|Г-жа"
 TITLE = rf"(?:{MALE}|{FEMALE})\.? "
 # Each alternative starts where its character class starts, so no text is scanned more than once for it.
-PATTERN = "|".join((
+# A text's own card numbers stand between HEAD and TAIL, see _cards.
+HEAD = "|".join((
     r"(?<![\p{L}\p{N}._%+\-])[\p{L}\p{N}._%+\-]++@[\p{L}\p{N}\-]++(?:\.[\p{L}\p{N}\-]++)++",
     r"\+\d{1,3}[ .\-]?\(?\d{2,4}\)?[ .\-]?\d{3,4}[ .\-]?\d{3,4}(?!\d)",
     rf"(?<![\d.])(?:{OCTET}\.){{3}}{OCTET}(?!\.?\d)",
-    r"(?<!\d)\d(?:[ \-]?\d){12,18}(?!\d)",
-    r"(?<![\d\-])\d{3}-\d{2}-\d{4}(?![\d\-])",
-    r"(?<![\d.\-])\(?\d{3}\)?[ .\-]\d{3}[.\-]\d{4}(?!\d)",
+))
+SECURITY_NUMBER = r"(?<![\d\-])\d{3}-\d{2}-\d{4}(?![\d\-])"
+PHONE = r"(?<![\d.\-])\(?\d{3}\)?[ .\-]\d{3}[.\-]\d{4}(?!\d)"
+TAIL = "|".join((
+    SECURITY_NUMBER, PHONE,
     r"(?<![A-Z0-9])AKIA[A-Z0-9]{16}(?![A-Z0-9])",
     r"(?<![A-Z0-9])[A-Z]{2}\d{2}[A-Z0-9]{11,30}(?![A-Za-z0-9])",
     rf"(?<![A-Za-z]){SECRET_WORDS}[A-Za-z0-9+/_.\-]{{8,}}",
     rf"(?<!\p{{L}}){TITLE}\p{{Lu}}\p{{L}}++(?:[ \-]\p{{Lu}}\p{{L}}++){{0,2}}",
 ))
+# Digits of card length in the groups that cards show, from any digit that starts a group; and whole runs of such digits.
+GROUPED = r"(?<!\d)(?=(\d{13,19}(?!\d)|\d{4}(?:[ \-]\d{4}){3}(?!\d)|\d{4}[ \-]\d{6}[ \-]\d{4,5}(?!\d)))"
+RUN = r"(?<!\d)\d(?:[ \-]?\d){12,18}(?!\d)"
+CARD_START = r"(?<!\d)\d(?:[ \-]?\d){12}"
 SCRIPTS = (("Cyrillic", "бвгдзклмнпрст", "аеиоу"), ("Greek", "βγδκλμνπρστ", "αειου"), ("Latin", "bdfgklmnprstv", "aeiou"))
 
 
@@ -49,6 +56,24 @@ def _luhn(digits: str) -> str:
     return f"aggregate({doubled}, 0, (a, x) -> a + x) % 10"
 
 
+def _with_cards(docs: DataFrame, text: Column, name: str) -> DataFrame:
+    """``docs`` with the valid card numbers of their texts: those in groups, and whole runs that hold neither such a card nor a shorter entity."""
+    def found(pattern: str, group: int) -> Column:
+        return F.array_distinct(F.regexp_extract_all(text, F.lit(pattern), F.lit(group)))
+
+    digits = r"regexp_replace(v, r'\D', '')"
+    docs = docs.withColumns({name: found(GROUPED, 1), name + "_": found(RUN, 0)})
+    docs = docs.withColumns({c: F.expr(f"filter({c}, v -> {_luhn(digits)} = 0)") for c in (name, name + "_")})
+    whole = F.expr(f"filter({name}_, v -> NOT v rlike {_q(SECURITY_NUMBER + '|' + PHONE)} AND NOT exists({name}, g -> contains(v, g)))")
+    return docs.withColumn(name, F.array_union(name, whole)).drop(name + "_")
+
+
+def _pattern(cards: Column) -> Column:
+    """The pattern of one text."""
+    own = F.concat(F.lit(r"|(?<!\d)(?=\d)(?:"), F.array_join(cards, "|"), F.lit(r")(?!\d)"))
+    return F.concat(F.lit(HEAD), F.when(F.size(cards) > 0, own).otherwise(""), F.lit("|" + TAIL))
+
+
 def _parts() -> str:
     """SQL: the units of entity ``e``, as array of (kind, lead, shown): text that stays, text that is replaced."""
     digits = r"regexp_replace(e, r'\D', '')"
@@ -68,9 +93,8 @@ def _parts() -> str:
       WHEN e rlike r'^[A-Z]' THEN {one.format('account', 'substr(e, 1, 2)', 'substr(e, 3)')}
       WHEN e rlike r'^(?:{OCTET}\\.){{3}}{OCTET}$' THEN {one.format('address', "''", 'e')}
       WHEN e LIKE '+%' THEN {one.format('phone', 'substr(e, 1, 2)', 'substr(e, 3)')}
-      WHEN length({digits}) >= 13 AND {_luhn(digits)} = 0 THEN {one.format('card', "''", 'e')}
-      WHEN length({digits}) < 13 THEN {one.format('number', "''", 'e')}
-      ELSE {one.format('none', 'e', "''")} END"""
+      WHEN length({digits}) >= 13 THEN {one.format('card', "''", 'e')}
+      ELSE {one.format('number', "''", 'e')} END"""
 
 
 def _normal(kind: Column, shown: Column) -> Column:
@@ -121,7 +145,7 @@ def _surrogate() -> str:
       WHEN kind = 'address' THEN array_join(transform(sequence(0, 3), i -> string(1 + ({_noise('i')}) % 254)), '.')
       WHEN kind = 'card' THEN concat({card}, string((10 - {_luhn(f"concat({card}, '0')")}) % 10))
       WHEN kind IN ('family', 'male', 'female') THEN {_syllables()}
-      WHEN kind = 'none' THEN '' ELSE {_scrambled('unit')} END"""
+      ELSE {_scrambled('unit')} END"""
 
 
 def _hashed(units: DataFrame, key: str) -> DataFrame:
@@ -139,7 +163,7 @@ def surrogates(units: DataFrame, key: str) -> DataFrame:
         taken = named.select("kind", "surrogate").distinct().join(real, ["kind", "surrogate"])
         # a surrogate that occurs as a unit goes to nobody
         clashes = materialise(shared.unionByName(taken).groupBy("kind", "surrogate").agg(
-            F.count("keeps").alias("named"), F.count(F.lit(1)).alias("rules"), F.max("keeps").alias("keeps")).where("kind <> 'none'"), "clashes")
+            F.count("keeps").alias("named"), F.count(F.lit(1)).alias("rules"), F.max("keeps").alias("keeps")), "clashes")
         if clashes.isEmpty():
             return named.select("kind", "unit", "surrogate")
         again = named.join(clashes, ["kind", "surrogate"], "left")
@@ -161,16 +185,21 @@ def replace_entities(docs: DataFrame, key: str, text_col: str = "text", count_co
 
     All columns are kept. Null and empty texts stay as they are. Repeated rows get
     equal texts. A text without entities is passed on and takes no part in a shuffle.
-    A digit string of card length that is no valid card number stays.
+    A digit string of card length that is no valid card number stays, but for the
+    shorter entities in it.
     """
     clash = "_pii_"  # own names, so that no column of docs can clash
     text = docs[text_col]
-    has = F.coalesce(text.rlike(PATTERN), F.lit(False))
-    plain = docs.where(~has).withColumn(clash + "n", F.lit(0).cast("bigint"))
-    found = docs.where(has).withColumns({clash + "found": F.regexp_extract_all(text, F.lit(PATTERN), F.lit(0)), clash + "key": F.sha2(text, 256)})
+    has = F.coalesce(text.rlike(f"{HEAD}|{CARD_START}|{TAIL}"), F.lit(False))
+    plain = docs.where(~has)
+    found = _with_cards(docs.where(has), text, clash + "cards").withColumn(clash + "key", F.sha2(text, 256))
+    found = found.withColumn(clash + "found", F.regexp_extract_all(text, _pattern(F.col(clash + "cards")), F.lit(0)))
     parts = F.expr(f"flatten(transform({clash}found, (e, j) -> transform({_parts()}, (p, k) -> "
                    "struct(p.kind AS kind, p.lead AS lead, p.shown AS shown, j AS j, k AS k))))")
-    found = materialise(found.withColumn(clash + "parts", parts), "entities")
+    found = materialise(found.withColumn(clash + "parts", parts).drop(clash + "found"), "entities")
+    none = F.size(clash + "parts") == 0
+    plain = plain.unionByName(found.where(none).select(*docs.columns)).withColumn(clash + "n", F.lit(0).cast("bigint"))
+    found = found.where(~none)
     # equal texts have equal parts
     texts = found.groupBy(clash + "key").agg(F.first(clash + "parts").alias("parts"))
     rows = texts.select(F.col(clash + "key").alias("at"), F.posexplode("parts").alias("pos", "part"))
@@ -182,11 +211,11 @@ def replace_entities(docs: DataFrame, key: str, text_col: str = "text", count_co
     lists = shown.groupBy("at").agg(F.expr("transform(array_sort(collect_list(struct(pos, shown))), x -> x.shown)").alias(clash + "shown"))
     lists = lists.withColumnRenamed("at", clash + "at")
     joined = found.join(lists, found[clash + "key"] == lists[clash + "at"])
-    gaps = F.split(found[text_col], PATTERN, -1)
+    gaps = F.split(F.col(text_col), _pattern(F.col(clash + "cards")), -1)
     joined = joined.withColumn(clash + "gaps", gaps)
     new = F.expr(f"concat(array_join(zip_with({clash}parts, {clash}shown, (p, s) -> concat(if(p.k = 0, {clash}gaps[p.j], ''), p.lead, s)), ''), "
                  f"element_at({clash}gaps, -1))")
-    counted = F.expr(f"bigint(size(filter({clash}parts, p -> p.k = 0 AND p.kind <> 'none')))")
+    counted = F.expr(f"bigint(size(filter({clash}parts, p -> p.k = 0)))")
     done = joined.withColumns({text_col: new, clash + "n": counted}).select(*docs.columns, clash + "n")
     out = plain.unionByName(done)
     return out.withColumnRenamed(clash + "n", count_col) if count_col else out.drop(clash + "n")

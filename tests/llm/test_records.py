@@ -188,6 +188,28 @@ def test_surrogates_keep_type_and_format(spark):
     assert pii.replace_entities(df, "other").where("doc_id = 1").first().text != one[1].text
 
 
+def test_numbers_beside_a_card_or_a_date(spark):
+    """Runs across neighbouring tokens hide no shorter entity."""
+    card = "4111 1111 1111 1111"
+    shown = {
+        f"{card} 12/27": (r"(4\d{3}( \d{4}){3}) 12/27", card), "4111111111111111 123": (r"(4\d{15}) 123", "4111111111111111"),
+        f"2024 {card} 77": (r"2024 (4\d{3}( \d{4}){3}) 77", card), "3782 822463 10005 12/27": (r"(3\d{3} \d{6} \d{5}) 12/27", "3782 822463 10005"),
+        "2024-01-15 555-123-4567": (r"2024-01-15 (\d{3}-\d{3}-\d{4})", "555-123-4567"),
+        "2024-01-15 123-45-6789": (r"2024-01-15 (\d{3}-\d\d-\d{4})", "123-45-6789"), "9999 123-45-6789": (r"9999 (\d{3}-\d\d-\d{4})", "123-45-6789"),
+        "5111111111111111 161.17.88.162": (r"5111111111111111 ((\d+\.){3}\d+)", "161.17.88.162"),
+        "4111 1111-11111111 ok": (r"(4\d{3} \d{4}-\d{8}) ok", "4111 1111-11111111"),
+        f"{card} {card}": (r"(4\d{3}( \d{4}){3}) \1", card), "mail 4111111111111111@x.com": (r"mail (\d{16}@\w\.com)", "4111111111111111@x.com")}
+    df = prepare(spark).createDataFrame([(t,) for t in shown] + [("4111111111111111 161.17.88.162",), ("1234567890123456 only",)], "text string")
+    got = {r.was: r for r in pii.replace_entities(df.selectExpr("text AS was", "text"), "k", count_col="n").collect()}
+    for text, (pattern, old) in shown.items():
+        m = re.fullmatch(pattern, got[text].text)
+        assert m and m[1] != old and got[text].n == 1 + (text == f"{card} {card}"), (text, got[text])
+        assert luhn(re.sub(r"\D", "", m[1])) or old[:4] not in ("4111", "3782") or "@" in old
+    both = got["4111111111111111 161.17.88.162"]
+    assert both.n == 2 and "161.17.88.162" not in both.text and "4111111111111111" not in both.text
+    assert (got["1234567890123456 only"].text, got["1234567890123456 only"].n) == ("1234567890123456 only", 0)
+
+
 def test_surrogates_stay_distinct(spark):
     """Two-digit units force clashes, with each other and with what occurs."""
     df = prepare(spark).createDataFrame([(k, u) for k in ("number",) for u in [f"{i:02d}" for i in range(40)]], "kind string, unit string")
