@@ -18,29 +18,47 @@ from pyspark.sql import functions as F
 from quarterlode.session import materialise
 
 OCTET = r"(?:25[0-5]|2[0-4]\d|1?\d?\d)"
-SECRET_WORDS = r"(?i:password|passwd|secret|token|api_?key)\s{0,3}[=:]\s{0,3}[\x22\x27]?"
+SECRET_NAME = r"(?i:password|passwd|secret|token|api_?key)[\x22\x27]?\s{0,3}"
+SECRET_WORDS = SECRET_NAME + r"[=:]{1,3}\s{0,3}[\x22\x27]?"
+# Between quotes all counts; after an equals sign any bare value; after a colon, where prose may follow, eight characters or a mixed word.
+SECRET_END = r"(?<![.,;:)\]}#*|])"
+SECRETS = SECRET_NAME + "(?:" + "|".join((
+    *(rf"[=:]{{1,3}}\s{{0,3}}{q}(?=[^{q}\r\n]*[\p{{L}}\p{{N}}])[^{q}\r\n]++(?={q})" for q in (r"\x22", r"\x27")),
+    r":?={1,3}\s{0,3}[\x22\x27]?(?=[^\s\x22\x27]*[\p{L}\p{N}])[^\s\x22\x27]+" + SECRET_END,
+    r":\s{0,3}[\x22\x27]?(?:(?=\p{L}*[^\s\p{L}\x22\x27.,;:)\]}#*|])[^\s\x22\x27]{4,}|[^\s\x22\x27]{8,})" + SECRET_END,
+)) + ")"
 MALE, FEMALE = "Mr|Herr|Señor|Monsieur|Г-н", "Mrs|Ms|Miss|Frau|Señora|Madame|Г-жа"
-TITLE = rf"(?:{MALE}|{FEMALE})\.? "
-# Each alternative starts where its character class starts, so no text is scanned more than once for it.
+NEUTRAL = "Dr|Prof"
+TITLE = rf"(?:(?:{MALE}|{FEMALE}|{NEUTRAL})\.? )+"
+NAME = rf"(?<!\p{{L}}){TITLE}\p{{Lu}}\p{{L}}++(?:[ \-]\p{{Lu}}\p{{L}}++)*+"
+NAME_KINDS = ("family", "male", "female", "given")
+# Lengths of account numbers by country; printed in groups of four, only the length tells where one ends.
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK|FI|FK|FO|GL|NL|SD", 19: "MK|SI", 20: "AT|BA|EE|KZ|LT|LU|MN|XK", 21: "CH|HR|LI|LV",
+    22: "BG|BH|CR|DE|GB|GE|IE|ME|RS|VA", 23: "AE|GI|IL|IQ|OM|SO|TL", 24: "AD|CZ|ES|MD|PK|RO|SA|SE|SK|TN|VG", 25: "LY|PT|ST", 26: "IS|TR",
+    27: "BI|DJ|FR|GR|IT|MC|MR|SM", 28: "AL|AZ|BY|CY|DO|GT|HU|LB|NI|PL|SV", 29: "BR|EG|PS|QA|UA", 30: "JO|KW|MU|YE", 31: "MT|SC", 32: "LC", 33: "RU"}
+SPACED_IBAN = rf"(?<![A-Z0-9])(?=[A-Z]{{2}}\d{{2}} )(?:" + "|".join(
+    rf"(?:{c})\d{{2}}(?: [A-Z0-9]{{4}}){{{n // 4 - 1}}}" + (rf" [A-Z0-9]{{{n % 4}}}" if n % 4 else "") for n, c in IBAN_LENGTHS.items()) + r")(?![A-Za-z0-9])"
+# Each alternative starts where its character class starts, so no text is scanned more than once for it; the first
+# character is tested before what stands behind it, as most places fail there.
 # A text's own card numbers stand between HEAD and TAIL, see _cards.
 HEAD = "|".join((
     r"(?<![\p{L}\p{N}._%+\-])[\p{L}\p{N}._%+\-]++@[\p{L}\p{N}\-]++(?:\.[\p{L}\p{N}\-]++)++",
-    r"\+\d{1,3}[ .\-]?\(?\d{2,4}\)?[ .\-]?\d{3,4}[ .\-]?\d{3,4}(?!\d)",
-    rf"(?<![\d.])(?:{OCTET}\.){{3}}{OCTET}(?!\.?\d)",
+    r"\+\d{1,3}[ .\-]?\(?\d{1,4}\)?[ .\-]?\d{3,4}[ .\-]?\d{3,4}(?!\d)",
+    r"\+\d{1,3}[ .\-](?:\(0\)[ .\-]?)?(?:\d(?:[ .\-]\d{2}){4}|\d{2,3}(?:[ .\-]\d{2}){3}|\d{2}[ .\-]\d{3}(?:[ .\-]\d{2}){2})(?!\d)",
+    rf"(?=\d)(?<![\d.])(?:{OCTET}\.){{3}}{OCTET}(?!\.?\d)",
 ))
 SECURITY_NUMBER = r"(?<![\d\-])\d{3}-\d{2}-\d{4}(?![\d\-])"
-PHONE = r"(?<![\d.\-])\(?\d{3}\)?[ .\-]\d{3}[.\-]\d{4}(?!\d)"
+PHONE = r"(?<![\d.\-])(?:\(\d{3}\)[ .\-]?\d{3}[ .\-]?\d{4}|\(?\d{3}\)?[ .\-]\d{3}[ .\-]\d{4})(?!\d)"
 TAIL = "|".join((
-    SECURITY_NUMBER, PHONE,
-    r"(?<![A-Z0-9])AKIA[A-Z0-9]{16}(?![A-Z0-9])",
-    r"(?<![A-Z0-9])[A-Z]{2}\d{2}[A-Z0-9]{11,30}(?![A-Za-z0-9])",
-    rf"(?<![A-Za-z]){SECRET_WORDS}[A-Za-z0-9+/_.\-]{{8,}}",
-    rf"(?<!\p{{L}}){TITLE}\p{{Lu}}\p{{L}}++(?:[ \-]\p{{Lu}}\p{{L}}++){{0,2}}",
+    rf"(?=[\d(])(?:{SECURITY_NUMBER}|{PHONE})",
+    r"(?=[A-Z])(?<![A-Z0-9])(?:AKIA[A-Z0-9]{16}(?![A-Z0-9])|[A-Z]{2}\d{2}[A-Z0-9]{11,30}(?![A-Za-z0-9])|" + SPACED_IBAN + ")",
+    rf"(?=[APSTapst])(?<![A-Za-z])(?:{SECRETS})", "(?=[DFHMPSГ])" + NAME,
 ))
 # Digits of card length in the groups that cards show, from any digit that starts a group; and whole runs of such digits.
 GROUPED = r"(?<!\d)(?=(\d{13,19}(?!\d)|\d{4}(?:[ \-]\d{4}){3}(?!\d)|\d{4}[ \-]\d{6}[ \-]\d{4,5}(?!\d)))"
 RUN = r"(?<!\d)\d(?:[ \-]?\d){12,18}(?!\d)"
-CARD_START = r"(?<!\d)\d(?:[ \-]?\d){12}"
+CARD_START = r"(?=\d)(?<!\d)\d(?:[ \-]?\d){12}"
 SCRIPTS = (("Cyrillic", "бвгдзклмнпрст", "аеиоу"), ("Greek", "βγδκλμνπρστ", "αειου"), ("Latin", "bdfgklmnprstv", "aeiou"))
 
 
@@ -68,39 +86,51 @@ def _with_cards(docs: DataFrame, text: Column, name: str) -> DataFrame:
     return docs.withColumn(name, F.array_union(name, whole)).drop(name + "_")
 
 
-def _pattern(cards: Column) -> Column:
-    """The pattern of one text."""
+def _name_words(e: str) -> str:
+    """SQL: the words of a name with its titles, as array of (kind, lead, shown)."""
+    words = rf"split(regexp_replace({e}, r'^{TITLE}', ''), '(?<=[ -])')"
+    title = f"regexp_extract({e}, r'^{TITLE}', 0)"
+    gender = (rf"CASE WHEN {title} rlike r'(?<!\p{{L}})(?:{FEMALE})(?!\p{{L}})' THEN 'female' WHEN {title} rlike r'(?<!\p{{L}})(?:{MALE})(?!\p{{L}})' THEN 'male' "
+              "ELSE 'given' END")
+    # of several words the last is the family name; a word ends with the mark that joins it to the next
+    return (f"transform({words}, (w, i) -> named_struct('kind', if(i = size({words}) - 1, 'family', {gender}), "
+            f"'lead', if(i = 0, {title}, substr(element_at({words}, i), -1)), 'shown', regexp_replace(w, '[ -]$', '')))")
+
+
+def _pattern(cards: Column, names: Column) -> Column:
+    """The pattern of one text: with its own cards, and with the words of its titled names, which may stand without a title, too."""
     own = F.concat(F.lit(r"|(?<!\d)(?=\d)(?:"), F.array_join(cards, "|"), F.lit(r")(?!\d)"))
-    return F.concat(F.lit(HEAD), F.when(F.size(cards) > 0, own).otherwise(""), F.lit("|" + TAIL))
+    again = F.concat(F.lit(r"|(?<!\p{L})(?=\p{Lu})(?:"), F.array_join(F.array_distinct(F.transform(names, lambda n: n["word"])), "|"), F.lit(r")(?!\p{L})"))
+    return F.concat(F.lit(HEAD), F.when(F.size(cards) > 0, own).otherwise(""), F.lit("|" + TAIL), F.when(F.size(names) > 0, again).otherwise(""))
 
 
-def _parts() -> str:
-    """SQL: the units of entity ``e``, as array of (kind, lead, shown): text that stays, text that is replaced."""
+def _parts(names: str) -> str:
+    """SQL: the units of entity ``e``, as array of (kind, lead, shown): text that stays, text that is replaced. ``names`` are its text's."""
     digits = r"regexp_replace(e, r'\D', '')"
-    one = "array(named_struct('kind', '{}', 'lead', {}, 'shown', {}))"
-    words = rf"split(regexp_replace(e, r'^{TITLE}', ''), '(?<=[ -])')"
-    gender = rf"if(e rlike r'^(?:{FEMALE})\.? ', 'female', 'male')"
+    one = "array(named_struct('kind', {}, 'lead', {}, 'shown', {}))"
+    # a word without a known gender has that of its first place in the text that shows one
+    kind = f"coalesce(get(filter({names}, n -> n.word = {{}} AND n.kind <> 'given'), 0).kind, 'given')"
+    name = (f"transform({_name_words('e')}, p -> named_struct('kind', if(p.kind = 'given', {kind.format('p.shown')}, p.kind), "
+            "'lead', p.lead, 'shown', p.shown))")
     lead_of_secret = rf"regexp_extract(e, {_q('^' + SECRET_WORDS)}, 0)"
-    # of several words the last is the family name; a word ends with the mark that joins it to the next
-    name = (f"transform({words}, (w, i) -> named_struct('kind', if(i = size({words}) - 1, 'family', {gender}), "
-            f"'lead', if(i = 0, regexp_extract(e, r'^{TITLE}', 0), substr(element_at({words}, i), -1)), "
-            "'shown', regexp_replace(w, '[ -]$', '')))")
     return f"""CASE
-      WHEN e LIKE '%@%' THEN {one.format('mail', "''", 'e')}
-      WHEN e LIKE 'AKIA%' AND length(e) = 20 THEN {one.format('key', "'AKIA'", 'substr(e, 5)')}
+      WHEN length({lead_of_secret}) > 0 THEN {one.format("'key'", lead_of_secret, f'substr(e, 1 + length({lead_of_secret}))')}
+      WHEN e LIKE '%@%' THEN {one.format("'mail'", "''", 'e')}
+      WHEN e LIKE 'AKIA%' AND length(e) = 20 THEN {one.format("'key'", "'AKIA'", 'substr(e, 5)')}
       WHEN e rlike r'^{TITLE}' THEN {name}
-      WHEN length({lead_of_secret}) > 0 THEN {one.format('key', lead_of_secret, f'substr(e, 1 + length({lead_of_secret}))')}
-      WHEN e rlike r'^[A-Z]' THEN {one.format('account', 'substr(e, 1, 2)', 'substr(e, 3)')}
-      WHEN e rlike r'^(?:{OCTET}\\.){{3}}{OCTET}$' THEN {one.format('address', "''", 'e')}
-      WHEN e LIKE '+%' THEN {one.format('phone', 'substr(e, 1, 2)', 'substr(e, 3)')}
-      WHEN length({digits}) >= 13 THEN {one.format('card', "''", 'e')}
-      ELSE {one.format('number', "''", 'e')} END"""
+      WHEN e rlike r'^\\p{{Lu}}\\p{{L}}+$' THEN {one.format(kind.format('e'), "''", 'e')}
+      WHEN e rlike r'^[A-Z]' THEN {one.format("'account'", 'substr(e, 1, 2)', 'substr(e, 3)')}
+      WHEN e rlike r'^(?:{OCTET}\\.){{3}}{OCTET}$' THEN {one.format("'address'", "''", 'e')}
+      WHEN e LIKE '+%' THEN {one.format("'phone'", 'substr(e, 1, 2)', 'substr(e, 3)')}
+      WHEN length({digits}) >= 13 THEN {one.format("'card'", "''", 'e')}
+      ELSE {one.format("'number'", "''", 'e')} END"""
 
 
 def _normal(kind: Column, shown: Column) -> Column:
-    """What counts as the same unit: numbers by their digits, mail and names without case."""
+    """What counts as the same unit: numbers by their digits, accounts without blanks, mail and names without case."""
     return (F.when(kind.isin("phone", "card", "number"), F.regexp_replace(shown, r"\D", ""))
-            .when(kind.isin("mail", "family", "male", "female"), F.lower(shown)).otherwise(shown))
+            .when(kind == "account", F.regexp_replace(shown, " ", ""))
+            .when(kind.isin("mail", *NAME_KINDS), F.lower(shown)).otherwise(shown))
 
 
 def _noise(i: str) -> str:
@@ -144,7 +174,8 @@ def _surrogate() -> str:
           '.', substring_index({domain}, '.', -1))
       WHEN kind = 'address' THEN array_join(transform(sequence(0, 3), i -> string(1 + ({_noise('i')}) % 254)), '.')
       WHEN kind = 'card' THEN concat({card}, string((10 - {_luhn(f"concat({card}, '0')")}) % 10))
-      WHEN kind IN ('family', 'male', 'female') THEN {_syllables()}
+      WHEN kind IN {NAME_KINDS} THEN {_syllables()}
+      WHEN kind = 'key' AND length(regexp_replace(unit, r'[^\\p{{L}}0-9]', '')) < 8 THEN concat({_scrambled('unit')}, substr(h, 121, 8))
       ELSE {_scrambled('unit')} END"""
 
 
@@ -175,8 +206,10 @@ def _shown_again() -> str:
     """SQL: surrogate in the form of the text that it replaces."""
     at = r"length(regexp_replace(substr(shown, 1, i + 1), r'\D', ''))"
     filled = f"array_join(transform(filter(split(shown, ''), c -> c <> ''), (c, i) -> if(c BETWEEN '0' AND '9', substr(surrogate, {at}, 1), c)), '')"
-    return f"""CASE WHEN kind IN ('phone', 'card', 'number') THEN {filled}
-      WHEN kind IN ('family', 'male', 'female') THEN if(shown = upper(shown) AND length(shown) > 1, upper(surrogate), initcap(surrogate))
+    spaced = ("array_join(transform(filter(split(shown, ''), c -> c <> ''), (c, i) -> "
+              "if(c = ' ', c, substr(surrogate, length(replace(substr(shown, 1, i + 1), ' ', '')), 1))), '')")
+    return f"""CASE WHEN kind IN ('phone', 'card', 'number') THEN {filled} WHEN kind = 'account' THEN {spaced}
+      WHEN kind IN {NAME_KINDS} THEN if(shown = upper(shown) AND length(shown) > 1, upper(surrogate), initcap(surrogate))
       ELSE surrogate END"""
 
 
@@ -185,6 +218,8 @@ def replace_entities(docs: DataFrame, key: str, text_col: str = "text", count_co
 
     All columns are kept. Null and empty texts stay as they are. Repeated rows get
     equal texts. A text without entities is passed on and takes no part in a shuffle.
+    A name behind a title is replaced wherever its words stand in that text. A short
+    secret gets a longer surrogate, as few would be free in its own length.
     A digit string of card length that is no valid card number stays, but for the
     shorter entities in it.
     """
@@ -193,8 +228,12 @@ def replace_entities(docs: DataFrame, key: str, text_col: str = "text", count_co
     has = F.coalesce(text.rlike(f"{HEAD}|{CARD_START}|{TAIL}"), F.lit(False))
     plain = docs.where(~has)
     found = _with_cards(docs.where(has), text, clash + "cards").withColumn(clash + "key", F.sha2(text, 256))
-    found = found.withColumn(clash + "found", F.regexp_extract_all(text, _pattern(F.col(clash + "cards")), F.lit(0)))
-    parts = F.expr(f"flatten(transform({clash}found, (e, j) -> transform({_parts()}, (p, k) -> "
+    titled = found.withColumn(clash + "found", F.regexp_extract_all(text, F.lit(NAME), F.lit(0)))
+    names = f"transform(flatten(transform({clash}found, e -> {_name_words('e')})), p -> struct(p.shown AS word, p.kind AS kind))"
+    found = titled.withColumn(clash + "names", F.array_distinct(F.expr(names)))
+    pattern = _pattern(F.col(clash + "cards"), F.col(clash + "names"))
+    found = found.withColumn(clash + "found", F.regexp_extract_all(text, pattern, F.lit(0)))
+    parts = F.expr(f"flatten(transform({clash}found, (e, j) -> transform({_parts(clash + 'names')}, (p, k) -> "
                    "struct(p.kind AS kind, p.lead AS lead, p.shown AS shown, j AS j, k AS k))))")
     found = materialise(found.withColumn(clash + "parts", parts).drop(clash + "found"), "entities")
     none = F.size(clash + "parts") == 0
@@ -211,7 +250,7 @@ def replace_entities(docs: DataFrame, key: str, text_col: str = "text", count_co
     lists = shown.groupBy("at").agg(F.expr("transform(array_sort(collect_list(struct(pos, shown))), x -> x.shown)").alias(clash + "shown"))
     lists = lists.withColumnRenamed("at", clash + "at")
     joined = found.join(lists, found[clash + "key"] == lists[clash + "at"])
-    gaps = F.split(F.col(text_col), _pattern(F.col(clash + "cards")), -1)
+    gaps = F.split(F.col(text_col), pattern, -1)
     joined = joined.withColumn(clash + "gaps", gaps)
     new = F.expr(f"concat(array_join(zip_with({clash}parts, {clash}shown, (p, s) -> concat(if(p.k = 0, {clash}gaps[p.j], ''), p.lead, s)), ''), "
                  f"element_at({clash}gaps, -1))")

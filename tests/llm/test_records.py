@@ -210,6 +210,29 @@ def test_numbers_beside_a_card_or_a_date(spark):
     assert (got["1234567890123456 only"].text, got["1234567890123456 only"].n) == ("1234567890123456 only", 0)
 
 
+def test_usual_forms_of_entities(spark):
+    rows = {
+        "(555) 123 4567": r"\(\d{3}\) \d{3} \d{4}", "(555)123-4567": r"\(\d{3}\)\d{3}-\d{4}", "+33 6 12 34 56 78": r"\+3\d \d( \d\d){4}",
+        "+41 44 123 45 67": r"\+4\d \d\d \d{3} \d\d \d\d", "password: hunter2": r"password: \w{7,}", "passwd=p@ss;w0rd!": r"passwd=\w@\w\w;\w\d\w\w!\w+",
+        '"password": "my old cat"': r'"password": "\w\w \w{3} \w{3,}"', "secret=x": "secret=[a-z]\\w{8}", "the secret: they left": "the secret: they left", "secret == ...": "secret == ..."}
+    iban = "DE89 3704 0044 0532 0130 00"
+    more = {
+        "names": "Mr. Juan Carlos Garcia Lopez; Dr. Anna Weber, Prof. Dr. Weber. Anna Weber and Lopez, Carlos-Lopez, Annabel",
+        "titles": "Dr. Eva Braun and Mrs. Eva Klein", "iban": f"{iban} 4111 1111 1111 1111 or {iban.replace(' ', '')} or ES91 2100 0418 4502 0005 1332 THEN"}
+    df = prepare(spark).createDataFrame([(k, k) for k in rows] + list(more.items()), "was string, text string")
+    got = {r.was: r.text for r in pii.replace_entities(df, "k").collect()}
+    for was, pattern in rows.items():
+        assert re.fullmatch(pattern, got[was]), (was, got[was])
+        assert (got[was] == was) == (pattern == was)
+    m = re.fullmatch(r"Mr\. (\w+) (\w+) (\w+) (\w+); Dr\. (\w+) (\w+), Prof\. Dr\. (\w+)\. (\w+) (\w+) and (\w+), (\w+)-(\w+), Annabel", got["names"])
+    assert m and m[6] == m[7] == m[9] and m[5] == m[8] and m[4] == m[10] == m[12] and m[2] == m[11]
+    assert not {"Juan", "Carlos", "Garcia", "Lopez", "Anna", "Weber"} & set(m.groups())
+    m = re.fullmatch(r"Dr\. (\w+a) \w+ and Mrs\. (\w+) \w+", got["titles"])
+    assert m and m[1] == m[2] != "Eva"
+    m = re.fullmatch(r"(DE(?:\d\d \d{4} \d{4} \d{4} \d{4} \d\d)) (4\d{3}(?: \d{4}){3}) or (\w+) or ES\d\d(?: \d{4}){5} THEN", got["iban"])
+    assert m and m[1].replace(" ", "") == m[3] and m[1] != iban and luhn(m[2].replace(" ", "")) and "1332" not in got["iban"]
+
+
 def test_surrogates_stay_distinct(spark):
     """Two-digit units force clashes, with each other and with what occurs."""
     df = prepare(spark).createDataFrame([(k, u) for k in ("number",) for u in [f"{i:02d}" for i in range(40)]], "kind string, unit string")
