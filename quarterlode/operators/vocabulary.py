@@ -79,8 +79,10 @@ def nearest_concept(terms: DataFrame, concepts: DataFrame, max_distance: int | N
     Two texts one edit apart share a text with at most one character removed:
     an equality join on those finds every such pair, and the number of names
     that share one is bounded by the alphabet. A term without a name that near
-    is compared with the names that hold one of its ``rarest`` words or runs of
-    three characters, rare among the names.
+    is compared only with the names that hold one of its ``rarest`` words or runs
+    of three characters, rare among the names: beyond one edit the result is the
+    nearest of these candidates, and a nearer name that holds none of them is not
+    found. A term that shares no word and no run with any name has no candidate.
     """
     keyed = terms.select("term", normalise(F.col("term")).alias("_t")).where("_t != ''")
     names = materialise(concepts.select("rxcui", normalise(F.col("name")).alias("_n")).groupBy("_n").agg(
