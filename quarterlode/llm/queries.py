@@ -8,7 +8,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarterlode.llm import chat, containment, licenses, lm_score, mixing, ngram_join, pii, repetition, token_counts, warc
+from quarterlode.llm import (
+    chat,
+    containment,
+    licenses,
+    lm_score,
+    mixing,
+    ngram_join,
+    periodic_runs,
+    pii,
+    repetition,
+    token_counts,
+    turn_repair,
+    warc,
+    word_bpe,
+)
 from quarterlode.llm.common import WORD, prepare, table
 from quarterlode.session import materialise, new_path
 
@@ -181,3 +195,137 @@ def surrogates(spark, d):
     FROM shingles s""")
 def ngram_jaccard_join(spark, d):
     return ngram_join.ngram_components(table(spark, d, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
+# CRC-32 of the decimal or short text ``{0}``, by the table of its polynomial.
+CRC_TABLE = """crc AS (SELECT [list_reduce(list_concat([i::BIGINT], [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]),
+      lambda c, x : xor(c >> 1, 3988292384 * (c & 1))) FOR i IN range(256)] AS t)"""
+CRC = """xor(list_reduce(list_concat([4294967295::BIGINT], [ascii(x)::BIGINT FOR x IN string_split({0}, '')]),
+      lambda c, b : xor(c >> 8, crc.t[(xor(c, b) & 255) + 1])), 4294967295)"""
+
+
+def with_planted_runs(docs: DataFrame) -> DataFrame:
+    """Documents of which a tenth, by the checksum of the id, repeat some of their words to their end."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    words = F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    n, g = F.size("words"), F.floor(F.col("h") / 10)
+    period = F.lit(1) + F.floor((F.col("n") - F.col("a")) / (3 + F.col("g") % 8))
+    repeated = F.expr("slice(concat(slice(words, 1, a), flatten(array_repeat(slice(words, a + 1, p), CAST(ceil((n - a) / p) AS INT)))), 1, n)")
+    chosen = docs.withColumn("h", h).withColumn("words", F.when(F.col("h") % 10 == 0, words))
+    chosen = chosen.withColumns({"n": n, "g": g}).withColumn("a", F.when(F.col("n") > 0, F.col("g") % F.col("n")).cast("int"))
+    chosen = chosen.withColumn("p", F.when(F.col("n") > 0, period).cast("int"))
+    text = F.when(F.col("a").isNotNull(), F.array_join(repeated, " ")).otherwise(F.col("text"))
+    return chosen.select("doc_id", text.alias("text"))
+
+
+@query("op11_periodic_runs", rf"""
+    WITH {CRC_TABLE},
+      d AS MATERIALIZED (SELECT doc_id, coalesce(regexp_extract_all(text, '{WORD}'), []) AS w, {CRC.format("CAST(doc_id AS VARCHAR)")} AS h FROM documents, crc),
+      g AS (SELECT *, len(w) AS n, h // 10 AS g FROM d),
+      a AS (SELECT *, CASE WHEN h % 10 = 0 AND n > 0 THEN g % n END AS a FROM g),
+      p AS (SELECT *, CASE WHEN a IS NOT NULL THEN 1 + (n - a) // (3 + g % 8) END AS p FROM a),
+      texts AS MATERIALIZED (SELECT doc_id, n, CASE WHEN a IS NULL THEN w
+          ELSE [CASE WHEN i < a THEN w[i + 1] ELSE w[a + (i - a) % p + 1] END FOR i IN range(n)] END AS w FROM p),
+      grams AS (SELECT doc_id, i, md5(array_to_string(w[i+1:i+8], ' ')) AS k FROM (SELECT doc_id, w, unnest(range(n - 7)) AS i FROM texts WHERE n >= 24)),
+      pairs AS (SELECT x.doc_id, x.i, y.i - x.i AS q FROM grams x JOIN grams y ON x.doc_id = y.doc_id AND x.k = y.k AND x.i < y.i),
+      stretches AS (SELECT doc_id, q, min(i) AS s, max(i) + 8 + q - min(i) AS length FROM (
+          SELECT *, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS island FROM pairs) GROUP BY doc_id, q, island),
+      runs AS (SELECT doc_id, s, length, min(q) AS q FROM stretches WHERE length >= 24 AND length >= 3 * q GROUP BY doc_id, s, length),
+      told AS (SELECT doc_id, count(*) AS n_runs, string_agg(s || ',' || length || ',' || q || chr(10), '' ORDER BY s, q) AS listed FROM runs GROUP BY doc_id),
+      best AS (SELECT DISTINCT ON (doc_id) doc_id, s, length, q FROM runs ORDER BY doc_id, length / q DESC, s, q),
+      gone AS (SELECT DISTINCT doc_id, unnest(range(s + q, s + length)) AS i FROM runs),
+      kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS line FROM (
+          SELECT doc_id, unnest(w) AS word, unnest(range(n)) AS i FROM texts) t ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id)
+    SELECT t.doc_id, coalesce(n_runs, 0) AS n_runs, CAST(s AS BIGINT) AS start, CAST(length AS BIGINT) AS length, CAST(q AS BIGINT) AS period,
+      CAST(1000 * length // q AS BIGINT) AS exponent_milli, sha256(coalesce(listed, '')) AS runs_sha256, sha256(coalesce(line, '')) AS collapsed_sha256,
+      CAST(n AS BIGINT) AS n_words
+    FROM texts t LEFT JOIN told USING (doc_id) LEFT JOIN best USING (doc_id) LEFT JOIN kept USING (doc_id)""")
+def periodic_run_detection(spark, d):
+    found = periodic_runs.periodic_runs(with_planted_runs(table(spark, d, "documents")))
+    best = F.expr("""array_sort(runs, (x, y) -> CASE
+        WHEN x.length * y.period <> y.length * x.period THEN IF(x.length * y.period > y.length * x.period, -1, 1)
+        WHEN x.start <> y.start THEN IF(x.start < y.start, -1, 1) WHEN x.period < y.period THEN -1 WHEN x.period > y.period THEN 1 ELSE 0 END)""")
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    first = F.get("best", F.lit(0))
+    return found.withColumn("best", best).select(
+        "doc_id", F.size("runs").cast("bigint").alias("n_runs"), first["start"].alias("start"), first["length"].alias("length"), first["period"].alias("period"),
+        F.floor(1000 * first["length"] / first["period"]).cast("bigint").alias("exponent_milli"), F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"), "n_words")
+
+
+@query("op12_word_bpe")
+def word_byte_pairs(spark, d):
+    docs, path = table(spark, d, "documents"), public_tokenizers.path("word_bpe_49k.json")
+    lexicon = word_bpe.build_lexicon(spark, docs, path)
+    decoded = word_bpe.decode(word_bpe.encode(docs, path, lexicon), path)
+    return decoded.select("doc_id", (F.octet_length("ids") / 4).cast("bigint").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
+                          F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def damaged(rows: DataFrame) -> DataFrame:
+    """Conversations with faults planted by a checksum of conversation and turn: rows are dropped, emptied, cut, repeated or given to the user."""
+    def known(name: str):
+        return F.coalesce(F.col(name).cast("string"), F.lit(" "))
+
+    kind = F.crc32(F.concat(known("conv_id"), F.lit(":"), known("turn")).cast("binary")) % 20
+    text = F.when(F.col("kind") == 1, "").when(F.col("kind") == 2, F.regexp_replace(known("text"), "[.!?]", "")).otherwise(known("text"))
+    role = F.when(F.col("kind") == 4, "user").otherwise(known("role"))
+    found = rows.withColumn("kind", kind).where("kind <> 0")
+    copies = F.explode(F.array_repeat(F.lit(0), F.when(F.col("kind") == 3, 2).otherwise(1)))
+    return found.select("conv_id", "turn", role.alias("role"), text.alias("text"), copies.alias("copy")).drop("copy")
+
+
+# Ways to come from a state to another by inserted turns, and what a turn with an initial does; states are none, s, u and a.
+_WAYS = """ways(f, t, letters, price, lines) AS (VALUES ('', '', '', 0, []), ('s', 's', '', 0, []), ('u', 'u', '', 0, []), ('a', 'a', '', 0, []),
+      ('', 'u', 'I', 5, ['user:']), ('', 'a', 'II', 10, ['user:', 'assistant:']), ('s', 'u', 'I', 5, ['user:']), ('s', 'a', 'II', 10, ['user:', 'assistant:']),
+      ('u', 'a', 'I', 5, ['assistant:']), ('a', 'u', 'I', 5, ['user:'])),
+      moves(f, initial) AS (VALUES ('', 's'), ('', 'u'), ('s', 'u'), ('u', 'a'), ('a', 'u'))"""
+
+
+@query("op13_turn_repair", rf"""
+    WITH RECURSIVE {CRC_TABLE}, {_WAYS},
+      known AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+          {CRC.format("coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ')")} % 20 AS kind FROM conversations, crc),
+      hurt AS (SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+          CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+          unnest(range(CASE WHEN kind = 3 THEN 2 ELSE 1 END)) AS copy FROM known WHERE kind <> 0),
+      placed AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i FROM hurt),
+      faults AS (SELECT *, CASE WHEN NOT regexp_matches(text, '[^ 	-
+]') THEN 'blank'
+          WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'duplicate'
+          WHEN NOT regexp_matches(text, '[.!?][ 	-
+]*$') THEN 'truncated' END AS fault,
+          i > 1 AND NOT (lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) || left(role, 1)) IN ('su', 'ua', 'au') AS illegal FROM placed),
+      options AS MATERIALIZED (
+          SELECT conv_id, i, 'D' AS letter, 2 AS price, NULL AS initial, [] AS lines FROM faults
+          UNION ALL SELECT conv_id, i, 'K', CASE WHEN fault IS NULL THEN 0 ELSE 5 END, left(role, 1), [role || ':' || text] FROM faults
+            WHERE coalesce(fault, '') NOT IN ('blank', 'duplicate')
+          UNION ALL SELECT conv_id, i, 'R', CASE WHEN fault IS NULL THEN 1 ELSE 6 END, left(r, 1), [r || ':' || text] FROM faults, (VALUES ('user'), ('assistant')) v(r)
+            WHERE coalesce(fault, '') NOT IN ('blank', 'duplicate')),
+      search AS (
+          SELECT DISTINCT conv_id, 0::BIGINT AS i, '' AS state, {{'cost': 0, 'audit': '', 'lines': CAST([] AS VARCHAR[])}} AS best FROM hurt
+          UNION ALL
+          SELECT conv_id, i, state, min(best) FROM (
+            SELECT o.conv_id, o.i, coalesce(m.initial, w.t) AS state, {{'cost': s.best.cost + w.price + o.price,
+              'audit': s.best.audit || w.letters || o.letter, 'lines': list_concat(list_concat(s.best.lines, w.lines), o.lines)}} AS best
+            FROM search s JOIN ways w ON w.f = s.state JOIN options o ON o.conv_id IS NOT DISTINCT FROM s.conv_id AND o.i = s.i + 1
+              LEFT JOIN moves m ON m.f = w.t AND m.initial = o.initial
+            WHERE o.letter = 'D' OR m.initial IS NOT NULL) GROUP BY conv_id, i, state),
+      ends AS (SELECT conv_id, min({{'cost': s.best.cost + w.price, 'audit': s.best.audit || w.letters, 'lines': list_concat(s.best.lines, w.lines)}}) AS best
+          FROM search s JOIN ways w ON w.f = s.state AND w.t IN ('', 'a')
+          JOIN (SELECT conv_id AS c, max(i) AS last FROM faults GROUP BY conv_id) l ON l.c IS NOT DISTINCT FROM s.conv_id AND s.i = l.last GROUP BY conv_id),
+      counts AS (SELECT conv_id, max(turn) - min(turn) + 1 - count(DISTINCT turn) AS gaps, count(*) FILTER (fault = 'blank') AS blank,
+          count(*) FILTER (fault = 'duplicate') AS duplicate, count(*) FILTER (fault = 'truncated') AS truncated, count(*) FILTER (illegal) AS illegal
+          FROM faults GROUP BY conv_id)
+    SELECT a.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+      coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, CAST(coalesce(e.best.cost, 0) AS BIGINT) AS cost,
+      coalesce(e.best.audit, '') AS audit, sha256(coalesce(array_to_string(e.best.lines, chr(10)), '')) AS repaired_sha256
+    FROM (SELECT DISTINCT conv_id FROM conversations) a LEFT JOIN counts c ON c.conv_id IS NOT DISTINCT FROM a.conv_id
+      LEFT JOIN ends e ON e.conv_id IS NOT DISTINCT FROM a.conv_id""")
+def conversation_repair(spark, d):
+    rows = table(spark, d, "conversations").select("conv_id", "turn", "role", "text")
+    found = turn_repair.summaries(turn_repair.repaired_turns(damaged(rows))).withColumnRenamed("conv_id", "of")
+    every = rows.select("conv_id").distinct()
+    names = [f.split()[0] for f in turn_repair.SUMMARY.split(", ")]
+    none = {n: F.lit(0).cast("bigint") for n in names[:6]} | {"audit": F.lit(""), "repaired_sha256": F.sha2(F.lit(""), 256)}
+    return every.join(found, every.conv_id.eqNullSafe(found.of), "left").select("conv_id", *(F.coalesce(n, none[n]).alias(n) for n in names))

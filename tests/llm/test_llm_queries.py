@@ -26,7 +26,7 @@ def test_one_row_per_document(spark, name):
 
 
 def test_each_operator_has_a_query():
-    assert {n.split("_")[0] for n in QUERIES} == {f"op{i}" for i in range(1, 11)}
+    assert {n.split("_")[0] for n in QUERIES} == {f"op{i}" for i in range(1, 14)}
 
 
 def test_no_python_in_native_plans(spark):
