@@ -29,7 +29,7 @@ def _entities(spark, d):
 
 def _resolver(spark, d):
     return K.vocabulary_resolver(
-        V.concepts(spark, d), V.related_answers(spark, d), V.history_answers(spark, d), V.class_answers(spark, d), max_distance=1)
+        V.concepts(spark, d), V.related_answers(spark, d), V.history_answers(spark, d), V.class_answers(spark, d))
 
 
 @query("drug_terms", "SELECT drugname, prod_ai, term FROM drug_names")
@@ -147,21 +147,9 @@ def vocab_history_ingredients(spark, d):
                    UNION SELECT CASE p_size%3 WHEN 0 THEN string_split(p_name,' ')[2] || 's'
                        WHEN 1 THEN ' ' || upper(string_split(p_name,' ')[2]) ELSE substr(string_split(p_name,' ')[2], 2) END FROM part),
          plain AS (SELECT term, trim(regexp_replace(lower(term), '{SPACES}', ' ', 'g')) AS t FROM words),
-         one_off AS (SELECT term, rxcui, t = name AS same,
-                (SELECT bool_or(left(t, i-1) = left(name, i-1)
-                        AND substr(t, CASE WHEN length(t) >= length(name) THEN i+1 ELSE i END)
-                          = substr(name, CASE WHEN length(name) >= length(t) THEN i+1 ELSE i END))
-                 FROM range(1, greatest(length(t), length(name)) + 1) r(i)) AS near
-                FROM plain JOIN concepts ON abs(length(t) - length(name)) <= 1 WHERE t <> ''),
-         close AS (SELECT term, rxcui, CASE WHEN same THEN 0 ELSE 1 END AS distance FROM one_off WHERE same OR near),
-         held AS (SELECT DISTINCT name, rxcui, unnest(list_concat(string_split(name, ' '), [name[i:i+2] for i in range(1, len(name) - 1)])) AS k FROM concepts),
-         spread AS (SELECT k, count(*) AS df FROM held GROUP BY k),
-         mine AS (SELECT DISTINCT term, t, unnest(list_concat(string_split(t, ' '), [t[i:i+2] for i in range(1, len(t) - 1)])) AS k
-                  FROM plain WHERE t <> '' AND term NOT IN (SELECT term FROM close)),
-         rare AS (SELECT term, t, k FROM mine JOIN spread USING (k) QUALIFY row_number() OVER (PARTITION BY term ORDER BY df, k) <= 3),
-         scored AS (SELECT * FROM close UNION ALL
-                    SELECT term, rxcui, CAST(levenshtein(regexp_replace(t, '[^\x00-\x7F]', '?', 'g'), name) AS INT) FROM rare JOIN held USING (k))
-    SELECT term, arg_min(rxcui, (distance, rxcui)) AS rxcui, CAST(min(distance) AS INT) AS distance
+         scored AS (SELECT term, rxcui, CAST(levenshtein(regexp_replace(t, '[^\x00-\x7F]', '?', 'g'), name) AS INT) AS distance
+                    FROM plain CROSS JOIN concepts WHERE t <> '')
+    SELECT term, arg_min(rxcui, (distance, rxcui)) AS rxcui, min(distance) AS distance
     FROM scored GROUP BY term""")
 def approx_term_top1(spark, d):
     words = V.table(spark, d, "documents").select(F.explode(F.split("text", " ")).alias("term"))
@@ -181,14 +169,16 @@ def resolve_atc(spark, d):
 
 
 @query("resolve_join_back", """
-    SELECT f.primaryid, f.drug_seq, lower(string_split(f.drugname, ' ')[2]) AS entity, r.codes
-    FROM drug f LEFT JOIN (SELECT entity, codes FROM resolved) r
-    ON r.entity = lower(string_split(f.drugname, ' ')[2])""")
+    WITH named AS (SELECT primaryid, drug_seq, lower(string_split(drugname, ' ')[2]) AS entity FROM drug),
+         nearest AS (SELECT entity, arg_min(rxcui, (levenshtein(entity, name), rxcui)) AS rxcui
+                     FROM (SELECT DISTINCT entity FROM named WHERE entity <> '') CROSS JOIN concepts GROUP BY entity)
+    SELECT primaryid, drug_seq, entity, codes FROM named LEFT JOIN nearest USING (entity) LEFT JOIN concept_codes USING (rxcui)""")
 def resolve_join_back(spark, d):
     noun = F.lower(V.noun("drugname"))
     named = V.drug(spark, d).select("primaryid", "drug_seq", noun.alias("entity"))
-    found = M.resolve_and_join_back(named, "entity", _resolver(spark, d))
-    return found.select("primaryid", "drug_seq", "entity", V.codes_text(F.col("atc_code")).alias("codes"))
+    resolve = _resolver(spark, d)
+    # the text is made once for an entity, not for each row that names it
+    return M.resolve_and_join_back(named, "entity", lambda e: resolve(e).select("entity", V.codes_text(F.col("atc_code")).alias("codes")))
 
 
 @query("unmapped_entities", "SELECT entity FROM entities WHERE entity NOT IN (SELECT entity FROM old_map)")
@@ -200,7 +190,7 @@ def unmapped_entities(spark, d):
 CASCADE_SQL = """
     SELECT entity, codes, 'vocabulary' AS strategy, CAST(1700000000 AS BIGINT) AS processing_time
     FROM resolved WHERE codes IS NOT NULL
-    UNION ALL SELECT entity, 'M1|model|ATC1-4', 'model', CAST(1700000000 AS BIGINT) FROM entities WHERE entity = 'gear'"""
+    UNION ALL SELECT entity, 'M1|model|ATC1-4', 'model', CAST(1700000000 AS BIGINT) FROM resolved WHERE codes IS NULL AND entity = 'gear'"""
 
 
 def _cascade(spark, d, entities=None):
@@ -231,8 +221,10 @@ def unresolved_entities(spark, d):
     WHERE NOT EXISTS (SELECT 1 FROM gone g WHERE g.caseid = f.caseid)""")
 def silver_drug_query(spark, d):
     entities = _entities(spark, d)
-    coded = silver_drug(V.drug(spark, d), V.deleted(spark, d), entities, _cascade(spark, d, entities)[0])
-    return coded.withColumn("codes", V.codes_text(F.col("atc_code"))).drop("atc_code")
+    mapping = _cascade(spark, d, entities)[0]
+    # the text is made once for an entity, not for each row that names it
+    mapping = mapping.withColumn("atc_code", V.codes_text(F.col("atc_code")))
+    return silver_drug(V.drug(spark, d), V.deleted(spark, d), entities, mapping).withColumnRenamed("atc_code", "codes")
 
 
 def _customer_map(spark, d, rows, tag, time):

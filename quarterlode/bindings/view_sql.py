@@ -84,7 +84,7 @@ VIEWS = {
     "vocab": """
         SELECT DISTINCT string_split(p_name,' ')[2] AS entity FROM part
         WHERE string_split(p_name,' ')[2] <> 'bolt'""",
-    "concepts": "SELECT 'C-' || entity AS rxcui, entity AS name FROM vocab WHERE entity <> 'gear'",
+    "concepts": "SELECT 'C-' || entity AS rxcui, entity AS name FROM vocab",
     "drug_names": """
         SELECT DISTINCT lower(drugname) AS drugname, lower(prod_ai) AS prod_ai,
                coalesce(regexp_replace(lower(prod_ai),'([()/+])',' \\1 ','g'),
@@ -145,8 +145,8 @@ VIEWS = {
         JOIN classes c ON i.related_rxcui = c.rxcui GROUP BY i.rxcui""",
     "entities": "SELECT DISTINCT entity FROM term_entities WHERE entity IS NOT NULL",
     "near": """
-        SELECT e.entity, arg_min(c.rxcui, levenshtein(lower(e.entity), c.name)) AS rxcui
-        FROM entities e JOIN concepts c ON levenshtein(lower(e.entity), c.name) <= 1 GROUP BY e.entity""",
+        SELECT e.entity, arg_min(c.rxcui, (levenshtein(lower(e.entity), c.name), c.rxcui)) AS rxcui
+        FROM entities e CROSS JOIN concepts c GROUP BY e.entity""",
     "resolved": """
         SELECT e.entity, k.codes FROM entities e
         LEFT JOIN near n USING (entity) LEFT JOIN concept_codes k USING (rxcui)""",

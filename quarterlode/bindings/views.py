@@ -196,8 +196,9 @@ def vocabulary(spark, d):
 
 
 def concepts(spark, d):
+    """A concept for each listed noun; that of ``gear`` leads to no class."""
     words = table(spark, d, "part").select(noun().alias("name")).distinct()
-    return words.where(~F.col("name").isin(*UNKNOWN)).select(
+    return words.where(~F.col("name").isin(*UNLISTED)).select(
         F.concat(F.lit("C-"), F.col("name")).alias("rxcui"), "name")
 
 
@@ -275,7 +276,7 @@ def class_answers(spark, d):
 
 
 def model_answers(spark, d, ask):
-    """Answers of a model for the nouns no vocabulary knows; for ``bolt`` names it gives no JSON."""
+    """Answers of a model for nouns without a class of their own; for ``bolt`` names it gives no JSON."""
     names = table(spark, d, "part").select("p_name").distinct()
     known = names.where(noun() == "gear").select(noun().alias("term")).distinct().select(
         "term", F.lit("[{'id': 'M1', 'name': 'model', 'class_type': 'ATC1-4'}]").alias("response"))

@@ -27,43 +27,49 @@ def drug_terms(drug: DataFrame) -> DataFrame:
     return pairs.withColumn("term", F.coalesce(space_out(F.col("prod_ai")), space_out(F.col("drugname"))))
 
 
-def word_runs(text: Column, lengths: Iterable[int]) -> Column:
-    """Distinct runs of so many consecutive words of a text with single blanks.
+def entry_anchors(entries: DataFrame, words: DataFrame) -> DataFrame:
+    """Each entry once, as ``word, offset, n, entity``: under the word of it that texts have least often.
 
-    One pattern pass per length; the lookahead lets runs overlap. Explode the
-    result as it is: exploding a column that holds it makes Spark evaluate it
-    once more for an inferred filter.
+    ``words`` holds the words of all texts. An entry with a word that no text has, or with
+    blanks that are not single ones between words, cannot be found and is left out.
     """
-    def of(n: int) -> Column:
-        if n == 1:
-            return F.filter(F.split(text, " "), lambda w: w != "")
-        return F.regexp_extract_all(text, F.lit(rf"(?<![^ ])(?=([^ ]++(?: [^ ]++){{{n - 1}}}))"), F.lit(1))
-
-    return F.array_distinct(F.concat(F.array().cast("array<string>"), *[of(n) for n in lengths]))
+    split = entries.select("entity", F.split("entity", " ").alias("_words"))
+    split = split.where(~F.array_contains("_words", ""))
+    own = split.select("entity", F.size("_words").alias("n"), F.posexplode("_words").alias("offset", "word"))
+    vocabulary = sized_broadcast(materialise(own.select("word").distinct(), "entry_words"))
+    counts = materialise(words.join(vocabulary, "word", "left_semi").groupBy("word").count(), "word_counts")
+    placed = own.join(counts, "word", "left").groupBy("entity", "n").agg(
+        F.min(F.struct("count", "offset", "word")).alias("rarest"), F.count("count").alias("_known"))
+    return placed.where(F.col("_known") == F.col("n")).select("rarest.word", "rarest.offset", "n", "entity")
 
 
 def entities_by_key(df: DataFrame, key: str, text: str, vocabulary: DataFrame) -> DataFrame:
     """Entities of each text, as ``key, text, entities``; keys are unique.
 
     A text's entities are the vocabulary entries (column ``entity``, lower case)
-    among its word runs, sorted. A text that names none stands for itself,
-    trimmed; a blank text has null. Runs are as long as the entries are, which
-    the vocabulary itself tells.
+    among its runs of words, sorted. A text that names none stands for itself,
+    trimmed; a blank text has null. Entries may have any number of words.
 
-    Only the runs that are entries move between tasks, under their key; the
-    texts stay in place as long as the keys with an entity are a small table.
+    The words of the texts are joined with the entries' rarest words; only the places
+    where an entry may begin move between tasks, under their key, and are compared
+    with the text where it lies, as long as they are a small table.
     """
     texts = df.select(key, text)
-    clean = texts.select(key, collapse_spaces(F.col(text)).alias("_clean"))
+    clean = collapse_spaces(F.col(text))
     entries = materialise(vocabulary.select("entity").where(F.col("entity").isNotNull()).distinct(), "entries")
-    lengths = sorted(r.n for r in entries.select(F.size(F.split("entity", " ")).alias("n")).distinct().collect())
-    runs = clean.select(key, F.explode(word_runs(F.col("_clean"), lengths)).alias("entity"))
-    # folded per text: at most the runs of one text
-    found = runs.join(sized_broadcast(entries), "entity", "left_semi").groupBy(key).agg(
-        F.array_sort(F.collect_set("entity")).alias("entities"))
+    words = texts.select(key, F.posexplode(F.split(clean, " ")).alias("_at", "word"))
+    anchors = materialise(entry_anchors(entries, words.select("word")), "anchors")
+    # folded per text: at most its places
+    places = words.join(sized_broadcast(anchors), "word").where(F.col("_at") >= F.col("offset")).groupBy(key).agg(
+        F.collect_list(F.struct((F.col("_at") - F.col("offset")).alias("start"), "n", "entity")).alias("_places"))
+    known = sized_broadcast(materialise(places, "places"))
+    # the words are bound once for a text, not split anew for each place
+    found = F.transform(F.array(F.split(clean, " ")), lambda w: F.transform(
+        F.filter("_places", lambda p: F.array_join(F.slice(w, p["start"] + 1, p["n"]), " ") == p["entity"]), lambda p: p["entity"]))[0]
+    named = F.when(F.col("_places").isNotNull(), F.array_sort(F.array_distinct(found)))
     whole = F.when(~is_blank(F.col(text)), F.array(strip(F.col(text))))
-    known = sized_broadcast(materialise(found, "found"))
-    return texts.join(known, key, "left").select(key, text, F.coalesce("entities", whole).alias("entities"))
+    matched = texts.join(known, key, "left").select(key, text, named.alias("entities"))
+    return matched.withColumn("entities", F.when(F.size("entities") > 0, F.col("entities")).otherwise(whole))
 
 
 def match_entities(terms: DataFrame, vocabulary: DataFrame) -> DataFrame:

@@ -62,62 +62,95 @@ def _deletions(text: Column) -> Column:
     return F.array_distinct(F.concat(F.array(text), F.when(F.length(text) > 0, cut).otherwise(F.array().cast("array<string>"))))
 
 
-def _keys(text: Column) -> Column:
-    """Words and runs of three characters of a text."""
-    runs = F.transform(F.sequence(F.lit(1), F.length(text) - 2), lambda i: F.substring(text, i, F.lit(3)))
-    return F.array_union(F.split(text, " "), F.when(F.length(text) >= 3, runs).otherwise(F.array().cast("array<string>")))
+def _runs(text: Column) -> Column:
+    """Runs of three characters of a text, in order."""
+    size = F.length(text)
+    runs = F.transform(F.sequence(F.lit(1), F.greatest(size - 2, F.lit(1))), lambda i: F.substring(text, i, F.lit(3)))
+    return F.when(size >= 3, runs).otherwise(F.array().cast("array<string>"))
 
 
-def nearest_concept(terms: DataFrame, concepts: DataFrame, max_distance: int | None = None, rarest: int = 3) -> DataFrame:
+def _best(pairs: DataFrame) -> DataFrame:
+    """The nearest name of each term, then the smallest id."""
+    return pairs.groupBy("term").agg(F.min(F.struct("distance", "rxcui")).alias("_b")).select("term", "_b.rxcui", "_b.distance")
+
+
+def _within(pairs: DataFrame) -> DataFrame:
+    """Pairs at most ``_bound`` edits apart; the edits are counted only that far."""
+    scored = pairs.select("term", F.expr("levenshtein(_t, _n, _bound)").alias("distance"), "rxcui")
+    return scored.where("distance >= 0")
+
+
+def _one_edit(keyed: DataFrame, names: DataFrame, longest: int) -> DataFrame:
+    """Nearest names at most one edit away: both texts share one with at most one character left out."""
+    # a longer term is no edit away from any name; its deletions would only take room
+    short = keyed.where(F.length("_t") <= longest + 1)
+    wanted = short.select("term", "_t", F.explode(_deletions(F.col("_t"))).alias("_k"))
+    offered = sized_broadcast(materialise(names.select("_n", "rxcui", F.explode(_deletions(F.col("_n"))).alias("_k")), "deletions"))
+    return _best(_within(wanted.join(offered, "_k").withColumn("_bound", F.lit(1))))
+
+
+def _bounded(rest: DataFrame, names: DataFrame, lengths: list[int]) -> DataFrame:
+    """Open terms with ``_bound``: the distance to some name, which the nearest one cannot exceed.
+
+    That name holds the term's rarest run of three characters; without one, the name
+    of the length nearest to the term's is at most as far as the longer of both is long.
+    """
+    runs = materialise(names.select("_n", F.explode(_runs(F.col("_n"))).alias("_k")).groupBy("_k").agg(
+        F.count(F.lit(1)).alias("_df"), F.min("_n").alias("_some")), "name_runs")
+    known = rest.select("term", "_t", F.explode(F.array_distinct(_runs(F.col("_t")))).alias("_k")).join(sized_broadcast(runs), "_k")
+    rare = known.groupBy("term").agg(F.min(F.struct("_df", "_k", "_some")).alias("_rare")).select("term", "_rare._some")
+    at_most = F.greatest(F.length("_t"), F.lit(lengths[0]))
+    found = F.least(F.levenshtein("_t", "_some"), at_most)
+    return rest.join(rare, "term", "left").select("term", "_t", F.coalesce(found, at_most).alias("_bound"))
+
+
+def nearest_concept(terms: DataFrame, concepts: DataFrame, max_distance: int | None = None) -> DataFrame:
     """The concept whose name is nearest to each term, by edit distance.
 
     ``terms`` holds ``term``; ``concepts`` holds ``rxcui, name``. The nearest
-    name wins, then the smallest id. Returns ``term, rxcui, distance``; terms
-    without a candidate, or none within ``max_distance``, are absent. There is
-    no bound on the distance unless one is given.
+    name wins, then the smallest id. Returns ``term, rxcui, distance``; blank
+    terms, and those without a name within ``max_distance``, are absent. There is
+    no bound on the distance unless one is given, and the result is exact.
 
     Two texts one edit apart share a text with at most one character removed:
-    an equality join on those finds every such pair, and the number of names
-    that share one is bounded by the alphabet. A term without a name that near
-    is compared only with the names that hold one of its ``rarest`` words or runs
-    of three characters, rare among the names: beyond one edit the result is the
-    nearest of these candidates, and a nearer name that holds none of them is not
-    found. A term that shares no word and no run with any name has no candidate.
+    an equality join on those finds every such pair. A term without a name that
+    near first gets a bound, the distance to some name. A nearer one differs
+    in length by no more than the bound, and if the term has more than three
+    runs of three characters for each edit, it shares one of its ``3 * bound + 1``
+    rarest. Terms that have so many are joined with names on those runs. For the
+    others nothing but the length is known: they are joined on it, for each length
+    within the bound. All edits are counted up to the bound only.
     """
     keyed = terms.select("term", normalise(F.col("term")).alias("_t")).where("_t != ''")
     names = materialise(concepts.select("rxcui", normalise(F.col("name")).alias("_n")).groupBy("_n").agg(
         F.min("rxcui").alias("rxcui")), "names")
-    longest = names.agg(F.max(F.length("_n"))).first()[0] or 0
-    # a longer term is no edit away from any name; its deletions would only take room
-    short = keyed.where(F.length("_t") <= longest + 1)
-    wanted = short.select("term", "_t", F.explode(_deletions(F.col("_t"))).alias("_k"))
-    offered = sized_broadcast(materialise(names.select("_n", "rxcui", F.explode(_deletions(F.col("_n"))).alias("_k")), "deletions"))
-    near = (
-        wanted.join(offered, "_k")
-        .select("term", F.levenshtein("_t", "_n", 1).alias("distance"), "rxcui")
-        .where("distance >= 0")
-        .groupBy("term")
-        .agg(F.min(F.struct("distance", "rxcui")).alias("_best"))
-        .select("term", "_best.rxcui", "_best.distance")
-    )
+    lengths = sorted(r[0] for r in names.select(F.length("_n")).distinct().collect())
+    if not lengths:
+        return _best(keyed.select("term", F.lit(0).alias("distance"), F.lit(None).cast(names.schema["rxcui"].dataType).alias("rxcui")).limit(0))
+    near = _one_edit(keyed, names, lengths[-1])
     if max_distance is not None and max_distance <= 1:
         return near.where(F.col("distance") <= max_distance)
     near = materialise(near, "near")
-    held = materialise(names.select("_n", "rxcui", F.explode(_keys(F.col("_n"))).alias("_k")).distinct(), "name_keys")
-    spread = materialise(held.groupBy("_k").agg(F.count(F.lit(1)).alias("_df")), "key_counts")
     rest = keyed.join(near.select("term"), "term", "left_anti")
-    known = rest.select("term", "_t", F.explode(_keys(F.col("_t"))).alias("_k")).join(sized_broadcast(spread), "_k")
-    # at most the keys of one term
-    rare = known.groupBy("term", "_t").agg(F.slice(F.array_sort(F.collect_set(F.struct("_df", "_k"))), 1, rarest).alias("_rare"))
-    candidates = rare.select("term", "_t", F.explode("_rare._k").alias("_k")).join(sized_broadcast(held), "_k")
-    far = (
-        candidates.select("term", F.levenshtein("_t", "_n").alias("distance"), "rxcui")
-        .groupBy("term")
-        .agg(F.min(F.struct("distance", "rxcui")).alias("_best"))
-        .select("term", "_best.rxcui", "_best.distance")
-    )
-    far = far if max_distance is None else far.where(F.col("distance") <= max_distance)
-    return near.unionByName(far)
+    open_ = _bounded(rest, names, lengths)
+    if max_distance is not None:
+        open_ = open_.withColumn("_bound", F.least("_bound", F.lit(max_distance)))
+    open_ = materialise(open_, "open_terms")
+    many = F.length("_t") - 2 > 3 * F.col("_bound")
+    sized = sized_broadcast(materialise(names.withColumn("_length", F.length("_n")), "sized_names"))
+    fits = F.array(*[F.lit(n) for n in lengths])
+    by_length = open_.where(~many).withColumn("_length", F.explode(
+        F.filter(fits, lambda n: F.abs(n - F.length("_t")) <= F.col("_bound")))).join(sized, "_length")
+    held = materialise(names.select("_n", "rxcui", F.explode(F.array_distinct(_runs(F.col("_n")))).alias("_k")), "names_by_run")
+    spread = sized_broadcast(materialise(held.groupBy("_k").agg(F.count(F.lit(1)).alias("_df")), "run_counts"))
+    # an edit changes three runs at most; equal runs of a term count one by one
+    own = open_.where(many).select("term", "_t", "_bound", F.posexplode(_runs(F.col("_t"))).alias("_at", "_k"))
+    rarest = own.join(spread, "_k", "left").groupBy("term", "_t", "_bound").agg(
+        F.array_sort(F.collect_list(F.struct(F.coalesce("_df", F.lit(0)).alias("df"), F.col("_k").alias("k"), F.col("_at").alias("at")))).alias("_l"))
+    chosen = rarest.select("term", "_t", "_bound", F.explode(F.array_distinct(F.expr("transform(slice(_l, 1, 3 * _bound + 1), x -> x.k)"))).alias("_k"))
+    by_run = chosen.join(sized_broadcast(held), "_k").where(F.abs(F.length("_t") - F.length("_n")) <= F.col("_bound"))
+    pairs = by_length.select("term", "_t", "_bound", "_n", "rxcui").unionByName(by_run.select("term", "_t", "_bound", "_n", "rxcui"))
+    return near.unionByName(_best(_within(pairs)))
 
 
 # ---- answers to rows -------------------------------------------------------------

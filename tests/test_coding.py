@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -115,13 +117,21 @@ def test_entities(spark, rows):
     assert [r[0] for r in text.collect()] == ["a b,c d", None]
 
 
-def test_runs_against_brute_force(spark):
-    texts = ["a", "a b", "a b c d e", "x x x"]
-    df = spark.createDataFrame([(t,) for t in texts], "t string")
-    for t, runs in df.select("t", E.word_runs(F.col("t"), (1, 2, 3))).collect():
-        w = t.split()
-        want = {" ".join(w[i:i + n]) for n in (1, 2, 3) for i in range(len(w) - n + 1)}
-        assert set(runs) == want and len(runs) == len(want)
+@pytest.mark.parametrize("rows_sent", [None, 0])
+def test_entities_against_brute_force(spark, monkeypatch, rows_sent):
+    if rows_sent is not None:  # nothing is broadcast by hand
+        monkeypatch.setattr("quarterlode.operators.lookup.MAX_ROWS", rows_sent)
+    rng = random.Random(11)
+    words = [f"w{i}" for i in range(12)]
+    texts = [rng.choices(words, weights=range(1, 13), k=rng.randint(1, 150)) for _ in range(60)] + [["w11"] * 100]
+    entries = {" ".join(t[i : i + n]) for t in texts for n in (1, 2, 3, 9, 60) for i in (rng.randrange(len(t)),)}
+    entries |= {" ".join(rng.choices(words, k=rng.randint(1, 4))) for _ in range(60)} | {"w1  w2", " w3", "absent", "w1 absent", ""}
+    df = spark.createDataFrame([(i, rng.choice([" ", "  ", "\t"]).join(t)) for i, t in enumerate(texts)], "id int, text string")
+    found = E.entities_by_key(df, "id", "text", spark.createDataFrame([(e,) for e in entries], "entity string"))
+    got = {r.id: r.entities for r in found.collect()}
+    for i, t in enumerate(texts):
+        held = sorted(e for e in entries if e.split() and f" {e} " in f" {' '.join(t)} ")
+        assert got[i] == held, (i, t)
 
 
 def test_drug_rows_with_entities_and_codes(spark, rows):

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -78,42 +79,55 @@ def test_classes(spark, rows):
     assert rows(K.drug_classes(df), "rxcui", "atc.id") == [("i", "C1"), ("i", "C1"), ("i", "C2")]
 
 
-def test_nearest_concept_against_brute_force(spark):
-    names = [("3", "aspirin"), ("1", "Aspirine"), ("2", "ibuprofen"), ("9", "x"), ("8", "a b"), ("7", "paracetamol"), ("6", "acid of paracetamol")]
-    terms = ["paracetml", "aspirin 100 mg", "mg aspirin", "zzz qqq", "x" * 20_000, "ASPIRIN", "aspirine ", "asprin", "ibuprofan", "ibu", "y", "", None, "  ", "a  b", "ab", "aspirinée"]
+def edits(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        new = [i]
+        for j, y in enumerate(b, 1):
+            new.append(min(row[j] + 1, new[-1] + 1, row[j - 1] + (x != y)))
+        row = new
+    return row[-1]
 
-    def distance(a, b):
-        row = list(range(len(b) + 1))
-        for i, x in enumerate(a, 1):
-            new = [i]
-            for j, y in enumerate(b, 1):
-                new.append(min(row[j] + 1, new[-1] + 1, row[j - 1] + (x != y)))
-            row = new
-        return row[-1]
 
+def nearest_by_hand(terms, names):
     clean = lambda t: " ".join((t or "").lower().split())
-    keys = lambda t: {*t.split(" "), *(t[i : i + 3] for i in range(len(t) - 2))}
-    held = {}
-    for i, n in names:
-        for k in keys(clean(n)):
-            held.setdefault(k, set()).add((i, clean(n)))
-    near, far = {}, {}
-    for t in terms:
-        c = clean(t)
-        scored = sorted((distance(c, clean(n)), i) for i, n in names if c and abs(len(c) - len(clean(n))) <= 1)
-        if scored and scored[0][0] <= 1:
-            near[t] = (scored[0][1], scored[0][0])
-        elif c:
-            rare = sorted((len(held[k]), k) for k in keys(c) if k in held)[:3]
-            scored = sorted((distance(c, n), i) for _, k in rare for i, n in held[k])
-            if scored:
-                far[t] = (scored[0][1], scored[0][0])
-    assert far["paracetml"] == ("7", 2) and far["aspirin 100 mg"] == ("1", 7) and "zzz qqq" not in far
+    scored = {t: min((edits(clean(t), clean(n)), i) for i, n in names) for t in terms if clean(t)}
+    return {t: (i, d) for t, (d, i) in scored.items()}
+
+
+def test_nearest_concept_against_brute_force(spark):
+    names = [("3", "aspirin"), ("1", "Aspirine"), ("2", "ibuprofen"), ("9", "x"), ("8", "a b"), ("7", "paracetamol"), ("6", "acid of paracetamol")]
+    terms = ["paracetml", "aspirin 100 mg", "mg aspirin", "zzz qqq", "x" * 3_000, "ASPIRIN", "aspirine ", "asprin", "ibuprofan", "ibu", "y", "", None, "  ",
+             "a  b", "ab", "aspirinée", "acid in paracetamols", "metfrmn zabcd"]
+    want = nearest_by_hand(terms, names)
+    assert want["paracetml"] == ("7", 2) and want["aspirin 100 mg"] == ("1", 7)
     given = spark.createDataFrame([(t,) for t in terms], "term string"), spark.createDataFrame(names, "rxcui string, name string")
     got = lambda **bound: {r.term: (r.rxcui, r.distance) for r in K.nearest_concept(*given, **bound).collect()}
-    assert got() == near | far
-    assert got(max_distance=1) == near
-    assert got(max_distance=2) == near | {t: v for t, v in far.items() if v[1] <= 2}
+    assert got() == want
+    for most in (1, 2, 5):
+        assert got(max_distance=most) == {t: v for t, v in want.items() if v[1] <= most}
+    assert K.nearest_concept(given[0], given[1].limit(0)).collect() == []
+    near = [("1", "metformin"), ("2", "metformax"), ("3", "metforal"), ("4", "zabcdefghijklmnop")]
+    one = K.nearest_concept(spark.createDataFrame([("metfrmn zabcd",)], "term string"), spark.createDataFrame(near, "rxcui string, name string"))
+    assert [(r.term, (r.rxcui, r.distance)) for r in one.collect()] == list(nearest_by_hand(["metfrmn zabcd"], near).items())
+
+
+@pytest.mark.parametrize("rows_sent", [None, 0])
+def test_nearest_concept_over_random_vocabularies(spark, monkeypatch, rows_sent):
+    if rows_sent is not None:  # nothing is broadcast by hand
+        monkeypatch.setattr("quarterlode.operators.lookup.MAX_ROWS", rows_sent)
+    rng = random.Random(7)
+    for letters, longest in (("ab", 9), ("abcdefgh", 30)):
+        names = [(str(i), "".join(rng.choice(letters + " ") for _ in range(rng.randint(1, longest))).strip() or "a") for i in range(60)]
+        terms = {"".join(rng.choice(letters) for _ in range(rng.randint(1, longest + 8))) for _ in range(60)}
+        for _, n in names:
+            cut = list(n)
+            for _ in range(rng.randint(0, 4)):
+                cut.insert(rng.randrange(len(cut) + 1), rng.choice(letters))
+                del cut[rng.randrange(len(cut))]
+            terms.add("".join(cut))
+        found = K.nearest_concept(spark.createDataFrame([(t,) for t in terms], "term string"), spark.createDataFrame(names, "rxcui string, name string"))
+        assert {r.term: (r.rxcui, r.distance) for r in found.collect()} == nearest_by_hand(terms, names)
 
 
 @pytest.fixture()
@@ -129,7 +143,8 @@ def resolver(spark):
 def test_whole_chain(spark, resolver):
     terms = spark.createDataFrame([(t,) for t in ("Aspirin", "retired", "empty", "classless", "unknown")], "entity string")
     out = {r.entity: [c.id for c in r.atc_code] for r in resolver(terms).collect()}
-    assert out == {"Aspirin": ["C1", "C2", "C2"], "retired": ["Q", "C2", "C3"]}
+    # the nearest name has no bound: an unknown term is coded as its nearest one, here aspirin
+    assert out == {"Aspirin": ["C1", "C2", "C2"], "retired": ["Q", "C2", "C3"], "unknown": ["C1", "C2", "C2"]}
 
 
 def test_cascade_and_map(spark, resolver, rows, tmp_path):
