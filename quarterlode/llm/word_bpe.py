@@ -22,20 +22,20 @@ import numpy as np
 import pyarrow as pa
 import regex
 from pyspark import SparkFiles
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarterlode.llm.lexicon import Lexicon, compile_lexicon
-from quarterlode.session import new_path
+from quarterlode.session import materialise, new_path
 
 WORD_CHARS = 40  # longer words are rare and not remembered
-REMEMBERED = 500_000  # words a worker remembers; the others are worked out again
+REMEMBERED = 400_000  # words a worker remembers; the others are worked out again
 LONG_WORD = 100  # characters of a part that is merged alone
 LAST_CHARACTER = 0x200  # beyond the characters that stand for bytes
 BLANK = re.compile(r"\s")
 WORD_BYTES = 64  # longest word of a lexicon
 BATCH_CHARS = 1 << 20  # of texts that are encoded together
-FLUSHED = 400_000  # words that a task counts before it hands the counts on
+FLUSHED = 300_000  # words that a task counts before it hands the counts on
 
 
 def _ascii_pattern(normalizer: dict, pre_tokenizer: dict) -> regex.Pattern | None:
@@ -80,6 +80,7 @@ class Tokenizer:
         self.special = {a["content"]: a["id"] for a in added}
         longest = sorted(self.special, key=len, reverse=True)
         self.specials = re.compile("(" + "|".join(map(re.escape, longest)) + ")") if longest else None
+        self.known: dict[str, bytes] = {"": b""}
         self.tokens = {i: t for t, i in (*self.vocabulary.items(), *self.special.items())}
 
     def words(self, piece: str) -> list[str]:
@@ -208,7 +209,7 @@ class Tokenizer:
         return {p: data[i:j] for p, i, j in zip(cut, ends, ends[1:], strict=False)}
 
 
-@lru_cache(maxsize=4)
+@lru_cache(maxsize=1)
 def tokenizer_at(path: str) -> Tokenizer:
     """The tokenizer of a file, read once by each worker."""
     return Tokenizer(path)
@@ -220,11 +221,11 @@ def words_of(text: str | None) -> list[str]:
 
 
 class Encoder:
-    """A tokenizer, a lexicon, and the words met so far."""
+    """A tokenizer, a lexicon, and the words met so far, whose ids no lexicon changes."""
 
     def __init__(self, path: str, lexicon: Lexicon | None):
         self.tokenizer, self.lexicon = tokenizer_at(path), lexicon
-        self.known: dict[str, bytes] = {"": b""}
+        self.known = self.tokenizer.known
 
     def _new(self, words: list[str]) -> dict[str, bytes]:
         """Ids of distinct words: from the lexicon, else by merging the parts of each."""
@@ -283,11 +284,16 @@ def count_words(docs: DataFrame, text_col: str = "text") -> DataFrame:
     return docs.select(docs[text_col]).mapInArrow(run, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
 
 
+def _class(count: str) -> Column:
+    """Class of a frequency: a thousand at most, whatever the counts."""
+    return F.floor(F.log2(count) * 16).cast("int")
+
+
 def build_lexicon(spark: SparkSession, docs: DataFrame, path: str, text_col: str = "text", size: int = 65_536) -> str | None:
-    """Compile the ``size`` most frequent words of all texts; the name under which executors find the file.
+    """Compile the most frequent words of all texts; the name under which executors find the file.
 
-    Of equally frequent words those that come first are taken. Longer words than ``WORD_BYTES`` are not taken.
-    Of an empty table there is no lexicon.
+    Words are taken by classes of frequency, sixteen to each doubling, as long as all taken are no more than ``size``.
+    Words above ``WORD_BYTES`` are not taken. If no class fits, or the table is empty, there is no lexicon.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = [w for batch in batches for w in batch.column(0).to_pylist()]
@@ -295,8 +301,16 @@ def build_lexicon(spark: SparkSession, docs: DataFrame, path: str, text_col: str
         data = compile_lexicon((w.encode(), ids[w]) for w in sorted(words, key=str.encode))
         yield pa.RecordBatch.from_arrays([pa.array([data], pa.binary())], ["lexicon"])
 
-    counted = count_words(docs, text_col).where(F.octet_length("word") <= WORD_BYTES)
-    chosen = counted.orderBy(F.desc("n"), "word").limit(size).select("word").coalesce(1)
+    counted = materialise(count_words(docs, text_col).where(F.octet_length("word") <= WORD_BYTES).withColumn("rank", _class("n")), "words")
+    least, held = None, 0
+    for row in counted.groupBy("rank").agg(F.count(F.lit(1)).alias("words")).orderBy(F.desc("rank")).collect():
+        held += row["words"]
+        if held > size:
+            break
+        least = row["rank"]
+    if least is None:
+        return None
+    chosen = counted.where(F.col("rank") >= least).select("word").repartition(1)
     folder = new_path(spark, "lexicon")
     # the text writer puts bytes down as they are
     chosen.mapInArrow(run, "lexicon binary").select(F.col("lexicon").cast("string")).write.text(folder)

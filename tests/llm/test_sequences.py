@@ -134,8 +134,10 @@ def test_lexicon(tmp_path_factory, words, others):
 def test_lexicon_over_a_table(spark):
     texts = ["the cat sat on the mat", "The cats' <|endoftext|>", None, "", " \n ", "z" * 30_000, "the cat sat on the mat", "x\ty the\n\nthe"]
     df = prepare(spark).createDataFrame([(i if i else None, t, b"") for i, t in enumerate(texts)], "doc_id int, text string, ids binary")
-    name = word_bpe.build_lexicon(spark, df, PATH, size=5)
-    assert len(lexicon.Lexicon(SparkFiles.get(name)).offsets) == 6
+    name = word_bpe.build_lexicon(spark, df, PATH, size=6)
+    held = lexicon.Lexicon(SparkFiles.get(name))
+    assert len(held.offsets) == 6 and (held.places([b"the", b"cat", b"sat", b"on", b"mat"]) >= 0).all()
+    assert word_bpe.build_lexicon(spark, df, PATH, size=0) is None
     counted = {r.word: r.n for r in word_bpe.count_words(df).collect()}
     assert counted["the"] == 6 and counted["cat"] == 2 and "" not in counted
     rows = {r.doc_id or 0: r for r in word_bpe.decode(word_bpe.encode(df, PATH, name), PATH).collect()}
