@@ -7,7 +7,9 @@ gets a surrogate from a keyed hash, so the same unit has the same surrogate in a
 Surrogates keep type and format: digits stay digits and letters stay letters of their
 script, a card number stays valid, a hex string stays hex, a name keeps script, case and
 the gender of its title. Two units never share a surrogate, and no surrogate is a unit
-that occurs: units that clash are hashed again until none does.
+that occurs: units that clash are hashed again until none does. A unit that finds no free
+surrogate of its own length in a few rounds gets a longer one, a character more with each
+round, so that the rounds end however full a format is.
 """
 
 from __future__ import annotations
@@ -59,6 +61,9 @@ TAIL = "|".join((
 GROUPED = r"(?<!\d)(?=(\d{13,19}(?!\d)|\d{4}(?:[ \-]\d{4}){3}(?!\d)|\d{4}[ \-]\d{6}[ \-]\d{4,5}(?!\d)))"
 RUN = r"(?<!\d)\d(?:[ \-]?\d){12,18}(?!\d)"
 CARD_START = r"(?=\d)(?<!\d)\d(?:[ \-]?\d){12}"
+# Rounds in which a unit that clashes keeps its length, and syllables of a name.
+PATIENCE = 4
+SYLLABLES = 4
 SCRIPTS = (("Cyrillic", "бвгдзклмнпрст", "аеиоу"), ("Greek", "βγδκλμνπρστ", "αειου"), ("Latin", "bdfgklmnprstv", "aeiou"))
 
 
@@ -151,13 +156,28 @@ def _scrambled(text: str) -> str:
         WHEN c rlike r'\\p{{L}}' THEN substr('abcdefghijklmnopqrstuvwxyz', 1 + ({v}) % 26, 1) ELSE c END), '')"""
 
 
+def _more() -> str:
+    """SQL: by how much the surrogate is longer than the unit's format asks for."""
+    return f"greatest(attempt - {PATIENCE}, 0)"
+
+
+def _digits() -> str:
+    """SQL: the digits that a longer surrogate has more."""
+    return f"substr(translate(h, 'abcdef', '012345'), 64, {_more()})"
+
+
+def _letters() -> str:
+    """SQL: the letters that a longer surrogate has more."""
+    return f"substr(translate(h, '0123456789', 'ghijklmnop'), 64, {_more()})"
+
+
 def _syllables() -> str:
-    """SQL: a name of four syllables; its end shows the gender."""
+    """SQL: a name of some syllables; its end shows the gender."""
     cases = []
     for script, consonants, vowels in SCRIPTS:
         pair = (f"concat(substr('{consonants}', 1 + ({_noise('2 * i')}) % {len(consonants)}, 1), "
                 f"substr('{vowels}', 1 + ({_noise('2 * i + 1')}) % {len(vowels)}, 1))")
-        base = f"array_join(transform(sequence(0, 3), i -> {pair}), '')"
+        base = f"array_join(transform(sequence(0, {SYLLABLES - 1} + {_more()}), i -> {pair}), '')"
         end = f"CASE kind WHEN 'female' THEN '{consonants[6]}{vowels[0]}' WHEN 'male' THEN '{vowels[3]}{consonants[6]}' ELSE '{consonants[3]}' END"
         named = f"concat({base}, {end})"
         cases.append(f"WHEN unit rlike r'\\p{{Is{script}}}' THEN {named}" if script != "Latin" else f"ELSE {named}")
@@ -167,16 +187,18 @@ def _syllables() -> str:
 def _surrogate() -> str:
     """SQL: surrogate of ``kind`` and ``unit`` from the hash ``h``."""
     body = f"substr({_scrambled('unit')}, 2)"
-    card = f"concat(substr(unit, 1, 1), substr({body}, 1, length(unit) - 2))"
+    card = f"concat(substr(unit, 1, 1), substr({body}, 1, length(unit) - 2), {_digits()})"
     local, domain = "substring_index(unit, '@', 1)", "substring_index(unit, '@', -1)"
+    octets = f"array_join(transform(sequence(0, 3), i -> string(1 + ({_noise('i')}) % 254)), '.')"
     return f"""CASE
-      WHEN kind = 'mail' THEN concat({_scrambled(local)}, '@', substr({_scrambled(domain)}, 1, length({domain}) - length(substring_index({domain}, '.', -1)) - 1),
-          '.', substring_index({domain}, '.', -1))
-      WHEN kind = 'address' THEN array_join(transform(sequence(0, 3), i -> string(1 + ({_noise('i')}) % 254)), '.')
+      WHEN kind = 'mail' THEN concat({_scrambled(local)}, {_letters()}, '@',
+          substr({_scrambled(domain)}, 1, length({domain}) - length(substring_index({domain}, '.', -1)) - 1), '.', substring_index({domain}, '.', -1))
+      WHEN kind = 'address' THEN concat({octets}, {_digits()})
       WHEN kind = 'card' THEN concat({card}, string((10 - {_luhn(f"concat({card}, '0')")}) % 10))
       WHEN kind IN {NAME_KINDS} THEN {_syllables()}
-      WHEN kind = 'key' AND length(regexp_replace(unit, r'[^\\p{{L}}0-9]', '')) < 8 THEN concat({_scrambled('unit')}, substr(h, 121, 8))
-      ELSE {_scrambled('unit')} END"""
+      WHEN kind = 'key' AND length(regexp_replace(unit, r'[^\\p{{L}}0-9]', '')) < 8 THEN concat({_scrambled('unit')}, substr(h, 121, 8), {_letters()})
+      WHEN kind = 'key' THEN concat({_scrambled('unit')}, {_letters()})
+      ELSE concat({_scrambled('unit')}, {_digits()}) END"""
 
 
 def _hashed(units: DataFrame, key: str) -> DataFrame:
@@ -185,7 +207,11 @@ def _hashed(units: DataFrame, key: str) -> DataFrame:
 
 
 def surrogates(units: DataFrame, key: str) -> DataFrame:
-    """``kind``, ``unit``, ``surrogate`` of distinct units, without clashes."""
+    """``kind``, ``unit``, ``surrogate`` of distinct units, without clashes.
+
+    Each round hashes the units that clash anew; from round ``PATIENCE`` on their surrogates grow. An IPv4 address
+    that finds none free gets digits behind its last part, then no valid address any more; a card number keeps its check digit.
+    """
     named = materialise(_hashed(units.distinct().withColumn("attempt", F.lit(0)), key), "units")
     while True:
         owner = named.groupBy("kind", "surrogate").agg(F.min(F.struct("attempt", "unit")).alias("owner"), F.count(F.lit(1)).alias("n"))
@@ -208,7 +234,10 @@ def _shown_again() -> str:
     filled = f"array_join(transform(filter(split(shown, ''), c -> c <> ''), (c, i) -> if(c BETWEEN '0' AND '9', substr(surrogate, {at}, 1), c)), '')"
     spaced = ("array_join(transform(filter(split(shown, ''), c -> c <> ''), (c, i) -> "
               "if(c = ' ', c, substr(surrogate, length(replace(substr(shown, 1, i + 1), ' ', '')), 1))), '')")
-    return f"""CASE WHEN kind IN ('phone', 'card', 'number') THEN {filled} WHEN kind = 'account' THEN {spaced}
+    # a longer surrogate's further digits follow
+    rest = r"substr(surrogate, 1 + length(regexp_replace(shown, {}, '')))"
+    return f"""CASE WHEN kind IN ('phone', 'card', 'number') THEN concat({filled}, {rest.format(_q(chr(92) + 'D'))})
+      WHEN kind = 'account' THEN concat({spaced}, {rest.format("' '")})
       WHEN kind IN {NAME_KINDS} THEN if(shown = upper(shown) AND length(shown) > 1, upper(surrogate), initcap(surrogate))
       ELSE surrogate END"""
 
