@@ -6,7 +6,12 @@ smallest shingle hashes (bottom-k MinHash, with k from the item's size): at most
 ``n - need`` shingles may be missing, so a document that contains the item has one
 of the sketch at least, and the search has full recall for documents of any length.
 Items are partitioned by size, and a document looks only into partitions whose items
-are small enough for it. Every candidate is verified over its exact shingle set.
+are small enough for it. Every candidate is verified over its exact shingle set. An item
+of fewer words than a shingle is one run of its own length, looked for as such.
+
+Items of up to a block of shingles go to every task, and documents are read once, in
+place. More items are a table like the documents: sketch hashes are joined with the
+documents' shingles, and candidates with both sets.
 """
 
 from __future__ import annotations
@@ -18,27 +23,37 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarterlode.llm.common import concatenated, shingle_set, texts, word_hashes
+from quarterlode.llm.common import concatenated, shingle_set, texts, window_hashes, word_hashes
 from quarterlode.session import materialise
 
-# Shingles of the items that one pass over the documents looks for: 8 bytes each in every worker.
+# Shingles of the items that go to every task, 8 bytes each; with more the search is a join.
 BLOCK = 2_000_000
 
 
-def _sets(size: int):
+def _item_sets(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [shingle_set(word_hashes(t), size).view(np.int64) for t in texts(batch.column(1))]
-            yield pa.RecordBatch.from_arrays([batch.column(0), concatenated(found, pa.int64())], ["item", "shingles"])
+            words = [word_hashes(t) for t in texts(batch.column(1))]
+            found = [shingle_set(w, size).view(np.int64) for w in words]
+            run_words = [min(len(w), size) for w in words]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), concatenated(found, pa.int64()), pa.array(run_words, pa.int32())], ["item", "shingles", "run"])
 
     return run
 
 
+def document_set(words: np.ndarray, size: int, short: list[int]) -> np.ndarray:
+    """Distinct shingles of a document, and its runs of the lengths that short items have, ascending."""
+    runs = [window_hashes(words, n) for n in short]
+    own = window_hashes(words, size)
+    return np.unique(np.concatenate([own, *runs])) if runs else np.unique(own)
+
+
 class Sketches:
-    """Sketches of a block of items: per size partition the hashes in order, and whose they are."""
+    """Sketches of items: per size partition the hashes in order, and whose they are."""
 
-    def __init__(self, sets: list[np.ndarray], percent: int):
-        self.sets = sets
+    def __init__(self, sets: list[np.ndarray], percent: int, short: list[int]):
+        self.sets, self.short = sets, short
         need = [(percent * len(s) + 99) // 100 for s in sets]
         self.need = need
         parts: dict[int, list[int]] = {}
@@ -55,7 +70,7 @@ class Sketches:
             self.parts.append((min(need[i] for i in members), flat[order], owner[order]))
 
     def search(self, found: np.ndarray) -> Iterator[tuple[int, int]]:
-        """Items contained in a document of these shingles, and how many of their shingles it has."""
+        """Items contained in a document of these shingles and runs, and how many of their shingles it has."""
         for least, hashes, owner in self.parts:
             if len(found) < least:
                 break  # the partitions that follow hold larger items
@@ -72,18 +87,45 @@ class Sketches:
                     yield int(i), shared
 
 
-def item_blocks(items: DataFrame, item_col: str, item_text: str, size: int, block: int) -> Iterator[tuple[list, list[np.ndarray]]]:
-    """The items as shingle sets, a block of bounded size at a time; items without words are left out."""
-    kind = items.schema[item_col].dataType.simpleString()
-    sets = items.select(items[item_col], items[item_text]).mapInArrow(_sets(size), f"item {kind}, shingles array<bigint>")
-    sets = materialise(sets.where(F.size("shingles") > 0), "items")
-    total = sets.agg(F.sum(F.size("shingles"))).first()[0] or 0
-    blocks = -(-total // block)
-    part = F.pmod(F.xxhash64("item", "shingles"), F.lit(max(blocks, 1)))
-    for i in range(blocks):
-        rows = sets.where(part == i).toArrow()
-        offsets = rows.column("shingles").combine_chunks()
-        yield rows.column("item").to_pylist(), [np.asarray(x.values, np.int64).view(np.uint64) for x in offsets]
+class Items:
+    """The items' shingle sets as a stored table; items without words are left out."""
+
+    def __init__(self, items: DataFrame, item_col: str, item_text: str, size: int, percent: int, least_words: int):
+        kind = items.schema[item_col].dataType.simpleString()
+        sets = items.select(items[item_col], items[item_text]).mapInArrow(_item_sets(size), f"item {kind}, shingles array<bigint>, run int")
+        self.table = materialise(sets.where(F.col("run") >= max(least_words, 1)), "items")
+        self.size, self.percent, self.kind = size, percent, items.schema[item_col].dataType
+        told = self.table.agg(F.sum(F.size("shingles")).alias("n"), F.collect_set(F.when(F.col("run") < size, F.col("run"))).alias("short")).first()
+        self.shingles, self.short = told.n or 0, sorted(told.short)
+
+    def sketches(self) -> tuple[Sketches, list]:
+        """All items in memory, for a bounded number of shingles."""
+        rows = self.table.toArrow()
+        sets = [np.asarray(x.values, np.int64).view(np.uint64) for x in rows.column("shingles").combine_chunks()]
+        return Sketches(sets, self.percent, self.short), rows.column("item").to_pylist()
+
+    def joined(self, texts_: DataFrame) -> DataFrame:
+        """``key, item, n_item, n_shared`` for texts ``key, text``, by joins of sketches with shingles and of candidates with sets."""
+        size, short = self.size, self.short
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                found = [document_set(word_hashes(t), size, short).view(np.int64) for t in texts(batch.column(1))]
+                yield pa.RecordBatch.from_arrays([batch.column(0), concatenated(found, pa.int64())], ["key", "held"])
+
+        docs = texts_.mapInArrow(run, "key bigint, held array<bigint>").where(F.size("held") > 0)
+        docs = materialise(docs.groupBy("key").agg(F.first("held").alias("held")), "document_sets")
+        n = F.size("shingles")
+        need = F.ceil(n * self.percent / 100).cast("int")
+        items = self.table.groupBy("item", "shingles").agg(F.count(F.lit(1)).alias("copies"))
+        items = materialise(items.withColumns({"n": n, "need": need, "of": F.xxhash64("item", "shingles")}), "item_sets")
+        sketch = items.select("of", "need", F.explode(F.slice("shingles", 1, F.col("n") - F.col("need") + 1)).alias("h"))
+        hashes = docs.select("key", F.size("held").alias("size"), F.explode("held").alias("h"))
+        pairs = hashes.join(sketch, "h").where(F.col("size") >= F.col("need")).select("key", "of").distinct()
+        both = pairs.join(items, "of").join(docs, "key").withColumn("n_shared", F.size(F.array_intersect("shingles", "held")))
+        found = both.where(F.col("n_shared") >= F.col("need"))
+        return found.select("key", "item", F.col("n").cast("bigint").alias("n_item"), F.col("n_shared").cast("bigint").alias("n_shared"),
+                            F.explode(F.array_repeat(F.lit(0), F.col("copies").cast("int"))).alias("copy")).drop("copy")
 
 
 def contained(
@@ -92,21 +134,20 @@ def contained(
 ) -> DataFrame:
     """One row per document row and contained item: ids, ``n_item``, ``n_shared``, ``containment``.
 
-    A text of fewer words than a shingle has one shingle, its whole sequence, and is
-    found only in texts that are that sequence. Null and empty texts contain nothing
-    and are contained in nothing. Repeated rows on either side give repeated rows;
-    null ids are kept. Other columns are not looked at. Each block of items costs one
-    pass over the documents.
+    An item of fewer words than a shingle is contained where its words stand consecutively. Null and empty
+    texts contain nothing and are contained in nothing. Repeated rows on either side give repeated rows;
+    null ids are kept. Other columns are not looked at.
     """
-    out = None
-    kinds = docs.schema[id_col].dataType.simpleString(), items.schema[item_col].dataType.simpleString()
-    schema = f"doc {kinds[0]}, item {kinds[1]}, n_item bigint, n_shared bigint"
+    wanted = Items(items, item_col, item_text, size, percent, 1)
+    kind = docs.schema[id_col].dataType.simpleString()
     texts_ = docs.select(docs[id_col].alias("doc"), docs[text_col].alias("text"))
-    for names, sets in item_blocks(items, item_col, item_text, size, block):
-        found = texts_.mapInArrow(_pairs(Sketches(sets, percent), names, size, items.schema[item_col].dataType), schema)
-        out = found if out is None else out.unionByName(found)
-    if out is None:
-        out = docs.sparkSession.createDataFrame([], schema)
+    if wanted.shingles <= block:
+        sketches, names = wanted.sketches()
+        item_kind = wanted.kind.simpleString()
+        out = texts_.mapInArrow(_pairs(sketches, names, size, wanted.kind), f"doc {kind}, item {item_kind}, n_item bigint, n_shared bigint")
+    else:
+        keyed = texts_.withColumn("key", F.xxhash64("text"))
+        out = keyed.select("doc", "key").join(wanted.joined(keyed.select("key", "text")), "key")
     return out.select(F.col("doc").alias(id_col), F.col("item").alias(item_col), "n_item", "n_shared",
                       (F.col("n_shared") / F.col("n_item")).alias("containment"))
 
@@ -120,7 +161,7 @@ def _pairs(sketches: Sketches, names: list, size: int, kind):
         for batch in batches:
             row, item, shared = [], [], []
             for i, text in enumerate(texts(batch.column(1))):
-                for k, n in sketches.search(shingle_set(word_hashes(text), size)):
+                for k, n in sketches.search(document_set(word_hashes(text), size, sketches.short)):
                     row.append(i)
                     item.append(k)
                     shared.append(n)
@@ -134,20 +175,24 @@ def _pairs(sketches: Sketches, names: list, size: int, kind):
 
 def decontaminate(
     docs: DataFrame, items: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text: str = "text",
-    size: int = 5, percent: int = 80, block: int = BLOCK,
+    size: int = 5, percent: int = 80, least_words: int | None = None, block: int = BLOCK,
 ) -> DataFrame:
-    """The rows that contain no item, with all their columns."""
-    at = docs.columns.index(text_col)
+    """The rows that contain no item of ``least_words`` words or more (a shingle's by default), with all their columns.
 
-    def clean(sketches: Sketches):
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                free = [next(sketches.search(shingle_set(word_hashes(t), size)), None) is None for t in texts(batch.column(at))]
-                yield batch.filter(pa.array(free, pa.bool_()))
+    Shorter items are left to ``contained``: a word or two stand in many clean documents. Null and empty texts stay,
+    repeated rows stay or go together, and so do rows without an id.
+    """
+    at = docs.columns.index(text_col)
+    wanted = Items(items, item_col, item_text, size, percent, size if least_words is None else least_words)
+    if wanted.shingles > block:
+        texts_ = docs.select(F.xxhash64(text_col).alias("key"), F.col(text_col).alias("text"))
+        bad = wanted.joined(texts_).select(F.col("key").alias("_contaminated_")).distinct()
+        return docs.join(bad, F.xxhash64(docs[text_col]) == bad["_contaminated_"], "left_anti")
+    sketches, _ = wanted.sketches()
 
-        return run
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = (document_set(word_hashes(t), size, sketches.short) for t in texts(batch.column(at)))
+            yield batch.filter(pa.array([next(sketches.search(s), None) is None for s in sets], pa.bool_()))
 
-    schema = docs.schema
-    for _, sets in item_blocks(items, item_col, item_text, size, block):
-        docs = docs.mapInArrow(clean(Sketches(sets, percent)), schema)
-    return docs
+    return docs.mapInArrow(run, docs.schema)

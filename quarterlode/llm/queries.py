@@ -58,9 +58,13 @@ def context_tree_score(spark, d):
 
 
 @query("op2_decontamination", f"""
-    WITH d AS ({SHINGLES.format('doc_id', 'documents')}), i AS ({SHINGLES.format('item_id', 'benchmark')})
+    WITH d AS ({SHINGLES.format('doc_id', 'documents')}), i AS ({SHINGLES.format('item_id', 'benchmark')}),
+      words AS (SELECT item_id, regexp_extract_all({LOWER.format('text')}, '{WORD}') AS w FROM benchmark),
+      lines AS (SELECT doc_id, ' ' || array_to_string(regexp_extract_all({LOWER.format('text')}, '{WORD}'), ' ') || ' ' AS line FROM documents)
     SELECT d.key AS doc_id, i.key AS item_id, CAST(i.n AS BIGINT) AS n_item, count(*) AS n_shared, count(*) / i.n AS containment
-    FROM d JOIN i USING (g) GROUP BY d.key, i.key, i.n HAVING 100 * count(*) >= 80 * i.n""")
+    FROM d JOIN i USING (g) WHERE i.key IN (SELECT item_id FROM words WHERE len(w) >= 5)
+    GROUP BY d.key, i.key, i.n HAVING 100 * count(*) >= 80 * i.n
+    UNION ALL SELECT doc_id, item_id, 1, 1, 1.0 FROM lines JOIN words ON len(w) BETWEEN 1 AND 4 AND contains(line, ' ' || array_to_string(w, ' ') || ' ')""")
 def decontamination(spark, d):
     return containment.contained(table(spark, d, "documents"), table(spark, d, "benchmark"))
 

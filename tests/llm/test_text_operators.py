@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from quarterlode.llm import containment, licenses, lm_score, repetition, token_counts
 from quarterlode.llm import context_tree as T
-from quarterlode.llm.common import prepare, shingle_set, word_hashes
+from quarterlode.llm.common import prepare
 
 
 # repetition
@@ -76,6 +76,35 @@ def test_token_counts_of_nulls_and_long_texts(spark):
 
 # containment
 
+def contained_by_hand(docs, items):
+    found = []
+    for i, doc in enumerate(docs):
+        own = (doc or "").lower().split()
+        for k, item in enumerate(items):
+            words = (item or "").lower().split()
+            n = min(len(words), 5)
+            runs = lambda w, n=n: {tuple(w[j : j + n]) for j in range(len(w) - n + 1)}
+            if n and 100 * len(runs(words) & runs(own)) >= 80 * len(runs(words)):
+                found.append((i, k, len(runs(words)), len(runs(words) & runs(own))))
+    return sorted(found)
+
+
+def test_short_items_in_long_documents(spark):
+    rng = random.Random(6)
+    docs = [" ".join(rng.choice("abcdefghijklmnop") * rng.randint(1, 2) for _ in range(rng.choice((0, 2, 7, 400)))) for _ in range(60)] + [None]
+    items = [" ".join(rng.choice("abcdefghijklmnop") for _ in range(n)) for n in (1, 2, 2, 3, 3, 4, 4, 5, 6) for _ in range(6)] + ["A", "a", "", None]
+    prepare(spark)
+    d = spark.createDataFrame([(i, t, 0) for i, t in enumerate(docs)], "doc_id int, text string, key int")
+    b = spark.createDataFrame([(i, t, 0) for i, t in enumerate(items)], "item_id int, text string, h int")
+    want = contained_by_hand(docs, items)
+    for block in (containment.BLOCK, 10):
+        got = containment.contained(d, b, block=block)
+        assert sorted((r.doc_id, r.item_id, r.n_item, r.n_shared) for r in got.collect()) == want
+    # a larger table of items leaves the plan as it is
+    plans = [len(containment.contained(d, b.where(f"item_id < {n}"), block=5)._jdf.queryExecution().optimizedPlan().toString().splitlines()) for n in (20, 50)]
+    assert plans[0] == plans[1]
+
+
 def test_contained_items(spark):
     rng = random.Random(5)
     items = [" ".join(f"i{k}_{j}" for j in range(rng.randrange(6, 60))) for k in range(20)] + ["", None, "three short words"]
@@ -89,14 +118,15 @@ def test_contained_items(spark):
     docs += [items[0], items[1].upper(), None, "", "three short words", "and three short words"]
     d = prepare(spark).createDataFrame([(i, t, 0) for i, t in enumerate(docs)], "doc_id int, text string, item int")
     b = spark.createDataFrame([(i, t, 0) for i, t in enumerate(items)], "item_id int, text string, doc int")
-    sets = lambda texts: [set(shingle_set(word_hashes((t or "").encode()), 5).tolist()) for t in texts]
-    want = sorted((i, k, len(y), len(x & y)) for i, x in enumerate(sets(docs)) for k, y in enumerate(sets(items))
-                  if y and 100 * len(x & y) >= 80 * len(y))
-    assert len(want) > 20
+    want = contained_by_hand(docs, items)
+    assert len(want) > 20 and {n for _, _, n, _ in want} > {1}
+    long = {k for k, t in enumerate(items) if len((t or "").split()) >= 5}
     for block in (containment.BLOCK, 100):
         got = containment.contained(d, b, block=block)
         assert sorted((r.doc_id, r.item_id, r.n_item, r.n_shared) for r in got.collect()) == want
         left = containment.decontaminate(d, b, block=block)
+        assert {r.doc_id for r in left.collect()} == set(range(len(docs))) - {w[0] for w in want if w[1] in long}
+        left = containment.decontaminate(d, b, block=block, least_words=1)
         assert {r.doc_id for r in left.collect()} == set(range(len(docs))) - {w[0] for w in want}
     assert containment.contained(d, b.limit(0)).collect() == []
     assert containment.decontaminate(d, b.limit(0)).count() == len(docs)
