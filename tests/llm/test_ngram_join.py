@@ -8,6 +8,7 @@ import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
+from quarterlode.llm import ngram_join
 from quarterlode.llm.common import prepare
 from quarterlode.llm.components import connected
 from quarterlode.llm.ngram_join import keep_one, ngram_components
@@ -75,13 +76,43 @@ def test_empty_table(spark):
     assert ngram_components(df).collect() == []
 
 
+def test_families_of_thousands(spark):
+    """Copies whose edits put them just within or just beyond reach of each other, in one family."""
+    rng = random.Random(9)
+    base = [f"b{i}" for i in range(150)]
+    texts = []
+    for _ in range(1_200):
+        words = list(base)
+        for _ in range(rng.choice((1, 2, 3, 3, 4, 4, 5, 6, 8))):
+            words[rng.randrange(150)] = f"e{rng.randrange(10**6)}"
+        texts.append(" ".join(words))
+    rows = list(enumerate(texts))
+    df = prepare(spark).createDataFrame(rows, "doc_id long, text string")
+    made = []
+
+    def watched(pairs, sets, kept=ngram_join._overlaps):
+        made.append(pairs.count())
+        return kept(pairs, sets)
+
+    original, ngram_join._overlaps = ngram_join._overlaps, watched
+    try:
+        got = ngram_components(df).collect()
+    finally:
+        ngram_join._overlaps = original
+    want = {name: component for name, _, component in brute(rows)}
+    assert {r.doc_id: r.component_id for r in got} == want and len(set(want.values())) > 200
+    assert sum(made) < 100_000  # of 720,000 pairs
+
+
 def test_one_document_of_a_group_stays(spark):
-    text = " ".join(f"w{i}" for i in range(100))
-    rows = [(4, text, "a"), (2, text.upper(), "b"), (2, "other words", "c"), (9, None, "d"), (8, None, "e"), (None, text, "f"), (2, text, "g")]
-    df = prepare(spark).createDataFrame(rows, "doc_id long, text string, cls string")
+    text, lone = " ".join(f"w{i}" for i in range(100)), " ".join(f"v{i}" for i in range(100))
+    rows = [(4, text, "a"), (2, text.upper(), "b"), (2, "other words", "c"), (9, None, "d"), (8, None, "e"), (None, text, "f"), (2, text.upper(), "b"),
+            (None, lone, "h"), (None, lone, "h"), (None, lone + " more", "h"), (None, None, "i"), (None, None, "i")]
+    df = prepare(spark).createDataFrame(rows, "doc_id long, text string, row string")
     kept = keep_one(df)
     assert kept.columns == df.columns
-    assert sorted(r.cls for r in kept.collect()) == ["b", "c", "d", "e", "f", "g"]
+    assert sorted(r.row for r in kept.collect()) == ["b", "c", "d", "e", "h", "i", "i"]
+    assert keep_one(df.limit(0)).collect() == []
 
 
 @settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
