@@ -143,7 +143,7 @@ def _cut(queued: DataFrame, budget: float, most: int, range_rows: int) -> tuple
 
 
 def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **settings) -> DataFrame:
-    """The mix itself: all columns of ``docs`` for each copy taken, and ``copy`` from 1.
+    """The mix itself: all columns of ``docs`` for each copy taken, and ``copy`` from 1 (``mix_copy`` if ``docs`` has a ``copy``).
 
     Rows that share id, source and size share what is taken of them: each gets the
     copies of the one that has most.
@@ -154,4 +154,5 @@ def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sourc
     sized = docs.withColumn("_mix_words", words(docs[text_col]))
     joined = sized.join(taken, docs[id_col].eqNullSafe(F.col("_mix_id")) & docs[source_col].eqNullSafe(F.col("_mix_source"))
                         & (F.col("_mix_words") == F.col("_mix_size")))
-    return joined.select(*(docs[c] for c in docs.columns), F.explode(F.sequence(F.lit(1), F.col("_mix_copies").cast("int"))).alias("copy"))
+    return joined.select(*(docs[c] for c in docs.columns), F.explode(F.sequence(F.lit(1), F.col("_mix_copies").cast("int"))).alias(
+        "mix_copy" if "copy" in docs.columns else "copy"))
