@@ -22,6 +22,8 @@ from quarterlode.schemas import RESCUED, TABLES
 from quarterlode.session import materialise, new_path
 from quarterlode.sources.archives import DELETED, deleted_lines, read_lines
 from quarterlode.sources.delimited import parse_table, read_corrected, write_corrected
+from quarterlode.sources.text_files import read_numbered
+from quarterlode.streaming.flows import arrived
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -174,6 +176,48 @@ def encoding_cleanup(spark, d):
     return docs.select("doc_id", X.drop_bad_bytes(damaged).alias("text"))
 
 
+def _damaged_archive(rows: pa.Table) -> pa.Table:
+    """An archive with the lines of one file, some of them in Latin-1, and another that is cut in half."""
+    rows = rows.sort_by("line_no")
+    file, header = rows["file"][0].as_py(), rows["header"][0].as_py()
+    lines = [header.encode(), *(line.encode() + (b"\xe9" if n % 10 == 0 else b"") for n, line in zip(
+        rows["line_no"].to_pylist(), rows["line"].to_pylist(), strict=True))]
+    packed = io.BytesIO()
+    with zipfile.ZipFile(packed, "w", zipfile.ZIP_DEFLATED) as archive:
+        archive.writestr(f"ascii/{file.upper()}", b"\r\n".join(lines))
+        archive.writestr(f"deleted/delete{file[4:]}", "\n".join([*map(str, rows["line_no"].to_pylist()), "no id"]))
+    whole = packed.getvalue()
+    return pa.table({"path": [f"{file}.zip", f"cut_{file}.zip"], "content": pa.array([whole, whole[: len(whole) // 2]], pa.binary())})
+
+
+@query("load_audit", """
+    WITH files AS (SELECT file, header, count(*) FILTER (line_no % 10 = 0) AS latin FROM raw_lines GROUP BY ALL)
+    SELECT file, kind, CAST(n AS BIGINT) AS n FROM (
+        SELECT file, unnest(['line_repair','column_drop','column_rename','column_add','latin1']) AS kind,
+               unnest([CASE WHEN file IN ('demo12q1.txt','demo12q4.txt','demo13q1.txt') THEN 1 ELSE 0 END,
+                       CASE WHEN header LIKE 'ISR%' THEN 1 ELSE 0 END, 1, CASE WHEN header LIKE 'ISR%' THEN 7 ELSE 5 END, latin]) AS n FROM files
+        UNION ALL SELECT 'delete' || file[5:], 'no_number', 1 FROM files
+        UNION ALL SELECT 'cut_' || file || '.zip', 'unreadable', 1 FROM files) WHERE n > 0""")
+def load_audit(spark, d):
+    """Archives of every quarter and their cut copies are loaded; what the load corrected, lost and left out."""
+    lines = V.raw_lines(spark, d).select("file", "line_no", "header", "line")
+    archives = lines.groupBy("file").applyInArrow(_damaged_archive, "path string, content binary")
+    return arrived(archives, V.RUN_TIME)[1].select("file", "kind", "n")
+
+
+@query("text_scan", """
+    SELECT file, row_number() OVER (PARTITION BY file ORDER BY line_no) AS line_no, header, line FROM raw_lines
+    UNION ALL SELECT DISTINCT file, 0, header, header FROM raw_lines""")
+def text_scan(spark, d):
+    """Text files of every quarter, written and read back in splits."""
+    path = new_path(spark, "text")
+    lines = V.raw_lines(spark, d).select("file", "line_no", "line")
+    heads = V.raw_headers(spark, d).select("file", "line_no", "line")
+    written = lines.unionByName(heads).repartition("file").sortWithinPartitions("file", "line_no")
+    written.select("file", "line").write.partitionBy("file").text(path)
+    return read_numbered(spark, path).select("file", "line_no", "header", "line")
+
+
 @query("line_repairs", r"""
     SELECT doc_id, line_no, CAST(part - 1 AS INT) AS part, line FROM (
         SELECT doc_id, line_no, unnest(parts) AS line, generate_subscripts(parts, 1) AS part FROM (

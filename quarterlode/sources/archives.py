@@ -9,6 +9,7 @@ from __future__ import annotations
 import io
 import sys
 import zipfile
+import zlib
 from collections.abc import Iterable, Iterator, Sequence
 from functools import partial
 
@@ -24,8 +25,10 @@ from quarterlode.operators.repairs import FILES_WITH_BAD_BYTES
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 BINARY_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
-CHUNK_SCHEMA = "path string, member string, first_line bigint, header string, chunk string, dropped bigint, latin bigint"
+CHUNK_SCHEMA = "path string, member string, first_line bigint, header string, chunk string, dropped bigint, latin bigint, error string"
 CHUNK_BYTES = 4 * 1024 * 1024
+# What a damaged archive raises: no directory, bad data, its end missing, a method or password that is not known.
+BROKEN = (zipfile.BadZipFile, zlib.error, EOFError, NotImplementedError, RuntimeError)
 DELETED = "deleted"  # stands for the lists of withdrawn cases among the tables
 
 
@@ -115,43 +118,78 @@ def _chunks(stream: io.BufferedIOBase) -> Iterator[bytes]:
         yield b"".join(held)
 
 
-def _chunk_batches(batches: Iterable[pa.RecordBatch], prefixes: Sequence[str], lossy: Sequence[str]) -> Iterator[pa.RecordBatch]:
+def _file_chunks(name: str, content: bytes, prefixes: Sequence[str], lossy: Sequence[str]) -> Iterator[dict]:
+    """Chunks of the wanted texts of a file."""
+    for member, stream in _texts(name, content, prefixes):
+        loses = any(part.lower() in lossy for part in (name.replace("=", "/") + "/" + member).split("/"))
+        at, header = 0, None
+        for raw in _chunks(stream):
+            raw = raw.removeprefix(b"\xef\xbb\xbf") if at == 0 else raw
+            text, dropped, latin = _decoded(raw, loses)
+            text = text.replace("\r\n", "\n").replace("\r", "\n").removesuffix("\n")
+            header = text.partition("\n")[0] if header is None else header
+            if raw:
+                yield {"member": member, "first_line": at, "header": header, "chunk": text, "dropped": dropped, "latin": latin}
+            at += text.count("\n") + 1
+
+
+def _chunk_batches(
+    batches: Iterable[pa.RecordBatch], prefixes: Sequence[str], lossy: Sequence[str], strict: bool = True
+) -> Iterator[pa.RecordBatch]:
+    names = [field.split()[0] for field in CHUNK_SCHEMA.split(", ")]
+
+    def row(path: str, **values) -> pa.RecordBatch:
+        types = (pa.string(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.string())
+        return pa.RecordBatch.from_arrays([pa.array([path if n == "path" else values.get(n)], t) for n, t in zip(names, types, strict=True)], names)
+
     for batch in batches:
         for path, content in zip(batch["path"], batch["content"], strict=True):
             name = path.as_py()
-            for member, stream in _texts(name, content.as_py(), prefixes):
-                loses = any(part.lower() in lossy for part in (name.replace("=", "/") + "/" + member).split("/"))
-                at, header = 0, None
-                for raw in _chunks(stream):
-                    raw = raw.removeprefix(b"\xef\xbb\xbf") if at == 0 else raw
-                    text, dropped, latin = _decoded(raw, loses)
-                    text = text.replace("\r\n", "\n").replace("\r", "\n").removesuffix("\n")
-                    header = text.partition("\n")[0] if header is None else header
-                    if raw:
-                        yield pa.RecordBatch.from_pydict({
-                            "path": [name], "member": [member], "first_line": [at], "header": [header], "chunk": [text],
-                            "dropped": [dropped], "latin": [latin]})
-                    at += text.count("\n") + 1
-
-
-def read_chunks(files: DataFrame, prefixes: Sequence[str] = (), lossy: Sequence[str] = FILES_WITH_BAD_BYTES) -> DataFrame:
+            try:
+                for chunk in _file_chunks(name, content.as_py(), prefixes, lossy):
+                    yield row(name, **chunk)
+            except BROKEN as e:
+                if strict:
+                    raise
+                yield row(name, dropped=0, latin=0, error=f"{type(e).__name__}: {e}")
+
+
+def read_chunks(
+    files: DataFrame, prefixes: Sequence[str] = (), lossy: Sequence[str] = FILES_WITH_BAD_BYTES, strict: bool = True
+) -> DataFrame:
     """Text of ZIP members and plain text files in chunks of whole lines.
 
     ``files`` has the columns ``path`` and ``content``, as a batch or a stream.
     ``prefixes`` restricts archives to members of those tables (:data:`DELETED`
     names the lists of withdrawn cases), so that the others are not even
     inflated. ``lossy`` names the files that may lose bytes. Works on whole files
-    up to the 2 GB a binary column can hold.
+    up to the 2 GB a binary column can hold; for larger plain text see ``text_files``.
 
-    Returns ``path, member, file, first_line, header, chunk, dropped, latin``: the
-    header line, bytes left out of the chunk, and its lines read as Latin-1.
+    Returns ``path, member, file, first_line, header, chunk, dropped, latin, error``: the
+    header line, bytes left out of the chunk, and its lines read as Latin-1. An archive that
+    cannot be read to its end stops the job; if not ``strict``, it gives a row with the
+    reason in ``error`` and no chunk, behind what was read of it.
     """
     chunks = files.select("path", "content").mapInArrow(
-        partial(_chunk_batches, prefixes=tuple(prefixes), lossy=tuple(lossy)), CHUNK_SCHEMA)
+        partial(_chunk_batches, prefixes=tuple(prefixes), lossy=tuple(lossy), strict=strict), CHUNK_SCHEMA)
     file = F.coalesce(logical_file(F.col("path")), F.lower(base_name(F.col("member"))))
     return chunks.withColumn("file", file)
 
 
+def counted_lines(chunks: DataFrame) -> DataFrame:
+    """Numbered lines of chunks, with what their decoding cost and why an archive could not be read.
+
+    ``dropped`` and ``latin`` of a chunk stand at its first line, so that their sums stay right. A row with an
+    ``error`` has no line.
+    """
+    lines = chunks.select("path", "member", "file", "first_line", "header", "dropped", "latin", "error", F.posexplode_outer(
+        F.split("chunk", "\n")).alias("at", "line"))
+    first = F.coalesce(F.col("at"), F.lit(0)) == 0
+    return lines.select(
+        "path", "member", "file", (F.col("first_line") + F.col("at")).alias("line_no"), "header", "line",
+        *[F.when(first, F.col(c)).otherwise(F.lit(0).cast("bigint")).alias(c) for c in ("dropped", "latin")], "error")
+
+
 def split_lines(chunks: DataFrame) -> DataFrame:
     """Numbered lines of chunks: ``path, member, file, line_no, header, line``; line 0 is the header."""
     lines = chunks.select("path", "member", "file", "first_line", "header", F.posexplode(F.split("chunk", "\n")).alias("at", "line"))
@@ -175,8 +213,13 @@ def in_deleted_list(path: Column, member: Column) -> Column:
     return F.lower(named).rlike(r"(?:^|/)(?:[^/]*delete[^/]*/[^/]*|[^/]*delete[^/]*)\.txt$")
 
 
+def deleted_id(line: Column) -> Column:
+    """The id in a line of a list of withdrawn cases; null if it is no number."""
+    text = F.trim(line)
+    return F.when(text.rlike("^[0-9]{1,18}$"), text).cast("bigint")
+
+
 def deleted_lines(lines: DataFrame) -> DataFrame:
     """Ids of withdrawn cases, ``caseid, line``: the lists have no header, a line that is no number has a null id."""
     listed = lines.where(in_deleted_list(F.col("path"), F.col("member")) & (F.trim("line") != ""))
-    text = F.trim("line")
-    return listed.select(F.when(text.rlike("^[0-9]{1,18}$"), text).cast("bigint").alias("caseid"), "line")
+    return listed.select(deleted_id(F.col("line")).alias("caseid"), "line")

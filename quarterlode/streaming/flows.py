@@ -14,14 +14,25 @@ from pyspark.sql import types as T
 
 from quarterlode.operators.conform import ingest
 from quarterlode.operators.entities import drug_terms
-from quarterlode.functions.text import table_of
-from quarterlode.operators.repairs import rename_files, repair_files
+from quarterlode.functions.text import base_name, table_of
+from quarterlode.operators.lookup import sized_broadcast
+from quarterlode.operators.repairs import correction_audit, known_repairs, rename_files, repair_files
 from quarterlode.schemas import DELETED_SCHEMA, TABLES
-from quarterlode.session import new_path
-from quarterlode.sources.archives import BINARY_SCHEMA, DELETED, deleted_lines, in_deleted_list, read_lines
+from quarterlode.session import materialise, new_path
+from quarterlode.sources.archives import (
+    BINARY_SCHEMA,
+    DELETED,
+    counted_lines,
+    deleted_id,
+    deleted_lines,
+    in_deleted_list,
+    read_chunks,
+    read_lines,
+)
 from quarterlode.sources.delimited import parse_table
 from quarterlode.sources.tables import load_periods, read_or_empty
 
+UNREADABLE, AUDIT = "unreadable", "audit"  # stand beside the tables of a load
 TERM_SCHEMA = "drugname string, prod_ai string, term string"
 
 
@@ -75,28 +86,57 @@ def stage_table(spark: SparkSession, folder: str, table: str, path: str, process
 def split_by_table(files: DataFrame) -> DataFrame:
     """Lines of files or archives, read once and stored by table, with the column ``table``.
 
-    Lists of withdrawn cases are the table :data:`~quarterlode.sources.archives.DELETED`.
+    Lists of withdrawn cases are the table :data:`~quarterlode.sources.archives.DELETED`; an archive that cannot be
+    read is a row of the table :data:`UNREADABLE`.
     """
-    lines = read_lines(files, (*TABLES, DELETED))
+    lines = counted_lines(read_chunks(files, (*TABLES, DELETED), strict=False))
     listed = in_deleted_list(F.col("path"), F.col("member"))
-    table = F.when(listed, F.lit(DELETED)).otherwise(table_of(rename_files(F.col("file")), TABLES))
+    table = F.when(F.col("error").isNotNull(), UNREADABLE).when(listed, DELETED).otherwise(table_of(rename_files(F.col("file")), TABLES))
     path = new_path(files.sparkSession, "lines")
     named = lines.withColumn("table", table).where("table is not null")
     named.write.partitionBy("table").parquet(path)
     return read_or_empty(files.sparkSession, path, named.schema)
 
 
-def tables_of(files: DataFrame, processing_time: int) -> dict[str, DataFrame]:
-    """Typed rows of all tables, and ``deleted`` ids with their lines, from one read of the files."""
-    lines = split_by_table(files)
+def load_audit(lines: DataFrame, bad: DataFrame) -> DataFrame:
+    """``file, kind, n, note`` of a load, from its stored lines and the archives that could not be read.
+
+    The kinds of :func:`~quarterlode.operators.repairs.correction_audit`; ``no_number``, lines of lists of withdrawn
+    cases without an id; and ``unreadable``, an archive that was left out, with the reason.
+    """
+    reports = lines.where(F.col("table") != DELETED)
+    decoding = lines.groupBy("file").agg(F.sum("dropped").alias("dropped"), F.sum("latin").alias("latin")).where("dropped > 0 OR latin > 0")
+    made = correction_audit(reports, known_repairs(lines.sparkSession), decoding=materialise(decoding, "decoding"))
+    lists = lines.where((F.col("table") == DELETED) & (F.trim("line") != "") & deleted_id(F.col("line")).isNull())
+    lists = lists.groupBy("file").agg(F.count(F.lit(1)).alias("n")).select("file", F.lit("no_number").alias("kind"), "n")
+    note = F.lit(None).cast("string").alias("note")
+    left_out = bad.select(base_name(F.col("path")).alias("file"), F.lit("unreadable").alias("kind"), F.lit(1).cast("bigint").alias("n"), F.col("error").alias("note"))
+    return made.unionByName(lists).select("file", "kind", "n", note).unionByName(left_out)
+
+
+def arrived(files: DataFrame, processing_time: int) -> tuple[dict[str, DataFrame], DataFrame]:
+    """Typed rows of all tables and ``deleted`` ids with their lines, and the audit of the load, from one read of the files.
+
+    Of an archive that cannot be read to its end nothing is loaded; the others are, and the audit names it.
+    """
+    stored = split_by_table(files)
+    bad = materialise(stored.where(F.col("table") == UNREADABLE).select("path", "error"), "unreadable")
+    lines = stored.where(F.col("table") != UNREADABLE).join(sized_broadcast(bad.select("path")), "path", "left_anti")
     rows = {t: parse_table(repair_files(lines.where(F.col("table") == t)), t, processing_time) for t in TABLES}
-    return {**rows, DELETED: deleted_lines(lines.where(F.col("table") == DELETED))}
+    rows[DELETED] = deleted_lines(lines.where(F.col("table") == DELETED))
+    return rows, load_audit(lines, bad)
+
+
+def tables_of(files: DataFrame, processing_time: int) -> dict[str, DataFrame]:
+    """Typed rows of all tables, and ``deleted`` ids with their lines; see :func:`arrived`."""
+    return arrived(files, processing_time)[0]
 
 
 def stage_archives(spark: SparkSession, folder: str, base: str, processing_time: int) -> None:
-    """Archives to the staging tables of all seven tables and the deleted list, ``base/<table>``."""
+    """Archives to the staging tables of all seven tables, the deleted list and the audit, ``base/<table>``."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        for name, rows in tables_of(batch, processing_time).items():
+        made, audit = arrived(batch, processing_time)
+        for name, rows in {**made, AUDIT: audit}.items():
             part = rows.withColumn("load", F.lit(f"load-{batch_id}"))
             (part.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("load").parquet(f"{base}/{name}"))
 

@@ -244,6 +244,30 @@ def test_withdrawn_cases_from_archives(spark, tmp_path):
     assert read_or_empty(spark, str(tmp_path / "out/demo"), D.schema_of("demo")).count() == 1
 
 
+def test_a_broken_archive_is_left_out_and_named(spark, rows, tmp_path):
+    """The others load; nothing of the broken one does, though its first member is sound."""
+    pack(tmp_path / "in/good.zip", **{"ASCII__DEMO24Q1_dot_TXT": DEMO_HEADER + "\n" + DEMO_LINE + "\n",
+                                      "DELETED__DELETE24Q1_dot_TXT": "12\nbad\n", "ASCII__drug19q3_dot_txt": DRUG_HEADER.encode() + b"\n\xff" + DRUG_LINE.encode(),
+                                      "ASCII__outc24q1_dot_txt": "primaryid$caseid$outc_cod\n1$2$\u00e9\n".encode("latin-1")})
+    pack(tmp_path / "in/late.zip", **{"ASCII__DEMO24Q2_dot_TXT": DEMO_HEADER + "\n" + DEMO_LINE + "\n", "ASCII__indi24q2_dot_txt": "primaryid$caseid\n1$2\n" * 50})
+    late = (tmp_path / "in/late.zip").read_bytes()
+    at = late.index(b"indi24q2.txt") + 40
+    (tmp_path / "in/late.zip").write_bytes(late[:at] + bytes(x ^ 255 for x in late[at : at + 30]) + late[at + 30 :])
+    (tmp_path / "in/cut.zip").write_bytes((tmp_path / "in/good.zip").read_bytes()[:200])
+    audit = quarterly.load_archives(spark, str(tmp_path / "in"), str(tmp_path / "out"), 3)
+    assert read_or_empty(spark, str(tmp_path / "out/demo"), D.schema_of("demo")).count() == 1
+    assert read_or_empty(spark, str(tmp_path / "out/indi"), D.schema_of("indi")).count() == 0
+    got = rows(audit, "file", "kind", "n")
+    assert {("cut.zip", "unreadable", 1), ("late.zip", "unreadable", 1), ("delete24q1.txt", "no_number", 1), ("drug19q3.txt", "encoding", 1),
+            ("outc24q1.txt", "latin1", 1), ("demo24q1.txt", "column_rename", 1)} <= set(got)
+    assert not [g for g in got if g[0].startswith("demo24q2")] and len([g for g in got if g[1] == "unreadable"]) == 2
+    assert audit.where("kind = 'unreadable' AND note RLIKE 'BadZipFile'").count() == 2
+    quarterly.load_archives(spark, str(tmp_path / "in"), str(tmp_path / "out"), 3)
+    assert rows(spark.read.schema(audit.schema).parquet(str(tmp_path / "out/audit/load=load-3")), "file", "kind", "n") == got
+    with pytest.raises(Exception, match="BadZipFile"):
+        A.read_lines(A.binary_files(spark, str(tmp_path / "in"))).count()
+
+
 def test_archives_are_read_once_for_all_tables(spark, tmp_path):
     pack(tmp_path / "in/a.zip", **{"DEMO24Q1_dot_TXT": DEMO_HEADER + "\n" + DEMO_LINE + "\n"})
     seen = spark.sparkContext.accumulator(0)
