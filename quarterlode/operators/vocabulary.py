@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarterlode.functions.text import collapse_spaces
+from quarterlode.operators import lookup
 from quarterlode.operators.lookup import sized_broadcast
 from quarterlode.operators.mapping import Resolver, atc_struct
 from quarterlode.session import materialise
@@ -80,26 +81,46 @@ def _within(pairs: DataFrame) -> DataFrame:
     return scored.where("distance >= 0")
 
 
-def _one_edit(keyed: DataFrame, names: DataFrame, longest: int) -> DataFrame:
+class _Names:
+    """Distinct names with their least ids, stored and measured once."""
+
+    def __init__(self, concepts: DataFrame):
+        self.table = materialise(concepts.select("rxcui", normalise(F.col("name")).alias("_n")).groupBy("_n").agg(
+            F.min("rxcui").alias("rxcui")), "names")
+        size = F.length("_n").cast("bigint")
+        told = self.table.agg(F.sum(size + 1).alias("rows"), F.sum((size + 1) * (size + 16)).alias("bytes"), F.collect_set(F.length("_n")).alias("lengths")).first()
+        self.lengths = sorted(told.lengths)
+        # what is made of a name has at most a row and as many characters for each of its own
+        self.small = (told.rows or 0) <= lookup.MAX_ROWS and (told.bytes or 0) <= lookup.MAX_BYTES
+
+    def side(self, df: DataFrame) -> DataFrame:
+        """What is made of the names, broadcast if they are few."""
+        return F.broadcast(df) if self.small else df
+
+    def runs(self) -> DataFrame:
+        """The names by each run of three characters in them."""
+        return self.table.select("_n", "rxcui", F.explode(F.array_distinct(_runs(F.col("_n")))).alias("_k"))
+
+
+def _one_edit(keyed: DataFrame, names: _Names) -> DataFrame:
     """Nearest names at most one edit away: both texts share one with at most one character left out."""
     # a longer term is no edit away from any name; its deletions would only take room
-    short = keyed.where(F.length("_t") <= longest + 1)
+    short = keyed.where(F.length("_t") <= names.lengths[-1] + 1)
     wanted = short.select("term", "_t", F.explode(_deletions(F.col("_t"))).alias("_k"))
-    offered = sized_broadcast(materialise(names.select("_n", "rxcui", F.explode(_deletions(F.col("_n"))).alias("_k")), "deletions"))
+    offered = names.side(names.table.select("_n", "rxcui", F.explode(_deletions(F.col("_n"))).alias("_k")))
     return _best(_within(wanted.join(offered, "_k").withColumn("_bound", F.lit(1))))
 
 
-def _bounded(rest: DataFrame, names: DataFrame, lengths: list[int]) -> DataFrame:
+def _bounded(rest: DataFrame, names: _Names) -> DataFrame:
     """Open terms with ``_bound``: the distance to some name, which the nearest one cannot exceed.
 
-    That name holds the term's rarest run of three characters; without one, the name
-    of the length nearest to the term's is at most as far as the longer of both is long.
+    That name holds the term's rarest run of three characters; without one, the shortest
+    name is at most as far as the longer of both is long.
     """
-    runs = materialise(names.select("_n", F.explode(_runs(F.col("_n"))).alias("_k")).groupBy("_k").agg(
-        F.count(F.lit(1)).alias("_df"), F.min("_n").alias("_some")), "name_runs")
-    known = rest.select("term", "_t", F.explode(F.array_distinct(_runs(F.col("_t")))).alias("_k")).join(sized_broadcast(runs), "_k")
+    runs = names.runs().groupBy("_k").agg(F.count(F.lit(1)).alias("_df"), F.min("_n").alias("_some"))
+    known = rest.select("term", "_t", F.explode(F.array_distinct(_runs(F.col("_t")))).alias("_k")).join(names.side(runs), "_k")
     rare = known.groupBy("term").agg(F.min(F.struct("_df", "_k", "_some")).alias("_rare")).select("term", "_rare._some")
-    at_most = F.greatest(F.length("_t"), F.lit(lengths[0]))
+    at_most = F.greatest(F.length("_t"), F.lit(names.lengths[0]))
     found = F.least(F.levenshtein("_t", "_some"), at_most)
     return rest.join(rare, "term", "left").select("term", "_t", F.coalesce(found, at_most).alias("_bound"))
 
@@ -121,34 +142,30 @@ def nearest_concept(terms: DataFrame, concepts: DataFrame, max_distance: int | N
     others nothing but the length is known: they are joined on it, for each length
     within the bound. All edits are counted up to the bound only.
     """
-    keyed = terms.select("term", normalise(F.col("term")).alias("_t")).where("_t != ''")
-    names = materialise(concepts.select("rxcui", normalise(F.col("name")).alias("_n")).groupBy("_n").agg(
-        F.min("rxcui").alias("rxcui")), "names")
-    lengths = sorted(r[0] for r in names.select(F.length("_n")).distinct().collect())
-    if not lengths:
-        return _best(keyed.select("term", F.lit(0).alias("distance"), F.lit(None).cast(names.schema["rxcui"].dataType).alias("rxcui")).limit(0))
-    near = _one_edit(keyed, names, lengths[-1])
+    keyed = materialise(terms.select("term", normalise(F.col("term")).alias("_t")).where("_t != ''"), "keyed_terms")
+    names = _Names(concepts)
+    if not names.lengths:
+        return keyed.select("term", F.lit(None).cast(concepts.schema["rxcui"].dataType).alias("rxcui"), F.lit(0).alias("distance")).limit(0)
+    near = _one_edit(keyed, names)
     if max_distance is not None and max_distance <= 1:
         return near.where(F.col("distance") <= max_distance)
     near = materialise(near, "near")
-    rest = keyed.join(near.select("term"), "term", "left_anti")
-    open_ = _bounded(rest, names, lengths)
+    open_ = _bounded(keyed.join(near.select("term"), "term", "left_anti"), names)
     if max_distance is not None:
         open_ = open_.withColumn("_bound", F.least("_bound", F.lit(max_distance)))
     open_ = materialise(open_, "open_terms")
     many = F.length("_t") - 2 > 3 * F.col("_bound")
-    sized = sized_broadcast(materialise(names.withColumn("_length", F.length("_n")), "sized_names"))
-    fits = F.array(*[F.lit(n) for n in lengths])
+    fits = F.array(*[F.lit(n) for n in names.lengths])
     by_length = open_.where(~many).withColumn("_length", F.explode(
-        F.filter(fits, lambda n: F.abs(n - F.length("_t")) <= F.col("_bound")))).join(sized, "_length")
-    held = materialise(names.select("_n", "rxcui", F.explode(F.array_distinct(_runs(F.col("_n")))).alias("_k")), "names_by_run")
-    spread = sized_broadcast(materialise(held.groupBy("_k").agg(F.count(F.lit(1)).alias("_df")), "run_counts"))
+        F.filter(fits, lambda n: F.abs(n - F.length("_t")) <= F.col("_bound")))).join(
+        names.side(names.table.withColumn("_length", F.length("_n"))), "_length")
+    spread = names.runs().groupBy("_k").agg(F.count(F.lit(1)).alias("_df"))
     # an edit changes three runs at most; equal runs of a term count one by one
     own = open_.where(many).select("term", "_t", "_bound", F.posexplode(_runs(F.col("_t"))).alias("_at", "_k"))
-    rarest = own.join(spread, "_k", "left").groupBy("term", "_t", "_bound").agg(
+    rarest = own.join(names.side(spread), "_k", "left").groupBy("term", "_t", "_bound").agg(
         F.array_sort(F.collect_list(F.struct(F.coalesce("_df", F.lit(0)).alias("df"), F.col("_k").alias("k"), F.col("_at").alias("at")))).alias("_l"))
     chosen = rarest.select("term", "_t", "_bound", F.explode(F.array_distinct(F.expr("transform(slice(_l, 1, 3 * _bound + 1), x -> x.k)"))).alias("_k"))
-    by_run = chosen.join(sized_broadcast(held), "_k").where(F.abs(F.length("_t") - F.length("_n")) <= F.col("_bound"))
+    by_run = chosen.join(names.side(names.runs()), "_k").where(F.abs(F.length("_t") - F.length("_n")) <= F.col("_bound"))
     pairs = by_length.select("term", "_t", "_bound", "_n", "rxcui").unionByName(by_run.select("term", "_t", "_bound", "_n", "rxcui"))
     return near.unionByName(_best(_within(pairs)))
 

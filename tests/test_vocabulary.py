@@ -153,19 +153,19 @@ def test_cascade_and_map(spark, resolver, rows, tmp_path):
     def model(entities):
         asked.append(sorted(r.entity for r in entities.collect()))
         table = spark.createDataFrame(
-            [(f"{M.PROMPT_PREFIX}empty", "[{'id': 'M', 'name': 'm', 'class_type': 't'}]"), (f"{M.PROMPT_PREFIX}unknown", "null")],
+            [(f"{M.PROMPT_PREFIX}empty", "[{'id': 'M', 'name': 'm', 'class_type': 't'}]"), (f"{M.PROMPT_PREFIX}classles", "null")],
             "prompt string, response string")
         return M.answers_resolver(table)(entities)
 
-    entities = spark.createDataFrame([("aspirin",), ("aspirin",), ("empty",), ("unknown",), (None,)], "entity string")
+    entities = spark.createDataFrame([("aspirin",), ("aspirin",), ("empty",), ("classles",), (None,)], "entity string")
     path = str(tmp_path / "map")
     left = map_new_entities(entities, path, [("vocabulary", resolver), ("model", model)], 42)
-    assert rows(left) == [("unknown",)] and asked == [["empty", "unknown"]]
+    assert rows(left) == [("classles",)] and asked == [["classles", "empty"]]
     table = read_version(spark, path, ENTITY_MAP_SCHEMA)
     assert rows(table, "entity", F.col("atc_code")[0]["id"], "strategy", "processing_time") == [
         ("aspirin", "C1", "vocabulary", 42), ("empty", "M", "model", 42)]
     map_new_entities(entities, path, [("vocabulary", resolver), ("model", model)], 43)
-    assert asked[1] == ["unknown"]
+    assert asked[1] == ["classles"]
     assert rows(read_version(spark, path, ENTITY_MAP_SCHEMA)) == rows(table)
     with pytest.raises(ValueError):
         M.cascade(entities, [], 1)
