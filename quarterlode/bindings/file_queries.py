@@ -32,8 +32,10 @@ PARSED = ("primaryid", "caseid", "caseversion", "event_dt", "auth_num", "rept_dt
 PARSED_SQL = f"SELECT {', '.join(PARSED)} FROM parsed_demo"
 
 
-def _repaired(spark, d):
-    return R.repair_files(V.raw_lines(spark, d))
+def _demo(spark, d, **more):
+    """The raw lines of the demo table as typed rows."""
+    raw = V.raw_lines(spark, d)
+    return parse_table(R.repair_files(raw), "demo", V.RUN_TIME, headers=R.repaired_headers(raw), **more)
 
 
 def _zip_batches(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -60,7 +62,7 @@ def zip_scan(spark, d):
 
 @query("delimited_scan", PARSED_SQL)
 def delimited_scan(spark, d):
-    return parse_table(_repaired(spark, d), "demo", V.RUN_TIME).select(*PARSED)
+    return _demo(spark, d).select(*PARSED)
 
 
 def fact_sql(table: str) -> str:
@@ -75,7 +77,8 @@ def fact_columns(rows, table: str):
 
 
 def _scan(table, spark, d):
-    return fact_columns(parse_table(R.repair_files(V.raw_fact_lines(spark, d, table)), table, V.RUN_TIME), table)
+    raw = V.raw_fact_lines(spark, d, table)
+    return fact_columns(parse_table(R.repair_files(raw), table, V.RUN_TIME, headers=R.repaired_headers(raw)), table)
 
 
 for _table in V.RAW_COLUMNS:
@@ -109,7 +112,7 @@ def deleted_from_archives(spark, d):
                 END AS BIGINT) AS n_rescued
     FROM orders JOIN raw_lines ON line_no = o_orderkey + 1""")
 def schema_drift_rescue(spark, d):
-    rows = parse_table(_repaired(spark, d), "demo", V.RUN_TIME, keep_rescued=True)
+    rows = _demo(spark, d, keep_rescued=True)
     return rows.select(
         "primaryid", F.col(RESCUED)["site_note"].alias("site_note"),
         F.when(F.col(RESCUED).isNotNull(), F.size(RESCUED)).cast("bigint").alias("n_rescued"))
@@ -122,7 +125,7 @@ AWKWARD = "  {0} \"q\" \\ $ a\tb  "
 @query("csv_roundtrip", PARSED_SQL.replace("rept_cod", f"'{AWKWARD}'".replace("{0}", "' || rept_cod || '") + " AS rept_cod"))
 def csv_roundtrip(spark, d):
     path = new_path(spark, "corrected")
-    rows = parse_table(_repaired(spark, d), "demo", V.RUN_TIME)
+    rows = _demo(spark, d)
     before, after = AWKWARD.split("{0}")
     write_corrected(rows.withColumn("rept_cod", F.concat(F.lit(before), "rept_cod", F.lit(after))), path)
     return ingest(read_corrected(spark, path, "demo"), "demo").select(*PARSED)

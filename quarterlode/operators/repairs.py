@@ -108,6 +108,14 @@ def repair_files(
     return repair_lines(repair_headers(named, repairs, small), repairs, small)
 
 
+def repaired_headers(lines: DataFrame, repairs: DataFrame | None = None, renames: Mapping[str, str] = FILE_RENAMES) -> DataFrame:
+    """Distinct headers that the lines have after :func:`repair_files`; the lines themselves are not looked at."""
+    small = True if repairs is None else is_small(repairs)
+    repairs = known_repairs(lines.sparkSession) if repairs is None else repairs
+    named = lines.select(rename_files(F.col("file"), renames).alias("file"), "header").distinct()
+    return repair_headers(named, repairs, small).select("header").distinct()
+
+
 def correction_audit(
     lines: DataFrame,
     repairs: DataFrame,

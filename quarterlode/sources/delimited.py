@@ -11,7 +11,9 @@ from pyspark.sql import types as T
 from quarterlode.functions.casts import lenient
 from quarterlode.functions.text import period_of_file, table_of
 from quarterlode.operators.conform import check_schema
+from quarterlode.operators.lookup import sized_broadcast
 from quarterlode.schemas import DELIMITER, DROPS, RENAMES, RESCUED, TABLES, schema_of
+from quarterlode.session import materialise
 
 METADATA = ("processing_time", "period")
 CSV_OPTIONS = {
@@ -40,35 +42,59 @@ def header_tokens(header: Column) -> Column:
     return F.split(F.lower(header), r"\$")
 
 
-def _field(name: str) -> Column:
-    return F.get("_fields", F.array_position("_tokens", F.lit(name)).cast("int") - 1)
+def _older(table: str) -> dict[str, list[str]]:
+    """Older names of each column of a table's schema."""
+    found: dict[str, list[str]] = {}
+    for old, new in RENAMES.get(table, {}).items():
+        found.setdefault(new, []).append(old)
+    return found
+
+
+def _text_names(table: str) -> list[str]:
+    return [n for n in schema_of(table).names if n not in METADATA]
+
+
+def with_layout(df: DataFrame, table: str) -> DataFrame:
+    """``df`` with what its ``header`` says.
+
+    ``_at`` holds the place of each column's name and of its older ones, in schema order; ``_unknown`` the names
+    that no rule of the table knows, and ``_unknown_at`` their places.
+    """
+    def place(name: Column) -> Column:
+        return F.array_position("_tokens", name).cast("int") - 1
+
+    names = [t for n in _text_names(table) for t in (n, *_older(table).get(n, ()))]
+    known = {"", *schema_of(table).names, *RENAMES.get(table, {}), *DROPS.get(table, ())}
+    tokens = df.withColumn("_tokens", header_tokens(F.col("header")))
+    told = tokens.withColumn("_unknown", F.array_distinct(F.filter("_tokens", lambda t: ~t.isin(*known))))
+    told = told.withColumns({"_at": F.array(*[place(F.lit(n)) for n in names]), "_unknown_at": F.transform("_unknown", place)})
+    return told.drop("_tokens")
 
 
-def data_lines(lines: DataFrame, table: str) -> DataFrame:
-    """Non-empty data lines of one table, split, with their header names.
+def data_lines(lines: DataFrame, table: str, headers: DataFrame | None) -> DataFrame:
+    """Non-empty data lines of one table, split, with the layout of their header.
 
     Files of other tables, or without a period in their name, are left out.
     """
     file = F.col("file")
-    return lines.where(
+    own = lines.where(
         (table_of(file, TABLES) == table)
         & period_of_file(file).isNotNull()
         & (F.col("line_no") > 0)
-        & (F.trim(F.col("line"), F.lit(" \t")) != "")
-    ).select(
-        file,
-        header_tokens(F.col("header")).alias("_tokens"),
-        split_fields(F.col("line")).alias("_fields"),
-    )
+        & (F.trim(F.col("line"), F.lit(" \t")) != ""))
+    split = own.select("file", "header", split_fields(F.col("line")).alias("_fields"))
+    if headers is None:
+        return with_layout(split, table)
+    distinct = headers.select("header").where("header is not null").distinct()
+    layouts = materialise(with_layout(distinct, table), "layouts")
+    return split.join(sized_broadcast(layouts), "header", "left")
 
 
-def rescued(table: str) -> Column:
+def rescued() -> Column:
     """Values of columns that no rule of the table knows, by name; null if none."""
-    known = {"", *schema_of(table).names, *RENAMES.get(table, {}), *DROPS.get(table, ())}
-    unknown = F.array_distinct(F.filter("_tokens", lambda t: ~t.isin(*known)))
-    at = F.transform(unknown, lambda t: F.get("_fields", F.array_position("_tokens", t).cast("int") - 1))
-    kept = F.map_filter(F.map_from_arrays(unknown, at), lambda _, v: v.isNotNull())
-    return F.when(F.size(kept) > 0, kept)
+    values = F.transform("_unknown_at", lambda i: F.get("_fields", i))
+    kept = F.map_filter(F.map_from_arrays("_unknown", values), lambda _, v: v.isNotNull())
+    return F.when((F.size("_unknown") > 0) & (F.size(kept) > 0), kept)
 
 
 def text_columns(table: str) -> list[Column]:
@@ -76,36 +102,37 @@ def text_columns(table: str) -> list[Column]:
 
     A column comes from the name of its own or, failing that, from an older one.
     """
-    older: dict[str, list[str]] = {}
-    for old, new in RENAMES.get(table, {}).items():
-        older.setdefault(new, []).append(old)
-    return [
-        F.coalesce(*map(_field, (name, *older.get(name, ())))).alias(name)
-        for name in schema_of(table).names
-        if name not in METADATA
-    ]
+    found, slot = [], 0
+    for name in _text_names(table):
+        count = 1 + len(_older(table).get(name, ()))
+        values = [F.get("_fields", F.get("_at", F.lit(i))) for i in range(slot, slot + count)]
+        found.append(F.coalesce(*values).alias(name))
+        slot += count
+    return found
 
 
-def parse_table(lines: DataFrame, table: str, processing_time: int, keep_rescued: bool = False) -> DataFrame:
+def parse_table(lines: DataFrame, table: str, processing_time: int, keep_rescued: bool = False, headers: DataFrame | None = None) -> DataFrame:
     """Repaired lines of one table as typed rows of the common schema.
 
-    Both eras, any column order and surplus trailing fields are handled per
-    line by its header; batch or stream.
+    Both eras, any column order and surplus trailing fields are handled by the header of each line. With
+    ``headers``, a frame that holds all headers of ``lines``, what a header says is worked out once for each
+    distinct one and joined to its lines; without it, as in a stream, line by line.
     """
-    extra = [rescued(table).alias(RESCUED)] if keep_rescued else []
-    text = data_lines(lines, table).select(
+    extra = [rescued().alias(RESCUED)] if keep_rescued else []
+    rows = data_lines(lines, table, headers)
+    text = rows.select(
         *text_columns(table),
         F.lit(processing_time).cast("bigint").alias("processing_time"),
         period_of_file(F.col("file")).alias("period"),
         *extra,
     )
     schema = schema_of(table)
-    rows = text.select(
+    typed = text.select(
         *[F.col(f.name) if f.name in METADATA else lenient(F.col(f.name), f.dataType).alias(f.name)
           for f in schema.fields],
         *[RESCUED for _ in extra],
     )
-    return rows if keep_rescued else check_schema(rows, table)
+    return typed if keep_rescued else check_schema(typed, table)
 
 
 def read_corrected(spark: SparkSession, path: str | Sequence[str], table: str) -> DataFrame:

@@ -16,7 +16,7 @@ from quarterlode.operators.conform import ingest
 from quarterlode.operators.entities import drug_terms
 from quarterlode.functions.text import base_name, table_of
 from quarterlode.operators.lookup import sized_broadcast
-from quarterlode.operators.repairs import correction_audit, known_repairs, rename_files, repair_files
+from quarterlode.operators.repairs import correction_audit, known_repairs, rename_files, repair_files, repaired_headers
 from quarterlode.schemas import DELETED_SCHEMA, TABLES
 from quarterlode.session import materialise, new_path
 from quarterlode.sources.archives import (
@@ -122,7 +122,10 @@ def arrived(files: DataFrame, processing_time: int) -> tuple[dict[str, DataFrame
     stored = split_by_table(files)
     bad = materialise(stored.where(F.col("table") == UNREADABLE).select("path", "error"), "unreadable")
     lines = stored.where(F.col("table") != UNREADABLE).join(sized_broadcast(bad.select("path")), "path", "left_anti")
-    rows = {t: parse_table(repair_files(lines.where(F.col("table") == t)), t, processing_time) for t in TABLES}
+    rows = {}
+    for t in TABLES:
+        own = lines.where(F.col("table") == t)
+        rows[t] = parse_table(repair_files(own), t, processing_time, headers=repaired_headers(own.where("line_no = 0")))
     rows[DELETED] = deleted_lines(lines.where(F.col("table") == DELETED))
     return rows, load_audit(lines, bad)
 

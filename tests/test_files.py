@@ -177,6 +177,21 @@ def test_names(spark):
     assert [r[0] for r in paths.select(X.logical_file(F.col("p"))).collect()] == ["demo24q1.txt"] * 3 + [None]
 
 
+def test_headers_are_worked_out_once(spark, rows, tmp_path):
+    """By the distinct headers or line by line, the rows are the same."""
+    put(tmp_path, "demo24q1.txt", DEMO_HEADER, DEMO_LINE)
+    put(tmp_path, "demo12q4.txt", "isr$case$gndr_cod$site$$ rept_dt$Case", "1$2$M$here$x$20120101$9$surplus", "3$$$$$$", "", "4")
+    put(tmp_path, "demo10q1.txt", "sex$gndr_cod$isr$caseid", "$F$7$8", "M$F$9$")
+    lines = A.read_lines(A.binary_files(spark, str(tmp_path)))
+    headers = R.repaired_headers(lines.where("line_no = 0"))
+    for keep in (False, True):
+        plain = D.parse_table(R.repair_files(lines), "demo", 99, keep)
+        once = D.parse_table(R.repair_files(lines), "demo", 99, keep, headers=headers)
+        assert once.schema == plain.schema and rows(once) == rows(plain) and once.count() == 6
+        assert "lower(header" in str(plain._jdf.queryExecution().optimizedPlan())
+        assert "lower(header" not in str(once._jdf.queryExecution().optimizedPlan())
+
+
 def test_correction_audit(spark, rows, tmp_path):
     put(tmp_path, "demo18q1_new.txt", DEMO_HEADER + "$confid$image", DEMO_LINE)
     (tmp_path / "drug19q3.txt").write_bytes(DRUG_HEADER.encode() + b"\n\xff" + DRUG_LINE.encode() + b"\xe2\x82")
