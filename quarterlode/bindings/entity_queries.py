@@ -7,11 +7,12 @@ from functools import partial
 from pyspark.sql import functions as F
 
 from quarterlode.bindings import views as V
-from quarterlode.bindings.registry import query
+from quarterlode.bindings import case_queries  # noqa: F401  (its SQL is used here)
+from quarterlode.bindings.registry import ORACLES, query
 from quarterlode.operators import entities as E
 from quarterlode.operators import mapping as M
 from quarterlode.operators import vocabulary as K
-from quarterlode.plans.silver import entity_table, silver_drug
+from quarterlode.plans.silver import entity_table, refresh_silver, silver_drug, silver_tables
 from quarterlode.session import materialise, new_path
 from quarterlode.sources.tables import read_version, write_version
 
@@ -227,6 +228,25 @@ def silver_drug_query(spark, d):
     return silver_drug(V.drug(spark, d), V.deleted(spark, d), entities, mapping).withColumnRenamed("atc_code", "codes")
 
 
+@query("silver_all", " UNION ALL ".join(
+    f"SELECT '{t}' AS table_name, count(*) AS n, CAST(sum(primaryid) AS BIGINT) AS ids, CAST(sum({codes}) AS BIGINT) AS codes FROM ({ORACLES[f'silver_{t}']})"
+    for t, codes in (("demo", "0"), ("outc", "0"), ("rpsr", "0"), ("ther", "0"), ("reac", "pt_code"), ("indi", "indi_pt_code"), ("drug", "length(codes)"))))
+def silver_all(spark, d):
+    """One run that refreshes all seven analysis tables, and what is then stored in each."""
+    entities = _entities(spark, d)
+    mapping = _cascade(spark, d, entities)[0]
+    made = silver_tables({t: V.FACTS[t](spark, d) for t in V.FACTS}, V.deleted(spark, d), V.preferred_terms(spark), V.former_terms(spark), entities, mapping)
+    base, out = new_path(spark, "silver"), None
+    refresh_silver(made, base)
+    codes = {"reac": F.col("pt_code"), "indi": F.col("indi_pt_code"), "drug": F.length(V.codes_text(F.col("atc_code")))}
+    for name, df in made.items():
+        rows = read_version(spark, f"{base}/{name}", df.schema)
+        told = rows.agg(F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("n"), F.sum("primaryid").alias("ids"),
+                        F.sum(codes.get(name, F.lit(0))).cast("bigint").alias("codes"))
+        out = told if out is None else out.unionByName(told)
+    return out
+
+
 def _customer_map(spark, d, rows, tag, time):
     codes = F.array(M.atc_struct(F.concat(F.lit(tag), F.col("nation")), F.lit("n"), F.lit("ATC1-4")))
     return rows.select("entity", codes.alias("atc_code"), F.lit(tag).alias("strategy"),

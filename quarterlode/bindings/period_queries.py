@@ -152,3 +152,15 @@ def first_k_periods(spark, d):
     listed = F.concat(F.lit(" "), F.col("period"), F.lit(" ,\t"), F.col("sex"), F.lit(",09q4 , 10q1"))
     return V.demo(spark, d).select(
         F.col("primaryid").alias("o_orderkey"), F.array_join(S.first_periods(listed, 2), "|").alias("first_two"))
+
+
+@query("periods_to_fetch", f"""
+    WITH {KNOWN_SQL},
+      missing AS (SELECT printf('%02dq%d', CAST(i//4%100 AS INT), CAST(i%4+1 AS INT)) AS period, i FROM known
+        WHERE printf('%02dq%d', CAST(i//4%100 AS INT), CAST(i%4+1 AS INT)) NOT IN (SELECT {period_sql('o_orderdate')} FROM orders WHERE o_orderstatus<>'P'))
+    SELECT CAST(row_number() OVER (ORDER BY period) AS INT) AS place, period, 'https://fis.fda.gov/content/Exports/' || CASE WHEN i > 2012*4+2
+        THEN 'faers_ascii_' || CAST(i//4 AS VARCHAR) || 'Q' ELSE 'aers_ascii_' || CAST(i//4 AS VARCHAR) || 'q' END || CAST(i%4+1 AS VARCHAR) || '.zip' AS url
+    FROM missing QUALIFY place <= 6""")
+def periods_to_fetch(spark, d):
+    """Missing periods, as sorted text, the first six of it, and where they are."""
+    return S.periods_to_fetch(S.all_periods(_as_of(spark, d)), S.periods_of_archives(_archives(spark, d)), 6)

@@ -17,7 +17,7 @@ LEGACY_PREFIX, CURRENT_PREFIX = "aers", "faers"
 NAME_PATTERN = r"(\d{4})[qQ](\d)"
 
 
-def quarter_index(year: int, quarter: int) -> int:
+def quarter_index(year: Column | int, quarter: Column | int) -> Column | int:
     """Position of a quarter on a gapless axis."""
     return year * 4 + quarter - 1
 
@@ -48,22 +48,20 @@ def order_key(year: Column, quarter: Column) -> Column:
     return year * 10 + quarter
 
 
+def shifted_period(year: Column, quarter: Column, by: int) -> Column:
+    """Struct of the period so many quarters later."""
+    index = quarter_index(year, quarter) + by
+    return F.struct(F.floor(index / 4).cast("int").alias("year"), (F.pmod(index, F.lit(4)) + 1).cast("int").alias("quarter"))
+
+
 def next_period(year: Column, quarter: Column) -> Column:
     """Struct of the period that follows."""
-    last = quarter == 4
-    return F.struct(
-        F.when(last, year + 1).otherwise(year).alias("year"),
-        F.when(last, F.lit(1)).otherwise(quarter + 1).alias("quarter"),
-    )
+    return shifted_period(year, quarter, 1)
 
 
 def previous_period(year: Column, quarter: Column) -> Column:
     """Struct of the period before."""
-    first = quarter == 1
-    return F.struct(
-        F.when(first, year - 1).otherwise(year).alias("year"),
-        F.when(first, F.lit(4)).otherwise(quarter - 1).alias("quarter"),
-    )
+    return shifted_period(year, quarter, -1)
 
 
 def is_current_era(year: Column, quarter: Column) -> Column:

@@ -8,10 +8,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarterlode.functions.periods import (
+    archive_url,
     format_index,
     format_period,
     is_current_era,
     known_indexes,
+    period_quarter,
+    period_year,
     resolve_period,
 )
 from quarterlode.functions.text import split_list
@@ -63,3 +66,14 @@ def periods_text(df: DataFrame, name: str = "periods") -> DataFrame:
 def first_periods(text: Column, k: int) -> Column:
     """First ``k`` items of a comma list, in the order given, as an array."""
     return F.slice(split_list(text), 1, k)
+
+
+def periods_to_fetch(known: DataFrame, present: DataFrame, k: int) -> DataFrame:
+    """From missing periods to what is fetched next, as one plan: ``place, period, url`` of the first ``k``.
+
+    The missing periods are handed on as sorted text, as between two jobs, and taken from it in order.
+    """
+    listed = periods_text(missing_periods(known, present))
+    chosen = listed.select(F.posexplode(first_periods(F.col("periods"), k)).alias("place", "period"))
+    year, quarter = period_year(F.col("period")), period_quarter(F.col("period"))
+    return chosen.where("period <> ''").select((F.col("place") + 1).alias("place"), "period", archive_url(year, quarter).alias("url"))

@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 from quarterlode.operators.conform import ingest
 from quarterlode.operators.entities import drug_terms
 from quarterlode.functions.text import base_name, table_of
-from quarterlode.operators.lookup import sized_broadcast
+from quarterlode.operators.lookup import null_safe, sized_broadcast
 from quarterlode.operators.repairs import correction_audit, known_repairs, rename_files, repair_files, repaired_headers
 from quarterlode.schemas import DELETED_SCHEMA, TABLES
 from quarterlode.session import materialise, new_path
@@ -33,6 +33,7 @@ from quarterlode.sources.delimited import parse_table
 from quarterlode.sources.tables import load_periods, read_or_empty
 
 UNREADABLE, AUDIT = "unreadable", "audit"  # stand beside the tables of a load
+BUCKETS = 256  # of a table of distinct rows; a batch reads those that it touches
 TERM_SCHEMA = "drugname string, prod_ai string, term string"
 
 
@@ -173,6 +174,12 @@ def load_typed(spark: SparkSession, source: str, schema: T.StructType | str, tab
     each_batch(typed_stream(spark, source, schema, table), f"{path}/_checkpoint", write)
 
 
+def held_rows(spark: SparkSession, path: str, schema: str, buckets: list[int], before: int) -> DataFrame:
+    """Rows of earlier batches in the given buckets of a table that :func:`append_new_rows` writes; no other is read."""
+    held = read_or_empty(spark, path, f"{schema}, bucket int, batch bigint")
+    return held.where(F.col("bucket").isin(buckets) & (F.col("batch") < before))
+
+
 def append_new_rows(
     stream: DataFrame, path: str, schema: str, derive: Callable[[DataFrame], DataFrame]
 ) -> None:
@@ -180,27 +187,26 @@ def append_new_rows(
 
     The table itself is the memory of what was seen, so there is no growing
     operator state, and a hot row is folded on the map side before it moves.
-    Each batch owns one partition and looks only at those of earlier batches: a
-    batch that is run again writes the same rows.
+    Rows lie in :data:`BUCKETS` buckets by a hash of all columns; a batch reads those that
+    its own rows fall into. Each batch owns one partition of each bucket and looks only at
+    those of earlier batches: a batch that is run again writes the same rows.
     """
-    full = f"{schema}, batch bigint"
-
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        new = derive(batch).distinct()
-        keys = new.columns
-        seen = read_or_empty(spark, path, full).where(F.col("batch") < batch_id).select(*keys)
-        on = None
-        side = seen.toDF(*[f"_{c}" for c in keys])
-        for c in keys:
-            same = F.col(c).eqNullSafe(F.col(f"_{c}"))
-            on = same if on is None else on & same
+        found = derive(batch).distinct()
+        keys = found.columns
+        bucket = F.pmod(F.xxhash64(*keys), F.lit(BUCKETS)).cast("int")
+        found = materialise(found.withColumn("bucket", bucket), "batch_rows")
+        touched = [r.bucket for r in found.select("bucket").distinct().collect()]  # at most BUCKETS
+        side = held_rows(spark, path, schema, touched, batch_id).select(*[F.col(c).alias(f"_{c}") for c in (*keys, "bucket")])
+        same = null_safe([F.col(c) for c in (*keys, "bucket")], [F.col(f"_{c}") for c in (*keys, "bucket")])
         (
-            new.join(side, on, "left_anti")
+            found.join(side, same, "left_anti")
             .withColumn("batch", F.lit(batch_id).cast("bigint"))
+            .hint("rebalance", "bucket")
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("batch")
+            .partitionBy("bucket", "batch")
             .parquet(path)
         )
 

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import re
 import zipfile
 
 from pyspark.sql import functions as F
@@ -64,6 +65,28 @@ def test_distinct_terms_across_runs(spark, rows, tmp_path):
     assert got == rows(E.drug_terms(one.unionByName(two))) and len(got) == 3
 
 
+def test_a_batch_reads_the_buckets_it_touches(spark, rows, tmp_path, monkeypatch):
+    source, path = str(tmp_path / "drug"), str(tmp_path / "terms")
+    many = spark.createDataFrame([(i, f"name {i}", None, "24q1") for i in range(600)], DRUG)
+    few = spark.createDataFrame([(1, "name 7", None, "24q2"), (2, "new", "one", "24q2")], DRUG)
+    read, original = [], flows.held_rows
+
+    def watched(*args):
+        held = original(*args)
+        plan = spark._jvm.PythonSQLUtils.explainString(held._jdf.queryExecution(), "formatted")
+        filters = re.findall(r"PartitionFilters: (.*)", plan)
+        read.append((len(args[3]), len({r.bucket for r in held.select("bucket").distinct().collect()}), [f for f in filters if "bucket" not in f]))
+        return held
+
+    monkeypatch.setattr(flows, "held_rows", watched)
+    for part in (many, few):
+        part.write.mode("append").parquet(source)
+        flows.distinct_terms(spark, source, many.schema, path)
+    assert read[0][0] > 200 and read[0][1:] == (0, [])
+    assert read[1][0] == 2 and read[1][1] <= 2 and read[1][2] == []
+    assert len(rows(read_or_empty(spark, path, flows.TERM_SCHEMA))) == 601
+
+
 def test_batch_that_runs_again_writes_the_same(spark, rows, tmp_path):
     """The newest checkpoint entry is lost, as after a crash between write and commit."""
     source, path = str(tmp_path / "drug"), tmp_path / "terms"
