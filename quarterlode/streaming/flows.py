@@ -33,7 +33,7 @@ from quarterlode.sources.delimited import parse_table
 from quarterlode.sources.tables import load_periods, read_or_empty
 
 UNREADABLE, AUDIT = "unreadable", "audit"  # stand beside the tables of a load
-BUCKETS = 256  # of a table of distinct rows; a batch reads those that it touches
+BUCKETS = 32  # of a table of distinct rows; a batch reads those that it touches
 TERM_SCHEMA = "drugname string, prod_ai string, term string"
 
 
