@@ -14,7 +14,7 @@ from quarterlode.operators import mapping as M
 from quarterlode.operators import vocabulary as K
 from quarterlode.plans.silver import entity_table, refresh_silver, silver_drug, silver_tables
 from quarterlode.session import materialise, new_path
-from quarterlode.sources.tables import read_version, write_version
+from quarterlode.sources.tables import read_buckets, read_version
 
 PROMPT_SQL = "'" + M.PROMPT_PREFIX.replace("'", "''") + "'"
 
@@ -270,10 +270,10 @@ def merge_upsert(spark, d):
               .unionByName(_customer_map(spark, d, supplier, "B", 2)))
     path = new_path(spark, "mapping")
     first = _customer_map(spark, d, customer, "A", 1)
-    write_version(M.upsert(read_version(spark, path, first.schema), first), path)
+    M.upsert_table(first, path, buckets=8)
     for _ in range(2):
-        write_version(M.upsert(read_version(spark, path, first.schema), source), path)
-    merged = read_version(spark, path, first.schema)
+        M.upsert_table(source, path)
+    merged = read_buckets(spark, path, first.schema)
     return merged.select("entity", V.codes_text(F.col("atc_code")).alias("codes"), "strategy", "processing_time")
 
 

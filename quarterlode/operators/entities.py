@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarterlode.functions.text import collapse_spaces, is_blank, space_out, strip
-from quarterlode.operators.lookup import is_small, null_safe, sized_broadcast
+from quarterlode.operators.lookup import is_small, join_hot_apart, null_safe, sized_broadcast
 from quarterlode.session import materialise
 
 # A caller's model: a frame with ``term`` in, ``term, entities array<string>`` out.
@@ -125,26 +125,41 @@ def attach_entities(drug: DataFrame, entities: DataFrame, small: bool | None = N
     """Null-safe, case-insensitive left join of drug rows with their entities.
 
     Fans out to one row per entity. Columns of ``entities`` other than the name
-    pair are appended.
+    pair are appended. Pairs that hold many drug rows are joined apart.
     """
     added = [c for c in entities.columns if c not in ("drugname", "prod_ai")]
     side = entities.select(
         F.lower("drugname").alias("_drugname"), F.lower("prod_ai").alias("_prod_ai"), *added)
-    if small or (small is None and is_small(side)):
-        side = F.broadcast(side)
-    on = null_safe([F.lower("drugname"), F.lower("prod_ai")], [F.col("_drugname"), F.col("_prod_ai")])
-    return drug.join(side, on, "left").drop("_drugname", "_prod_ai")
+    names = [F.lower("drugname"), F.lower("prod_ai")]
+    return _left_null_safe(drug, side, names, ["_drugname", "_prod_ai"], small)
 
 
-def attach_codes(entities: DataFrame, mapping: DataFrame) -> DataFrame:
+def attach_codes(entities: DataFrame, mapping: DataFrame, small: bool | None = None) -> DataFrame:
     """Null-safe, case-insensitive left join of entities with their class codes.
 
-    Adds ``atc_code, strategy, mapping_time``.
+    Adds ``atc_code, strategy, mapping_time``. Entities that hold many rows are joined apart.
     """
     side = mapping.select(
         F.lower("entity").alias("_entity"), "atc_code", "strategy",
         F.col("processing_time").alias("mapping_time"))
-    return entities.join(sized_broadcast(side), F.lower("entity").eqNullSafe(F.col("_entity")), "left").drop("_entity")
+    return _left_null_safe(entities, side, [F.lower("entity")], ["_entity"], small)
+
+
+def _left_null_safe(
+    fact: DataFrame, side: DataFrame, keys: list[Column], names: list[str], small: bool | None
+) -> DataFrame:
+    """Left join on equal or both null keys; ``names`` are the columns of ``side`` that hold them, and are dropped."""
+    def join(a: DataFrame, b: DataFrame) -> DataFrame:
+        return a.join(b, null_safe(keys, [F.col(n) for n in names]), "left").drop(*names)
+
+    if small or (small is None and is_small(side)):
+        return join(fact, F.broadcast(side))
+    return join_hot_apart(fact, side, _null_hash(keys), _null_hash([F.col(n) for n in names]), join)
+
+
+def _null_hash(keys: list[Column]) -> Column:
+    """Hash that tells a null part from an empty one."""
+    return F.xxhash64(*keys, *[k.isNull() for k in keys])
 
 
 def attach_coded_entities(drug: DataFrame, entities: DataFrame, mapping: DataFrame) -> DataFrame:

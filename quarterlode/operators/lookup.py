@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -12,6 +12,8 @@ MAX_ROWS = 2_000_000
 MAX_BYTES = 64 * 1024 * 1024
 # Buckets over which rows without a key are spread in a shuffle join.
 NULL_BUCKETS = 128
+# Share of the rows from which a key of a shuffle join is joined apart.
+HOT_SHARE = 0.01
 
 
 def is_small(df: DataFrame, max_rows: int | None = None, max_bytes: int | None = None) -> bool:
@@ -31,6 +33,38 @@ def sized_broadcast(df: DataFrame, max_rows: int | None = None, max_bytes: int |
     return F.broadcast(df) if is_small(df, max_rows, max_bytes) else df
 
 
+def hot_hashes(fact: DataFrame, key: Column, share: float = HOT_SHARE) -> list[int]:
+    """Key hashes that may hold more than ``share`` of the rows: all that do, and at most ``1 / share`` in number.
+
+    One pass that keeps counters of a fixed size per task; keys are not shuffled.
+    """
+    return fact.select(key.alias("key")).stat.freqItems(["key"], share).first()[0]
+
+
+def join_hot_apart(
+    fact: DataFrame,
+    lookup: DataFrame,
+    fact_key: Column,
+    lookup_key: Column,
+    join: Callable[[DataFrame, DataFrame], DataFrame],
+    share: float | None = None,
+) -> DataFrame:
+    """A shuffle join that keeps the hot keys of the fact table out of the shuffle.
+
+    ``join`` keeps or drops fact rows by rows of equal key only (inner, left, semi,
+    anti); both key columns are the same hash of it. Keys that may hold more than
+    ``share`` of the rows (``HOT_SHARE`` by default) meet their lookup rows by
+    broadcast, measured like any other; the other keys are shuffled. The fact
+    table is read three times, the first time for the key alone.
+    """
+    hot = hot_hashes(fact, fact_key, HOT_SHARE if share is None else share)
+    few = lookup.where(lookup_key.isin(hot))
+    if not hot or not is_small(few):
+        return join(fact, lookup)
+    rest = join(fact.where(~fact_key.isin(hot)), lookup.where(~lookup_key.isin(hot)))
+    return rest.unionByName(join(fact.where(fact_key.isin(hot)), F.broadcast(few)))
+
+
 def join_on_key(
     fact: DataFrame,
     lookup: DataFrame,
@@ -38,12 +72,15 @@ def join_on_key(
     how: str,
     spread_by: Sequence[str] = (),
     small: bool | None = None,
+    hot_apart: bool = False,
 ) -> DataFrame:
     """Equality join of a fact table with a lookup that shares the ``key`` name.
 
-    Null keys match nothing but would all meet in one shuffle partition. In the
+    ``how`` is a join that the fact table's rows decide: inner, left, left_semi or
+    left_anti. Null keys match nothing but would all meet in one shuffle partition. In the
     shuffle variant they are dealt out over buckets by a hash of ``spread_by``
     (all columns by default); rows with a key keep bucket 0, as the lookup has.
+    Hot keys are left to adaptive execution, or joined apart (``join_hot_apart``).
     """
     if small is None:
         small = is_small(lookup)
@@ -53,7 +90,12 @@ def join_on_key(
     deal = F.pmod(F.xxhash64(*(spread_by or fact.columns)), F.lit(NULL_BUCKETS)) + 1
     dealt = fact.withColumn(bucket, F.when(F.col(key).isNull(), deal).otherwise(F.lit(0)))
     fixed = lookup.withColumn(bucket, F.lit(0).cast("bigint"))
-    return dealt.join(fixed, [key, bucket], how).drop(bucket)
+
+    def join(a: DataFrame, b: DataFrame) -> DataFrame:
+        return a.join(b, [key, bucket], how).drop(bucket)
+
+    hashed = F.xxhash64(key, bucket)
+    return join_hot_apart(dealt, fixed, hashed, hashed, join) if hot_apart else join(dealt, fixed)
 
 
 def null_safe(left: Sequence[Column], right: Sequence[Column]) -> Column:

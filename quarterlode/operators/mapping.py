@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from quarterlode.operators.lookup import join_on_key
 from quarterlode.schemas import ATC_CODES
 from quarterlode.session import materialise
+from quarterlode.sources.tables import current_buckets, read_buckets, write_buckets
 
 # Takes distinct ``entity`` rows, gives ``entity, atc_code`` for those it can.
 Resolver = Callable[[DataFrame], DataFrame]
@@ -49,12 +50,16 @@ def atc_to_json(codes: Column) -> Column:
     return F.to_json(codes)
 
 
-def resolve_and_join_back(df: DataFrame, key: str, resolve: Callable[[DataFrame], DataFrame]) -> DataFrame:
+def resolve_and_join_back(
+    df: DataFrame, key: str, resolve: Callable[[DataFrame], DataFrame], small: bool | None = None
+) -> DataFrame:
     """Hand each distinct key to a resolver once and join its answers back.
 
     ``resolve`` takes and returns a frame holding ``key``, at most one row each.
+    Answers too large to broadcast are shuffled to the rows, but for the hot keys.
     """
-    return join_on_key(df, materialise(resolve(df.select(key).distinct()), "answers"), key, "left")
+    answers = materialise(resolve(df.select(key).distinct()), "answers")
+    return join_on_key(df, answers, key, "left", small=small, hot_apart=True)
 
 
 def answers_resolver(answers: DataFrame, ask: Callable[[Column], Column] = prompt) -> Resolver:
@@ -99,19 +104,41 @@ def cascade(
     return mapped, pending
 
 
+def newest_rows(source: DataFrame, key: str, latest: str) -> DataFrame:
+    """One row per key: the latest; ties are settled by the whole row."""
+    rest = [c for c in source.columns if c != key]
+    order = F.struct(latest, *[c for c in rest if c != latest])
+    newest = source.groupBy(key).agg(F.max_by(F.struct(*rest), order).alias("_row"))
+    return newest.select(key, *[F.col(f"_row.{c}").alias(c) for c in rest])
+
+
 def upsert(target: DataFrame, source: DataFrame, key: str = "entity", latest: str = "processing_time") -> DataFrame:
     """Target rows with those of the same key replaced, and new keys added.
 
     Of several source rows of a key the latest wins; ties are settled by the
     whole row, so that the outcome does not depend on the order of rows.
     """
-    rest = [c for c in source.columns if c != key]
-    newest = (
-        source.groupBy(key)
-        .agg(F.max_by(F.struct(*rest), F.struct(latest, *[c for c in rest if c != latest])).alias("_row"))
-        .select(key, *[F.col(f"_row.{c}").alias(c) for c in rest])
-    )
-    return target.join(source.select(key), key, "left_anti").unionByName(newest)
+    return target.join(source.select(key), key, "left_anti").unionByName(newest_rows(source, key, latest))
+
+
+def upsert_table(
+    source: DataFrame, path: str, key: str = "entity", latest: str = "processing_time", buckets: int = 64
+) -> list[int]:
+    """``upsert`` into a table in hash buckets of the key; returns the buckets that were rewritten.
+
+    Only buckets that source keys fall into are read and written; the files of
+    the others stay. A run that failed, or one done twice, leaves what one run
+    leaves. ``buckets`` counts for a new table only; an existing one keeps its own.
+    """
+    spark = source.sparkSession
+    buckets = current_buckets(spark, path)[1] or buckets
+    newest = newest_rows(source, key, latest).withColumn("bucket", F.pmod(F.xxhash64(key), F.lit(buckets)))
+    newest = materialise(newest, "changes")
+    touched = sorted(r["bucket"] for r in newest.select("bucket").distinct().collect())
+    held = read_buckets(spark, path, source.schema, touched)
+    target = held.withColumn("bucket", F.pmod(F.xxhash64(key), F.lit(buckets)))
+    write_buckets(target.join(newest.select(key), key, "left_anti").unionByName(newest), path, buckets, touched)
+    return touched
 
 
 def keyed_bucket(key: Column, buckets: int) -> Column:

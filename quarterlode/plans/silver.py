@@ -9,11 +9,11 @@ from pyspark.sql import DataFrame
 from quarterlode.operators.cases import deleted_ids, remove_deleted
 from quarterlode.operators.entities import Extractor, attach_coded_entities, drug_entities, drug_terms
 from quarterlode.operators.lookup import is_small
-from quarterlode.operators.mapping import Resolver, cascade, unmapped_entities, upsert
+from quarterlode.operators.mapping import Resolver, cascade, unmapped_entities, upsert_table
 from quarterlode.operators.meddra import code_terms
 from quarterlode.schemas import ENTITY_MAP_SCHEMA
 from quarterlode.session import materialise
-from quarterlode.sources.tables import read_version, refresh_table, write_version
+from quarterlode.sources.tables import read_buckets, refresh_table
 
 PARTITIONED = ("drug", "reac", "indi")
 
@@ -71,13 +71,13 @@ def map_new_entities(
 ) -> DataFrame:
     """Resolve the entities that the mapping table lacks and upsert the answers.
 
-    Returns the entities that no resolver could map.
+    The table lies in buckets; only those that get answers are rewritten. Returns the entities that no resolver could map.
     """
     spark = entities.sparkSession
-    mapping = read_version(spark, map_path, ENTITY_MAP_SCHEMA)
+    mapping = read_buckets(spark, map_path, ENTITY_MAP_SCHEMA)
     named = entities.where("entity is not null")
     mapped, left = cascade(unmapped_entities(named, mapping), resolvers, processing_time)
-    write_version(upsert(mapping, mapped), map_path)
+    upsert_table(mapped, map_path)
     return left
 
 

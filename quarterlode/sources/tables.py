@@ -88,3 +88,37 @@ def write_version(df: DataFrame, path: str, partition_by: str | None = None) ->
 def refresh_table(df: DataFrame, path: str, partition_by: str | None = None) -> None:
     """Replace a table as a whole, as a new version: a write that fails leaves the old one."""
     write_version(df, path, partition_by)
+
+
+BUCKET_COMMITS = "bucket bigint, version bigint, buckets bigint"
+
+
+def current_buckets(spark: SparkSession, path: str) -> tuple[dict[int, int], int | None]:
+    """Newest committed version of each bucket of a table, and its number of buckets (``None`` before the first)."""
+    commits = read_or_empty(spark, f"{path}/commits", BUCKET_COMMITS)
+    rows = commits.groupBy("bucket").agg(F.max("version").alias("version"), F.max("buckets").alias("buckets")).collect()
+    return {r["bucket"]: r["version"] for r in rows}, max((r["buckets"] for r in rows), default=None)
+
+
+def read_buckets(spark: SparkSession, path: str, schema: T.StructType | str, only: Sequence[int] | None = None) -> DataFrame:
+    """Committed rows of a table in buckets, of all of them or of some; other buckets' files are not opened."""
+    empty = spark.createDataFrame([], schema)
+    current, _ = current_buckets(spark, path)
+    paths = [f"{path}/v{v:06d}/bucket={b}" for b, v in sorted(current.items()) if only is None or b in set(only)]
+    return spark.read.schema(empty.schema).parquet(*paths).select(*empty.columns) if paths else empty
+
+
+def write_buckets(df: DataFrame, path: str, buckets: int, written: Sequence[int]) -> None:
+    """Write whole buckets (those of column ``bucket``, listed) as new versions, then commit them in one row each.
+
+    The files of all other buckets stay as they are. What is not committed is
+    never read, and is written anew by the next attempt; one writer at a time.
+    """
+    if not written:
+        return
+    spark = df.sparkSession
+    version = max(current_buckets(spark, path)[0].values(), default=0) + 1
+    (df.hint("rebalance", "bucket").write.mode("overwrite").option("partitionOverwriteMode", "static")
+     .partitionBy("bucket").parquet(f"{path}/v{version:06d}"))
+    rows = [(b, version, buckets) for b in written]
+    fixed_table(spark, rows, BUCKET_COMMITS).write.mode("append").parquet(f"{path}/commits")

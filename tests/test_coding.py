@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from quarterlode.operators import cases, meddra
 from quarterlode.operators import entities as E
-from quarterlode.operators.lookup import is_small, join_on_key
+from quarterlode.operators import mapping as M
+from quarterlode.operators.lookup import hot_hashes, is_small, join_on_key
 from quarterlode.plans.silver import entity_table, silver_drug
 
 PT = "pt string, pt_code long, pt_soc_code long, nnmq_codes array<long>, smq_codes array<long>"
@@ -66,6 +67,46 @@ def test_hot_key_is_split_by_adaptive_execution(spark):
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
+@pytest.fixture()
+def no_auto_broadcast(spark):
+    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    for key in keys:
+        spark.conf.set(key, "-1")
+    yield
+    for key in keys:
+        spark.conf.unset(key)
+
+
+def test_hot_name_pair_stays_out_of_the_shuffle(spark, rows, no_auto_broadcast):
+    """One pair of names, with a null in it, holds 90 % of the rows; the other pairs are shuffled."""
+    n = 20_000
+    hot = F.col("id") % 10 != 0
+    drug = spark.range(n).select(
+        "id", F.when(hot, F.lit("Hot")).otherwise(F.concat(F.lit("d"), F.col("id"))).alias("drugname"),
+        F.when(~hot & (F.col("id") % 20 == 0), F.lit("AI")).alias("prod_ai"))
+    pairs = drug.select("drugname", "prod_ai").distinct().where("drugname <> 'd10'")
+    entities = pairs.select("drugname", "prod_ai", F.explode(F.array(F.lit("a"), F.lit("b"))).alias("entity"))
+    apart = E.attach_entities(drug, entities, small=False)
+    plan = apart._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" in plan and "NestedLoop" not in plan
+    assert apart.columns == ["id", "drugname", "prod_ai", "entity"]
+    assert rows(apart) == rows(E.attach_entities(drug, entities, small=True))
+    assert apart.count() == 2 * n - 1
+    assert hot_hashes(drug.where("id < 0"), F.xxhash64("drugname")) == []
+    assert rows(E.attach_entities(drug.where("id < 0"), entities, small=False)) == []
+
+
+def test_hot_key_of_answers_stays_out_of_the_shuffle(spark, rows, no_auto_broadcast):
+    key = F.when(F.col("id") % 10 != 0, F.lit("hot")).when(F.col("id") % 20 == 0, F.col("id").cast("string"))
+    fact = spark.range(20_000).select("id", key.alias("entity"))
+    answers = lambda keys: keys.where("entity <> '40'").withColumn("code", F.upper("entity"))
+    apart = M.resolve_and_join_back(fact, "entity", answers, small=False)
+    plan = apart._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" in plan
+    assert rows(apart) == rows(M.resolve_and_join_back(fact, "entity", answers, small=True))
+    assert apart.where("code = 'HOT'").count() == 18_000 and apart.where("code is null").count() == 1_001
+
+
 def two_branch_coding(fact, pt, llt):
     """Coding by two branches and a union, as a check on the one-pass plan."""
     codes = list(meddra.CODES)

@@ -10,7 +10,7 @@ from quarterlode.operators import mapping as M
 from quarterlode.operators import vocabulary as K
 from quarterlode.plans.silver import map_new_entities
 from quarterlode.schemas import ENTITY_MAP_SCHEMA
-from quarterlode.sources.tables import current_version, read_version, write_version
+from quarterlode.sources.tables import current_buckets, current_version, read_buckets, read_version, write_version
 
 ANSWER = "rxcui string, page long, response string"
 MAP_ROW = lambda e, id, s, t: (e, [(id, "n", "ATC1-4")], s, t)
@@ -161,12 +161,12 @@ def test_cascade_and_map(spark, resolver, rows, tmp_path):
     path = str(tmp_path / "map")
     left = map_new_entities(entities, path, [("vocabulary", resolver), ("model", model)], 42)
     assert rows(left) == [("classles",)] and asked == [["classles", "empty"]]
-    table = read_version(spark, path, ENTITY_MAP_SCHEMA)
+    table = read_buckets(spark, path, ENTITY_MAP_SCHEMA)
     assert rows(table, "entity", F.col("atc_code")[0]["id"], "strategy", "processing_time") == [
         ("aspirin", "C1", "vocabulary", 42), ("empty", "M", "model", 42)]
     map_new_entities(entities, path, [("vocabulary", resolver), ("model", model)], 43)
     assert asked[1] == ["classles"]
-    assert rows(read_version(spark, path, ENTITY_MAP_SCHEMA)) == rows(table)
+    assert rows(read_buckets(spark, path, ENTITY_MAP_SCHEMA)) == rows(table)
     with pytest.raises(ValueError):
         M.cascade(entities, [], 1)
 
@@ -218,3 +218,24 @@ def test_sample_and_batches(spark):
     assert sample.exceptAll(M.keyed_sample(df.repartition(7), "entity", 10)).count() == 0
     batches = df.select(M.keyed_bucket(F.col("entity"), 4).alias("b")).groupBy("b").count().collect()
     assert {r.b for r in batches} == {0, 1, 2, 3} and min(r["count"] for r in batches) > 4_000
+
+
+def test_upsert_rewrites_only_touched_buckets(spark, rows, tmp_path):
+    path = str(tmp_path / "map")
+    target = spark.createDataFrame([MAP_ROW(f"e{i}", "1", "x", 1) for i in range(200)], ENTITY_MAP_SCHEMA)
+    source = spark.createDataFrame([MAP_ROW("e7", "2", "y", 2), MAP_ROW("e7", "3", "z", 3), MAP_ROW("new", "4", "y", 2)], ENTITY_MAP_SCHEMA)
+    assert M.upsert_table(target.limit(0), path) == [] and read_buckets(spark, path, ENTITY_MAP_SCHEMA).count() == 0
+    assert M.upsert_table(target, path, buckets=16) == list(range(16))
+    before = {f: f.stat().st_mtime_ns for f in (tmp_path / "map" / "v000001").rglob("*.parquet")}
+    touched = M.upsert_table(source, path, buckets=99)
+    assert len(touched) in (1, 2) and current_buckets(spark, path)[1] == 16
+    want = rows(M.upsert(target, source), "entity", "strategy", "processing_time")
+    assert rows(read_buckets(spark, path, ENTITY_MAP_SCHEMA), "entity", "strategy", "processing_time") == want
+    assert {f: f.stat().st_mtime_ns for f in (tmp_path / "map" / "v000001").rglob("*.parquet")} == before
+    opened = {f.split("/v0")[1] for f in read_buckets(spark, path, ENTITY_MAP_SCHEMA).inputFiles()}
+    assert {int(f.split("bucket=")[1].split("/")[0]) for f in opened if f.startswith("00002")} == set(touched)
+    # an attempt that died before its commit is not seen; run twice is run once
+    target.write.parquet(f"{path}/v000003/bucket={touched[0]}")
+    assert rows(read_buckets(spark, path, ENTITY_MAP_SCHEMA), "entity", "strategy", "processing_time") == want
+    assert M.upsert_table(source, path) == touched
+    assert rows(read_buckets(spark, path, ENTITY_MAP_SCHEMA), "entity", "strategy", "processing_time") == want
