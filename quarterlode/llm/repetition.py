@@ -1,7 +1,7 @@
 """Quality rules on repetition: a suffix array over the words of each text.
 
-Prefix doubling ranks the suffixes; comparing neighbours in suffix order from the
-longest doubled length down gives longest common prefixes. A position whose suffix
+Prefix doubling ranks the suffixes; neighbours in suffix order are compared in the order
+of the text, which gives longest common prefixes in linear memory. A position whose suffix
 shares ``m`` words with a neighbour starts a repeat of ``m`` words, the longest one
 there, and every maximal repeated substring is the common prefix of an interval of
 neighbours. The union of their spans is what the rules limit.
@@ -21,6 +21,7 @@ from quarterlode.llm.common import pieces, texts
 SYMBOLS = b"#*$%&|<>"
 SPACES = b"\x20\x09\x0a\x0b\x0c\x0d"
 CONTINUATION = bytes(range(0x80, 0xC0))
+FIRST_WORDS = 32  # compared for all places at once; longer prefixes one by one
 
 
 @dataclass(frozen=True)
@@ -35,35 +36,74 @@ class Limits:
     max_longest: int = 100
 
 
+def suffix_array(ids: np.ndarray) -> np.ndarray:
+    """Starts of the suffixes in order, by prefix doubling; only the ranks of the last length are held."""
+    n, key, step = len(ids), ids.astype(np.int64), 0
+    while True:
+        order = np.argsort(key, kind="stable")
+        key = key[order]
+        level = np.zeros(n, np.int64)
+        np.cumsum(key[1:] != key[:-1], out=level[1:])
+        if level[-1] == n - 1:
+            return order
+        rank = key
+        rank[order] = level
+        del order, level
+        step = 2 * step or 1
+        key = rank * (n + 1)
+        key[: n - step] += rank[step:] + 1
+
+
+def _shared(ids: np.ndarray, a: int, b: int, done: int) -> int:
+    """How many words the suffixes at two places share, if they share ``done``; compared in growing blocks."""
+    size, end = 64, len(ids) - max(a, b)
+    while done < end:
+        size = min(2 * size, 1 << 16, end - done)
+        differ = ids[a + done : a + done + size] != ids[b + done : b + done + size]
+        if differ.any():
+            return done + int(differ.argmax())
+        done += size
+    return done
+
+
 def longest_repeats(ids: np.ndarray) -> np.ndarray:
-    """For each position, how many words from there on occur in the same order elsewhere."""
+    """For each position, how many words from there on occur in the same order elsewhere.
+
+    A suffix and the one before it in order share one word less than those a position
+    earlier, if the words before both are equal. So only places where these differ are
+    compared; what they share adds up to no more than 2 n log n words, and memory is a
+    fixed number of arrays.
+    """
     n = len(ids)
     found = np.zeros(n, np.int64)
     if n < 2:
         return found
-    rank = np.unique(ids, return_inverse=True)[1].astype(np.int64)
-    levels, step = [rank], 1
-    while True:
-        after = np.zeros(n, np.int64)
-        after[: n - step] = rank[step:] + 1
-        distinct, rank = np.unique(rank * (n + 1) + after, return_inverse=True)
-        if len(distinct) == n:
-            break
-        levels.append(rank)
-        step *= 2
-    order = np.empty(n, np.int64)
-    order[rank] = np.arange(n)
-    a, b = order[:-1].copy(), order[1:].copy()
-    common = np.zeros(n - 1, np.int64)
-    for level in range(len(levels) - 1, -1, -1):
-        rank, length = levels[level], 1 << level
+    order = suffix_array(ids)
+    before = np.full(n, -1, np.int64)
+    before[order[1:]] = order[:-1]
+    del order
+    compare = np.ones(n, bool)
+    later = np.flatnonzero(before[1:] > 0) + 1
+    compare[later] = ids[later - 1] != ids[before[later] - 1]
+    del later
+    at = np.flatnonzero(compare & (before >= 0))
+    live = np.arange(len(at))
+    for done in range(FIRST_WORDS):
+        a, b = at[live] + done, before[at[live]] + done
         inside = np.maximum(a, b) < n
-        same = np.zeros(n - 1, bool)
-        same[inside] = rank[a[inside]] == rank[b[inside]]
-        moved = same * length
-        common, a, b = common + moved, a + moved, b + moved
-    found[order[:-1]] = common
-    found[order[1:]] = np.maximum(found[order[1:]], common)
+        live, a, b = live[inside], a[inside], b[inside]
+        live = live[ids[a] == ids[b]]
+        found[at[live]] += 1
+    for i in at[live].tolist():
+        found[i] = _shared(ids, i, int(before[i]), FIRST_WORDS)
+    del at, live
+    base = np.where(compare, np.arange(n), 0)
+    np.maximum.accumulate(base, out=base)
+    found = found[base] - (np.arange(n) - base)
+    del base
+    has = np.flatnonzero(before >= 0)
+    common = found[has]  # each position stands before at most one other
+    found[before[has]] = np.maximum(found[before[has]], common)
     return found
 
 
@@ -131,7 +171,11 @@ def repetition(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def keep_good(docs: DataFrame, text_col: str = "text", limits: Limits = Limits()) -> DataFrame:
-    """The rows whose text passes all rules, with all their columns."""
+    """The rows whose text passes all rules, with all their columns.
+
+    Null and empty texts fail. Each row is judged by itself: repeated rows pass or fail
+    together, null ids and columns of any name pass through.
+    """
     at = docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -13,6 +13,8 @@ from __future__ import annotations
 import gzip
 import hashlib
 import io
+import re
+import zlib
 from collections.abc import Iterator
 from urllib.parse import quote
 
@@ -25,6 +27,8 @@ from quarterlode.session import materialise
 LEAST_SHARED = 100  # bytes from which equal payloads are stored once
 HEAD = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nTransfer-Encoding: chunked\r\n\r\n"
 
+CHUNKED = re.compile(rb"^transfer-encoding:[ \t]*chunked[ \t]*\r?$", re.IGNORECASE | re.MULTILINE)
+
 
 def record_id(page: Column, digest: Column) -> Column:
     """Name of a page's record; equal rows have equal names."""
@@ -120,101 +124,151 @@ def write_archive(
      .option("maxRecordsPerFile", records_per_file).text(path))
 
 
-def parse(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
-    """Fields and block of each record of an archive, one at a time."""
-    stream = io.BufferedReader(gzip.GzipFile(fileobj=io.BytesIO(data)) if data[:2] == b"\x1f\x8b" else io.BytesIO(data))
-    while line := stream.readline():
-        if not line.startswith(b"WARC/"):
-            continue
-        fields = {}
-        while (line := stream.readline().strip(b"\r\n")):
-            name, _, value = line.partition(b":")
-            fields[name.decode("utf-8", "replace").lower()] = value.strip().decode("utf-8", "replace")
-        yield fields, stream.read(int(fields.get("content-length", 0)))
+def number(text: str | None) -> int | None:
+    """A header's number; ``None`` if there is none or it is not made of digits."""
+    return int(text) if text is not None and text.isascii() and text.isdigit() and len(text) < 19 else None
+
+
+def parse(data: bytes) -> Iterator[tuple[dict[str, str], bytes, bool]]:
+    """Fields and block of each record of an archive, one at a time, and whether the record is sound.
+
+    Not sound are a record without a proper ``Content-Length``, whose block is left out
+    and whose end is the next record, and one that the archive's end cuts off. Behind
+    broken compression nothing can be read: the archive ends there.
+    """
+    # no buffer around the inflating file: a buffer that meets broken data loses what it has read before
+    stream = gzip.GzipFile(fileobj=io.BytesIO(data)) if data[:2] == b"\x1f\x8b" else io.BytesIO(data)
+    fields: dict[str, str] = {}
+    try:
+        while line := stream.readline():
+            if not line.startswith(b"WARC/"):
+                continue
+            while (line := stream.readline().strip(b"\r\n")):
+                name, _, value = line.partition(b":")
+                fields[name.decode("utf-8", "replace").strip().lower()] = value.strip().decode("utf-8", "replace")
+            length = number(fields.get("content-length"))
+            block = b"" if length is None else stream.read(length)
+            whole, found, fields = len(block) == length, fields, {}
+            yield found, block, whole
+    except (EOFError, OSError, zlib.error):
+        if fields:
+            yield fields, b"", False
+
+
+def payload_of(block: bytes) -> bytes | None:
+    """Payload of an HTTP message, its chunked framing decoded; ``None`` if the head or the framing is broken."""
+    head, end, body = block.partition(b"\r\n\r\n")
+    if not end:
+        return None
+    return dechunked(body) if CHUNKED.search(head) else body
+
+
+def finished(kind: str, block: bytes, declared: str | None, whole: bool) -> tuple:
+    """Payload, its length, its digest, and whether the record is intact.
+
+    A revisit keeps the digest that it declares and has no payload.
+    """
+    payload = payload_of(block) if kind == "response" and whole else None
+    digest = declared if payload is None else hashlib.sha256(payload).hexdigest()
+    if kind == "revisit":
+        return None, None, declared, whole
+    if payload is None or digest != declared:
+        return None, None, None, False
+    return payload, len(payload), digest, True
 
 
-PARSED = "record string, page string, type string, declared string, refers string, segment int, total bigint, block binary"
+READ = "record string, page string, type string, refers string, payload binary, payload_bytes bigint, digest string, intact boolean"
+READ_TYPES = [pa.string()] * 4 + [pa.binary(), pa.int64(), pa.string(), pa.bool_()]
+PARTS = ("record string, page string, type string, declared string, refers string, segment int, total bigint, "
+         "block binary, sound boolean")
+PART_TYPES = [pa.string()] * 5 + [pa.int32(), pa.int64(), pa.binary(), pa.bool_()]
+BAD_SEGMENT = -1  # a number that cannot be read: the record that it belongs to is not whole
+HELD = 1 << 22  # bytes of blocks that are handed on at once
+
+
+def _batch(rows: list[tuple], schema: str, kinds: list[pa.DataType]) -> pa.RecordBatch:
+    columns = list(zip(*rows, strict=True)) or [()] * len(kinds)
+    return pa.RecordBatch.from_arrays(
+        [pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], [x.split()[0] for x in schema.split(", ")])
+
+
+def _rows_of(segmented: bool, data: bytes) -> Iterator[tuple[int, tuple]]:
+    """Bytes and row of each record of an archive: ``PARTS`` of segments, or ``READ`` of the others."""
+    for f, block, sound in parse(data):
+        kind = f.get("warc-type")
+        # a continuation without a number is a part all the same
+        if ("warc-segment-number" in f or kind == "continuation") != segmented or kind not in ("response", "revisit", "continuation"):
+            continue
+        declared, refers = f.get("warc-payload-digest", "").removeprefix("sha256:") or None, f.get("warc-refers-to")
+        if segmented:
+            at = number(f.get("warc-segment-number"))
+            yield len(block), (
+                f.get("warc-segment-origin-id", f.get("warc-record-id")), f.get("page-id"), kind, declared, refers,
+                at if at is not None and at < 1 << 31 else BAD_SEGMENT, number(f.get("warc-segment-total-length")), block, sound)
+        else:
+            yield len(block), (f.get("warc-record-id"), f.get("page-id"), kind, refers, *finished(kind, block, declared, sound))
 
 
 def _parsed(segmented: bool):
+    schema, kinds = (PARTS, PART_TYPES) if segmented else (READ, READ_TYPES)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for data in batch.column(0).to_pylist():
+            for data in batch.column(0):  # one archive in Python at a time
                 rows, held = [], 0
-                for f, block in parse(data):
-                    if ("warc-segment-number" in f) != segmented or f.get("warc-type") not in ("response", "revisit", "continuation"):
-                        continue
-                    total = f.get("warc-segment-total-length")
-                    rows.append((
-                        f.get("warc-segment-origin-id", f.get("warc-record-id")), f.get("page-id"), f["warc-type"],
-                        f.get("warc-payload-digest", "").removeprefix("sha256:") or None, f.get("warc-refers-to"),
-                        int(f.get("warc-segment-number", 1)), int(total) if total else None, block))
-                    held += len(block)
-                    if held > 1 << 22:
-                        yield _batch(rows)
+                for size, row in _rows_of(segmented, data.as_py()):
+                    rows.append(row)
+                    held += size + 200
+                    if held > HELD:
+                        yield _batch(rows, schema, kinds)
                         rows, held = [], 0
-                yield _batch(rows)
-
-    def _batch(rows) -> pa.RecordBatch:
-        kinds = [pa.string()] * 5 + [pa.int32(), pa.int64(), pa.binary()]
-        columns = list(zip(*rows, strict=True)) or [()] * len(kinds)
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], [x.split()[0] for x in PARSED.split(", ")])
+                yield _batch(rows, schema, kinds)
 
     return run
 
 
-READ = "record string, page string, type string, refers string, payload binary, payload_bytes bigint, digest string, intact boolean"
-
-
 def _finished(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Decode whole blocks; a revisit keeps the digest that it declares and has no payload."""
+    """Decode the blocks put together from segments."""
     for batch in batches:
-        out = []
-        for row in batch.to_pylist():
-            payload = digest = None
-            whole = row["whole"]
-            if row["type"] == "response" and whole:
-                payload = dechunked(row["block"].partition(b"\r\n\r\n")[2])
-                digest = None if payload is None else hashlib.sha256(payload).hexdigest()
-                whole = digest == row["declared"]
-            elif row["type"] == "revisit":
-                digest = row["declared"]
-            out.append((row["record"], row["page"], row["type"], row["refers"], payload, None if payload is None else len(payload), digest, whole))
-        kinds = [pa.string()] * 4 + [pa.binary(), pa.int64(), pa.string(), pa.bool_()]
-        columns = list(zip(*out, strict=True)) or [()] * len(kinds)
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], [x.split()[0] for x in READ.split(", ")])
+        yield _batch([(r["record"], r["page"], r["type"], r["refers"], *finished(r["type"], r["block"], r["declared"], r["whole"]))
+                      for r in batch.to_pylist()], READ, READ_TYPES)
 
 
 def read_archive(spark: SparkSession, path: str) -> DataFrame:
     """The pages of the archives below ``path``, gzip or plain: ``READ``.
 
-    ``intact`` is false if a segment is missing, lengths or digest do not fit, or the
-    framing is broken; the payload is then null. Segments of one record may lie in
-    different archives. Records written twice are read twice.
+    ``intact`` is false, and payload and digest of a response are null, if a segment is
+    missing, a number in a header cannot be read, lengths or digest do not fit, the
+    framing is broken, or the archive is cut off in the record; what stands behind broken
+    compression is not found. Segments without their first one are one row of type
+    ``continuation``. Segments of one record may lie in different archives. Records
+    written twice are read twice. An archive is one row, so it has to be below 2 GB; it is
+    inflated once for whole records, which are not shuffled, and once for segments, as
+    this costs less than to store the inflated blocks.
     """
-    # a row is an archive: few at a time go to Python
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "16")
     files = spark.read.format("binaryFile").load(path).select("content")
-    single = files.mapInArrow(_parsed(False), PARSED).withColumn("whole", F.lit(True))
-    parts = files.mapInArrow(_parsed(True), PARSED)
-    return reassembled(parts).unionByName(single.drop("segment", "total")).mapInArrow(_finished, READ)
+    single = files.mapInArrow(_parsed(False), READ)
+    return reassembled(files.mapInArrow(_parsed(True), PARTS)).mapInArrow(_finished, READ).unionByName(single)
 
 
 def reassembled(parts: DataFrame) -> DataFrame:
     """Whole blocks from segments: grouped by origin, ordered by number, their total length verified."""
+    opening = F.col("type") != "continuation"
     pieces = parts.groupBy("record", "segment").agg(
-        F.first("page", True).alias("page"), F.max(F.when(F.col("segment") == 1, F.col("type"))).alias("type"),
+        F.first("page", True).alias("page"), F.max(F.when(opening, F.col("type"))).alias("type"), F.min("sound").alias("sound"),
         F.first("declared", True).alias("declared"), F.first("refers", True).alias("refers"), F.max("total").alias("total"),
         F.first("block").alias("block"), F.count(F.lit(1)).alias("copies"))
     # records written twice have each segment twice: one block for both, and as many rows as first segments
     groups = pieces.groupBy("record").agg(
         F.first("page", True).alias("page"), F.max("type").alias("type"), F.first("declared", True).alias("declared"),
-        F.first("refers", True).alias("refers"), F.max("total").alias("total"), F.max(F.when(F.col("segment") == 1, F.col("copies"))).alias("copies"),
+        F.first("refers", True).alias("refers"), F.max("total").alias("total"),
+        F.max(F.when(F.col("type").isNotNull(), F.col("copies"))).alias("copies"), F.min("sound").alias("sound"),
         F.array_sort(F.collect_list(F.struct("segment", "block"))).alias("list"))
     block = F.expr("CAST(array_join(transform(list, x -> CAST(x.block AS STRING)), '') AS BINARY)")  # bytes stay as they are
     size = F.expr("aggregate(list, 0L, (a, x) -> a + octet_length(x.block))")
     whole = (F.col("list")[F.size("list") - 1]["segment"] == F.size("list")) & (size == F.col("total"))
-    out = groups.where("type is not null").select(
-        "record", "page", "type", "declared", "refers", block.alias("block"), F.coalesce(whole, F.lit(False)).alias("whole"),
-        F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias("copy"))
+    whole = whole & F.col("type").isNotNull() & F.col("sound")
+    out = groups.select(
+        "record", "page", F.coalesce("type", F.lit("continuation")).alias("type"), "declared", "refers", block.alias("block"), F.coalesce(whole, F.lit(False)).alias("whole"),
+        F.explode(F.sequence(F.lit(1), F.coalesce("copies", F.lit(1)).cast("int"))).alias("copy"))
     return out.drop("copy")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import gzip
 import random
 import re
@@ -66,6 +67,43 @@ def test_segments_in_different_archives_and_missing_ones(spark):
     assert all(not r.intact and r.payload is None for r in warc.read_archive(spark, third).collect())
 
 
+def response(name, payload, length=None, declared=None, extra="", chunks=True):
+    head = warc.HEAD if chunks else b"HTTP/1.1 200 OK\r\n\r\n"
+    block = head + (warc.chunked(payload, 7) if chunks else payload)
+    digest = declared or f"sha256:{hashlib.sha256(payload).hexdigest()}"
+    size = str(len(block)) if length is None else length
+    return (f"WARC/1.1\r\nWARC-Type: response\r\nWARC-Record-ID: <{name}>\r\nPage-ID: {name}\r\nWARC-Payload-Digest: {digest}\r\n"
+            f"{extra}Content-Length: {size}\r\n\r\n").encode() + block + b"\r\n\r\n"
+
+
+def test_broken_archives_end_no_job(spark, tmp_path):
+    batch = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    part = (b"WARC/1.1\r\nWARC-Type: continuation\r\nWARC-Record-ID: <c>\r\nWARC-Segment-Origin-ID: <%s>\r\n"
+            b"WARC-Segment-Number: %s\r\nWARC-Segment-Total-Length: %s\r\nContent-Length: 3\r\n\r\nabc\r\n\r\n")
+    good = response("good", b"hello world")
+    plain = [good, response("length", b"x" * 30, "many"), response("negative", b"x", "-4"), response("digest", b"y", declared="sha256:00"),
+             response("bare", b"not chunked", chunks=False), response("number", b"z", extra="WARC-Segment-Number: one\r\n"),
+             response("total", b"z", extra="WARC-Segment-Number: 1\r\n"), part % (b"total", b"2", b"some"), part % (b"lost", b"2", b"9"),
+             part.replace(b"WARC-Segment-Number: %s\r\n", b"") % (b"unnumbered", b"9"),
+             good.replace(b"good", b"after"), response("short", b"w" * 50, "900")]
+    folder = tmp_path / "broken"
+    folder.mkdir()
+    (folder / "plain.warc").write_bytes(b"".join(plain))
+    noise = "".join(random.Random(1).choices("abcdefghij", k=5000)).encode()
+    packed = gzip.compress(good.replace(b"good", b"packed")) + gzip.compress(response("cut", noise))
+    (folder / "cut.warc.gz").write_bytes(packed[: len(packed) - 900])
+    (folder / "bad.warc.gz").write_bytes(gzip.compress(good.replace(b"good", b"first")) + b"\x1f\x8bnot gzip at all")
+    (folder / "empty.warc").write_bytes(b"")
+    (folder / "noise.warc").write_bytes(b"\x00\xff" * 500)
+    got = {r.record.strip("<>"): r for r in warc.read_archive(spark, str(folder)).collect()}
+    assert spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == batch
+    assert {n for n, r in got.items() if r.intact} == {"good", "bare", "after", "packed", "first"}
+    assert set(got) == {"good", "bare", "after", "packed", "first", "length", "negative", "digest", "number", "total", "lost", "unnumbered", "short", "cut"}
+    assert bytes(got["bare"].payload) == b"not chunked" and bytes(got["after"].payload) == b"hello world"
+    assert all(r.payload is None and r.digest is None for r in got.values() if not r.intact)
+    assert {n for n, r in got.items() if r.type == "continuation"} == {"lost", "unnumbered"}
+
+
 def test_empty_archive(spark):
     df, _ = pages(spark)
     path = new_path(spark, "warc")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import tracemalloc
 import math
 import random
 from collections import Counter, defaultdict
@@ -34,6 +35,29 @@ def repeats_by_hand(words):
     return found
 
 
+@settings(max_examples=80, deadline=None)
+@given(st.lists(st.integers(0, 1), min_size=1, max_size=6), st.integers(1, 30), st.lists(st.integers(0, 2), max_size=50))
+def test_longest_repeats_of_long_periods(unit, times, tail):
+    words = (unit * times + tail + unit * times)[:150]
+    assert repetition.longest_repeats(np.array(words, np.int64)).tolist() == repeats_by_hand(words)
+
+
+def test_longest_repeats_in_linear_memory():
+    """Equal words and a text written twice: memory per word is fixed, whatever repeats."""
+    n = 1_000_000
+    twice = np.tile(np.random.default_rng(7).integers(0, 50_000, n // 2), 2)
+    for words in (np.zeros(n, np.int64), twice):
+        tracemalloc.start()
+        found = repetition.longest_repeats(words)
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert peak < 80 * n
+        if words is twice:
+            assert (found[: n // 2] >= np.arange(n // 2, 0, -1)).all() and found[0] == n // 2
+        else:
+            assert found[0] == n - 1 and found[n // 2] == n // 2 and found[-1] == 1
+
+
 @settings(max_examples=80, deadline=None)
 @given(st.lists(st.integers(0, 2), max_size=24))
 def test_longest_repeats(words):
