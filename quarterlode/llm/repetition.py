@@ -89,6 +89,8 @@ def longest_repeats(ids: np.ndarray) -> np.ndarray:
     at = np.flatnonzero(compare & (before >= 0))
     live = np.arange(len(at))
     for done in range(FIRST_WORDS):
+        if not len(live):
+            break
         a, b = at[live] + done, before[at[live]] + done
         inside = np.maximum(a, b) < n
         live, a, b = live[inside], a[inside], b[inside]
