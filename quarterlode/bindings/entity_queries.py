@@ -12,7 +12,7 @@ from quarterlode.bindings.registry import ORACLES, query
 from quarterlode.operators import entities as E
 from quarterlode.operators import mapping as M
 from quarterlode.operators import vocabulary as K
-from quarterlode.plans.silver import entity_table, refresh_silver, silver_drug, silver_tables
+from quarterlode.plans.silver import CODE_SETS, entity_table, refresh_silver, silver_drug, silver_tables
 from quarterlode.session import materialise, new_path
 from quarterlode.sources.tables import read_buckets, read_version
 
@@ -238,9 +238,13 @@ def silver_all(spark, d):
     made = silver_tables({t: V.FACTS[t](spark, d) for t in V.FACTS}, V.deleted(spark, d), V.preferred_terms(spark), V.former_terms(spark), entities, mapping)
     base, out = new_path(spark, "silver"), None
     refresh_silver(made, base)
-    codes = {"reac": F.col("pt_code"), "indi": F.col("indi_pt_code"), "drug": F.length(V.codes_text(F.col("atc_code")))}
-    for name, df in made.items():
-        rows = read_version(spark, f"{base}/{name}", df.schema)
+    # the text is made and counted once for a list of codes, not for each row that refers to it
+    sets = read_version(spark, f"{base}/{CODE_SETS}", made[CODE_SETS].schema).select(
+        "code_set", F.length(V.codes_text(F.col("atc_code"))).alias("codes"))
+    codes = {"reac": "pt_code", "indi": "indi_pt_code", "drug": "codes"}
+    for name in V.FACTS:
+        rows = read_version(spark, f"{base}/{name}", made[name].schema)
+        rows = E.with_codes(rows, sets) if name == "drug" else rows
         told = rows.agg(F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("n"), F.sum("primaryid").alias("ids"),
                         F.sum(codes.get(name, F.lit(0))).cast("bigint").alias("codes"))
         out = told if out is None else out.unionByName(told)

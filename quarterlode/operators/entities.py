@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarterlode.functions.text import collapse_spaces, is_blank, space_out, strip
-from quarterlode.operators.lookup import is_small, join_hot_apart, null_safe, sized_broadcast
+from quarterlode.operators.lookup import is_small, join_hot_apart, join_on_key, null_safe, sized_broadcast
 from quarterlode.session import materialise
 
 # A caller's model: a frame with ``term`` in, ``term, entities array<string>`` out.
@@ -134,13 +134,14 @@ def attach_entities(drug: DataFrame, entities: DataFrame, small: bool | None = N
     return _left_null_safe(drug, side, names, ["_drugname", "_prod_ai"], small)
 
 
-def attach_codes(entities: DataFrame, mapping: DataFrame, small: bool | None = None) -> DataFrame:
+def attach_codes(entities: DataFrame, mapping: DataFrame, small: bool | None = None, codes: str = "atc_code") -> DataFrame:
     """Null-safe, case-insensitive left join of entities with their class codes.
 
-    Adds ``atc_code, strategy, mapping_time``. Entities that hold many rows are joined apart.
+    Adds ``atc_code, strategy, mapping_time``, or for the first another column of ``mapping``
+    that is named in ``codes``. Entities that hold many rows are joined apart.
     """
     side = mapping.select(
-        F.lower("entity").alias("_entity"), "atc_code", "strategy",
+        F.lower("entity").alias("_entity"), codes, "strategy",
         F.col("processing_time").alias("mapping_time"))
     return _left_null_safe(entities, side, [F.lower("entity")], ["_entity"], small)
 
@@ -162,11 +163,36 @@ def _null_hash(keys: list[Column]) -> Column:
     return F.xxhash64(*keys, *[k.isNull() for k in keys])
 
 
-def attach_coded_entities(drug: DataFrame, entities: DataFrame, mapping: DataFrame) -> DataFrame:
-    """Drug rows with their entities and class codes.
+def code_sets(mapping: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The mapping with a reference ``code_set`` in place of its codes, and the codes of each reference once.
+
+    Many entities share the codes of one concept, and codes are long. The reference is a
+    digest of the codes, so that it is the same in every run; null codes have none.
+    """
+    digest = F.md5(F.to_json(F.struct("atc_code")).cast("binary"))
+    keyed = mapping.withColumn("code_set", F.when(F.col("atc_code").isNotNull(), digest))
+    sets = keyed.where("code_set is not null").groupBy("code_set").agg(F.first("atc_code").alias("atc_code"))
+    return keyed.drop("atc_code"), materialise(sets, "code_sets")
+
+
+def with_codes(coded: DataFrame, sets: DataFrame) -> DataFrame:
+    """Rows with their codes in place of the reference to them."""
+    joined = join_on_key(coded, sets, "code_set", "left", hot_apart=True)
+    added = [c for c in sets.columns if c != "code_set"]
+    return joined.select(*[x for c in coded.columns for x in (added if c == "code_set" else [c])])
 
-    The codes go onto the entity list first, which is far shorter than the drug
+
+def attach_code_sets(drug: DataFrame, entities: DataFrame, references: DataFrame) -> DataFrame:
+    """Drug rows with their entities and the references of :func:`code_sets`.
+
+    The references go onto the entity list first, which is far shorter than the drug
     rows, so that the drug rows are joined once. A drug row outside the entity
     list has no entity, and hence no code.
     """
-    return attach_entities(drug, materialise(attach_codes(entities, mapping), "coded"))
+    return attach_entities(drug, materialise(attach_codes(entities, references, codes="code_set"), "coded"))
+
+
+def attach_coded_entities(drug: DataFrame, entities: DataFrame, mapping: DataFrame) -> DataFrame:
+    """Drug rows with their entities and class codes; the codes themselves come last, from a table that holds each set once."""
+    references, sets = code_sets(mapping)
+    return with_codes(attach_code_sets(drug, entities, references), sets)

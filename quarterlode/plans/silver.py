@@ -7,7 +7,14 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 
 from quarterlode.operators.cases import deleted_ids, remove_deleted
-from quarterlode.operators.entities import Extractor, attach_coded_entities, drug_entities, drug_terms
+from quarterlode.operators.entities import (
+    Extractor,
+    attach_code_sets,
+    attach_coded_entities,
+    code_sets,
+    drug_entities,
+    drug_terms,
+)
 from quarterlode.operators.lookup import is_small
 from quarterlode.operators.mapping import Resolver, cascade, unmapped_entities, upsert_table
 from quarterlode.operators.meddra import code_terms
@@ -16,6 +23,8 @@ from quarterlode.session import materialise
 from quarterlode.sources.tables import read_buckets, refresh_table
 
 PARTITIONED = ("drug", "reac", "indi")
+# The table beside ``drug`` that its references to class codes lead to.
+CODE_SETS = "code_sets"
 
 
 def silver_plain(fact: DataFrame, deleted: DataFrame, small: bool | None = None) -> DataFrame:
@@ -41,7 +50,11 @@ def silver_tables(
     facts: Mapping[str, DataFrame], deleted: DataFrame, preferred: DataFrame, former: DataFrame,
     entities: DataFrame | None = None, mapping: DataFrame | None = None,
 ) -> dict[str, DataFrame]:
-    """The analysis tables of the given typed tables; the deleted list is stored and measured once for all."""
+    """The analysis tables of the given typed tables; the deleted list is stored and measured once for all.
+
+    ``drug`` holds class codes by reference: its ``code_set`` names a row of the table
+    ``code_sets``, which comes with it and holds each list of codes once. ``with_codes`` joins both.
+    """
     gone = materialise(deleted_ids(deleted), "gone")
     small = is_small(gone)
     made = {}
@@ -49,7 +62,9 @@ def silver_tables(
         if name in ("reac", "indi"):
             made[name] = silver_terms(fact, name, gone, preferred, former, small)
         elif name == "drug":
-            made[name] = silver_drug(fact, gone, entities, mapping, small)
+            references, sets = code_sets(mapping)
+            made[name] = attach_code_sets(remove_deleted(fact, gone, small), entities, references)
+            made[CODE_SETS] = sets
         else:
             made[name] = silver_plain(fact, gone, small)
     return made

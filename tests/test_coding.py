@@ -9,7 +9,9 @@ from quarterlode.operators import cases, meddra
 from quarterlode.operators import entities as E
 from quarterlode.operators import mapping as M
 from quarterlode.operators.lookup import hot_hashes, is_small, join_on_key
-from quarterlode.plans.silver import entity_table, silver_drug
+from quarterlode.plans.silver import CODE_SETS, entity_table, refresh_silver, silver_drug, silver_tables
+from quarterlode.session import new_path
+from quarterlode.sources.tables import read_version
 
 PT = "pt string, pt_code long, pt_soc_code long, nnmq_codes array<long>, smq_codes array<long>"
 LLT = "llt_name string, llt_code long, pt_code long, pt_soc_code long, nnmq_codes array<long>, smq_codes array<long>"
@@ -192,6 +194,43 @@ def test_drug_rows_with_entities_and_codes(spark, rows):
         (1, "acid", "C1", "s", 5), (2, "acid", "C1", "s", 5), (3, None, None, None, None), (4, None, None, None, None)]
 
 
+CODES = "array<struct<id:string,name:string,class_type:string>>"
+
+
+@pytest.fixture()
+def coded_drugs(spark):
+    """Drug rows of three cases, one withdrawn, with entities that share codes, have none, or have two mappings."""
+    drug = spark.createDataFrame(
+        [(1, 10, 1, "ASP", "Acid", "24q1"), (2, 20, 1, "asp", None, "24q1"), (3, None, 1, "Two", None, None), (3, None, 1, "Two", None, None),
+         (4, 99, 1, "asp", "acid", "24q1"), (5, 30, 1, None, None, "24q2"), (6, 30, 2, "bare", None, "24q2"), (7, 30, 3, "none", None, "24q2")],
+        "primaryid long, caseid long, drug_seq long, drugname string, prod_ai string, period string")
+    deleted = spark.createDataFrame([(99,)], "caseid long")
+    entities = spark.createDataFrame(
+        [("asp", "acid", "acid", "acid"), ("asp", None, "asp", "asp"), ("two", None, "two", "two"), ("two", None, "two", "acid"),
+         ("bare", None, "bare", "bare"), ("none", None, "none", "none")],
+        "drugname string, prod_ai string, term string, entity string")
+    long = [(f"C{i}", None if i % 2 else "n", "t") for i in range(300)]
+    mapping = spark.createDataFrame(
+        [("ACID", long, "s", 5), ("asp", long, "s", 5), ("two", long[:1], "s", 6), ("Two", [], "m", 7), ("bare", None, "m", 8)],
+        f"entity string, atc_code {CODES}, strategy string, processing_time long")
+    return drug, deleted, entities, mapping
+
+
+def test_stored_drug_rows_refer_to_codes(spark, rows, coded_drugs):
+    """Rows hold a reference; each list of codes is stored once; both together are the rows in full."""
+    drug, deleted, entities, mapping = coded_drugs
+    made = silver_tables({"drug": drug}, deleted, None, None, entities, mapping)
+    assert "atc_code" not in made["drug"].columns
+    base = new_path(spark, "silver")
+    refresh_silver(made, base)
+    stored = {t: read_version(spark, f"{base}/{t}", df.schema) for t, df in made.items()}
+    assert sorted(r.n for r in stored[CODE_SETS].select(F.size("atc_code").alias("n")).collect()) == [0, 1, 300]
+    whole = E.with_codes(stored["drug"], stored[CODE_SETS])
+    by_row = E.attach_entities(drug.where("caseid is null or caseid <> 99"), E.attach_codes(entities, mapping))
+    assert sorted(whole.columns) == sorted(by_row.columns)
+    assert rows(whole.select(by_row.columns)) == rows(by_row) and whole.count() == 11
+
+
 def test_model_hook(spark, rows):
     def load():
         return lambda text: [w for w in text.split() if w.isupper()]
