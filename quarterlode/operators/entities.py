@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarterlode.functions.text import collapse_spaces, is_blank, space_out, strip
-from quarterlode.operators.lookup import is_small, join_hot_apart, join_on_key, null_safe, sized_broadcast
+from quarterlode.operators.lookup import dealt_for, is_small, join_hot_apart, join_on_key, null_safe, sized_broadcast
 from quarterlode.session import materialise
 
 # A caller's model: a frame with ``term`` in, ``term, entities array<string>`` out.
@@ -177,7 +177,7 @@ def code_sets(mapping: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def with_codes(coded: DataFrame, sets: DataFrame) -> DataFrame:
     """Rows with their codes in place of the reference to them."""
-    joined = join_on_key(coded, sets, "code_set", "left", hot_apart=True)
+    joined = join_on_key(dealt_for(coded, sets), sets, "code_set", "left", hot_apart=True)
     added = [c for c in sets.columns if c != "code_set"]
     return joined.select(*[x for c in coded.columns for x in (added if c == "code_set" else [c])])
 

@@ -14,12 +14,19 @@ MAX_BYTES = 64 * 1024 * 1024
 NULL_BUCKETS = 128
 # Share of the rows from which a key of a shuffle join is joined apart.
 HOT_SHARE = 0.01
+# Mean bytes of a lookup row, as JSON text, from which rows are dealt out before they get it, and the tasks a core for that.
+WIDE_BYTES = 1024
+TASKS_PER_CORE = 4
+
+
+def _measure(df: DataFrame) -> tuple[int, int | None]:
+    """Rows of a frame, and their bytes as JSON text."""
+    return df.agg(F.count(F.lit(1)), F.sum(F.octet_length(F.to_json(F.struct("*"))))).first()
 
 
 def is_small(df: DataFrame, max_rows: int | None = None, max_bytes: int | None = None) -> bool:
     """Measure a frame with one distributed aggregate against the bounds (those above by default)."""
-    width = F.octet_length(F.to_json(F.struct("*")))
-    rows, size = df.agg(F.count(F.lit(1)), F.sum(width)).first()
+    rows, size = _measure(df)
     rows_ok = rows <= (MAX_ROWS if max_rows is None else max_rows)
     return rows_ok and (size or 0) <= (MAX_BYTES if max_bytes is None else max_bytes)
 
@@ -33,6 +40,19 @@ def sized_broadcast(df: DataFrame, max_rows: int | None = None, max_bytes: int |
     return F.broadcast(df) if is_small(df, max_rows, max_bytes) else df
 
 
+def dealt_for(fact: DataFrame, lookup: DataFrame) -> DataFrame:
+    """The fact table, dealt evenly over several tasks a core if the rows of ``lookup`` are wide.
+
+    Tasks are sized by the bytes they read. A wide lookup row makes each row many times as
+    long, so that a task of a few megabytes may have minutes of output while other cores are idle.
+    """
+    rows, size = _measure(lookup)
+    if (size or 0) < WIDE_BYTES * max(rows, 1):
+        return fact
+    spark = fact.sparkSession
+    return fact.repartition(max(TASKS_PER_CORE * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions"))))
+
+
 def hot_hashes(fact: DataFrame, key: Column, share: float = HOT_SHARE) -> list[int]:
     """Key hashes that may hold more than ``share`` of the rows: all that do, and at most ``1 / share`` in number.
 

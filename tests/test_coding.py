@@ -10,7 +10,7 @@ from quarterlode.operators import entities as E
 from quarterlode.operators import mapping as M
 from quarterlode.operators.lookup import hot_hashes, is_small, join_on_key
 from quarterlode.plans.silver import CODE_SETS, entity_table, refresh_silver, silver_drug, silver_tables
-from quarterlode.session import new_path
+from quarterlode.session import materialise, new_path
 from quarterlode.sources.tables import read_version
 
 PT = "pt string, pt_code long, pt_soc_code long, nnmq_codes array<long>, smq_codes array<long>"
@@ -231,6 +231,22 @@ def test_stored_drug_rows_refer_to_codes(spark, rows, coded_drugs):
     assert rows(whole.select(by_row.columns)) == rows(by_row) and whole.count() == 11
 
 
+def test_entity_list_holds_no_codes(spark, rows, coded_drugs, monkeypatch):
+    """Codes meet the drug rows last, from a table with each list once, not by way of every name pair."""
+    drug, deleted, entities, mapping = coded_drugs
+    stored = {}
+
+    def keep(df, label):
+        stored[label] = materialise(df, label)
+        return stored[label]
+
+    monkeypatch.setattr("quarterlode.operators.entities.materialise", keep)
+    out = silver_drug(drug, deleted, entities, mapping)
+    assert "atc_code" not in stored["coded"].columns and stored["code_sets"].count() == 3
+    by_row = E.attach_entities(drug.where("caseid is null or caseid <> 99"), E.attach_codes(entities, mapping))
+    assert rows(out.select(by_row.columns)) == rows(by_row)
+
+
 def test_model_hook(spark, rows):
     def load():
         return lambda text: [w for w in text.split() if w.isupper()]
