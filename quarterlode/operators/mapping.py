@@ -7,7 +7,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarterlode.operators.lookup import join_on_key
+from quarterlode.operators.lookup import dealt_for, join_on_key
 from quarterlode.schemas import ATC_CODES
 from quarterlode.session import materialise
 from quarterlode.sources.tables import current_buckets, read_buckets, write_buckets
@@ -56,10 +56,11 @@ def resolve_and_join_back(
     """Hand each distinct key to a resolver once and join its answers back.
 
     ``resolve`` takes and returns a frame holding ``key``, at most one row each.
-    Answers too large to broadcast are shuffled to the rows, but for the hot keys.
+    Answers too large to broadcast are shuffled to the rows, but for the hot keys;
+    rows that get wide ones are dealt out evenly before.
     """
     answers = materialise(resolve(df.select(key).distinct()), "answers")
-    return join_on_key(df, answers, key, "left", small=small, hot_apart=True)
+    return join_on_key(dealt_for(df, answers), answers, key, "left", small=small, hot_apart=True)
 
 
 def answers_resolver(answers: DataFrame, ask: Callable[[Column], Column] = prompt) -> Resolver:

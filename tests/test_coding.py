@@ -247,6 +247,17 @@ def test_entity_list_holds_no_codes(spark, rows, coded_drugs, monkeypatch):
     assert rows(out.select(by_row.columns)) == rows(by_row)
 
 
+def test_rows_that_get_wide_answers_are_dealt_out(spark, rows):
+    """One task's rows get a text of 20,000 characters each in several tasks; short answers move nothing."""
+    fact = spark.range(0, 4_000, 1, 1).select("id", F.when(F.col("id") % 3 != 0, F.col("id") % 2).alias("k"))
+    tasks = {}
+    for n in (2, 20_000):
+        out = M.resolve_and_join_back(fact, "k", lambda keys, n=n: keys.where("k is not null").withColumn("text", F.repeat(F.lit("x"), n)))
+        tasks[n] = out.select(F.spark_partition_id().alias("p")).distinct().count()
+        assert out.count() == 4_000 and out.where(F.length("text") == n).count() == 2_666
+    assert tasks[2] == 1 and tasks[20_000] >= 8
+
+
 def test_model_hook(spark, rows):
     def load():
         return lambda text: [w for w in text.split() if w.isupper()]
